@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftstone.llm.bpe import op4_byte_bpe
 from siftstone.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
+from siftstone.llm.jaccard_join import op3_jaccard_join
 from siftstone.llm.media import op8_transport_stream
 from siftstone.llm.quality import op2_quality_ranking
 from siftstone.llm.secrets import op10_secret_scan
@@ -19,7 +20,7 @@ from siftstone.llm.warc import OP7_SQL, op7_warc
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
-        op1_substring_dedup, op2_quality_ranking, op4_byte_bpe, op5_benchmark_decontamination, op6_token_counts,
+        op1_substring_dedup, op2_quality_ranking, op3_jaccard_join, op4_byte_bpe, op5_benchmark_decontamination, op6_token_counts,
         op7_warc, op8_transport_stream, op9_toxicity, op10_secret_scan,
     )
     return {f.__name__: f for f in found}

@@ -139,8 +139,11 @@ def _shown(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat(F.element_at(kinds, s["rank"] + 1), F.lit(":"), s["start"].cast("string"), F.lit(":"), s["end"].cast("string"))), ",")
 
 
-def redact(df: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """df with each found span of `text` replaced by mark; texts without spans stay as they are (null too)."""
+def redact(df: DataFrame, text: str = "text", mark: str = "[REDACTED]", length: str | None = None) -> DataFrame:
+    """df with each found span of `text` replaced by mark; texts without spans stay as they are (null too).
+
+    length: a column that holds the number of characters; it is set anew where the text changes.
+    """
     found = scan_secrets(df, text, "__secrets")
     spans = F.array_sort(F.concat(F.col("__secrets")["base"], F.col("__secrets")["added"]))
 
@@ -150,7 +153,10 @@ def redact(df: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> DataF
         return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], gap).alias("out"))
 
     clean = F.aggregate(spans, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["pos"] + 1, F.length(F.col(text)))))
-    return found.withColumn(text, F.when(F.size(spans) > 0, clean).otherwise(F.col(text))).drop("__secrets")
+    found = found.withColumn("__hit", F.size(spans) > 0).withColumn(text, F.when(F.col("__hit"), clean).otherwise(F.col(text)))
+    if length in df.columns:
+        found = found.withColumn(length, F.when(F.col("__hit"), F.length(text).cast(df.schema[length].dataType)).otherwise(F.col(length)))
+    return found.drop("__secrets", "__hit")
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
