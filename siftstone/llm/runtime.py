@@ -25,10 +25,20 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/siftstone/{name}-{uuid.uuid4().hex}"
 
 
+#: With this on, the shuffle files of a statement go when it ends, not when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, path: str) -> DataFrame:
     """df written as Parquet and read back: its lineage ends there, and a lost executor loses nothing of it."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

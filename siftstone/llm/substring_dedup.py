@@ -7,14 +7,16 @@ Seed: winnowing takes from each window of `size` words the k-gram with the
 least hash, so equal windows have the same anchor at the same place.  Anchors
 of at least two documents are the seeds; joining on them leaves out all text
 that cannot be repeated.
-Extend: around a seed a window reaches up to size-k words to the left and the
-rest to the right.  Documents are not compared pair by pair: all windows of a
-seed are looked up by a 128-bit hash of their words, and each learns the
-smallest document that has it, by an aggregate that combines before the
-shuffle.  Work and shuffled rows grow with the text, not with the square of a
-group of copies.
+Extend: a seed's *run* is its anchor extended both ways over all windows that
+have chosen it.  Runs that an earlier document has whole are repeats.  Where
+that fails (at the ends of a repeat) and the anchor occurs with other runs
+too, the run's single windows are looked up.  Documents are never compared
+pair by pair: runs and windows are looked up by 128 bits of hash, and each
+learns the smallest document that has it, by an aggregate that combines before
+the shuffle.  Work and shuffled rows grow with the text, not with the square
+of a group of copies.
 Maximal repeats: windows that an earlier document has are merged to the
-longest runs; these are the spans that are cut out.
+longest spans; these are cut out.
 
 Words are runs of bytes other than space and 0x09-0x0D.  Defined results: a
 null text has no words; fewer than `size` words are never removed; repeated
@@ -33,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import LAST_ID, table, work_dir, written
-from siftstone.llm.textvec import gram_hashes, inside, mix, slices, winnow, words_of
+from siftstone.llm.runtime import LAST_ID, remove, table, work_dir, written
+from siftstone.llm.textvec import gram_hashes, inside, mix, range_hashes, slices, winnow, words_of
 
 SIZE, GRAM = 13, 5
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
@@ -67,25 +69,61 @@ def _anchors(docs: DataFrame, size: int, gram: int) -> DataFrame:
     return docs.mapInArrow(work, "anchor long, id long")
 
 
-def _seeded(docs: DataFrame, size: int, gram: int) -> DataFrame:
-    """(h1, h2, id) of the windows of docs (id, text, anchors) whose anchor is among the document's seeds."""
+def _members(column: pa.Array, n: int) -> np.ndarray:
+    """Keys of (document, element) of a list column; nulls are empty."""
+    owner = np.repeat(np.arange(n), column.value_lengths().fill_null(0).to_numpy())
+    return mix(column.flatten().to_numpy().view(np.uint64) + owner.astype(np.uint64) * _APART)
+
+
+def _runs(w, starts: np.ndarray, doc: np.ndarray, anchor: np.ndarray, at: np.ndarray, size: int):
+    """(index of each run's first window, run number of each window, hash of each run).
+
+    A run is a stretch of windows with one anchor; its hash covers its words and the anchor's place.
+    """
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    hashes = range_hashes(w.hashes, starts[first], starts[last] + size) if len(first) else np.empty(0, np.uint64)
+    return first, np.cumsum(new) - 1, mix(hashes + (at[first] - starts[first]).astype(np.uint64) * _SECOND)
+
+
+def _seed_runs(docs: DataFrame, size: int, gram: int) -> DataFrame:
+    """(anchor, run, id) of the runs of docs (id, text, anchors) whose anchor is among the document's seeds."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, lists = b.column(0).to_numpy(), b.column(2)
+            ids = b.column(0).to_numpy()
             for first, end, buf, offsets in slices(b.column(1)):
-                w, starts, doc, anchor, _ = _windows(buf, offsets, size, gram)
-                part = lists.slice(first, end - first)
-                seeds = part.flatten().to_numpy().view(np.uint64)
-                owner = np.repeat(np.arange(end - first), part.value_lengths().to_numpy())
-                # A chance hit only adds a window that is looked up in vain.
-                keep = np.isin(mix(anchor + doc.astype(np.uint64) * _APART), mix(seeds + owner.astype(np.uint64) * _APART))
-                starts, doc = starts[keep], doc[keep]
-                h1 = gram_hashes(w.hashes, size)[starts] if len(starts) else np.empty(0, np.uint64)
-                h2 = gram_hashes(mix(w.hashes ^ _SECOND), size)[starts] if len(starts) else np.empty(0, np.uint64)
+                w, starts, doc, anchor, at = _windows(buf, offsets, size, gram)
+                heads, _, run = _runs(w, starts, doc, anchor, at, size)
+                doc, anchor = doc[heads], anchor[heads]
+                # A chance hit only adds a run that is looked up in vain.
+                keep = np.isin(mix(anchor + doc.astype(np.uint64) * _APART), _members(b.column(2).slice(first, end - first), end - first))
+                doc, anchor, run = doc[keep], anchor[keep], run[keep]
+                _, once = np.unique(mix(run + doc.astype(np.uint64) * _APART), return_index=True)
+                once.sort()
+                yield pa.RecordBatch.from_arrays([pa.array(anchor[once].view(np.int64)), pa.array(run[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["anchor", "run", "id"])
+
+    return docs.mapInArrow(work, "anchor long, run long, id long")
+
+
+def _open_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
+    """(h1, h2, id) of the windows of docs (id, text, open) in its open runs."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            for first, end, buf, offsets in slices(b.column(1)):
+                w, starts, doc, anchor, at = _windows(buf, offsets, size, gram)
+                heads, number, run = _runs(w, starts, doc, anchor, at, size)
+                keep = np.isin(mix(run + doc[heads].astype(np.uint64) * _APART), _members(b.column(2).slice(first, end - first), end - first))
+                keep = keep[number] if len(number) else np.empty(0, bool)
+                h1 = gram_hashes(w.hashes, size)[starts[keep]] if keep.any() else np.empty(0, np.uint64)
+                doc, anchor = doc[keep], anchor[keep]
                 _, once = np.unique(mix(h1 + doc.astype(np.uint64) * _APART), return_index=True)
                 once.sort()
-                yield pa.RecordBatch.from_arrays([pa.array(h1[once].view(np.int64)), pa.array(h2[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["h1", "h2", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(h1[once].view(np.int64)), pa.array(anchor[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["h1", "h2", "id"])
 
     return docs.mapInArrow(work, "h1 long, h2 long, id long")
 
@@ -95,28 +133,36 @@ def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def _cut(docs: DataFrame, size: int, keep_text: bool) -> DataFrame:
-    """Result rows of docs (id, text, repeated: h1 of its windows that an earlier document has, or null)."""
+def _cut(docs: DataFrame, size: int, gram: int, keep_text: bool) -> DataFrame:
+    """Result rows of docs (id, text, runs, windows: hashes of its runs and windows that an earlier document has, or null)."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     names = ["id", "n_words", "n_removed", "kept_sha256", "spans"] + ["text"] * keep_text
     kinds = [pa.int64(), pa.int64(), pa.string(), span] + [pa.string()] * keep_text
 
+    def repeated(buf: np.ndarray, n: int, runs: pa.Scalar, windows: pa.Scalar) -> np.ndarray:
+        """Which of the n words of one document are covered."""
+        w, starts, doc, anchor, at = _windows(buf, np.array([0, len(buf)]), size, gram)
+        hit = np.zeros(len(starts), dtype=bool)
+        if runs.is_valid and len(starts):
+            _, number, run = _runs(w, starts, doc, anchor, at, size)
+            hit |= np.isin(run, runs.values.to_numpy().view(np.uint64))[number]
+        if windows.is_valid and len(starts):
+            hit |= np.isin(gram_hashes(w.hashes, size)[starts], windows.values.to_numpy().view(np.uint64))
+        edge = np.zeros(n + 1, dtype=np.int64)
+        np.add.at(edge, starts[hit], 1)
+        np.add.at(edge, starts[hit] + size, -1)
+        return np.cumsum(edge)[:n] > 0
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, lists, rows = b.column(0), b.column(2), []
+            ids, runs, windows, rows = b.column(0), b.column(2), b.column(3), []
             for first, end, buf, offsets in slices(b.column(1)):
                 data = buf.tobytes()
                 for k in range(end - first):
                     words, spans = data[offsets[k] : offsets[k + 1]].split(), []
                     n = len(words)
-                    if lists.is_valid()[first + k].as_py():
-                        repeated = lists[first + k].values.to_numpy().view(np.uint64)
-                        w = words_of(buf[offsets[k] : offsets[k + 1]], np.array([0, offsets[k + 1] - offsets[k]]))
-                        hit = np.flatnonzero(np.isin(gram_hashes(w.hashes, size), repeated))
-                        edge = np.zeros(n + 1, dtype=np.int64)
-                        np.add.at(edge, hit, 1)
-                        np.add.at(edge, hit + size, -1)
-                        gone = np.cumsum(edge)[:n] > 0
+                    if runs[first + k].is_valid or windows[first + k].is_valid:
+                        gone = repeated(buf[offsets[k] : offsets[k + 1]], n, runs[first + k], windows[first + k])
                         spans = _spans(gone)
                         words = list(compress(words, ~gone))
                     kept = b" ".join(words)
@@ -128,18 +174,34 @@ def _cut(docs: DataFrame, size: int, keep_text: bool) -> DataFrame:
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, spans (maximal repeats, in words) and, with keep_text, text; a row for each row of df."""
+    """doc_id, n_words, n_removed, kept_sha256, spans (maximal repeats, in words) and, with keep_text, text; a row for each row of df.
+
+    Each step is written to the shared folder, so that its shuffle files can go before the next.
+    """
+    path = work_dir(df.sparkSession, "repeats")
     docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     anchors = _anchors(docs, size, gram)
-    shared = anchors.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").select("anchor")
-    seeds = anchors.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
-    # Written, as two branches below read it: else each would search the anchors again.
-    seeds = written(seeds, work_dir(df.sparkSession, "seeds"))
-    windows = _seeded(docs.join(seeds, "id").select("id", "text", "anchors"), size, gram)
+    shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    seeds = written(anchors.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), f"{path}/seeds")
+
+    runs = written(_seed_runs(docs.join(seeds, "id").select("id", "text", "anchors"), size, gram), f"{path}/runs")
+    least = runs.groupBy("anchor", "run").agg(F.min("id").alias("least"))
+    # An anchor that always comes with the same run has no windows that other runs share.
+    several = least.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", F.lit(True).alias("several"))
+    known = runs.join(least.join(several, "anchor", "left"), ["anchor", "run"]).filter("least < id OR several")
+    late = F.col("least") < F.col("id")
+    found = known.groupBy("id").agg(F.collect_set(F.when(late, F.col("run"))).alias("runs"), F.collect_set(F.when(~late, F.col("run"))).alias("open"))
+    found = written(found, f"{path}/found")
+
+    opened = docs.join(found.filter(F.size("open") > 0).select("id", "open"), "id").select("id", "text", "open")
+    windows = written(_open_windows(opened, size, gram), f"{path}/windows")
     earliest = windows.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most")
-    late = windows.join(earliest, ["h1", "h2"]).filter("least < id").groupBy("id").agg(F.collect_set("h1").alias("repeated"))
-    found = _cut(docs.join(late, "id", "left").select("id", "text", "repeated"), size, keep_text)
-    return found.select(F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), *[c for c in found.columns if c != "id"])
+    single = windows.join(earliest, ["h1", "h2"]).filter("least < id").groupBy("id").agg(F.collect_set("h1").alias("windows"))
+    repeats = written(found.select("id", F.when(F.size("runs") > 0, F.col("runs")).alias("runs")).join(single, "id", "full"), f"{path}/repeats")
+    for name in ("seeds", "runs", "found", "windows"):
+        remove(df.sparkSession, f"{path}/{name}")
+    out = _cut(docs.join(repeats.filter("runs IS NOT NULL OR windows IS NOT NULL"), "id", "left").select("id", "text", "runs", "windows"), size, gram, keep_text)
+    return out.select(F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), *[c for c in out.columns if c != "id"])
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,6 +98,14 @@ def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * inverse[: n - size + 1] + np.uint64(size))
 
 
+def range_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of hashes[a:b] for each a, b of starts and ends."""
+    power, inverse = _powers(_GRAM_BASE, len(hashes) + 1)
+    sums = np.zeros(len(hashes) + 1, dtype=np.uint64)
+    np.cumsum(hashes * power[: len(hashes)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def inside(first: np.ndarray, n_words: int, size: int) -> np.ndarray:
     """Which windows words[i:i+size] lie in one document (True), for i up to n_words - size."""
     count = max(0, n_words - size + 1)
