@@ -1,25 +1,28 @@
 """N-gram Jaccard join: an exact metric-space join and its components.
 
 Jaccard distance is a metric.  Documents are dealt to *blocks* such that any
-two documents within the distance share one: a block is the set of documents
+two documents within the distance t share one: a block is the set of documents
 with a certain shingle among their least `n - ceil(0.75 n) + 1` shingles, by
 one order for all (frequent shingles last).  Blocks are then joined as metric
 spaces, all at once, in rounds:
 
-* Some members become pivots.  Each distinct pair of a member and a pivot is
-  verified once on the whole texts, whatever the number of blocks they share.
-* A member belongs to the Voronoi region of its nearest pivot.  A pivot and
-  the members within the distance of it are one component, so pairs among
-  them need no look.
-* By the triangle inequality a member x of pivot p's region can only link to
-  a y outside of it if d(y, p) <= d(x, p) + t.  Only boundary members for which
-  such a y may exist go on, with all members far from every pivot, to the next
-  round; blocks whose members are all in one component are done.
-
-Every round takes the pivots out, so the recursion ends, and it drops nothing
-that could still join two components.  Equal sets are one member from the
-start.  Of a large group of copies the pairs to a few pivots are verified, not
-all pairs.
+* First each block has one pivot, and the distances of all members to it are
+  verified.  The members within t of it are its Voronoi region; they are one
+  component with it, and pairs among them need no look.  By the triangle
+  inequality a member x of the region can only link to a y outside of it if
+  d(y, p) <= d(x, p) + t.  So only the boundary members for which there may be
+  such a y go on, with all members outside.
+* Then each block's largest component is one region.  Members outside of it
+  become pivots, ever more per round; each is compared with those members of
+  the block that are not of its component.  Before texts are fetched, lengths
+  and bit sketches give bounds of the distance; pairs beyond t by them are
+  left out.  A block whose members are one component is done.
+
+Each distinct pair is verified once, on the whole texts, whatever the number
+of blocks it is in.  Every round takes the pivots out, so the recursion ends,
+and it leaves out only what cannot join two components.  Equal sets are one
+member from the start.  Of a large group of near copies, the pairs with a few
+pivots are verified and those with members that no pivot has reached.
 
 Defined results: a null or empty text has an empty set and is linked with
 nothing; repeated rows each give a row; a null id counts as larger than any
@@ -29,10 +32,11 @@ other and is null again in the result; extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.llm.components import components
@@ -42,12 +46,20 @@ from siftstone.llm.textvec import gram_hashes, inside, mix, slices, words_of
 GRAM, PERCENT = 5, 75
 #: Frequent shingles that are ordered last; more would only be ordered less well.
 MAX_FREQUENT = 200_000
-#: A shingle is frequent in a run of documents if so many, and this share of them, have it.
-LEAST_FREQUENT, FREQUENT_SHARE = 5, 0.002
-_RUN = 2_000_000  # shingles counted at a time
+#: A shingle is frequent if at least so many documents of some run of documents have it.
+LEAST_FREQUENT = 4
+_RUN = 2_000_000  # shingles of a run
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
+def _by_document(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Order by document (a few thousand at most), then the first key, then the next; a radix sort for small integers."""
+    order = np.argsort(keys[-1], kind="stable")
+    for key in (*keys[-2::-1], doc.astype(np.uint16) if doc.max(initial=0) < 1 << 16 else doc):
+        order = order[np.argsort(key[order], kind="stable")]
+    return order
+
+
 def _sets(buf: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle hash), sorted and distinct."""
     w = words_of(buf, offsets, lower=True)
@@ -59,7 +71,7 @@ def _sets(buf: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarray,
     if len(short):  # the whole sequence is the one shingle
         more = np.array([gram_hashes(w.hashes[w.first[d] : w.first[d + 1]], int(count[d]))[0] for d in short], dtype=np.uint64)
         doc, hashes = np.concatenate([doc, short]), np.concatenate([hashes, more])
-    order = np.lexsort((hashes, doc))
+    order = _by_document(doc, hashes)
     doc, hashes = doc[order], hashes[order]
     new = np.ones(len(doc), dtype=bool)
     new[1:] = (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1])
@@ -77,30 +89,36 @@ def _keys(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray,
     return size, sums[0], sums[1]
 
 
-def _frequent(docs: DataFrame, gram: int) -> np.ndarray:
-    """Sorted hashes of at most MAX_FREQUENT shingles; they only set an order, any list gives the same result."""
+def _frequent(docs: DataFrame, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of at most MAX_FREQUENT shingles and the logarithms of their counts.
+
+    They only set an order (the rarer the earlier); any list gives the same result.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, n = [], 0, 0
+        held, size = [], 0
 
         def flush() -> pa.RecordBatch:
             h, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c >= max(LEAST_FREQUENT, FREQUENT_SHARE * n)
+            keep = c >= LEAST_FREQUENT
             return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(c[keep])], ["shingle", "n"])
 
         for b in batches:
-            for first, end, buf, offsets in slices(b.column(1)):
+            for _, _, buf, offsets in slices(b.column(1)):
                 _, h = _sets(buf, offsets, gram)
                 held.append(h)
-                size, n = size + len(h), n + end - first
+                size += len(h)
                 if size >= _RUN:
                     yield flush()
-                    held, size, n = [], 0, 0
+                    held, size = [], 0
         if held:
             yield flush()
 
     top = docs.mapInArrow(work, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT)
-    return np.sort(np.array([r[0] for r in top.select("shingle").collect()], dtype=np.int64).view(np.uint64))
+    rows = top.collect()
+    shingles = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], (np.log2(np.array([r["n"] for r in rows] or [1], dtype=float)) + 1).astype(np.int8)[order if len(rows) else slice(0)]
 
 
 def _digests(docs: DataFrame, gram: int) -> DataFrame:
@@ -114,8 +132,41 @@ def _digests(docs: DataFrame, gram: int) -> DataFrame:
     return docs.mapInArrow(work, "id long, n long, k1 long, k2 long")
 
 
-def _blocks(docs: DataFrame, gram: int, percent: int, frequent: np.ndarray) -> DataFrame:
+#: Bits of a sketch: bit h mod BITS of each shingle hash h.
+BITS = 2048
+
+
+def _sketches(texts: DataFrame, gram: int) -> DataFrame:
+    """(x, bits array<long>)."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, end, buf, offsets in slices(b.column(1)):
+                doc, h = _sets(buf, offsets, gram)
+                bits = np.zeros((end - first, BITS), dtype=np.uint8)
+                bits[doc, (h % np.uint64(BITS)).astype(np.int64)] = 1
+                packed = np.packbits(bits, axis=1).view(np.int64)
+                rows = pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), BITS // 64).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), rows], ["x", "bits"])
+
+    return texts.mapInArrow(work, "x long, bits array<long>")
+
+
+def _may_link(percent: int, a: str = "bits", b: str = "pbits", na: str = "n", nb: str = "np") -> Column:
+    """False only if the sets cannot be within the distance.
+
+    A bit that one sketch has and the other lacks stands for a shingle at
+    least that the sets don't share, so sizes minus such bits bound the
+    intersection.
+    """
+    lacks = lambda x, y: reduce(lambda s, k: s + F.bit_count(F.get(x, k).bitwiseAND(F.bitwise_not(F.get(y, k)))), range(BITS // 64), F.lit(0))
+    most = F.least(F.col(na) - lacks(F.col(a), F.col(b)), F.col(nb) - lacks(F.col(b), F.col(a)))
+    return 100 * most >= percent * (F.col(na) + F.col(nb) - most)
+
+
+def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """(token, id): the shingles by which documents are dealt to blocks."""
+    known, level = frequent
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -129,11 +180,12 @@ def _blocks(docs: DataFrame, gram: int, percent: int, frequent: np.ndarray) -> D
                 new = np.ones(len(order), dtype=bool)
                 new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
                 once[order[new]] = True
-                at = np.searchsorted(frequent, h)
                 late = np.zeros(len(h), dtype=np.int8)
-                if len(frequent):
-                    late[frequent[np.minimum(at, len(frequent) - 1)] == h] = 1
-                order = np.lexsort((h, late, doc))  # by document, and within it
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    late = np.where(known[at] == h, level[at], late)
+                # h is in order already, so late and doc are stable sorts of small integers.
+                order = _by_document(doc, late)
                 place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
                 least = size - -(-percent * size // 100) + 1
                 keep = (place < np.repeat(least, size)) & np.repeat(once, size)
@@ -178,47 +230,61 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     dealt = tokens.join(shared, "token").join(members.filter("n > 0").select("id", "rep", "n").distinct(), "id").select("token", F.col("rep").alias("x"), "n").distinct()
     several = written(dealt, f"{path}/dealt")
     size = several.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    state = written(several.join(size, "token").select("token", "x", "n", F.lit(False).alias("near"), F.col("x").alias("comp")), f"{path}/state0")
+    state = written(several.join(size, "token").select("token", "x", "n"), f"{path}/state0")
     wanted = members.filter("id = rep").join(state.select(F.col("x").alias("rep")).distinct(), "rep", "left_semi").select("id").distinct()
     texts = written(docs.join(wanted, "id"), f"{path}/texts")
-    known = written(spark.createDataFrame([], "a long, b long, common long, d double, linked boolean"), f"{path}/known0")
-    roots, round_, many = None, 0, 1
-    while True:
-        blocks = state.groupBy("token").agg(F.count("*").alias("size"), F.min(F.struct("near", "x")).alias("first"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 != c1")
-        live = state.join(blocks, "token")
-        chosen = (F.col("x") == F.col("first.x")) | (F.pmod(F.xxhash64("token", "x", F.lit(round_)), F.greatest(F.lit(1), (F.col("size") / many).cast("long"))) == 0) & F.lit(many > 1)
-        live = written(live.select("token", "x", "n", "near", "comp", chosen.alias("pivot")), f"{path}/live{round_}")
-        if not live.take(1):
-            break
-        pivots = live.filter("pivot").select("token", F.col("x").alias("p"), F.col("n").alias("np"), F.col("comp").alias("pcomp"))
-        met = live.join(pivots, "token").filter("x != p AND comp != pcomp").select("token", "x", "n", "near", "pivot", "p", "np", F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b"))
-        met = met.withColumn("fits", F.least("n", "np") * 100 >= F.greatest("n", "np") * percent)
-        asked = met.filter("fits").select("a", "b").distinct().join(known, ["a", "b"], "left_anti")
-        sizes = reps.select(F.col("rep").alias("a"), F.col("n").alias("na")), reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
-        union = F.col("na") + F.col("nb") - F.col("common")
+    sketches = written(_sketches(texts, gram), f"{path}/sketches")
+    sizes = reps.select(F.col("rep").alias("a"), F.col("n").alias("na")), reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
+    union = F.col("na") + F.col("nb") - F.col("common")
+    fits = F.least("n", "np") * 100 >= F.greatest("n", "np") * percent
+    sides = F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")
+    roots, known, round_ = None, None, 0
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """pairs (a, b) with d and linked; links are joined to the components."""
+        nonlocal roots, known
+        asked = pairs.distinct() if known is None else pairs.distinct().join(known, ["a", "b"], "left_anti")
         fresh = _verified(asked, texts, gram).join(sizes[0], "a").join(sizes[1], "b")
-        fresh = fresh.select("a", "b", "common", (1 - F.col("common") / union).alias("d"), (100 * F.col("common") >= percent * union).alias("linked"))
-        fresh = written(fresh, f"{path}/fresh{round_}")
-        known = written(known.union(fresh), f"{path}/known{round_ + 1}")
+        fresh = written(fresh.select("a", "b", (1 - F.col("common") / union).alias("d"), (100 * F.col("common") >= percent * union).alias("linked")), f"{path}/fresh{round_}")
+        known = fresh.select("a", "b") if known is None else known.union(fresh.select("a", "b"))
         links = fresh.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
         if links.take(1):
-            edges = links if roots is None else links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
-            roots = components(spark, edges)
-        # Distances of members to their block's pivots; where lengths differ too much, what they say at least.
-        far = met.join(known.select("a", "b", "d", "linked"), ["a", "b"], "left").withColumn("d", F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np"))).withColumn("linked", F.coalesce("linked", F.lit(False)))
-        new = lambda frame, node, out: frame.join(roots.select(F.col("node").alias(node), F.col("root").alias(out)), node, "left").withColumn(out, F.coalesce(out, node)) if roots is not None else frame.withColumn(out, F.col(node))
-        far = new(new(far, "x", "cx"), "p", "cp")
-        outside = far.filter("NOT pivot AND cx != cp").groupBy("token", "p").agg(F.min("d").alias("outside"))
-        home = far.filter("NOT pivot AND linked").groupBy("token", "x").agg(F.min(F.struct("d", "p")).alias("h")).select("token", "x", "h.d", "h.p")
-        home = home.join(outside, ["token", "p"], "left").select("token", "x", (F.col("outside").isNotNull() & (F.col("d") + t >= F.col("outside"))).alias("boundary"))
-        rest = live.filter("NOT pivot").drop("comp", "pivot").join(home, ["token", "x"], "left").filter("boundary IS NULL OR boundary")
-        rest = new(rest.withColumn("near", F.col("near") | F.col("boundary").isNotNull()).drop("boundary"), "x", "comp")
+            roots = components(spark, links if roots is None else links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        return fresh
+
+    def regrouped(frame: DataFrame) -> DataFrame:
+        """frame with comp, the root of x's component so far."""
+        if roots is None:
+            return frame.withColumn("comp", F.col("x"))
+        return frame.join(roots.select(F.col("node").alias("x"), "root"), "x", "left").withColumn("comp", F.coalesce("root", "x")).drop("root")
+
+    # The first round: one pivot for each block.
+    pivots = state.groupBy("token").agg(F.min(F.struct("x", "n")).alias("m")).select("token", F.col("m.x").alias("p"), F.col("m.n").alias("np"))
+    met = state.join(pivots, "token").filter("x != p").select("token", "x", "n", "p", "np", *sides, fits.alias("fits"))
+    fresh = verified(met.filter("fits").select("a", "b"))
+    far = met.join(fresh, ["a", "b"], "left").select("token", "x", "n", "p", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np")).alias("d"))
+    outside = far.filter("NOT linked").groupBy("token").agg(F.min("d").alias("outside"))  # blocks without members outside are done
+    rest = far.join(outside, "token").filter(~F.col("linked") | (F.col("d") + t >= F.col("outside"))).select("token", "x", "n")
+    rest = rest.join(sketches, "x").select("token", "x", "n", "bits")
+    state, many = written(regrouped(rest), f"{path}/state1"), 16
+    while True:
         round_ += 1
-        state = written(rest.select("token", "x", "n", "near", "comp"), f"{path}/state{round_}")
-        for name in (f"state{round_ - 1}", f"live{round_ - 1}", f"known{round_ - 1}", f"fresh{round_ - 1}"):
-            remove(spark, f"{path}/{name}")
-        many = min(many * 4, 1 << 20)
-    for name in ("digests", "dealt", "texts"):
+        by_comp = state.groupBy("token", "comp").agg(F.count("*").alias("k"))
+        blocks = by_comp.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.sum("k").alias("size"), F.count("*").alias("comps")).filter("comps > 1")
+        blocks = blocks.select("token", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.k")).alias("others"))
+        chosen = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("token", "x", F.lit(round_)), F.greatest(F.lit(1).cast("long"), (F.col("others") / many).cast("long"))) == 0)
+        live = written(state.join(blocks, "token").select("token", "x", "n", "bits", "comp", chosen.alias("pivot")), f"{path}/live{round_}")
+        remove(spark, f"{path}/state{round_}")
+        if not live.take(1):
+            break
+        pivots = live.filter("pivot").select("token", F.col("x").alias("p"), F.col("n").alias("np"), F.col("bits").alias("pbits"), F.col("comp").alias("pcomp"))
+        same = live["token"] == pivots["token"]
+        # All of it is the join's condition: pairs that fail it are never rows.
+        met = live.join(pivots, same & (F.col("comp") != F.col("pcomp")) & fits & _may_link(percent)).select(*sides)
+        verified(met)
+        state = written(regrouped(live.filter("NOT pivot").drop("comp", "pivot")), f"{path}/state{round_ + 1}")
+        many *= 16
+    for name in ("digests", "dealt", "texts", "sketches"):
         remove(spark, f"{path}/{name}")
     found = members if roots is None else members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.col("rep") if roots is None else F.coalesce("root", "rep")
