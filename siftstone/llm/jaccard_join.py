@@ -132,8 +132,8 @@ def _digests(docs: DataFrame, gram: int) -> DataFrame:
     return docs.mapInArrow(work, "id long, n long, k1 long, k2 long")
 
 
-#: Bits of a sketch: bit h mod BITS of each shingle hash h.
-BITS = 2048
+#: Bits of a sketch: bit h mod BITS of each shingle hash h; and of a coarse one, that is tried first.
+BITS, COARSE = 2048, 512
 
 
 def _sketches(texts: DataFrame, gram: int) -> DataFrame:
@@ -145,8 +145,9 @@ def _sketches(texts: DataFrame, gram: int) -> DataFrame:
                 doc, h = _sets(buf, offsets, gram)
                 bits = np.zeros((end - first, BITS), dtype=np.uint8)
                 bits[doc, (h % np.uint64(BITS)).astype(np.int64)] = 1
-                packed = np.packbits(bits, axis=1).view(np.int64)
-                rows = pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), BITS // 64).cast(pa.list_(pa.int64()))
+                coarse = bits.reshape(end - first, -1, COARSE).max(axis=1)
+                packed = np.packbits(np.hstack([coarse, bits]), axis=1).view(np.int64)
+                rows = pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), (COARSE + BITS) // 64).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), rows], ["x", "bits"])
 
     return texts.mapInArrow(work, "x long, bits array<long>")
@@ -159,9 +160,13 @@ def _may_link(percent: int, a: str = "bits", b: str = "pbits", na: str = "n", nb
     least that the sets don't share, so sizes minus such bits bound the
     intersection.
     """
-    lacks = lambda x, y: reduce(lambda s, k: s + F.bit_count(F.get(x, k).bitwiseAND(F.bitwise_not(F.get(y, k)))), range(BITS // 64), F.lit(0))
-    most = F.least(F.col(na) - lacks(F.col(a), F.col(b)), F.col(nb) - lacks(F.col(b), F.col(a)))
-    return 100 * most >= percent * (F.col(na) + F.col(nb) - most)
+    need = F.ceil(percent * (F.col(na) + F.col(nb)) / (100 + percent))  # of an intersection that links
+
+    def lacks(x: str, y: str, words: range) -> Column:
+        return reduce(lambda total, k: total + F.bit_count(F.get(x, k).bitwiseAND(F.bitwise_not(F.get(y, k)))), words, F.lit(0))
+
+    coarse, fine = range(COARSE // 64), range(COARSE // 64, (COARSE + BITS) // 64)
+    return reduce(lambda c, words: c & (F.col(na) - lacks(a, b, words) >= need) & (F.col(nb) - lacks(b, a, words) >= need), (coarse, fine), F.lit(True))
 
 
 def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -283,7 +288,7 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         met = live.join(pivots, same & (F.col("comp") != F.col("pcomp")) & fits & _may_link(percent)).select(*sides)
         verified(met)
         state = written(regrouped(live.filter("NOT pivot").drop("comp", "pivot")), f"{path}/state{round_ + 1}")
-        many *= 16
+        many *= 256
     for name in ("digests", "dealt", "texts", "sketches"):
         remove(spark, f"{path}/{name}")
     found = members if roots is None else members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
