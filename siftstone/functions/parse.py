@@ -26,10 +26,14 @@ UNITS = {"萬": 10_000, "万": 10_000, "千": 1_000, "k": 1_000}
 TRUE_TEXTS = ("是", "有", "Y", "y", "yes", "Yes", "TRUE", "true", "1")
 
 
-@F.pandas_udf("string")
-def nfkc(s: pd.Series) -> pd.Series:
-    """Unicode NFKC and strip; Spark has no built-in for it."""
-    return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).strip())
+def nfkc(text: Column) -> Column:
+    """Unicode NFKC and strip, in Arrow batches; Spark has no built-in for it."""
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).strip())
+
+    return run(text)
 
 
 def narrow(text: Column) -> Column:
