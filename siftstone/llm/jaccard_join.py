@@ -270,7 +270,6 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     far = met.join(fresh, ["a", "b"], "left").select("token", "x", "n", "p", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np")).alias("d"))
     outside = far.filter("NOT linked").groupBy("token").agg(F.min("d").alias("outside"))  # blocks without members outside are done
     rest = far.join(outside, "token").filter(~F.col("linked") | (F.col("d") + t >= F.col("outside"))).select("token", "x", "n")
-    rest = rest.join(sketches, "x").select("token", "x", "n", "bits")
     state, many = written(regrouped(rest), f"{path}/state1"), 16
     while True:
         round_ += 1
@@ -278,14 +277,15 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         blocks = by_comp.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.sum("k").alias("size"), F.count("*").alias("comps")).filter("comps > 1")
         blocks = blocks.select("token", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.k")).alias("others"))
         chosen = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("token", "x", F.lit(round_)), F.greatest(F.lit(1).cast("long"), (F.col("others") / many).cast("long"))) == 0)
-        live = written(state.join(blocks, "token").select("token", "x", "n", "bits", "comp", chosen.alias("pivot")), f"{path}/live{round_}")
+        live = written(state.join(blocks, "token").select("token", "x", "n", "comp", chosen.alias("pivot")), f"{path}/live{round_}")
         remove(spark, f"{path}/state{round_}")
         if not live.take(1):
             break
-        pivots = live.filter("pivot").select("token", F.col("x").alias("p"), F.col("n").alias("np"), F.col("bits").alias("pbits"), F.col("comp").alias("pcomp"))
-        same = live["token"] == pivots["token"]
+        drawn = live.join(sketches, "x")  # only here: the sketches are wide
+        pivots = drawn.filter("pivot").select("token", F.col("x").alias("p"), F.col("n").alias("np"), F.col("bits").alias("pbits"), F.col("comp").alias("pcomp"))
+        same = drawn["token"] == pivots["token"]
         # All of it is the join's condition: pairs that fail it are never rows.
-        met = live.join(pivots, same & (F.col("comp") != F.col("pcomp")) & fits & _may_link(percent)).select(*sides)
+        met = drawn.join(pivots, same & (F.col("comp") != F.col("pcomp")) & fits & _may_link(percent)).select(*sides)
         verified(met)
         state = written(regrouped(live.filter("NOT pivot").drop("comp", "pivot")), f"{path}/state{round_ + 1}")
         many *= 256
