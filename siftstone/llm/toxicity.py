@@ -37,7 +37,7 @@ _ALIKE = dict(zip("аеорсухівкмнтԁѕјһαοερυνικτ", "aeopc
 _ALIKE |= {chr(0xFF41 + k): chr(0x61 + k) for k in range(26)}
 _DIGITS = dict(zip("013457@$!", "oieastasi", strict=True))
 _FOLD = str.maketrans(_ALIKE)
-_TYPED = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![\w@$!])[013457@$]+(?=[^\W\d_]{2})")
+_TYPED = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![\w@$!])[013457@$]+(?=[^\W\d_])")
 _OTHER = re.compile(r"[^a-zß-öø-ÿĀ-ɏͰ-ԯ一-鿿]+")
 
 
