@@ -201,7 +201,8 @@ def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray
 
 def _verified(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
     """pairs (a, b) with the size of their sets' intersection."""
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
+    # By a last, so that rows of a pivot, mostly the lesser id, follow each other.
+    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         out = []
@@ -214,7 +215,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
         for b in batches:
             for at in range(0, len(b), 200):
                 part = b.slice(at, 200)
-                common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True)]
+                # A pivot is in many pairs, mostly one after the other: the set of equal texts is made once.
+                coded = pa.concat_arrays([part.column(2), part.column(3)]).dictionary_encode()
+                known, which = sets(coded.dictionary), coded.indices.to_numpy().reshape(2, -1)
+                common = [len(np.intersect1d(known[x], known[y], assume_unique=True)) for x, y in which.T]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common, pa.int64())], ["a", "b", "common"])
 
     return both.mapInArrow(work, "a long, b long, common long")
