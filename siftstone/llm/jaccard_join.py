@@ -89,23 +89,23 @@ def _keys(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray,
     return size, sums[0], sums[1]
 
 
-def _frequent(docs: DataFrame, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of at most MAX_FREQUENT shingles and the logarithms of their counts.
-
-    They only set an order (the rarer the earlier); any list gives the same result.
-    """
+def _survey(docs: DataFrame, gram: int) -> DataFrame:
+    """A row for each document with the size and digest of its set, and (shingle, count) rows of runs of documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        names, held, size = ["id", "n", "k1", "k2", "shingle", "count"], [], 0
 
         def flush() -> pa.RecordBatch:
             h, c = np.unique(np.concatenate(held), return_counts=True)
             keep = c >= LEAST_FREQUENT
-            return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(c[keep])], ["shingle", "n"])
+            none = pa.nulls(int(keep.sum()), pa.int64())
+            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(h[keep].view(np.int64)), pa.array(c[keep])], names)
 
         for b in batches:
-            for _, _, buf, offsets in slices(b.column(1)):
-                _, h = _sets(buf, offsets, gram)
+            for first, end, buf, offsets in slices(b.column(1)):
+                doc, h = _sets(buf, offsets, gram)
+                none = pa.nulls(end - first, pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), *map(pa.array, _keys(doc, h, end - first)), none, none], names)
                 held.append(h)
                 size += len(h)
                 if size >= _RUN:
@@ -114,22 +114,18 @@ def _frequent(docs: DataFrame, gram: int) -> tuple[np.ndarray, np.ndarray]:
         if held:
             yield flush()
 
-    top = docs.mapInArrow(work, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT)
-    rows = top.collect()
-    shingles = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
-    order = np.argsort(shingles)
-    return shingles[order], (np.log2(np.array([r["n"] for r in rows] or [1], dtype=float)) + 1).astype(np.int8)[order if len(rows) else slice(0)]
+    return docs.mapInArrow(work, "id long, n long, k1 long, k2 long, shingle long, count long")
 
 
-def _digests(docs: DataFrame, gram: int) -> DataFrame:
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for first, end, buf, offsets in slices(b.column(1)):
-                doc, h = _sets(buf, offsets, gram)
-                cols = _keys(doc, h, end - first)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), *map(pa.array, cols)], ["id", "n", "k1", "k2"])
+def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of at most MAX_FREQUENT shingles and the logarithms of their counts.
 
-    return docs.mapInArrow(work, "id long, n long, k1 long, k2 long")
+    They only set an order (the rarer the earlier); any list gives the same result.
+    """
+    rows = survey.filter("id IS NULL").groupBy("shingle").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).collect()
+    shingles = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order], (np.log2(np.array([r["n"] for r in rows] or [1], dtype=float)) + 1).astype(np.int8)[order if len(rows) else slice(0)]
 
 
 #: Bits of a sketch: bit h mod BITS of each shingle hash h; and of a coarse one, that is tried first.
@@ -229,12 +225,14 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     spark, path = df.sparkSession, work_dir(df.sparkSession, "jaccard")
     t = 1 - percent / 100 + 1e-9
     docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    digests = written(_digests(docs, gram), f"{path}/digests")
+    survey = written(_survey(docs, gram), f"{path}/survey")
+    digests = survey.filter("id IS NOT NULL").select("id", "n", "k1", "k2")
     classes = digests.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
     members = written(digests.join(classes, ["n", "k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), f"{path}/members")
     reps = members.filter("id = rep AND n > 0").select("rep", "n").distinct()
 
-    tokens = _blocks(docs, gram, percent, _frequent(docs, gram))
+    # Dealt by token once: the count of each and the join read the same exchange.
+    tokens = _blocks(docs, gram, percent, _frequent(survey)).filter("token IS NOT NULL AND id IS NOT NULL").repartition("token")
     shared = tokens.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("token")
     dealt = tokens.join(shared, "token").join(members.filter("n > 0").select("id", "rep", "n").distinct(), "id").select("token", F.col("rep").alias("x"), "n").distinct()
     several = written(dealt, f"{path}/dealt")
@@ -293,7 +291,7 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         verified(met)
         state = written(regrouped(live.filter("NOT pivot").drop("comp", "pivot")), f"{path}/state{round_ + 1}")
         many *= 256
-    for name in ("digests", "dealt", "texts", "sketches"):
+    for name in ("survey", "dealt", "texts", "sketches"):
         remove(spark, f"{path}/{name}")
     found = members if roots is None else members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     component = F.col("rep") if roots is None else F.coalesce("root", "rep")
