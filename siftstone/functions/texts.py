@@ -24,9 +24,13 @@ def bare(text: Column) -> Column:
 
 def bigrams(text: Column) -> Column:
     """All runs of two characters of bare(text)."""
-    t = bare(text)
-    grams = F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2)))
-    return F.when(F.length(t) >= 2, grams).otherwise(F.array().cast("array<string>"))
+
+    def grams(t: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2)))
+        return F.when(F.length(t) >= 2, every).otherwise(F.array().cast("array<string>"))
+
+    # As a variable of a lambda, bare(text) is computed once, not for every bigram.
+    return F.get(F.transform(F.array(bare(text)), grams), F.lit(0))
 
 
 def md_escape(text: Column) -> Column:

@@ -1,7 +1,13 @@
-"""Lint queries: a conversation is a package, a turn a file; narration text is made from its letters."""
+"""Lint queries: a conversation is a package, a turn a file; narration text is made from its letters.
+
+lint_NAME and its SQL see the first 160 characters of a text and take turn 7
+for missing.  lint_NAME_whole lints whole texts; only a null text is missing.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,54 +18,61 @@ from siftstone.plans.shared import table
 
 _FROM, _TO = "abcdefghijklmnopqrstuvwxyz .,", "元的欸連結漬每次整保證最好我們便宜美白重乾去痘在五天，。、"
 _TEXT = f"translate(lower(substr(text, 1, 160)), '{_FROM}', '{_TO}')"
+_WHOLE = f"translate(lower(text), '{_FROM}', '{_TO}')"
 
 
-def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _files(spark: SparkSession, sf_dir: str, text: str = f"CASE WHEN turn = 7 THEN NULL ELSE {_TEXT} END") -> DataFrame:
     c = table(spark, sf_dir, "conversations")
-    return c.select(F.col("conv_id").alias("package"), (F.col("conv_id") * 1000 + F.col("turn")).alias("file"), F.expr(f"CASE WHEN turn = 7 THEN NULL ELSE {_TEXT} END").alias("text"))
+    return c.select(F.col("conv_id").alias("package"), (F.col("conv_id") * 1000 + F.col("turn")).alias("file"), F.expr(text).alias("text"))
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return L.lines_of(_files(spark, sf_dir))
+def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _files(spark, sf_dir, _WHOLE)
 
 
 _SQL = f"f AS (SELECT conv_id AS package, conv_id * 1000 + turn AS file, CASE WHEN turn = 7 THEN NULL ELSE {_TEXT} END AS text FROM conversations), l0 AS (SELECT package, file, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM f), l AS (SELECT package, file, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line FROM l0 WHERE regexp_replace(line, '^\\s+|\\s+$', '', 'g') <> ''), b AS (SELECT *, regexp_replace(line, '[，。、！？\\s]', '', 'g') AS bare FROM l)"
+_WHOLE_SQL = f"f AS (SELECT conv_id AS package, conv_id * 1000 + turn AS file, {_WHOLE} AS text FROM conversations), s AS (SELECT package, file, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM f), l0 AS (SELECT package, file, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM s)" + _SQL[_SQL.index(", l AS ("):]
 _RULES = [(n, True, p) for n, p in L.HARD.items()] + [(n, False, p) for n, p in L.WARN.items()]
-_SQL_ISSUES = _SQL + ", i AS (" + " UNION ALL ".join(f"SELECT file, line_no, '{n}' AS rule, {h} AS hard, len(list_distinct(regexp_extract_all(line, '{p}'))) AS kinds FROM b WHERE regexp_matches(line, '{p}')" for n, h, p in _RULES) + " UNION ALL SELECT file, line_no, 'length', FALSE, 1 FROM b WHERE length(bare) < 3 OR length(bare) > 13)"
+_ISSUES = ", i AS (" + " UNION ALL ".join(f"SELECT file, line_no, '{n}' AS rule, {h} AS hard, len(list_distinct(regexp_extract_all(line, '{p}'))) AS kinds FROM b WHERE regexp_matches(line, '{p}')" for n, h, p in _RULES) + " UNION ALL SELECT file, line_no, 'length', FALSE, 1 FROM b WHERE length(bare) < 3 OR length(bare) > 13)"
+
+
+def _register(name: str, query: Callable[[DataFrame], DataFrame], sql: str) -> None:
+    """query: of the files; sql: what follows the tables of _SQL or _WHOLE_SQL."""
+    register(name, lambda s, d: query(_files(s, d)), f"WITH {_SQL}{sql}")
+    register(f"{name}_whole", lambda s, d: query(_whole(s, d)), f"WITH {_WHOLE_SQL}{sql}")
 
 
-def lint_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hits(files: DataFrame) -> DataFrame:
     kinds = F.when(F.col("rule") == "length", 1).otherwise(F.size(F.split("found", "」「")))
-    return L.issues(_lines(spark, sf_dir)).select("file", F.col("line_no").cast("long").alias("line_no"), "rule", "hard", kinds.cast("long").alias("kinds"))
+    return L.issues(L.lines_of(files)).select("file", F.col("line_no").cast("long").alias("line_no"), "rule", "hard", kinds.cast("long").alias("kinds"))
 
 
-register("lint_hits", lint_hits, f"WITH {_SQL_ISSUES} SELECT file, line_no, rule, hard, CAST(kinds AS BIGINT) AS kinds FROM i")
+_register("lint_hits", hits, f"{_ISSUES} SELECT file, line_no, rule, hard, CAST(kinds AS BIGINT) AS kinds FROM i")
 
 
-def lint_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lengths(files: DataFrame) -> DataFrame:
     line = F.col("line")
-    return _lines(spark, sf_dir).select("file", F.col("line_no").cast("long").alias("line_no"), F.length(texts.bare(line)).cast("long").alias("bare"), texts.han_count(line).cast("long").alias("han"))
+    return L.lines_of(files).select("file", F.col("line_no").cast("long").alias("line_no"), F.length(texts.bare(line)).cast("long").alias("bare"), texts.han_count(line).cast("long").alias("han"))
 
 
-register("lint_lengths", lint_lengths, f"WITH {_SQL} SELECT file, line_no, length(bare) AS bare, length(regexp_replace(line, '[^一-鿿]', '', 'g')) AS han FROM b")
-register(
+_register("lint_lengths", lengths, " SELECT file, line_no, length(bare) AS bare, length(regexp_replace(line, '[^一-鿿]', '', 'g')) AS han FROM b")
+_register(
     "lint_bigrams",
-    lambda s, d: L.repeated_grams(_lines(s, d)).select("gram", "n"),
-    f"WITH {_SQL}, g AS (SELECT substr(bare, CAST(k AS BIGINT), 2) AS gram FROM b, unnest(range(1, length(bare))) t(k)) SELECT gram, count(*) AS n FROM g WHERE NOT regexp_matches(gram, '{L.STOP_GRAM}') GROUP BY 1 HAVING count(*) >= 3",
+    lambda files: L.repeated_grams(L.lines_of(files)).select("gram", "n"),
+    f", g AS (SELECT substr(bare, CAST(k AS BIGINT), 2) AS gram FROM b, unnest(range(1, length(bare))) t(k)) SELECT gram, count(*) AS n FROM g WHERE NOT regexp_matches(gram, '{L.STOP_GRAM}') GROUP BY 1 HAVING count(*) >= 3",
 )
 
 
-def lint_adjacent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir).withColumn("package", F.floor(F.col("file") / 1000).cast("long"))
+def adjacent(files: DataFrame) -> DataFrame:
+    lines = L.lines_of(files).withColumn("package", F.floor(F.col("file") / 1000).cast("long"))
     return L.same_endings(lines, "package", ["file", "line_no"]).select("file", F.col("line_no").cast("long").alias("line_no"), "ending")
 
 
-register("lint_adjacent", lint_adjacent, f"WITH {_SQL}, e AS (SELECT *, substr(bare, -1) AS ending FROM b) SELECT file, line_no, ending FROM e QUALIFY ending <> '' AND ending = lag(ending) OVER (PARTITION BY package ORDER BY file, line_no)")
+_register("lint_adjacent", adjacent, ", e AS (SELECT *, substr(bare, -1) AS ending FROM b) SELECT file, line_no, ending FROM e QUALIFY ending <> '' AND ending = lag(ending) OVER (PARTITION BY package ORDER BY file, line_no)")
 
 
-def lint_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = _files(spark, sf_dir)
+def summary(files: DataFrame) -> DataFrame:
     return L.summary(files, L.issues(L.lines_of(files))).withColumn("seconds", F.floor(F.col("seconds") * 10 + 0.5).cast("long"))
 
 
-register("lint_summary", lint_summary, f"WITH {_SQL_ISSUES}, h AS (SELECT package, count(*) AS hard FROM i JOIN f USING (file) WHERE hard GROUP BY 1), n AS (SELECT package, count(*) AS files, count(*) FILTER (text IS NULL) AS missing FROM f GROUP BY 1) SELECT package, files, coalesce(hard, 0) + missing AS hard, CAST(files * 36 AS BIGINT) AS seconds, files * 3.6 < 15 AS too_short FROM n LEFT JOIN h USING (package)")
+_register("lint_summary", summary, f"{_ISSUES}, h AS (SELECT package, count(*) AS hard FROM i JOIN f USING (file) WHERE hard GROUP BY 1), n AS (SELECT package, count(*) AS files, count(*) FILTER (text IS NULL) AS missing FROM f GROUP BY 1) SELECT package, files, coalesce(hard, 0) + missing AS hard, CAST(files * 36 AS BIGINT) AS seconds, files * 3.6 < 15 AS too_short FROM n LEFT JOIN h USING (package)")

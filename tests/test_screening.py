@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -13,6 +14,7 @@ from siftstone.operators import offers as O
 from siftstone.plans.shared import row_index
 from siftstone.sources import config, readers, sinks
 
+DATA = "/root/testdata/sf0.001"
 RULES = O.Rules(categories={"food": ["海苔"]}, min_monthly_sales=Decimal(1000), trap_commission_min=Decimal(15), same_product_min_stores=2, same_flavor_max_reject=0, flavor_words=("原味", "辣味"), promo_words=("現貨",), capacity_pattern=r"\d+g", done=(("舊識牌", "豆漿"),))
 
 
@@ -130,3 +132,41 @@ def test_row_index(spark):
     got = row_index(spark.range(1000).select((F.col("id") * 7 % 1000).alias("v")), ["v"]).collect()
     assert {(r.v + 1, r.idx) for r in got} == {(i, i) for i in range(1, 1001)}
     assert row_index(spark.range(0), ["id"]).count() == 0
+
+
+def test_whole_texts_are_linted(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    # What breaks rules, and the endings, lie beyond character 160.
+    rows = [(1, 1, "x" * 200 + "\nab12\nqqq\rqqq"), (1, 7, "7 here"), (1, 8, None), (2, 1, "x" * 200 + "\nab12\nqqq")]
+    spark.createDataFrame(rows, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    run = lambda name: entry.queries()[f"{name}_whole"](spark, str(tmp_path)).collect()
+    assert {(r.file, r.line_no) for r in run("lint_hits") if r.rule == "digits"} == {(1001, 1), (1007, 0), (2001, 1)}
+    assert {(r.file, r.line_no): r.bare for r in run("lint_lengths")} == {(1001, 0): 200, (1001, 1): 4, (1001, 2): 3, (1001, 3): 3, (1007, 0): 5, (2001, 0): 200, (2001, 1): 4, (2001, 2): 3}
+    assert {(r.file, r.line_no) for r in run("lint_adjacent")} == {(1001, 3)}
+    from siftstone.plans.narration import _FROM, _TO
+
+    q = _TO[_FROM.index("q")]
+    assert {r.gram: r.n for r in run("lint_bigrams")}[q + q] == 6
+    assert {r.package: r.files for r in run("lint_summary")} == {1: 3, 2: 1}
+    hard = {r.package: r.hard for r in run("lint_summary")}
+    hits = [r.file // 1000 for r in run("lint_hits") if r.hard]
+    assert hard == {1: hits.count(1) + 1, 2: hits.count(2)}
+
+
+WHOLE = ("lint_hits", "lint_lengths", "lint_bigrams", "lint_adjacent", "lint_summary")
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
+@pytest.mark.parametrize("name", WHOLE)
+def test_whole_lint_against_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW conversations AS SELECT * FROM '{DATA}/conversations.parquet'")
+    df = entry.queries()[f"{name}_whole"](spark, DATA)
+    expected = c.sql(entry.oracle_sql()[f"{name}_whole"])
+    at = [expected.columns.index(x) for x in df.columns]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted((tuple(r[i] for i in at) for r in expected.fetchall()), key=str)
