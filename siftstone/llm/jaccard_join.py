@@ -20,13 +20,15 @@ spaces, all at once, in rounds:
 
 Each distinct pair is verified once, on the whole texts, whatever the number
 of blocks it is in.  Every round takes the pivots out, so the recursion ends,
-and it leaves out only what cannot join two components.  Equal sets are one
-member from the start.  Of a large group of near copies, the pairs with a few
+and it leaves out only what cannot join two components.  Members are classes
+of equal sets, named by a digest of the set and not by an id: rows that share
+an id, or have none, are different documents if their texts differ.  Of a large group of near copies, the pairs with a few
 pivots are verified and those with members that no pivot has reached.
 
 Defined results: a null or empty text has an empty set and is linked with
 nothing; repeated rows each give a row; a null id counts as larger than any
-other and is null again in the result; extra columns are not read.
+other, and a component with null ids only has a null component_id; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -90,22 +92,23 @@ def _keys(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray,
 
 
 def _survey(docs: DataFrame, gram: int) -> DataFrame:
-    """A row for each document with the size and digest of its set, and (shingle, count) rows of runs of documents."""
+    """docs: (id, text, digest).  A row for each with the size and keys of its set, and (shingle, count) rows of runs of documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, held, size = ["id", "n", "k1", "k2", "shingle", "count"], [], 0
+        names, held, size = ["id", "digest", "n", "k1", "k2", "shingle", "count"], [], 0
 
         def flush() -> pa.RecordBatch:
             h, c = np.unique(np.concatenate(held), return_counts=True)
             keep = c >= LEAST_FREQUENT
             none = pa.nulls(int(keep.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, none, none, pa.array(h[keep].view(np.int64)), pa.array(c[keep])], names)
+            return pa.RecordBatch.from_arrays([none, pa.nulls(len(none), pa.binary()), none, none, none, pa.array(h[keep].view(np.int64)), pa.array(c[keep])], names)
 
         for b in batches:
             for first, end, buf, offsets in slices(b.column(1)):
                 doc, h = _sets(buf, offsets, gram)
                 none = pa.nulls(end - first, pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), *map(pa.array, _keys(doc, h, end - first)), none, none], names)
+                own = [b.column(k).slice(first, end - first) for k in (0, 2)]
+                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, _keys(doc, h, end - first)), none, none], names)
                 held.append(h)
                 size += len(h)
                 if size >= _RUN:
@@ -114,7 +117,7 @@ def _survey(docs: DataFrame, gram: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInArrow(work, "id long, n long, k1 long, k2 long, shingle long, count long")
+    return docs.mapInArrow(work, "id long, digest binary, n long, k1 long, k2 long, shingle long, count long")
 
 
 def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +125,7 @@ def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     They only set an order (the rarer the earlier); any list gives the same result.
     """
-    rows = survey.filter("id IS NULL").groupBy("shingle").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).collect()
+    rows = survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).collect()
     shingles = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
     order = np.argsort(shingles)
     return shingles[order], (np.log2(np.array([r["n"] for r in rows] or [1], dtype=float)) + 1).astype(np.int8)[order if len(rows) else slice(0)]
@@ -165,19 +168,24 @@ def _may_link(percent: int, a: str = "bits", b: str = "pbits", na: str = "n", nb
     return reduce(lambda c, words: c & (F.col(na) - lacks(a, b, words) >= need) & (F.col(nb) - lacks(b, a, words) >= need), (coarse, fine), F.lit(True))
 
 
-def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, id): the shingles by which documents are dealt to blocks."""
+def _node(shift: int) -> Column:
+    """The name of a class of equal sets, as _blocks makes it; shift is such that no two classes share one."""
+    return F.col("k1").bitwiseXOR(F.shiftrightunsigned("k2", shift))
+
+
+def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], shift: int) -> DataFrame:
+    """(token, x): the shingles by which classes are dealt to blocks."""
     known, level = frequent
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(0).to_numpy()
-            for first, end, buf, offsets in slices(b.column(1)):
+            for first, end, buf, offsets in slices(b.column(0)):
                 doc, h = _sets(buf, offsets, gram)
                 size, k1, k2 = _keys(doc, h, end - first)
+                node = (k1.view(np.uint64) ^ (k2.view(np.uint64) >> np.uint64(shift))).view(np.int64)
                 once = np.zeros(end - first, dtype=bool)
-                # Of equal sets in a slice one is enough, that with the least id: it stands for its class anyway.
-                order = np.lexsort((ids[first:end], k2, k1))
+                # Of equal sets in a slice one is enough.
+                order = np.lexsort((k2, k1))
                 new = np.ones(len(order), dtype=bool)
                 new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
                 once[order[new]] = True
@@ -190,9 +198,9 @@ def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray
                 place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
                 least = size - -(-percent * size // 100) + 1
                 keep = (place < np.repeat(least, size)) & np.repeat(once, size)
-                yield pa.RecordBatch.from_arrays([pa.array(h[order][keep].view(np.int64)), pa.array(ids[first + doc[keep]])], ["token", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[order][keep].view(np.int64)), pa.array(node[doc[keep]])], ["token", "x"])
 
-    return docs.mapInArrow(work, "token long, id long")
+    return docs.select("text").mapInArrow(work, "token long, x long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
@@ -220,26 +228,36 @@ def _verified(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
     return both.mapInArrow(work, "a long, b long, common long")
 
 
-def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (the least id reachable by links), a row for each row of df."""
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
+def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> DataFrame:
+    """doc_id, digest of the text, n_shingles, component_id, a row for each row of df."""
     spark, path = df.sparkSession, work_dir(df.sparkSession, "jaccard")
     t = 1 - percent / 100 + 1e-9
-    docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    docs = df.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
     survey = written(_survey(docs, gram), f"{path}/survey")
-    digests = survey.filter("id IS NOT NULL").select("id", "n", "k1", "k2")
-    classes = digests.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"))
-    members = written(digests.join(classes, ["n", "k1", "k2"], "left").select("id", "n", F.coalesce("rep", "id").alias("rep")), f"{path}/members")
-    reps = members.filter("id = rep AND n > 0").select("rep", "n").distinct()
+    digests = survey.filter("n IS NOT NULL")
+    # The row (at, digest) gives the class its text; at is never compared with ids as such, so that LAST_ID may stand for null.
+    at = F.coalesce("id", F.lit(LAST_ID))
+    classes = digests.filter("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("least"), F.min(F.struct(at.alias("at"), "digest")).alias("row"))
+    classes = written(classes, f"{path}/classes")
+    shift = next(k for k in range(64) if not classes.groupBy(_node(k)).count().filter("count > 1").take(1))
+    reps = written(classes.select(_node(shift).alias("rep"), "n", "least", "row.at", "row.digest"), f"{path}/reps")
+    members = written(digests.select("id", "digest", "n", F.when(F.col("n") > 0, _node(shift)).otherwise(F.col("id")).alias("rep")), f"{path}/members")
 
     # Dealt by token once: the count of each and the join read the same exchange.
-    tokens = _blocks(docs, gram, percent, _frequent(survey)).filter("token IS NOT NULL AND id IS NOT NULL").repartition("token")
-    shared = tokens.groupBy("token").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("token")
-    dealt = tokens.join(shared, "token").join(members.filter("n > 0").select("id", "rep", "n").distinct(), "id").select("token", F.col("rep").alias("x"), "n").distinct()
+    tokens = _blocks(docs, gram, percent, _frequent(survey), shift).filter("token IS NOT NULL AND x IS NOT NULL").repartition("token")
+    shared = tokens.groupBy("token").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo < hi").select("token")
+    dealt = tokens.join(shared, "token").distinct().join(reps.select(F.col("rep").alias("x"), "n", F.coalesce("least", F.lit(LAST_ID)).alias("least")), "x").select("token", "x", "n", "least")
     several = written(dealt, f"{path}/dealt")
     size = several.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    state = written(several.join(size, "token").select("token", "x", "n"), f"{path}/state0")
-    wanted = members.filter("id = rep").join(state.select(F.col("x").alias("rep")).distinct(), "rep", "left_semi").select("id").distinct()
-    texts = written(docs.join(wanted, "id"), f"{path}/texts")
+    state = written(several.join(size, "token").select("token", "x", "n", "least"), f"{path}/state0")
+    wanted = reps.join(state.select(F.col("x").alias("rep")).distinct(), "rep", "left_semi").select("at", "digest", "rep")
+    # Repeated rows are one text.
+    found = docs.select(at.alias("at"), "digest", "text").join(wanted, ["at", "digest"]).dropDuplicates(["at", "digest"])
+    texts = written(found.select(F.col("rep").alias("id"), "text"), f"{path}/texts")
     sketches = written(_sketches(texts, gram), f"{path}/sketches")
     sizes = reps.select(F.col("rep").alias("a"), F.col("n").alias("na")), reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
     union = F.col("na") + F.col("nb") - F.col("common")
@@ -265,8 +283,8 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
             return frame.withColumn("comp", F.col("x"))
         return frame.join(roots.select(F.col("node").alias("x"), "root"), "x", "left").withColumn("comp", F.coalesce("root", "x")).drop("root")
 
-    # The first round: one pivot for each block.
-    pivots = state.groupBy("token").agg(F.min(F.struct("x", "n")).alias("m")).select("token", F.col("m.x").alias("p"), F.col("m.n").alias("np"))
+    # The first round: one pivot for each block, by id, so that blocks with common members mostly have the same.
+    pivots = state.groupBy("token").agg(F.min(F.struct("least", "x", "n")).alias("m")).select("token", F.col("m.x").alias("p"), F.col("m.n").alias("np"))
     met = state.join(pivots, "token").filter("x != p").select("token", "x", "n", "p", "np", *sides, fits.alias("fits"))
     fresh = verified(met.filter("fits").select("a", "b"))
     far = met.join(fresh, ["a", "b"], "left").select("token", "x", "n", "p", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np")).alias("d"))
@@ -291,18 +309,29 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
         verified(met)
         state = written(regrouped(live.filter("NOT pivot").drop("comp", "pivot")), f"{path}/state{round_ + 1}")
         many *= 256
-    for name in ("survey", "dealt", "texts", "sketches"):
+    for name in ("survey", "classes", "dealt", "texts", "sketches"):
         remove(spark, f"{path}/{name}")
-    found = members if roots is None else members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.col("rep") if roots is None else F.coalesce("root", "rep")
-    real = lambda c: F.when(c != LAST_ID, c)
-    return found.select(real(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(component).alias("component_id"))
+    own = reps.select("rep", "least")
+    if roots is not None:
+        linked = own.join(roots.withColumnRenamed("node", "rep"), "rep")
+        heads = linked.groupBy("root").agg(F.min("least").alias("head"))
+        named = linked.join(heads, "root").select("rep", "head")
+        own = own.join(named, "rep", "left").select("rep", F.coalesce("head", "least").alias("least"))
+    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
+    return members.join(own, "rep", "left").select(F.col("id").alias("doc_id"), "digest", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (the least id reachable by links), a row for each row of df."""
+    return _joined(df, doc_id, text, gram, percent).drop("digest")
 
 
 def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """df without the documents that are linked, directly or not, to one with a smaller id; all columns stay."""
-    later = jaccard_components(df, doc_id, text).filter("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select(F.col("doc_id").alias("__later")).distinct()
-    return df.join(later, df[doc_id].eqNullSafe(F.col("__later")), "left_anti")
+    later = _joined(df, doc_id, text, GRAM, PERCENT).filter("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
+    later = later.select(F.col("doc_id").alias("__later"), F.col("digest").alias("__digest")).distinct()
+    digest = _digest(F.coalesce(df[text].cast("string"), F.lit("")))
+    return df.join(later, df[doc_id].eqNullSafe(F.col("__later")) & (digest == F.col("__digest")), "left_anti")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

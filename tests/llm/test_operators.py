@@ -104,6 +104,27 @@ def test_jaccard_join_on_many_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()} == brute_components(rows)
 
 
+def test_jaccard_join_tells_rows_of_one_id_apart(spark):
+    from siftstone.llm.jaccard_join import jaccard_components, keep_first
+
+    other, clean, third = (" ".join(f"{c}{i}" for i in range(60)) for c in "vxy")
+    edit = lambda t: t.replace("30 ", "changed ")
+    # Null ids: a copy of 1, a near copy of 7, two clean ones of which one has a near copy, and one without words. Id 9: a copy of 1 and a clean text.
+    rows = [(1, BASE), (7, other), (None, BASE), (None, edit(other)), (None, clean), (None, edit(clean)), (None, third), (None, ""), (9, BASE), (9, "only here in all the table"), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(df).collect()), key=str)
+    brute = brute_components([(k, t) for k, (_, t) in enumerate(rows)])
+    least = {}
+    for k, (i, _) in enumerate(rows):
+        least.setdefault(brute[k][1], []).append(i)
+    least = {c: min((i for i in ids if i is not None), default=None) for c, ids in least.items()}
+    assert got == sorted(((i, brute[k][0], least[brute[k][1]]) for k, (i, _) in enumerate(rows)), key=str)
+    assert [c for i, _, c in got if i == 7] == [7]
+    kept = sorted(((r.doc_id, r.text) for r in keep_first(df).collect()), key=str)
+    assert kept == sorted([(1, BASE), (7, other), (None, clean), (None, edit(clean)), (None, third), (None, ""), (9, "only here in all the table"), (9, None)], key=str)
+    assert sorted(r.n_shingles for r in jaccard_components(df.union(df)).collect()) == sorted(2 * [n for n, _ in brute.values()])
+
+
 def test_components(spark):
     from siftstone.llm.components import components
 
