@@ -14,12 +14,15 @@ before the merges that made its sides.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 import struct
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -28,26 +31,39 @@ from pyspark.sql import functions as F
 from siftstone.llm.runtime import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Entries kept of texts, pieces and pairs seen before; a full table is emptied, results stay the same.
-MEMO = 300_000
+#: About half the bytes of parts and pieces that a task remembers, and how many pairs of tokens; results do not depend on it.
+MEMO_BYTES, MEMO = 50_000_000, 300_000
+#: What an entry takes besides its bytes.
+_ENTRY = 190
 #: Characters whose parts are looked up together.
-CHUNK = 4_000_000
+CHUNK = 2_000_000
+#: Stands before a part that no space leads; texts that hold it take the plain way.
+_MARK = "\x01"
+#: Letters below are the same for Python and for the pattern's engine, and signs of one kind.
+_STABLE, _SIGNS = "\u0250", ".,;:!?"
+#: Beside the bytes, the key of a node's token.
+_TOKEN = -1
+#: Bytes before a border by which the tokens that may end there are looked up.
+_TAIL = 4
 #: White space as the pattern's engine in the tiktoken library has it (Python's own \s differs).
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
 _BORDER = re.compile(f"(?= [^{_SPACE}])")
 
 
 class PrefixBPE:
+    """ranks: token bytes to ids below 2**17, which is what a key of two ids allows for."""
+
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {r: b for b, r in ranks.items()}
+        self.size_of = {r: len(b) for b, r in ranks.items()}
         self.longest = max(map(len, ranks))
         self.split: dict[int, tuple[int, int]] = {}
         self.merged: dict[tuple[int, int], int] = {}
         self._fits: dict[int, bool] = {}
-        # A trie of the reversed tokens: (node << 8 | byte) -> node; node -> token.
-        self._next: dict[int, int] = {}
-        self._token: list[int] = [-1]
+        # A trie of the reversed tokens: byte -> node, and _TOKEN -> the token that ends there.
+        self._suffixes: dict = {}
+        self._ends: dict[bytes, tuple] = {}
         for rank in sorted(self.bytes_of):
             word = self.bytes_of[rank]
             if len(word) == 1:
@@ -61,16 +77,10 @@ class PrefixBPE:
                         break
                 else:
                     continue  # no merges lead to it: it only stands for a whole piece
-            node = 0
+            node = self._suffixes
             for byte in reversed(word):
-                at = node << 8 | byte
-                node = self._next.get(at) or self._grow(at)
-            self._token[node] = rank
-
-    def _grow(self, at: int) -> int:
-        self._token.append(-1)
-        self._next[at] = len(self._token) - 1
-        return self._next[at]
+                node = node.setdefault(byte, {})
+            node[_TOKEN] = rank
 
     def _compatible(self, left: int, right: int) -> bool:
         """Whether the encoding of both together is just these two tokens."""
@@ -100,7 +110,7 @@ class PrefixBPE:
                 left = inner
 
     def fits(self, left: int, right: int) -> bool:
-        key = left << 32 | right
+        key = left << 17 | right
         known = self._fits.get(key)
         if known is None:
             if len(self._fits) >= MEMO:
@@ -108,35 +118,67 @@ class PrefixBPE:
             known = self._fits[key] = self._compatible(left, right)
         return known
 
-    def last_token(self, data: bytes, end: int, last: list[int]) -> int:
-        """The last token of data[:end], given those of all shorter prefixes (last[k] for data[:k+1])."""
-        node, i, found = 0, end, []
-        following, token_at = self._next, self._token
-        while i > 0:
-            node = following.get(node << 8 | data[i - 1])
+    def extend(self, data: bytes, last: list[int], end: int) -> None:
+        """Appends the last tokens of the prefixes of data up to end; last has those of the shorter ones (last[k] for data[:k+1])."""
+        fits, ends, tail = self._fits, self._ends, _TAIL
+        for size in range(len(last) + 1, end + 1):
+            key = data[size - tail : size] if size > tail else data[:size]
+            known = ends.get(key)
+            found, node = known if known is not None else self._tokens_at(key)
+            if node is not None and size > tail:
+                found = self._longer(data, size - tail, node, found)
+            for length, token in found:  # the longest first
+                if length == size:
+                    break
+                before = last[size - length - 1]
+                good = fits.get(before << 17 | token)
+                if good is None:
+                    good = self.fits(before, token)
+                if good:
+                    break
+            else:
+                raise ValueError("a byte is missing from the vocabulary")
+            last.append(token)
+
+    def _tokens_at(self, key: bytes) -> tuple[tuple[tuple[int, int], ...], dict | None]:
+        """(length, token) of the tokens that key ends with, the longest first, and the node of the trie where key leads; remembered."""
+        node, found = self._suffixes, []
+        for size, byte in enumerate(reversed(key), 1):
+            node = node.get(byte)
             if node is None:
                 break
+            if _TOKEN in node:
+                found.append((size, node[_TOKEN]))
+        if len(self._ends) >= MEMO:
+            self._ends.clear()
+        known = self._ends[key] = tuple(reversed(found)), node
+        return known
+
+    def _longer(self, data: bytes, i: int, node: dict, found: tuple) -> tuple:
+        """found with the tokens before it that begin before data[i], where node is reached."""
+        more, size = [], _TAIL
+        while i:
             i -= 1
-            if token_at[node] >= 0:
-                found.append((i, token_at[node]))
-        for start, token in reversed(found):
-            if start == 0 or self.fits(last[start - 1], token):
-                return token
-        raise ValueError("a byte is missing from the vocabulary")
+            size += 1
+            node = node.get(data[i])
+            if node is None:
+                break
+            if _TOKEN in node:
+                more.append((size, node[_TOKEN]))
+        return (*more[::-1], *found) if more else found
 
     def prefixes(self, data: bytes) -> list[int]:
         last: list[int] = []
-        for end in range(1, len(data) + 1):
-            last.append(self.last_token(data, end, last))
+        self.extend(data, last, len(data))
         return last
 
     def read(self, last: list[int]) -> list[int]:
-        out, i = [], len(last)
-        while i > 0:
-            token = last[i - 1]
-            out.append(token)
-            i -= len(self.bytes_of[token])
-        return out[::-1]
+        out, i, size = [], len(last), self.size_of
+        while i:
+            out.append(last[i - 1])
+            i -= size[last[i - 1]]
+        out.reverse()
+        return out
 
     def encode_piece(self, data: bytes) -> list[int]:
         """Tokens of one match of the pattern; a piece that is a token stays whole."""
@@ -163,7 +205,7 @@ class PrefixEncoding:
         last, shift, agree = old[:start], len(new) - (end - start), 0
         at = start
         while at < len(data):
-            last.append(self.bpe.last_token(data, at + 1, last))
+            self.bpe.extend(data, last, at + 1)
             self.steps += 1
             at += 1
             if at > start + len(new):
@@ -181,59 +223,85 @@ class PrefixEncoding:
 class TextEncoder:
     """Encodes texts as the library does: pieces by the pattern, each piece alone.
 
-    A space before something that isn't white space always begins a piece, so
-    texts are cut there.  The parts are remembered; the distinct pieces of new
-    parts are encoded in sorted order, where neighbours share the last tokens
-    of their common prefix.
+    A space before something that isn't white space always begins a piece, and
+    a single line feed between such things is one; texts are cut there.  Parts
+    and pieces are remembered up to MEMO_BYTES; the distinct pieces that are
+    new are encoded in sorted order, where neighbours share the last tokens of
+    their common prefix.
     """
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.bpe = PrefixBPE({base64.b64decode(a): int(b) for a, b in map(bytes.split, f)})
         self.find = regex.compile(pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]")).findall
+        words = [self.bpe.bytes_of.get(r, b"") for r in range(max(self.bpe.bytes_of) + 1)]
+        self.flat = np.frombuffer(b"".join(words), dtype=np.uint8)
+        self.size = np.array(list(map(len, words)), dtype=np.int32)
+        self.begin = np.cumsum(self.size, dtype=np.int32) - self.size
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops what was remembered; results stay the same."""
         self.parts: dict[str, bytes | None] = {}
-        self.recent: set[str] = set()
+        self.known: dict[str, bytes] = {}
+        self.older = self.parts, self.known
+        self.held = 0
 
     def _pieces(self, pieces: set[str]) -> dict[str, bytes]:
-        out, ranks, last, before = {}, self.bpe.ranks, [], b""
-        last_token, read = self.bpe.last_token, self.bpe.read
-        for data, piece in sorted((p.encode(), p) for p in pieces):
+        """Ids of at least these pieces."""
+        out, old, fresh = self.known, self.older[1], []
+        for piece in pieces - out.keys():
+            if (ids := old.get(piece)) is not None:
+                out[piece] = ids
+                self.held += _ENTRY
+            else:
+                fresh.append(piece)
+        fresh.sort()  # code points are in the order of their bytes
+        ranks, extend, read, last, before = self.bpe.ranks, self.bpe.extend, self.bpe.read, [], b""
+        for piece in fresh:
+            data = piece.encode()
             if (rank := ranks.get(data)) is not None:
                 out[piece] = rank.to_bytes(4, "little")
-                continue
-            k, most = 0, min(len(data), len(before))
-            while k < most and data[k] == before[k]:
-                k += 1
-            del last[k:]
-            for end in range(k + 1, len(data) + 1):
-                last.append(last_token(data, end, last))
-            before = data
-            ids = read(last)
-            out[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            else:
+                k, most = 0, min(len(last), len(data))
+                while k < most and data[k] == before[k]:
+                    k += 1
+                del last[k:]
+                extend(data, last, len(data))
+                before = data
+                ids = read(last)
+                out[piece] = struct.pack(f"<{len(ids)}I", *ids)
+            self.held += _ENTRY + 2 * len(data)
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [text.split(" ") for text in texts]
-        # The first part has no space before it; it is looked up with a mark that no part after a space begins with.
-        for parts in cut:
-            parts[0] = " " + parts[0]
-        seen = set().union(*cut)
-        fresh = seen - self.parts.keys()
-        if len(self.parts) + len(fresh) > MEMO:  # what these texts and those before them hold stays
-            self.parts = {p: v for p, v in self.parts.items() if p in seen or p in self.recent}
-        self.recent = seen
-        found = {}
-        for part in fresh:
-            if not part or part[0] in _SPACE[:5] + _SPACE[6:]:
-                self.parts[part] = None  # a piece may reach over the space before it
-            elif part[0] == " ":
-                found[part] = self.find(part[1:])
+        if self.held > MEMO_BYTES:  # what the texts since the last time did not need goes
+            self.older, self.parts, self.known, self.held = (self.parts, self.known), {}, {}, 0
+        # A part after a line feed, and the first, has no space before it: that is what the mark says.
+        cut = [(_MARK + text.replace("\n", f"\n {_MARK}")).split(" ") if _MARK not in text else [""] for text in texts]
+        seen, old, found = set().union(*cut), self.older[0], {}
+        for part in seen - self.parts.keys():
+            if (ids := old.get(part)) is not None:
+                self.parts[part] = ids
+                self.held += _ENTRY
+                continue
+            led = part[:1] != _MARK
+            body = part if led else part[1:]
+            inner = body[:-1] if body[-1:] == "\n" else body
+            if not inner or inner[0] in _SPACE or inner[-1] in _SPACE and inner is not body:
+                self.parts[part] = None  # a piece may reach over the cut
             else:
-                found[part] = self.find(" " + part)
+                body = " " + body if led else body
+                word = body[led:-1]  # letters with a plain sign after them are two pieces
+                if body[-1] in _SIGNS and word.isalpha() and max(word) < _STABLE:
+                    found[part] = [body[:-1], body[-1]]
+                else:
+                    found[part] = [body] if word.isalpha() and body[-1].isalpha() and max(body) < _STABLE else self.find(body)
         known = self._pieces(set().union(*found.values()))
         for part, pieces in found.items():
-            self.parts[part] = b"".join(map(known.__getitem__, pieces))
+            ids = self.parts[part] = known[pieces[0]] if len(pieces) == 1 else b"".join(map(known.__getitem__, pieces))
+            self.held += _ENTRY + len(part) + len(ids)
         out = []
         for text, parts in zip(texts, cut, strict=True):
             ids = list(map(self.parts.__getitem__, parts))
@@ -241,12 +309,20 @@ class TextEncoder:
         return out
 
     def _whole(self, text: str) -> bytes:
-        """A text with other white space than single spaces."""
+        """A text with other white space than single spaces and line feeds."""
         chunks = _BORDER.split(text)
         found = [self.find(c) for c in chunks]
         known = self._pieces(set().union(*found))
         return b"".join(known[p] for pieces in found for p in pieces)
 
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bytes of all ids, how many of them there are after each id)."""
+        size = self.size[ids]
+        end = np.cumsum(size, dtype=np.int64)
+        at = np.arange(end[-1] if len(end) else 0, dtype=np.int32)
+        at += np.repeat(self.begin[ids] - (end - size).astype(np.int32), size)
+        return self.flat[at], end
+
 
 @cache
 def encoder(path: str, pattern: str) -> TextEncoder:
@@ -269,25 +345,35 @@ def encode_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
     path, pattern = vocabulary or default_vocabulary()
     fields = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
 
+    def encoded(enc: TextEncoder, doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
+        raw = enc.encode(texts)
+        n = np.array(list(map(len, raw)), dtype=np.int64) // 4
+        ids = np.frombuffer(b"".join(raw), dtype="<u4")
+        data, end = enc.decode(ids)
+        bounds = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(n)])].tolist()
+        data = memoryview(data)
+        decoded = [hashlib.sha256(data[a:b]).hexdigest() for a, b in pairwise(bounds)]
+        out = [doc_ids, pa.array(n), pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()), pa.array(decoded, pa.string())]
+        if keep_ids:
+            offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+            out.append(pa.ListArray.from_arrays(offsets, pa.array(ids.view("<i4"))))
+        return pa.RecordBatch.from_arrays(out, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids"][: len(out)])
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path, pattern)
-        sha = lambda data: hashlib.sha256(data).hexdigest()
-        for batch in batches:
-            rows, values, begin = [], batch.column(1), 0
-            while begin < len(values):
-                texts, size = [], 0
-                while begin < len(values) and size < CHUNK:
-                    texts.append(values[begin].as_py() or "")
-                    size, begin = size + len(texts[-1]), begin + 1
-                for raw in enc.encode(texts):
-                    ids = struct.unpack(f"<{len(raw) // 4}I", raw)
-                    rows.append((len(ids), sha(raw), sha(enc.bpe.decode(ids)), ids if keep_ids else None))
-            n, a, b, ids = zip(*rows, strict=True) if rows else ((), (), (), ())
-            out = [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if keep_ids:
-                out, names = [*out, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(out, names)
+        gc.disable()  # nothing here has cycles, and each collection would walk all that is remembered
+        try:
+            for batch in batches:
+                values, begin = batch.column(1), 0
+                while begin < len(values):
+                    texts, size, first = [], 0, begin
+                    while begin < len(values) and size < CHUNK:
+                        texts.append(values[begin].as_py() or "")
+                        size, begin = size + len(texts[-1]), begin + 1
+                    yield encoded(enc, batch.column(0).slice(first, begin - first), texts)
+        finally:
+            enc.forget()  # a worker outlives its task
+            gc.enable()
 
     slim = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return slim.mapInArrow(work, fields.format(slim.schema["doc_id"].dataType.simpleString()))
