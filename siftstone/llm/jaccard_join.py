@@ -1,57 +1,75 @@
 """N-gram Jaccard join: an exact metric-space join and its components.
 
-Jaccard distance is a metric.  Documents are dealt to *blocks* such that any
-two documents within the distance t share one: a block is the set of documents
-with a certain shingle among their least `n - ceil(0.75 n) + 1` shingles, by
-one order for all (frequent shingles last).  Blocks are then joined as metric
-spaces, all at once, in rounds:
-
-* First each block has one pivot, and the distances of all members to it are
-  verified.  The members within t of it are its Voronoi region; they are one
-  component with it, and pairs among them need no look.  By the triangle
-  inequality a member x of the region can only link to a y outside of it if
-  d(y, p) <= d(x, p) + t.  So only the boundary members for which there may be
-  such a y go on, with all members outside.
-* Then each block's largest component is one region.  Members outside of it
-  become pivots, ever more per round; each is compared with those members of
-  the block that are not of its component.  Before texts are fetched, lengths
-  and bit sketches give bounds of the distance; pairs beyond t by them are
-  left out.  A block whose members are one component is done.
-
-Each distinct pair is verified once, on the whole texts, whatever the number
-of blocks it is in.  Every round takes the pivots out, so the recursion ends,
-and it leaves out only what cannot join two components.  Members are classes
-of equal sets, named by a digest of the set and not by an id: rows that share
-an id, or have none, are different documents if their texts differ.  Of a large group of near copies, the pairs with a few
-pivots are verified and those with members that no pivot has reached.
+Jaccard distance is a metric.  Documents are first dealt to *blocks*: a block
+is the set of documents with a certain shingle among their least
+`n - ceil(0.75 n) + l(n)` shingles, by one order for all (frequent shingles
+last).  Any two within the distance t share l blocks or more, l being that of
+the smaller one; so a document with fewer blocks in common with any others than
+the smallest partner would ask for is linked with nothing, and of the others
+each may leave some blocks, as long as these are fewer than half as many.  Then:
+
+* Pivots and regions.  Each block's pivot is its document with the least id;
+  all blocks of one pivot are one region.  So a document is in its nearest
+  pivot's Voronoi region and, as a boundary document, in those of the other
+  pivots of its blocks.  Its exact distance to each of these is computed.
+* Windows.  Members within t of a pivot, and whatever else links have joined,
+  are one component, and pairs of one component need no look.  By the triangle
+  inequality x and y of a region can only link if |d(x, p) - d(y, p)| <= t: of
+  a region's largest component only members in the window of the others stay.
+* Recursion.  A region with much left to compare draws new pivots among the
+  members outside of its largest component.  These are parted by their nearest
+  new pivot q; with r the largest distance of such a home member to q, every
+  other member with d(x, q) <= t + r is replicated to q's region, and none else
+  can link to one at home there.  The new regions are joined in the same way.
+  Where that does not halve the work (members that are all about equally far
+  from each other cannot be parted), the region is compared as it is.
+* Comparison.  What is left of a region is compared exactly, members outside of
+  the largest component with all, in cells of at most about CELL by CELL
+  members, so that no task gets a whole region.  A cell gives the links that
+  join its components, not all of its pairs.
+
+Members are classes of equal sets, named by a digest of the set and not by an
+id: rows that share an id, or have none, are different documents if their
+texts differ.  Shingles are compared by 64 bits of hash, sets by 128.
 
 Defined results: a null or empty text has an empty set and is linked with
 nothing; repeated rows each give a row; a null id counts as larger than any
-other, and a component with null ids only has a null component_id; extra
-columns are not read.
+other, and a component with null ids only has a null component_id (the id
+2**63 - 1 counts as null); an empty table gives an empty one; a text may be of
+any length that fits a task; ties of distance go to the pivot with the least
+name; extra columns are not read by the join and kept by keep_first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siftstone.llm.components import components
-from siftstone.llm.runtime import LAST_ID, remove, table, work_dir, written
+from siftstone.llm.runtime import LAST_ID, fresh_name, remove, table, work_dir, written
 from siftstone.llm.textvec import gram_hashes, inside, mix, slices, words_of
 
 GRAM, PERCENT = 5, 75
 #: Frequent shingles that are ordered last; more would only be ordered less well.
-MAX_FREQUENT = 200_000
+MAX_FREQUENT = 400_000
 #: A shingle is frequent if at least so many documents of some run of documents have it.
-LEAST_FREQUENT = 4
-_RUN = 2_000_000  # shingles of a run
+LEAST_FREQUENT = 3
+#: Rows of shingles that at least so many documents have are spread over all tasks.
+HOT = 200
+#: Members of a side of a cell, on average.
+CELL = 160
+#: Pairs of a region beyond which it is parted by PIVOTS new pivots.
+BIG, PIVOTS = 200_000, 16
+#: A document's blocks beyond the fewest are one for so many of its shingles.
+MORE_BLOCKS = 10
+_RUN = 6_000_000  # shingles of a run
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
+_TILE = 4096
 
 
 def _by_document(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
@@ -120,52 +138,15 @@ def _survey(docs: DataFrame, gram: int) -> DataFrame:
     return docs.mapInArrow(work, "id long, digest binary, n long, k1 long, k2 long, shingle long, count long")
 
 
-def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of at most MAX_FREQUENT shingles and the logarithms of their counts.
+def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted hashes of at most MAX_FREQUENT shingles, the logarithms of their counts, and which are hot.
 
-    They only set an order (the rarer the earlier); any list gives the same result.
+    They only set an order (the rarer the earlier) and how rows are dealt; any list gives the same result.
     """
-    rows = survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).collect()
-    shingles = np.array([r["shingle"] for r in rows], dtype=np.int64).view(np.uint64)
+    rows = survey.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("n")).orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT).toArrow()
+    shingles, counts = rows["shingle"].to_numpy().view(np.uint64), rows["n"].to_numpy()
     order = np.argsort(shingles)
-    return shingles[order], (np.log2(np.array([r["n"] for r in rows] or [1], dtype=float)) + 1).astype(np.int8)[order if len(rows) else slice(0)]
-
-
-#: Bits of a sketch: bit h mod BITS of each shingle hash h; and of a coarse one, that is tried first.
-BITS, COARSE = 2048, 512
-
-
-def _sketches(texts: DataFrame, gram: int) -> DataFrame:
-    """(x, bits array<long>)."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for first, end, buf, offsets in slices(b.column(1)):
-                doc, h = _sets(buf, offsets, gram)
-                bits = np.zeros((end - first, BITS), dtype=np.uint8)
-                bits[doc, (h % np.uint64(BITS)).astype(np.int64)] = 1
-                coarse = bits.reshape(end - first, -1, COARSE).max(axis=1)
-                packed = np.packbits(np.hstack([coarse, bits]), axis=1).view(np.int64)
-                rows = pa.FixedSizeListArray.from_arrays(pa.array(packed.ravel()), (COARSE + BITS) // 64).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), rows], ["x", "bits"])
-
-    return texts.mapInArrow(work, "x long, bits array<long>")
-
-
-def _may_link(percent: int, a: str = "bits", b: str = "pbits", na: str = "n", nb: str = "np") -> Column:
-    """False only if the sets cannot be within the distance.
-
-    A bit that one sketch has and the other lacks stands for a shingle at
-    least that the sets don't share, so sizes minus such bits bound the
-    intersection.
-    """
-    need = F.ceil(percent * (F.col(na) + F.col(nb)) / (100 + percent))  # of an intersection that links
-
-    def lacks(x: str, y: str, words: range) -> Column:
-        return reduce(lambda total, k: total + F.bit_count(F.get(x, k).bitwiseAND(F.bitwise_not(F.get(y, k)))), words, F.lit(0))
-
-    coarse, fine = range(COARSE // 64), range(COARSE // 64, (COARSE + BITS) // 64)
-    return reduce(lambda c, words: c & (F.col(na) - lacks(a, b, words) >= need) & (F.col(nb) - lacks(b, a, words) >= need), (coarse, fine), F.lit(True))
+    return shingles[order], (np.log2(np.maximum(counts, 1)) + 1).astype(np.int8)[order], (counts >= HOT)[order]
 
 
 def _node(shift: int) -> Column:
@@ -173,59 +154,284 @@ def _node(shift: int) -> Column:
     return F.col("k1").bitwiseXOR(F.shiftrightunsigned("k2", shift))
 
 
-def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], shift: int) -> DataFrame:
-    """(token, x): the shingles by which classes are dealt to blocks."""
-    known, level = frequent
+def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray], shift: int) -> DataFrame:
+    """docs: (at, text).  (token, hot, spread, at, x): the shingles by which classes are dealt to blocks; spread is the token, or for hot ones a part of it."""
+    known, level, hot = frequent
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, end, buf, offsets in slices(b.column(0)):
+            ids = b.column(0).to_numpy()
+            for first, end, buf, offsets in slices(b.column(1)):
                 doc, h = _sets(buf, offsets, gram)
                 size, k1, k2 = _keys(doc, h, end - first)
-                node = (k1.view(np.uint64) ^ (k2.view(np.uint64) >> np.uint64(shift))).view(np.int64)
+                node = k1.view(np.uint64) ^ (k2.view(np.uint64) >> np.uint64(shift))
                 once = np.zeros(end - first, dtype=bool)
                 # Of equal sets in a slice one is enough.
-                order = np.lexsort((k2, k1))
+                order = np.lexsort((ids[first:end], k2, k1))
                 new = np.ones(len(order), dtype=bool)
                 new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
                 once[order[new]] = True
-                late = np.zeros(len(h), dtype=np.int8)
+                late, is_hot = np.zeros(len(h), dtype=np.int8), np.zeros(len(h), dtype=bool)
                 if len(known):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    late = np.where(known[at] == h, level[at], late)
+                    same = known[at] == h
+                    late, is_hot = np.where(same, level[at], late), same & hot[at]
                 # h is in order already, so late and doc are stable sorts of small integers.
                 order = _by_document(doc, late)
                 place = np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size)
-                least = size - -(-percent * size // 100) + 1
-                keep = (place < np.repeat(least, size)) & np.repeat(once, size)
-                yield pa.RecordBatch.from_arrays([pa.array(h[order][keep].view(np.int64)), pa.array(node[doc[keep]])], ["token", "x"])
+                most = -(-percent * size // 100)
+                least = size - most + np.minimum(1 + size // MORE_BLOCKS, most)
+                order = order[(place < np.repeat(least, size)) & np.repeat(once, size)]
+                token, x, is_hot = h[order], node[doc[order]], is_hot[order]
+                spread = np.where(is_hot, mix(token ^ mix(x)), token)
+                cols = [token.view(np.int64), is_hot, spread.view(np.int64), ids[first + doc[order]], x.view(np.int64)]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), ["token", "hot", "spread", "at", "x"])
+
+    return docs.mapInArrow(work, "token long, hot boolean, spread long, at long, x long")
 
-    return docs.select("text").mapInArrow(work, "token long, x long")
 
+def _first_of_blocks(dealt: DataFrame) -> DataFrame:
+    """dealt: rows of _blocks in the order of (token, at, x), whole blocks in a partition but for hot ones.
 
-def _verified(pairs: DataFrame, texts: DataFrame, gram: int) -> DataFrame:
-    """pairs (a, b) with the size of their sets' intersection."""
-    # By a last, so that rows of a pivot, mostly the lesser id, follow each other.
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").select("a", "b", "ta", "tb")
+    (x, p, c, token, at): x with the pivot p of c of its blocks (or more: repeated rows count), x = p too, token null; or a row of a hot block, p null.
+    Blocks of one class are left out.  Streams: a block may be of any size.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, last, pivot = ["x", "p", "c", "token", "at"], None, None
+        for b in batches:
+            token, hot, at, x = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            if hot.any():
+                n = int(hot.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(x[hot]), pa.nulls(n, pa.int64()), pa.array(np.ones(n, dtype=np.int64)), pa.array(token[hot]), pa.array(at[hot])], names)
+                token, x = token[~hot], x[~hot]
+            if not len(token):
+                continue
+            head = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            p = x[head]
+            if token[0] == last:
+                p[0] = pivot
+            last, pivot = token[-1], p[-1]
+            own, length = p, np.diff(np.append(head, len(token)))
+            p = np.repeat(p, length)
+            met = x != p
+            own = own[np.add.reduceat(met, head) > 0]
+            x, p = np.concatenate([x[met], own]), np.concatenate([p[met], own])
+            order = np.lexsort((x, p))
+            x, p = x[order], p[order]
+            new = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (p[1:] != p[:-1])])) if len(x) else np.empty(0, np.int64)
+            none = pa.nulls(len(new), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(p[new]), pa.array(np.diff(np.append(new, len(x)))), none, none], names)
+
+    return dealt.select("token", "hot", "at", "x").mapInArrow(work, "x long, p long, c long, token long, at long")
+
+
+def _set_rows(texts: DataFrame, gram: int) -> DataFrame:
+    """texts: (x, text).  (x, s): the sorted shingle hashes."""
 
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        out = []
-        for first, end, buf, offsets in slices(column):
-            doc, h = _sets(buf, offsets, gram)
-            out += np.split(h, np.cumsum(np.bincount(doc, minlength=end - first))[:-1])
-        return out
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first, end, buf, offsets in slices(b.column(1)):
+                doc, h = _sets(buf, offsets, gram)
+                bounds = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=end - first))]).astype(np.int32) * np.int32(8)
+                rows = pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(bounds), pa.py_buffer(h)])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), rows], ["x", "s"])
+
+    return texts.mapInArrow(work, "x long, s binary")
+
+
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each of a with each of b, all sorted and distinct."""
+    sizes = np.array(list(map(len, b)))
+    if len(a) <= 8:
+        values, owner, out = np.concatenate(b), np.repeat(np.arange(len(b)), sizes), []
+        for x in a:
+            at = np.minimum(np.searchsorted(x, values), len(x) - 1)
+            out.append(np.bincount(owner[x[at] == values], minlength=len(b)))
+        return np.array(out)
+    # Members by shingles, a tile of shingles at a time; single shingles are left out.
+    both = a + b
+    values, owner = np.concatenate(both), np.repeat(np.arange(len(both)), list(map(len, both)))
+    order = np.argsort(values)
+    values, owner = values[order], owner[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    lone = new & np.append(new[1:], True)
+    owner, column = owner[~lone], np.cumsum(new[~lone]) - 1
+    out = np.zeros((len(a), len(b)))
+    for tile in range(0, int(column[-1]) + 1 if len(column) else 0, _TILE):
+        lo, hi = np.searchsorted(column, [tile, tile + _TILE])
+        has = np.zeros((len(both), _TILE), dtype=np.float32)
+        has[owner[lo:hi], column[lo:hi] - tile] = 1
+        out += has[: len(a)] @ has[len(a) :].T
+    return out.astype(np.int64)
+
+
+def _joins(u: np.ndarray, v: np.ndarray) -> list[int]:
+    """Indices of pairs (u, v) that join all that the pairs join."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.get(x, x)) != x:
+            root[x] = root.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for k, (x, y) in enumerate(zip(u.tolist(), v.tolist(), strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            out.append(k)
+    return out
+
+
+def _compared(rows: DataFrame, sets: DataFrame, percent: int, distances: bool) -> DataFrame:
+    """Members of regions compared in cells.
+
+    rows: (region, x, comp, d, asks, meets, ni, nj); those that ask are compared
+    with those that are met, in ni by nj cells of the region.  Gives (region, x,
+    q, d, linked) of each asking q and met x, or else (region, x, q) of links
+    between different comps, enough to join what they join.
+    """
+    t = 1 - percent / 100 + 1e-9
+    i, j = (F.pmod(F.xxhash64("x", F.lit(k)), F.col(c)).cast("int") for k, c in enumerate(("ni", "nj")))
+    cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    none = F.array().cast("array<struct<i:int,j:int,side:int>>")
+    asked = F.when(F.col("asks"), F.transform(F.sequence(F.lit(0), F.col("nj").cast("int") - 1), lambda k: cell(i, k, F.lit(1)))).otherwise(none)
+    met = F.when(F.col("meets"), F.transform(F.sequence(F.lit(0), F.col("ni").cast("int") - 1), lambda k: cell(k, j, F.lit(2)))).otherwise(none)
+    one = F.array(cell(F.lit(0), F.lit(0), F.col("asks").cast("int") + 2 * F.col("meets").cast("int")))
+    cells = F.when((F.col("ni") == 1) & (F.col("nj") == 1), one).otherwise(F.concat(asked, met))
+    dealt = rows.join(sets, "x").select("region", "x", "comp", "d", "s", F.explode(cells).alias("c")).select("region", "c.i", "c.j", "c.side", "x", "comp", "d", "s")
+    dealt = dealt.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+    names = ["region", "x", "q"] + ["d", "linked"] * distances
+
+    def compared(members: list[tuple]) -> pa.RecordBatch | None:
+        region = members[0][0]
+        side, x, comp = (np.array([m[k] for m in members]) for k in (3, 4, 5))
+        a, b = np.flatnonzero(side & 1), np.flatnonzero(side & 2)
+        if not len(a) or not len(b):
+            return None
+        sets = [np.frombuffer(m[7], dtype=np.uint64) for m in members]
+        size = np.array(list(map(len, sets)))
+        if not distances:
+            d = np.array([m[6] for m in members])
+            na, nb = size[a][:, None], size[b]
+            may = (comp[a][:, None] != comp[b]) & (np.abs(d[a][:, None] - d[b]) <= t) & (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb))
+            a, b = a[may.any(axis=1)], b[may.any(axis=0)]
+            if not len(a):
+                return None
+        common = _common([sets[k] for k in a], [sets[k] for k in b])
+        union = size[a][:, None] + size[b] - common
+        linked = 100 * common >= percent * union
+        if distances:
+            k, m = np.nonzero(x[a][:, None] != x[b])
+            cols = [pa.array([region] * len(k), pa.string()), *map(pa.array, (x[b][m], x[a][k], 1 - common[k, m] / union[k, m], linked[k, m]))]
+        else:
+            k, m = np.nonzero(linked & (comp[a][:, None] != comp[b]))
+            few = _joins(comp[a][k], comp[b][m])
+            cols = [pa.array([region] * len(few), pa.string()), pa.array(x[b][m][few]), pa.array(x[a][k][few])]
+        return pa.RecordBatch.from_arrays(cols, names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
         for b in batches:
-            for at in range(0, len(b), 200):
-                part = b.slice(at, 200)
-                # A pivot is in many pairs, mostly one after the other: the set of equal texts is made once.
-                coded = pa.concat_arrays([part.column(2), part.column(3)]).dictionary_encode()
-                known, which = sets(coded.dictionary), coded.indices.to_numpy().reshape(2, -1)
-                common = [len(np.intersect1d(known[x], known[y], assume_unique=True)) for x, y in which.T]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(common, pa.int64())], ["a", "b", "common"])
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if row[:3] != key:
+                    if held and (out := compared(held)) is not None:
+                        yield out
+                    held, key = [], row[:3]
+                held.append(row)
+        if held and (out := compared(held)) is not None:
+            yield out
+
+    return dealt.mapInArrow(work, "region string, x long, q long" + ", d double, linked boolean" * distances)
+
 
-    return both.mapInArrow(work, "a long, b long, common long")
+class _Regions:
+    """The recursion: regions of members (region, x, d, home), and the components that links make."""
+
+    def __init__(self, spark: SparkSession, path: str, sets: DataFrame, percent: int):
+        self.spark, self.path, self.sets, self.percent = spark, path, sets, percent
+        self.t, self.roots, self.links, self.steps = 1 - percent / 100 + 1e-9, None, 0, 0
+
+    def write(self, df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+        self.steps += 1
+        return written(df, f"{self.path}/{name}{self.steps}", rows)
+
+    def add(self, links: DataFrame) -> None:
+        """links: (x, q)."""
+        links = links.select(F.col("x").alias("u"), F.col("q").alias("v"))
+        if links.take(1):
+            known = links if self.roots is None else links.union(self.roots.select(F.col("node").alias("u"), F.col("root").alias("v")))
+            self.roots = components(self.spark, known)
+
+    def measured(self, rows: DataFrame) -> DataFrame:
+        """(region, x, q, d, linked) of asking q and met x; links are added."""
+        fresh = self.write(_compared(rows, self.sets, self.percent, True), "distances", 256)
+        self.add(fresh.filter("linked"))
+        return fresh
+
+    def live(self, state: DataFrame) -> DataFrame:
+        """Members of regions with anything left to compare, with comp, a (how many are at home) and m (how many there are)."""
+        if self.roots is None:
+            now = state.withColumn("comp", F.col("x"))
+        else:
+            now = state.join(self.roots.select(F.col("node").alias("x"), "root"), "x", "left").withColumn("comp", F.coalesce("root", "x")).drop("root")
+        now = self.write(now, "now")
+        by_comp = now.groupBy("region", "comp").agg(F.count("*").alias("k"), F.min("d").alias("lo"), F.max("d").alias("hi"))
+        by_comp = self.write(by_comp, "comps")
+        main = by_comp.groupBy("region").agg(F.max(F.struct("k", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1").select("region", F.col("main.comp").alias("main"))
+        others = by_comp.join(main, "region").filter("comp != main").groupBy("region", "main").agg((F.min("lo") - self.t).alias("lo"), (F.max("hi") + self.t).alias("hi"))
+        near = now.join(self.write(others, "windows"), "region").filter("comp != main OR d BETWEEN lo AND hi")
+        near = self.write(near.select("region", "x", "comp", "d", F.coalesce("home", F.col("comp") != F.col("main")).alias("home"), (F.col("comp") != F.col("main")).alias("outside")), "near")
+        size = self.write(near.groupBy("region").agg(F.sum(F.col("home").cast("long")).alias("a"), F.count("*").alias("m")).filter("a > 0 AND m > 1"), "sizes")
+        return self.write(near.join(size, "region"), "live")
+
+    def parted(self, big: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(members of new regions, members of regions that cannot be parted)."""
+        chance = F.pmod(F.xxhash64("region", "x"), F.greatest(F.lit(1).cast("long"), (F.col("a") / PIVOTS).cast("long")))
+        big = self.write(big.withColumn("pivot", F.col("home") & F.col("outside") & (chance == 0)), "big")
+        fresh = self.measured(big.select("region", "x", "comp", "d", F.col("pivot").alias("asks"), F.lit(True).alias("meets"), F.lit(1).alias("ni"), F.ceil(F.col("m") / CELL).alias("nj")))
+        rest = big.filter("NOT pivot")
+        far = self.write(rest.select("region", "x", "home").join(fresh.select("region", "x", "q", F.col("d").alias("dq")), ["region", "x"]), "far")
+        nearest = far.filter("home").groupBy("region", "x").agg(F.min(F.struct("dq", "q")).alias("near")).select("region", "x", "near.q", "near.dq")
+        nearest = self.write(nearest, "nearest")
+        radius = self.write(nearest.groupBy("region", "q").agg(F.max("dq").alias("r"), F.count("*").alias("h")), "radius")
+        sub = far.join(radius, ["region", "q"]).filter(F.col("dq") <= F.col("r") + self.t).join(nearest.select("region", "x", F.col("q").alias("own")), ["region", "x"], "left")
+        sub = self.write(sub.select("region", "x", "q", "dq", "h", (F.col("home") & (F.col("own") == F.col("q"))).alias("home")), "sub")
+        work = sub.groupBy("region", "q").agg((F.first("h") * F.count("*")).alias("work")).groupBy("region").agg(F.sum("work").alias("work"))
+        gain = self.write(work.join(big.groupBy("region").agg((F.first("a") * F.first("m")).alias("before")), "region").filter("2 * work <= before").select("region"), "gain")
+        new = sub.join(gain, "region").select(F.concat_ws("/", "region", F.col("q").cast("string")).alias("region"), "x", F.col("dq").alias("d"), "home")
+        return new, rest.join(gain, "region", "left_anti")
+
+    def join(self, pairs: DataFrame) -> DataFrame | None:
+        """pairs: (x, p), members and the pivots of their blocks, x = p too.  (node, root) of linked members, or None."""
+        region = F.col("p").cast("string").alias("region")
+        count = pairs.groupBy("p").agg(F.count("*").alias("m"), F.sum((F.col("x") != F.col("p")).cast("int")).alias("others")).filter("m > 1 AND others > 0")
+        count = self.write(count.select("p", F.ceil(F.col("others") / CELL).alias("nj")), "counts")
+        common = (F.lit(0).cast("long").alias("comp"), F.lit(0.0).alias("d"))
+        met = pairs.filter("x != p").join(count, "p").select(region, "x", *common, F.lit(False).alias("asks"), F.lit(True).alias("meets"), F.lit(1).alias("ni"), "nj")
+        asks = count.select(region, F.col("p").alias("x"), *common, F.lit(True).alias("asks"), F.lit(False).alias("meets"), F.lit(1).alias("ni"), "nj")
+        state = self.measured(met.union(asks)).select("region", "x", "d", F.lit(None).cast("boolean").alias("home"))
+        ready = []
+        while True:
+            live = self.live(state)
+            work = F.col("a") * F.col("m")
+            ready.append(live.filter(work <= BIG))
+            big = live.filter(work > BIG)
+            if not big.take(1):
+                break
+            state, dense = self.parted(big)
+            ready.append(dense)
+        found = []
+        for rows in ready:
+            cells = rows.select("region", "x", "comp", "d", F.col("home").alias("asks"), F.lit(True).alias("meets"), F.ceil(F.col("a") / CELL).alias("ni"), F.ceil(F.col("m") / CELL).alias("nj"))
+            found.append(self.write(_compared(cells, self.sets, self.percent, False), "links", 256))
+        for links in found[1:]:
+            found[0] = found[0].union(links)
+        self.add(found[0])
+        return self.roots
 
 
 def _digest(text: Column) -> Column:
@@ -235,7 +441,6 @@ def _digest(text: Column) -> Column:
 def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> DataFrame:
     """doc_id, digest of the text, n_shingles, component_id, a row for each row of df."""
     spark, path = df.sparkSession, work_dir(df.sparkSession, "jaccard")
-    t = 1 - percent / 100 + 1e-9
     docs = df.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
     survey = written(_survey(docs, gram), f"{path}/survey")
     digests = survey.filter("n IS NOT NULL")
@@ -247,69 +452,30 @@ def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> D
     reps = written(classes.select(_node(shift).alias("rep"), "n", "least", "row.at", "row.digest"), f"{path}/reps")
     members = written(digests.select("id", "digest", "n", F.when(F.col("n") > 0, _node(shift)).otherwise(F.col("id")).alias("rep")), f"{path}/members")
 
-    # Dealt by token once: the count of each and the join read the same exchange.
-    tokens = _blocks(docs, gram, percent, _frequent(survey), shift).filter("token IS NOT NULL AND x IS NOT NULL").repartition("token")
-    shared = tokens.groupBy("token").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo < hi").select("token")
-    dealt = tokens.join(shared, "token").distinct().join(reps.select(F.col("rep").alias("x"), "n", F.coalesce("least", F.lit(LAST_ID)).alias("least")), "x").select("token", "x", "n", "least")
-    several = written(dealt, f"{path}/dealt")
-    size = several.groupBy("token").agg(F.count("*").alias("size")).filter("size > 1")
-    state = written(several.join(size, "token").select("token", "x", "n", "least"), f"{path}/state0")
-    wanted = reps.join(state.select(F.col("x").alias("rep")).distinct(), "rep", "left_semi").select("at", "digest", "rep")
+    dealt = _blocks(docs.select(at.alias("at"), "text"), gram, percent, _frequent(survey), shift)
+    met = written(_first_of_blocks(dealt.repartition("spread").sortWithinPartitions("token", "at", "x")), f"{path}/met")
+    hot = met.filter("token IS NOT NULL").drop("p")
+    heads = hot.groupBy("token").agg(F.min(F.struct("at", "x")).alias("m")).select("token", F.col("m.x").alias("p"))  # MAX_FREQUENT at most
+    pairs = met.filter("token IS NULL").select("x", "p", "c").union(hot.join(F.broadcast(heads), "token").select("x", "p", "c"))
+    pairs = written(pairs.groupBy("x", "p").agg(F.sum("c").alias("c")), f"{path}/met_pairs")
+    most = F.ceil(percent * F.col("n") / 100)
+    partner = F.ceil(percent * most / 100)  # of the smallest set that x could link with, and so its blocks
+    shared = pairs.groupBy("x").agg(F.sum("c").alias("c")).join(reps.select(F.col("rep").alias("x"), "n"), "x")
+    need = F.least(1 + F.floor(most / MORE_BLOCKS), partner)
+    may_link = written(shared.filter(F.col("c") >= need).select("x", need.alias("need")), f"{path}/may_link")
+    # Two that link share `need` blocks of each; regions by which both together leave fewer are left, those with the fewest blocks first.
+    left = F.sum("c").over(Window.partitionBy("x").orderBy(F.col("x") == F.col("p"), "c", "p"))
+    pairs = pairs.join(may_link, "x").withColumn("left", left).filter("x = p OR 2 * left > need - 1")
+    pairs = written(pairs.select("x", "p"), f"{path}/pairs")
+    met = pairs.filter("x != p")
+    wanted = reps.join(met.select(F.col("x").alias("rep")).union(met.select("p")).distinct(), "rep", "left_semi").select("at", "digest", "rep")
     # Repeated rows are one text.
     found = docs.select(at.alias("at"), "digest", "text").join(wanted, ["at", "digest"]).dropDuplicates(["at", "digest"])
-    texts = written(found.select(F.col("rep").alias("id"), "text"), f"{path}/texts")
-    sketches = written(_sketches(texts, gram), f"{path}/sketches")
-    sizes = reps.select(F.col("rep").alias("a"), F.col("n").alias("na")), reps.select(F.col("rep").alias("b"), F.col("n").alias("nb"))
-    union = F.col("na") + F.col("nb") - F.col("common")
-    fits = F.least("n", "np") * 100 >= F.greatest("n", "np") * percent
-    sides = F.least("x", "p").alias("a"), F.greatest("x", "p").alias("b")
-    roots, known, round_ = None, None, 0
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """pairs (a, b) with d and linked; links are joined to the components."""
-        nonlocal roots, known
-        asked = pairs.distinct() if known is None else pairs.distinct().join(known, ["a", "b"], "left_anti")
-        fresh = _verified(asked, texts, gram).join(sizes[0], "a").join(sizes[1], "b")
-        fresh = written(fresh.select("a", "b", (1 - F.col("common") / union).alias("d"), (100 * F.col("common") >= percent * union).alias("linked")), f"{path}/fresh{round_}")
-        known = fresh.select("a", "b") if known is None else known.union(fresh.select("a", "b"))
-        links = fresh.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
-        if links.take(1):
-            roots = components(spark, links if roots is None else links.union(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
-        return fresh
-
-    def regrouped(frame: DataFrame) -> DataFrame:
-        """frame with comp, the root of x's component so far."""
-        if roots is None:
-            return frame.withColumn("comp", F.col("x"))
-        return frame.join(roots.select(F.col("node").alias("x"), "root"), "x", "left").withColumn("comp", F.coalesce("root", "x")).drop("root")
-
-    # The first round: one pivot for each block, by id, so that blocks with common members mostly have the same.
-    pivots = state.groupBy("token").agg(F.min(F.struct("least", "x", "n")).alias("m")).select("token", F.col("m.x").alias("p"), F.col("m.n").alias("np"))
-    met = state.join(pivots, "token").filter("x != p").select("token", "x", "n", "p", "np", *sides, fits.alias("fits"))
-    fresh = verified(met.filter("fits").select("a", "b"))
-    far = met.join(fresh, ["a", "b"], "left").select("token", "x", "n", "p", F.coalesce("linked", F.lit(False)).alias("linked"), F.coalesce("d", 1 - F.least("n", "np") / F.greatest("n", "np")).alias("d"))
-    outside = far.filter("NOT linked").groupBy("token").agg(F.min("d").alias("outside"))  # blocks without members outside are done
-    rest = far.join(outside, "token").filter(~F.col("linked") | (F.col("d") + t >= F.col("outside"))).select("token", "x", "n")
-    state, many = written(regrouped(rest), f"{path}/state1"), 16
-    while True:
-        round_ += 1
-        by_comp = state.groupBy("token", "comp").agg(F.count("*").alias("k"))
-        blocks = by_comp.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("main"), F.sum("k").alias("size"), F.count("*").alias("comps")).filter("comps > 1")
-        blocks = blocks.select("token", F.col("main.comp").alias("main"), (F.col("size") - F.col("main.k")).alias("others"))
-        chosen = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("token", "x", F.lit(round_)), F.greatest(F.lit(1).cast("long"), (F.col("others") / many).cast("long"))) == 0)
-        live = written(state.join(blocks, "token").select("token", "x", "n", "comp", chosen.alias("pivot")), f"{path}/live{round_}")
-        remove(spark, f"{path}/state{round_}")
-        if not live.take(1):
-            break
-        drawn = live.join(sketches, "x")  # only here: the sketches are wide
-        pivots = drawn.filter("pivot").select("token", F.col("x").alias("p"), F.col("n").alias("np"), F.col("bits").alias("pbits"), F.col("comp").alias("pcomp"))
-        same = drawn["token"] == pivots["token"]
-        # All of it is the join's condition: pairs that fail it are never rows.
-        met = drawn.join(pivots, same & (F.col("comp") != F.col("pcomp")) & fits & _may_link(percent)).select(*sides)
-        verified(met)
-        state = written(regrouped(live.filter("NOT pivot").drop("comp", "pivot")), f"{path}/state{round_ + 1}")
-        many *= 256
-    for name in ("survey", "classes", "dealt", "texts", "sketches"):
+    sets = written(_set_rows(found.select(F.col("rep").alias("x"), "text"), gram), f"{path}/sets", 256)
+    for name in ("survey", "classes", "met", "met_pairs", "may_link"):
+        remove(spark, f"{path}/{name}")
+    roots = _Regions(spark, f"{path}/regions", sets, percent).join(pairs)
+    for name in ("pairs", "sets", "regions"):
         remove(spark, f"{path}/{name}")
     own = reps.select("rep", "least")
     if roots is not None:
@@ -317,6 +483,8 @@ def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> D
         heads = linked.groupBy("root").agg(F.min("least").alias("head"))
         named = linked.join(heads, "root").select("rep", "head")
         own = own.join(named, "rep", "left").select("rep", F.coalesce("head", "least").alias("least"))
+    own = written(own, f"{path}/own")
+    remove(spark, f"{path}/reps")
     component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
     return members.join(own, "rep", "left").select(F.col("id").alias("doc_id"), "digest", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
@@ -327,11 +495,12 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """df without the documents that are linked, directly or not, to one with a smaller id; all columns stay."""
+    """df without the documents that are linked, directly or not, to one with a smaller id; all columns stay, whatever their names."""
     later = _joined(df, doc_id, text, GRAM, PERCENT).filter("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")
-    later = later.select(F.col("doc_id").alias("__later"), F.col("digest").alias("__digest")).distinct()
-    digest = _digest(F.coalesce(df[text].cast("string"), F.lit("")))
-    return df.join(later, df[doc_id].eqNullSafe(F.col("__later")) & (digest == F.col("__digest")), "left_anti")
+    ident, digest = fresh_name(df, "later_id"), fresh_name(df, "later_digest")
+    later = later.select(F.col("doc_id").alias(ident), F.col("digest").alias(digest)).distinct()
+    own = _digest(F.coalesce(df[text].cast("string"), F.lit("")))
+    return df.join(later, df[doc_id].cast("long").eqNullSafe(F.col(ident)) & (own == F.col(digest)), "left_anti")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

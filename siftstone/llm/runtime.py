@@ -29,18 +29,33 @@ def work_dir(spark: SparkSession, name: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """df written as Parquet and read back: its lineage ends there, and a lost executor loses nothing of it."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, path: str, rows: int | None = None) -> DataFrame:
+    """df written as Parquet and read back: its lineage ends there, and a lost executor loses nothing of it.
+
+    rows: how many wide rows at once go to Python at most.
+    """
     spark = df.sparkSession
-    before = spark.conf.get(_CLEANUP)
+    before = {_CLEANUP: spark.conf.get(_CLEANUP), _BATCH: spark.conf.get(_BATCH)}
     spark.conf.set(_CLEANUP, "true")
+    if rows:
+        spark.conf.set(_BATCH, rows)
     try:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(name for k in range(len(taken) + 1) if (name := f"{base}_{k}" if k else base) not in taken)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a written table that nothing reads any more."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

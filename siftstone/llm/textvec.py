@@ -1,10 +1,11 @@
 """Vectorised words, rolling hashes and winnowing over Arrow text buffers.
 
 All functions work on the UTF-8 bytes of many documents at once, so the cost
-per word is a few nanoseconds of numpy rather than a Python object.  Hashes
-are polynomial hashes modulo 2**64 over randomised byte values, followed by a
-bijective mixer; they depend on nothing but the bytes, so every executor gives
-the same value for the same words.
+per word is a few nanoseconds of numpy rather than a Python object.  A word's
+hash is the sum of random values of its (place, byte) pairs, followed by a
+bijective mixer, so that no structure of the letters can make two words meet;
+runs of words have polynomial hashes modulo 2**64 over those.  Hashes depend on
+nothing but the bytes: every executor gives the same value for the same words.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 #: Documents are grouped into slices of about this many bytes before numpy sees them.
 SLICE_BYTES = 1 << 20
 
-_WORD_BASE = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _GRAM_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -31,7 +32,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+def _values(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    return mix((place.astype(np.uint64) * np.uint64(256) + byte + np.uint64(1)) * _STEP)
+
+
+#: Values of the first places of a word; those further on are computed.
+_PLACES = 32
+_TABLE = _values(np.repeat(np.arange(_PLACES), 256), np.tile(np.arange(256, dtype=np.uint64), _PLACES))
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -80,10 +88,16 @@ def words_of(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words
     starts = np.flatnonzero(solid[1:-1] & (~solid[:-2] | cut[:-1]))
     ends = np.flatnonzero(solid[1:-1] & (~solid[2:] | cut[1:])) + 1
     first = np.searchsorted(starts, offsets)
-    power, inverse = _powers(_WORD_BASE, n + 1)
+    place = np.zeros(n, dtype=np.int32)
+    place[starts] = starts
+    place = np.arange(n, dtype=np.int32) - np.maximum.accumulate(place)
+    value = _TABLE[np.minimum(place, _PLACES - 1) << 8 | buf]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        value[far] = _values(place[far], buf[far])
     sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[buf] * power[:n], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(value, out=sums[1:])
+    hashes = mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))
     return Words(buf, starts, ends, first, hashes)
 
 
