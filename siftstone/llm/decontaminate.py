@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import ascii_lower, table
+from siftstone.llm.runtime import ascii_lower, fresh_name, table
 
 WINDOW = 10
 #: Windows, about 150 bytes each, that are broadcast at most.
@@ -30,6 +30,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD, -1), "")
 
 
+def _copy(text: Column) -> Column:
+    """Tells rows of one id apart by their texts."""
+    return F.sha2(text.cast("string").cast("binary"), 256)
+
+
 def _key(w: Column, at: Column, size: int) -> Column:
     """64-bit hash of the words w[at:at+size]."""
     return F.xxhash64(*[F.get(w, at + k) for k in range(size)])
@@ -51,7 +56,7 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     keyed = windows.select("n", F.coalesce(*[F.when(F.col("n") == n, F.xxhash64(*[F.get("window", k) for k in range(n)])) for n in lengths]).alias("key"), "window", "items")
     if sum(count.values()) <= MAX_BROADCAST:
         keyed = F.broadcast(keyed)
-    d = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("copy"), words(F.col(text)).alias("w"))
+    d = docs.select(F.col(doc_id).alias("doc_id"), _copy(F.col(text)).alias("copy"), words(F.col(text)).alias("w"))
     # Position -1 stands for the document itself: it keeps its word count, hits or not.
     at = d.select("doc_id", "copy", F.size("w").alias("n_words"), "w", F.explode(F.sequence(F.lit(-1), F.greatest(F.size("w") - lengths[0], F.lit(-1)))).alias("pos"))
     if len(lengths) == 1:
@@ -84,9 +89,10 @@ def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 
 
 def remove_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without those that hold a window of an item; all columns and all other rows stay."""
-    bad = contamination(docs, items, doc_id, text).filter("n_hit > 0").select(F.col("doc_id").alias("__bad_id"), F.col("copy").alias("__bad_copy")).distinct()
-    return docs.join(bad, docs[doc_id].eqNullSafe(F.col("__bad_id")) & (F.xxhash64(docs[text]) == F.col("__bad_copy")), "left_anti")
+    """docs without those that hold a window of an item; all columns, whatever their names, and all other rows stay."""
+    ident, copy = fresh_name(docs, "bad_id"), fresh_name(docs, "bad_copy")
+    bad = contamination(docs, items, doc_id, text).filter("n_hit > 0").select(F.col("doc_id").alias(ident), F.col("copy").alias(copy)).distinct()
+    return docs.join(bad, docs[doc_id].eqNullSafe(F.col(ident)) & (_copy(docs[text]) == F.col(copy)), "left_anti")
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,14 +20,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_ou
     """(text, label) of at most `rows` labelled rows that aren't held out, as a written table.
 
     Rows without a label or id are left out; an id that is labelled twice with
-    different labels is taken as 1 if any says so.
+    different labels is taken as 1 if any says so, and of several documents
+    with one id the least text stands for it.
     """
     picked = (
         labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), modulus) != held_out))
         .groupBy("doc_id").agg(F.max(label).alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").select("text", "label")
+    found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    found = found.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label")
     return written(found, work_dir(docs.sparkSession, "sample"))
 
 

@@ -12,16 +12,20 @@ reaches the class's threshold are merged to spans.  Allow-listed candidates
 span add nothing.
 
 Defined results: a null or empty text has no spans; rows are independent, so
-repeated rows give repeated results and an empty table an empty one; extra
-columns are not read.
+repeated rows give repeated results and an empty table an empty one; spans that
+begin at one place are in the order of KINDS; a text may be of any length that
+fits a task and hold any number of hits, the time grows in proportion to both;
+extra columns, of any name, are not read and stay.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import table
+from siftstone.llm.runtime import fresh_name, table
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -42,6 +46,27 @@ ALLOW = (
 )
 
 _SPAN = "struct<start:int,rank:int,end:int>"
+#: Steps whose results are appended one by one; lists of so many are then put together.
+_CHUNK = 128
+#: Spans up to which a text is cut by substring, which looks from the text's begin.
+_FEW = 32
+
+
+def _scan(steps: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """struct<pos, out>: step(pos, x) gives the next pos and a list of results for each x in turn; out is all of them."""
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(acc: Column, x: Column) -> Column:
+        pos, out = step(acc["pos"], x)
+        return F.struct(pos.alias("pos"), F.concat(acc["out"], out).alias("out"))
+
+    def some(acc: Column, chunk: Column) -> Column:
+        inner = F.aggregate(F.slice(chunk["steps"], chunk["at"], F.lit(_CHUNK)), F.struct(acc["pos"].alias("pos"), none.alias("out")), one)
+        return F.element_at(F.transform(F.array(inner), lambda r: F.struct(r["pos"].alias("pos"), F.concat(acc["out"], F.array(r["out"])).alias("out"))), 1)
+
+    bound = lambda xs: F.transform(F.sequence(F.lit(1), F.greatest(F.size(xs), F.lit(1)), F.lit(_CHUNK)), lambda k: F.struct(xs.alias("steps"), k.alias("at")))
+    chunks = F.flatten(F.transform(F.array(steps), bound))
+    return F.aggregate(chunks, F.struct(start.alias("pos"), F.array().cast(f"array<array<{kind}>>").alias("out")), some, lambda acc: F.struct(acc["pos"].alias("pos"), F.flatten(acc["out"]).alias("out")))
 
 
 def _spans(text: Column, pattern: str, rank: int, least: int) -> Column:
@@ -54,16 +79,15 @@ def _spans(text: Column, pattern: str, rank: int, least: int) -> Column:
     checked = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if least else found
     steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"), checked.alias("part"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["gap"])
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def step(pos: Column, x: Column) -> tuple[Column, Column]:
+        start = pos + F.length(x["gap"])
         end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"))
-        good = x["hit"].isNotNull() & (F.length(x["part"]) >= least)
-        return F.struct(end.alias("pos"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        return end, F.when(x["hit"].isNotNull() & (F.length(x["part"]) >= least), F.array(span)).otherwise(none)
 
-    none = F.array().cast(f"array<{_SPAN}>")
-    spans = F.aggregate(steps, F.struct(F.lit(0).alias("pos"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), spans).otherwise(none)
+    return F.when(text.rlike(pattern), _scan(steps, F.lit(0), step, _SPAN)["out"]).otherwise(none)
 
 
 def _weight(count: Column) -> Column:
@@ -108,30 +132,42 @@ def _entropy_spans(text: Column) -> Column:
     found = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     steps = F.arrays_zip(F.split(text, CANDIDATE, -1).alias("gap"), found.alias("hit"))
 
-    def step(acc: Column, x: Column) -> Column:
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def step(pos: Column, x: Column) -> tuple[Column, Column]:
         hit = x["hit"]
-        start = acc["pos"] + F.length(x["gap"])
+        start = pos + F.length(x["gap"])
         threshold = F.when(hit.rlike("^[0-9a-fA-F]+$"), THRESHOLDS["hex"]).when(hit.rlike("^[a-z0-9]+$"), THRESHOLDS["lower"]).otherwise(THRESHOLDS["mixed"])
         allowed = hit.rlike("^(?:" + "|".join(f"(?:{a})" for a in ALLOW[:-1]) + ")$") | hit.rlike(f"^{ALLOW[-1]}$")
         spans = F.transform(hot_windows(hit, threshold), lambda s: F.struct((start + s["start"]).alias("start"), F.lit(3).alias("rank"), (start + s["end"]).alias("end")))
-        out = F.when(hit.isNotNull() & ~allowed, F.concat(acc["out"], spans)).otherwise(acc["out"])
-        return F.struct((start + F.coalesce(F.length(hit), F.lit(0))).alias("pos"), out.alias("out"))
+        return start + F.coalesce(F.length(hit), F.lit(0)), F.when(hit.isNotNull() & ~allowed, spans).otherwise(none)
+
+    return F.when(text.rlike(CANDIDATE), _scan(steps, F.lit(0), step, _SPAN)["out"]).otherwise(none)
+
 
+def _outside(added: Column, base: Column) -> Column:
+    """The spans of added, in order, that lie in none of base: in one sweep over both, by the farthest end so far."""
+    both = F.array_sort(F.concat(F.transform(base, lambda s: F.struct(s["start"].alias("start"), F.lit(0).alias("own"), s["rank"].alias("rank"), s["end"].alias("end"))), F.transform(added, lambda s: F.struct(s["start"].alias("start"), F.lit(1).alias("own"), s["rank"].alias("rank"), s["end"].alias("end")))))
     none = F.array().cast(f"array<{_SPAN}>")
-    spans = F.aggregate(steps, F.struct(F.lit(0).alias("pos"), none.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(CANDIDATE), spans).otherwise(none)
+
+    def step(cover: Column, s: Column) -> tuple[Column, Column]:
+        free = (s["own"] == 1) & (s["end"] > cover)
+        return F.when(s["own"] == 0, F.greatest(cover, s["end"])).otherwise(cover), F.when(free, F.array(F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end")))).otherwise(none)
+
+    return F.when((F.size(added) == 0) | (F.size(base) == 0), added).otherwise(_scan(both, F.lit(-1), step, _SPAN)["out"])
 
 
 def scan_secrets(df: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
-    """df with column `out`: struct<base, added>, arrays of struct<start,rank,end> in code points.
+    """df with a last column `out`: struct<base, added>, arrays of struct<start,rank,end> in code points.
 
-    rank is the index in KINDS; both arrays are sorted by start, then rank.
+    rank is the index in KINDS; both arrays are sorted by start, then rank.  df has no column `out` before.
     """
+    if out.lower() in map(str.lower, df.columns):
+        raise ValueError(f"there is a column {out} already")
     t = F.coalesce(F.col(text), F.lit(""))
     base = F.array_sort(F.concat(_spans(t, ASSIGN, 0, 6), _spans(t, ACCESS, 1, 0), _spans(t, HEX, 2, 0)))
     step = df.withColumn(out, F.struct(base.alias("base"), _entropy_spans(t).alias("added")))
-    added = F.filter(F.col(out)["added"], lambda a: ~F.exists(F.col(out)["base"], lambda b: (b["start"] <= a["start"]) & (a["end"] <= b["end"])))
-    return step.withColumn(out, F.struct(F.col(out)["base"].alias("base"), added.alias("added")))
+    return step.withColumn(out, F.struct(F.col(out)["base"].alias("base"), _outside(F.col(out)["added"], F.col(out)["base"]).alias("added")))
 
 
 def _shown(spans: Column) -> Column:
@@ -142,21 +178,32 @@ def _shown(spans: Column) -> Column:
 def redact(df: DataFrame, text: str = "text", mark: str = "[REDACTED]", length: str | None = None) -> DataFrame:
     """df with each found span of `text` replaced by mark; texts without spans stay as they are (null too).
 
-    length: a column that holds the number of characters; it is set anew where the text changes.
+    Spans that overlap are one.  length: a column that holds the number of
+    characters; it is set anew where the text changes.
     """
-    found = scan_secrets(df, text, "__secrets")
-    spans = F.array_sort(F.concat(F.col("__secrets")["base"], F.col("__secrets")["added"]))
-
-    def step(acc: Column, s: Column) -> Column:
-        apart = s["start"] >= acc["pos"]
-        gap = F.when(apart, F.concat(F.substring(F.col(text), acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), F.concat(acc["out"], gap).alias("out"))
-
-    clean = F.aggregate(spans, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["pos"] + 1, F.length(F.col(text)))))
-    found = found.withColumn("__hit", F.size(spans) > 0).withColumn(text, F.when(F.col("__hit"), clean).otherwise(F.col(text)))
+    secrets, gaps = fresh_name(df, "secrets"), fresh_name(df, "gaps")
+    found = scan_secrets(df, text, secrets)
+    spans = F.array_sort(F.concat(F.col(secrets)["base"], F.col(secrets)["added"]))
+    none = F.array().cast("array<struct<from:int,to:int>>")
+
+    def step(pos: Column, s: Column) -> tuple[Column, Column]:
+        gap = F.array(F.struct(pos.alias("from"), s["start"].alias("to")))
+        return F.greatest(pos, s["end"]), F.when(s["start"] >= pos, gap).otherwise(none)
+
+    found = found.withColumn(gaps, F.when(F.size(spans) > 0, _scan(spans, F.lit(0), step, "struct<from:int,to:int>")))
+    kept, end, whole = F.col(gaps)["out"], F.col(gaps)["pos"], F.col(text)
+
+    def joined(cut: Callable[[Column, Column], Column]) -> Column:
+        pieces = F.transform(kept, lambda g: cut(g["from"], g["to"] - g["from"]))
+        return F.concat(F.array_join(pieces, mark), F.lit(mark), cut(end, F.length(whole)))
+
+    few = joined(lambda at, n: F.substring(whole, at + 1, n))
+    many = F.element_at(F.transform(F.array(F.split(whole, "")), lambda chars: joined(lambda at, n: F.array_join(F.slice(chars, at + 1, n), ""))), 1)
+    clean = F.when(F.col(gaps).isNull(), whole).when(F.size(kept) <= _FEW, few).otherwise(many)
+    new = {text: clean}
     if length in df.columns:
-        found = found.withColumn(length, F.when(F.col("__hit"), F.length(text).cast(df.schema[length].dataType)).otherwise(F.col(length)))
-    return found.drop("__secrets", "__hit")
+        new[length] = F.when(F.col(gaps).isNull(), F.col(length)).otherwise(F.length(clean).cast(df.schema[length].dataType))
+    return found.withColumns(new).drop(secrets, gaps)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

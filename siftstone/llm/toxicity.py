@@ -1,13 +1,23 @@
 """Toxicity by a weighted lexicon.
 
 Texts are folded (lower case, accents kept, look-alike letters and digit
-substitutions mapped to plain letters, everything but letters to one space)
-and searched by an Aho-Corasick automaton.  Entries are words or stems at a
-word's begin, weighted by the log-odds of their occurrence in toxic and clean
-labelled documents; exception phrases (two words around an entry that clean
-documents repeat and toxic ones don't have) hide the entries inside them.  The
-weighted hits are normalised by a power of the number of words, and a logistic
-curve fitted on the sample turns that to a score.
+substitutions mapped to plain letters, everything but letters and their marks
+to one space; in scripts without spaces each character is a word) and searched
+by an Aho-Corasick automaton.  Entries are words or stems at a word's begin, or
+two to four characters of a script without spaces, weighted by the log-odds of
+their occurrence in toxic and clean labelled documents; exception phrases (two
+words around an entry that clean documents repeat and toxic ones don't have)
+hide the entries inside them.  The weighted hits are normalised by a power of
+the number of words, and a logistic curve fitted on the sample turns that to a
+score.
+
+Defined results: a null or empty text, or one without letters, has no hits and
+the score of none; rows are independent, so repeated rows and ids give repeated
+results, a null id is kept, and an empty table gives an empty one; of entries
+that begin at one place the longest counts; a text may be of any length that
+fits a task, searching it takes time in proportion; a score of just the
+threshold is toxic; extra columns, of any name, are not read, and keep_clean
+keeps them.  Labels without an id or a value are left out.
 """
 
 from __future__ import annotations
@@ -20,6 +30,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,16 +47,25 @@ LEAST_DOCS, LEAST_ODDS = 6, 1.2
 _ALIKE = dict(zip("аеорсухівкмнтԁѕјһαοερυνικτ", "aeopcyxibkmhtdsjhaoepuvikt", strict=True))
 _ALIKE |= {chr(0xFF41 + k): chr(0x61 + k) for k in range(26)}
 _DIGITS = dict(zip("013457@$!", "oieastasi", strict=True))
-_FOLD = str.maketrans(_ALIKE)
+_FOLD, _LOOKS, _TYPES = str.maketrans(_ALIKE), re.compile(f"[{''.join(_ALIKE)}]"), re.compile("[013457@$!]")
 _TYPED = re.compile(r"(?<=[^\W\d_])[013457@$!]+(?=[^\W\d_])|(?<![\w@$!])[013457@$]+(?=[^\W\d_])")
-_OTHER = re.compile(r"[^a-zß-öø-ÿĀ-ɏͰ-ԯ一-鿿]+")
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+#: Han, kana, Thai, Lao, Burmese and Khmer.
+_UNSPACED = re.compile("[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]")
+_FEW, _MANY = 2, 4  # characters of an entry of these
 
 
 def fold(text: str) -> str:
     """Folded words, each led by a space, with a space at the end."""
-    text = text.lower().translate(_FOLD)
-    text = _TYPED.sub(lambda m: "".join(map(_DIGITS.__getitem__, m[0])), text)
-    return " " + _OTHER.sub(" ", text).strip() + " "
+    text = text.lower()
+    if _LOOKS.search(text):
+        text = text.translate(_FOLD)
+    if _TYPES.search(text):
+        text = _TYPED.sub(lambda m: "".join(map(_DIGITS.__getitem__, m[0])), text)
+    text = _OTHER.sub(" ", text).strip()
+    if _UNSPACED.search(text):
+        text = " ".join(_UNSPACED.sub(r" \g<0> ", text).split())
+    return f" {text} "
 
 
 def stems(word: str) -> Iterator[str]:
@@ -56,6 +76,19 @@ def stems(word: str) -> Iterator[str]:
         yield f" {word} "
 
 
+def terms(folded: str) -> Iterator[str]:
+    """What may be an entry."""
+    words = folded.split()
+    for w in set(words):
+        yield from stems(w)
+    if _UNSPACED.search(folded):
+        alone = [bool(_UNSPACED.match(w)) for w in words]
+        for k in range(len(words)):
+            for n in range(_FEW, _MANY + 1):
+                if k + n <= len(words) and all(alone[k : k + n]):
+                    yield f" {' '.join(words[k : k + n])} "
+
+
 @dataclass
 class Lexicon:
     weights: dict[str, float]
@@ -91,9 +124,13 @@ class Lexicon:
                 hidden.append((start, end))
             elif len(entry) > len(best.get(start, "")):
                 best[start] = entry
-        for start, entry in best.items():
-            if not any(a <= start and start + len(entry) - 1 <= b for a, b in hidden):
-                yield entry, start
+        hidden.sort()
+        k, cover = 0, -1  # the farthest end of the exceptions that begin so far
+        for start in sorted(best):
+            while k < len(hidden) and hidden[k][0] <= start:
+                k, cover = k + 1, max(cover, hidden[k][1])
+            if start + len(best[start]) - 1 > cover:
+                yield best[start], start
 
     def total(self, text: str) -> tuple[float, int]:
         """(sum of weights, number of words)."""
@@ -128,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
         return Lexicon({})
     odds = F.log((F.col("toxic") + 0.5) / (n_bad + 1)) - F.log((F.col("clean") + 0.5) / (n_good + 1))
     gain = F.col("toxic") / n_bad - F.col("clean") / n_good
-    found = _counts(texts, lambda t: (s for w in set(fold(t).split()) for s in stems(w))).filter(f"toxic >= {LEAST_DOCS}")
+    found = _counts(texts, lambda t: terms(fold(t))).filter(f"toxic >= {LEAST_DOCS}")
     found = found.select("term", "toxic", "clean", odds.alias("odds"), gain.alias("gain")).filter(F.col("odds") >= LEAST_ODDS)
     top = found.orderBy(F.desc("gain"), "term").limit(20 * MAX_ENTRIES).collect()  # bounded
     chosen: dict[str, tuple[float, int, int]] = {}
@@ -190,8 +227,13 @@ def score_documents(df: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", tex
 
 def keep_clean(df: DataFrame, lexicon: Lexicon, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of df whose text scores below threshold, with all their columns."""
-    toxic = F.pandas_udf(lambda s: s.map(lambda t: lexicon.score(t or "")), "double")
-    return df.filter(toxic(F.col(text).cast("string")) < threshold)
+    at = df.columns.index(text)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([lexicon.score(str(t.as_py() or "")) < threshold for t in b.column(at)], pa.bool_()))
+
+    return df.mapInArrow(work, df.schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

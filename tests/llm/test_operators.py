@@ -104,6 +104,76 @@ def test_jaccard_join_on_many_near_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()} == brute_components(rows)
 
 
+def near_copies(rng, groups, size, words=60, edits=5):
+    rows = []
+    for g in range(groups):
+        base = [f"q{g}_{i}" for i in range(words)]
+        for _ in range(size):
+            w = list(base)
+            for _ in range(rng.randint(0, edits)):
+                w[rng.randrange(words)] = f"z{rng.randrange(10**6)}"
+            rows.append(" ".join(w))
+        rows += [" ".join(base[: words // 3] + [f"u{rng.randrange(10**6)}" for _ in range(words // 3)]) for _ in range(size // 3)]  # a shared passage
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("cell, big, hot", [(160, 200_000, 200), (7, 60, 4), (3, 10_000, 1)])
+def test_jaccard_join_parts_regions(spark, monkeypatch, cell, big, hot):
+    from siftstone.llm import jaccard_join as J
+
+    for name, value in (("CELL", cell), ("BIG", big), ("HOT", hot), ("PIVOTS", 4)):
+        monkeypatch.setattr(J, name, value)
+    rows = near_copies(random.Random(cell), 3, 50)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(df).collect()} == brute_components(rows)
+
+
+def test_jaccard_links_at_the_threshold(spark):
+    from siftstone.llm.jaccard_join import jaccard_components
+
+    # Sets of 24 and 28 shingles that share 24 of 32 (a link), and of 23 of 32 (none); ties of distance; short sequences.
+    w = [f"a{i}" for i in range(60)]
+    rows = [(1, " ".join(w[:32])), (2, " ".join(w[4:32])), (3, " ".join(w[:28])), (4, " ".join(w[8:36])), (5, "a0 a1"), (6, "A0\ta1"), (7, "a1 a0")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()}
+    assert got == brute_components(rows)
+
+
+def thue_morse(k):
+    s = "a"
+    for _ in range(k):
+        s += s.translate(str.maketrans("ab", "ba"))
+    return s, s.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_of_one_polynomial_hash_are_apart(spark):
+    from siftstone.llm.jaccard_join import jaccard_components
+    from siftstone.llm.substring_dedup import remove_repeats
+
+    a, b = thue_morse(12)
+    tail = [f"t{i}" for i in range(12)]
+    rows = [(1, " ".join([a, *tail])), (2, " ".join([b, *tail])), (3, " ".join([*tail[:4], a, *tail[4:8]])), (4, " ".join([*tail[:4], b, *tail[4:8]]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()} == brute_components(rows)
+    assert all(r.n_removed == 0 for r in remove_repeats(df).collect())
+
+
+def test_columns_of_any_name_pass(spark):
+    from siftstone.llm.decontaminate import remove_documents
+    from siftstone.llm.jaccard_join import keep_first
+    from siftstone.llm.secrets import redact, scan_secrets
+
+    text = 'token = "abcdef123456"'
+    clash = ["later_id", "later_digest", "__later", "__digest", "__bad_id", "__bad_copy", "bad_id", "bad_copy", "__secrets", "__hit", "secrets", "hit", "found", "hits", "x", "p", "n"]
+    df = spark.createDataFrame([(1, text, *range(len(clash))), (2, text, *range(len(clash)))], "doc_id long, text string, " + ", ".join(f"`{c}` long" for c in clash))
+    items = spark.createDataFrame([(1, "no such words here")], "item_id long, text string")
+    for out, n in ((keep_first(df), 1), (remove_documents(df, items), 2), (redact(df), 2), (scan_secrets(df, out="spans"), 2)):
+        rows = out.collect()
+        assert out.columns[: len(df.columns)] == df.columns and len(rows) == n
+        assert all([r[c] for c in clash] == list(range(len(clash))) for r in rows)
+
+
 def test_jaccard_join_tells_rows_of_one_id_apart(spark):
     from siftstone.llm.jaccard_join import jaccard_components, keep_first
 
@@ -284,6 +354,31 @@ def test_secret_scan(docs, empty, spark):
     assert scan_secrets(empty).count() == 0
 
 
+def test_secrets_of_long_texts(spark):
+    import time
+
+    from siftstone.llm.secrets import redact, scan_secrets
+
+    rng, parts = random.Random(9), []
+    for k in range(12_000):
+        parts.append(rng.choice([f"password={rng.randrange(10**9):09d}é", "AKIA" + "Q7" * 9, f"{rng.randrange(16**30):032x}", "plain wörds", "kJ8fQ2zLx9VbT4mW7sYpR3aN6cHd", f"secret: {rng.randrange(16**30):032x}"]))
+    text = " ".join(parts)
+    df = spark.createDataFrame([(1, text, 7), (2, None, 8), (3, "", 9)], "doc_id long, text string, n_chars int")
+    began = time.time()
+    rows = {r.doc_id: r for r in scan_secrets(df, out="spans").collect()}
+    expected = sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(BASES) for m in p.finditer(text) if ok(m))
+    assert [tuple(s) for s in rows[1].spans.base] == expected
+    spans, out, pos = sorted([*map(tuple, rows[1].spans.base), *map(tuple, rows[1].spans.added)]), [], 0
+    for start, _, end in spans:
+        if start >= pos:
+            out += [text[pos:start], "[REDACTED]"]
+        pos = max(pos, end)
+    clean = {r.doc_id: r for r in redact(df, length="n_chars").collect()}
+    assert clean[1].text == "".join(out) + text[pos:] and clean[1].n_chars == len(clean[1].text)
+    assert (clean[2].text, clean[2].n_chars, clean[3].text, clean[3].n_chars) == (None, 8, "", 9)
+    assert time.time() - began < 90
+
+
 def test_entropy_windows_are_incremental_counts(spark):
     from siftstone.llm.secrets import hot_windows
 
