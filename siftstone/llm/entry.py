@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftstone.llm.bpe import op4_byte_bpe
 from siftstone.llm.decontaminate import OP5_SQL, op5_benchmark_decontamination
-from siftstone.llm.jaccard_join import op3_jaccard_join
+from siftstone.llm.jaccard_join import OP3_SQL, op3_jaccard_join
 from siftstone.llm.media import op8_transport_stream
 from siftstone.llm.quality import op2_quality_ranking
 from siftstone.llm.secrets import op10_secret_scan
-from siftstone.llm.substring_dedup import op1_substring_dedup
+from siftstone.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from siftstone.llm.token_counts import op6_token_counts
 from siftstone.llm.toxicity import op9_toxicity
 from siftstone.llm.warc import OP7_SQL, op7_warc
@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_benchmark_decontamination": OP5_SQL, "op7_warc": OP7_SQL}
+    return {"op1_substring_dedup": OP1_SQL, "op3_jaccard_join": OP3_SQL, "op5_benchmark_decontamination": OP5_SQL, "op7_warc": OP7_SQL}

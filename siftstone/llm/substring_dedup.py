@@ -205,4 +205,16 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", si
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS k FROM d, unnest(range(1, len(w) - 11)) AS t(i) WHERE len(w) >= 13),
+least AS (SELECT k, min(doc_id) AS f FROM win GROUP BY k),
+cov AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (k) WHERE f < doc_id),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN cov USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
