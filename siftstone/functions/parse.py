@@ -8,12 +8,17 @@ bonus is 0 but an unreadable one is not.
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
+from decimal import Decimal
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-VALUE = "decimal(20,6)"
+VALUE, EARNINGS = "decimal(20,6)", "decimal(18,2)"
+#: Digits as they are read, before a unit multiplies them.
+WIDE = "decimal(28,6)"
 
 # Formats of the input texts.
 COUNT = r"(?i)^(?:已售|月銷)?\s*(\d[\d,]*(?:\.\d+)?)\s*(萬|万|千|k)?\s*(\+)?\s*(?:sold|已售|件)?$"
@@ -36,34 +41,63 @@ def nfkc(text: Column) -> Column:
     return run(text)
 
 
+@cache
+def _compatibility() -> tuple[str, str, dict[str, str]]:
+    """Characters that NFKC turns to one other, these, and those that it turns to several."""
+    one, many = {}, {}
+    for k in range(0x80, 0x110000):
+        if not 0xAC00 <= k < 0xD7A4 and (to := unicodedata.normalize("NFKC", chr(k))) != chr(k):
+            (one if len(to) == 1 else many)[chr(k)] = to
+    return "".join(one), "".join(one.values()), many
+
+
+#: What Python's strip() takes away, as far as NFKC leaves it.
+_BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u1680\u2028\u2029"
+
+
 def narrow(text: Column) -> Column:
-    """The built-in part of nfkc(): full-width ASCII and the ideographic space to plain ones, trimmed."""
-    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
-    return F.trim(F.translate(text, wide, "".join(chr(c) for c in range(0x21, 0x7F)) + " "))
+    """nfkc() by built-in functions, character by character: only composition of marks is left out, which no format here has."""
+    one, to, many = _compatibility()
+    table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair if pair[1].isascii()])
+    wide = F.translate(text, one, to)
+    wide = F.when(F.translate(wide, "".join(many), "") != wide, F.array_join(F.transform(F.split(wide, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")).otherwise(wide)
+    return F.btrim(F.when(F.length(text) == F.octet_length(text), text).otherwise(wide), F.lit(_BLANKS))
 
 
-def _number(raw: Column, t: Column, pattern: str, unit: Column | None = None, plus: Column | None = None) -> Column:
-    digits = F.regexp_replace(F.regexp_extract(t, pattern, 1), ",", "")
-    value = digits.try_cast(VALUE) if hasattr(digits, "try_cast") else F.expr("NULL")
-    value = (value * unit).cast(VALUE) if unit is not None else value
-    blank = F.coalesce(t, F.lit("")) == ""
-    matched = t.rlike(pattern) & value.isNotNull()
-    return F.struct(
-        raw.alias("raw"),
-        F.when(~blank & matched, value).alias("value"),
-        F.when(~blank & matched & (plus if plus is not None else F.lit(False)), True).otherwise(False).alias("plus"),
-        (blank | F.coalesce(matched, F.lit(False))).alias("ok"),
-    )
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once for a row, however often it occurs; the optimizer does not take it apart."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _groups(text: Column, pattern: str, n: int) -> Column:
+    """The n groups of the pattern, which matches whole texts, by a single match; null without one."""
+    mark = "\x00"
+    found = F.regexp_replace(F.translate(text, mark, " "), pattern, mark.join(f"${k}" for k in range(1, n + 1)) + mark)
+    return _once(found, lambda f: F.when(F.contains(f, F.lit(mark)), F.split(f, mark)))
+
+
+def _number(raw: Column, text: Column, pattern: str, n: int = 1, factor: Callable[[Column], Column] | None = None, plus: Callable[[Column], Column] | None = None) -> Column:
+    """A value that does not fit is unreadable."""
+
+    def read(x: Column) -> Column:
+        groups = x["groups"]
+        value = F.replace(F.get(groups, 0), F.lit(","), F.lit("")).try_cast(WIDE)
+        value = (value * factor(groups) if factor else value).try_cast(VALUE)
+        return F.struct(x["blank"].alias("blank"), value.alias("value"), (F.coalesce(plus(groups), F.lit(False)) if plus else F.lit(False)).alias("plus"))
+
+    def shown(x: Column) -> Column:
+        known = x["value"].isNotNull()
+        return F.struct(raw.alias("raw"), x["value"].alias("value"), (known & x["plus"]).alias("plus"), (x["blank"] | known).alias("ok"))
+
+    bound = _once(text, lambda t: F.struct((F.coalesce(t, F.lit("")) == "").alias("blank"), _groups(t, pattern, n).alias("groups")))
+    return _once(_once(bound, read), shown)
 
 
 def parse_count(raw: Column, clean=narrow) -> Column:
     """3萬+ -> 30000 with plus; thousands commas, decimals, units, an optional prefix and suffix."""
-    t = clean(raw)
-    unit = F.lower(F.regexp_extract(t, COUNT, 2))
-    factor = F.lit(1).cast("decimal(6,0)")
-    for name, n in UNITS.items():
-        factor = F.when(unit == name, F.lit(n).cast("decimal(6,0)")).otherwise(factor)
-    return _number(raw, t, COUNT, factor, F.regexp_extract(t, COUNT, 3) == "+")
+    units = F.create_map(*[F.lit(x) for name, n in UNITS.items() for x in (name, Decimal(n))])
+    factor = lambda g: F.coalesce(F.element_at(units, F.lower(F.get(g, 1))), F.lit(Decimal(1)))
+    return _number(raw, clean(raw), COUNT, 3, factor, lambda g: F.get(g, 2) == "+")
 
 
 def parse_price(raw: Column, clean=narrow) -> Column:
@@ -82,11 +116,12 @@ def parse_stores(raw: Column, clean=narrow) -> Column:
 
 def parse_date(raw: Column, clean=narrow) -> Column:
     """struct<value date, ok>: blank is (null, ok), an impossible or strange date (null, not ok)."""
-    t = clean(raw)
-    parts = [F.regexp_extract(t, DATE, k) for k in (1, 2, 3)]
-    value = F.try_to_date(F.concat_ws("-", parts[0], F.lpad(parts[1], 2, "0"), F.lpad(parts[2], 2, "0")), "yyyy-MM-dd")
-    value = F.when(t.rlike(DATE), value)
-    return F.struct(value.alias("value"), ((F.coalesce(t, F.lit("")) == "") | value.isNotNull()).alias("ok"))
+
+    def read(t: Column) -> Column:
+        date = _once(_groups(t, DATE, 3), lambda g: F.try_to_date(F.concat(F.get(g, 0), F.lit("-"), F.lpad(F.get(g, 1), 2, "0"), F.lit("-"), F.lpad(F.get(g, 2), 2, "0")), "yyyy-MM-dd"))
+        return _once(date, lambda d: F.struct(d.alias("value"), ((F.coalesce(t, F.lit("")) == "") | d.isNotNull()).alias("ok")))
+
+    return _once(clean(raw), read)
 
 
 def state(number: Column) -> Column:
@@ -117,13 +152,14 @@ def per_order(price: Column, rate: Column, sv: Column, bonus: Column) -> Column:
     """struct<value decimal(18,2), kind>: price x (sv + bonus) % if sv is known ('real'), else price x rate % ('estimate').
 
     A blank bonus is 0; an unreadable sv or bonus leads to the estimate.
-    Products are exact, rounded half up once.
+    Products are exact, rounded half up once; earnings of 10**16 or more, and
+    percentages of 10**8 or more, are unknown.
     """
-    cent = F.lit("0.01").cast("decimal(3,2)")
 
     def earn(percent: Column) -> Column:
-        exact = price["value"].cast("decimal(14,4)") * percent.cast("decimal(12,4)") * cent
-        return F.round(exact, 2).cast("decimal(18,2)")
+        # The product in hundredths: rounded to a whole number it is the earnings in cents.
+        exact = price["value"] * percent.try_cast("decimal(14,6)")
+        return (F.round(exact, 0).cast("decimal(27,0)") * F.lit(Decimal("0.01"))).try_cast(EARNINGS)
 
     zero = F.lit(0).cast(VALUE)
     use_sv = sv["value"].isNotNull() & sv["ok"] & bonus["ok"]

@@ -156,20 +156,28 @@ def first_rows(offers: DataFrame) -> DataFrame:
 
 
 def done_hits(rules: Rules) -> Column:
-    """array<struct<policy, same, label>> of the done list's entries that fit, in its order."""
+    """array<struct<policy, same, label>> of the done list's entries that fit, in its order.
+
+    The list is one constant that one function goes over, so the plan does not grow with it.
+    """
     alias = rules.alias()
-    out = []
-    for brand, series in rules.done:
-        if not brand:
-            continue
-        canonical = alias.get(brand.casefold(), brand).casefold()
-        fits = (F.lower("brand") == canonical) & (F.col("brand") != "") | ((F.col("brand") == "") & F.startswith("name", F.lit(brand)))
-        if len(brand) >= 2:
-            fits = fits | F.contains(F.lower("name"), F.lit(brand.casefold()))
-        same = F.lit(not series) | F.contains("series", F.lit(series)) | F.contains("name", F.lit(series))
+    entries = [(b, alias.get(b.casefold(), b).casefold(), b.casefold(), s or "", f"{b}｜{s}" if s else b) for b, s in rules.done if b]
+    if not entries:
+        return F.array().cast("array<struct<policy:string,same:boolean,label:string>>")
+    names = ("brand", "canonical", "folded", "series", "label")
+    listed = F.arrays_zip(*[array_of(column).alias(n) for n, column in zip(names, zip(*entries, strict=True), strict=True)])
+    brand, name, low, series = F.col("brand"), F.col("name"), F.lower("name"), F.col("series")
+
+    def fits(d: Column) -> Column:
+        same = (brand != "") & (F.lower(brand) == d["canonical"]) | (brand == "") & F.startswith(name, d["brand"])
+        return same | (F.length(d["brand"]) >= 2) & F.contains(low, d["folded"])
+
+    def hit(d: Column) -> Column:
+        same = (d["series"] == "") | F.contains(series, d["series"]) | F.contains(name, d["series"])
         policy = F.when(same, rules.done_policy["same_brand_same_series"]).otherwise(rules.done_policy["same_brand_other_series"])
-        out.append((fits, F.struct(policy.alias("policy"), same.alias("same"), F.lit(f"{brand}｜{series}" if series else brand).alias("label"))))
-    return when_list(*out) if out else F.array().cast("array<struct<policy:string,same:boolean,label:string>>")
+        return F.struct(policy.alias("policy"), same.alias("same"), d["label"].alias("label"))
+
+    return F.transform(F.filter(listed, fits), hit)
 
 
 def reason(code: str | Column, text: Column | str) -> Column:

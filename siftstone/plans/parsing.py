@@ -120,8 +120,8 @@ def per_order_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select("price", "rate", "sv", "svb", pay.alias("p")).groupBy("price", "rate", "sv", "svb", F.col("p.value").alias("value"), F.col("p.kind").alias("kind")).agg(F.count("*").alias("n"))
 
 
-PAY_SQL = """CASE WHEN c.value IS NULL THEN NULL WHEN s.value IS NOT NULL AND b.state <> 'unreadable' THEN CAST(round(CAST(c.value AS DECIMAL(14,4)) * CAST(s.value + coalesce(b.value, 0) AS DECIMAL(12,4)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2))
- WHEN r.value IS NOT NULL THEN CAST(round(CAST(c.value AS DECIMAL(14,4)) * CAST(r.value AS DECIMAL(12,4)) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(18,2)) END"""
+PAY_SQL = """CASE WHEN c.value IS NULL THEN NULL WHEN s.value IS NOT NULL AND b.state <> 'unreadable' THEN CAST(round(c.value * CAST(s.value + coalesce(b.value, 0) AS DECIMAL(14,6)), 0) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))
+ WHEN r.value IS NOT NULL THEN CAST(round(c.value * CAST(r.value AS DECIMAL(14,6)), 0) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2)) END"""
 KIND_SQL = "CASE WHEN c.value IS NULL THEN NULL WHEN s.value IS NOT NULL AND b.state <> 'unreadable' THEN 'real' WHEN r.value IS NOT NULL THEN 'estimate' END"
 register(
     "per_order_half_up", per_order_half_up,

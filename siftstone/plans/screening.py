@@ -12,7 +12,7 @@ from siftstone.catalogue import register
 from siftstone.functions import parse
 from siftstone.operators import offers as O
 from siftstone.plans import parsing as P
-from siftstone.plans.shared import row_index, table, written
+from siftstone.plans.shared import indexed_table, row_index, table, written
 
 TODAY = date(1999, 1, 1)
 RULES = O.Rules(
@@ -34,7 +34,7 @@ _RAW = {
 
 def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sixteen text fields, name and idx."""
-    lines = row_index(table(spark, sf_dir, "lineitem"), _LINE.split(", "))
+    lines = indexed_table(spark, sf_dir, "lineitem", _LINE.split(", "))
     joined = lines.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     blank = {f: F.lit("") for f in O.FIELDS if f not in _RAW}
     return joined.select("idx", *[F.expr(e).alias(f) for f, e in _RAW.items()], *[c.alias(f) for f, c in blank.items()]).withColumn("name", F.col("title"))

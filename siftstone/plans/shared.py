@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, a temporary one where it is unset (one machine)."""
+    """The folder in spark.checkpoint.dir; where it is unset on one machine, a temporary one that goes with the process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="siftstone-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
@@ -34,22 +38,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def row_index(df: DataFrame, order: list[Column | str], name: str = "idx") -> DataFrame:
     """df with 1, 2, ... in the given order, without sending all rows to one task.
 
-    Rows are range-partitioned and written once, numbered within their
-    partition, and shifted by the sizes of the partitions before it.
+    Rows are range-partitioned, sorted and written once with their place in
+    their partition, which is then shifted by the sizes of the partitions before.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = written(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()), "ranged")
-    sizes = ranged.groupBy("__part").count().collect()  # a row for each partition
+    spark, bits = df.sparkSession, 33  # as monotonically_increasing_id() has it: partition, then place
+    parts, at = int(spark.conf.get("spark.sql.shuffle.partitions")), f"{name}__at"
+    ranged = written(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(at, F.monotonically_increasing_id()), "ranged")
+    sizes = ranged.groupBy(F.shiftright(at, bits).alias("part")).count().collect()  # a row for each partition
     before, total = [], 0
-    for r in sorted(sizes, key=lambda r: r["__part"]):
-        before.append((r["__part"], total))
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        before += [F.lit(r["part"]).cast("long"), F.lit(total).cast("long")]
         total += r["count"]
-    if not before:
-        return ranged.drop("__part").withColumn(name, F.lit(1).cast("long"))
-    shift = F.create_map(*[F.lit(x) for pair in before for x in pair])
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return ranged.withColumn(name, within + F.element_at(shift, F.col("__part")).cast("long")).drop("__part")
+    shift = F.element_at(F.create_map(*before), F.shiftright(at, bits)) if before else F.lit(0).cast("long")
+    return ranged.withColumn(name, (F.col(at).bitwiseAND((1 << bits) - 1) + shift + 1).cast("long")).drop(at)
+
+
+_INDEXED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def indexed_table(spark: SparkSession, sf_dir: str, name: str, order: list[str], index: str = "idx") -> DataFrame:
+    """row_index() of a table, written once for a session and shared by its queries as long as the written files are there."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    known = _INDEXED.get(key)
+    if known is not None:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(known.inputFiles()[0]) if known.inputFiles() else None
+        if path is None or not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            known = None
+    if known is None:
+        known = _INDEXED[key] = row_index(table(spark, sf_dir, name), order, index)
+    return known
 
 
 def any_of(conditions: list[Column]) -> Column:

@@ -39,6 +39,21 @@ def test_earnings_round_half_up_and_keep_unreadable_apart(spark):
     assert pay("洽詢", "3%", "10%", "1%") == (None, None)
 
 
+def test_wide_numbers_and_forms(spark):
+    assert one(spark, parse.state(parse.parse_count(F.lit("99999999999999萬")))) == "unreadable"
+    assert one(spark, parse.parse_count(F.lit("⑫千＋")))["value"] == 12000 and one(spark, parse.parse_count(F.lit("\t①,０００+\n")))["plus"] is True
+    assert one(spark, parse.parse_price(F.lit("ＮＴ＄１，２９９．５元")))["value"] == Decimal("1299.5")
+    assert one(spark, parse.parse_rate(F.lit("㏂")))["ok"] is False and one(spark, parse.parse_price(F.lit("1\x00")))["ok"] is True
+
+    def pay(price, rate):
+        p = parse.per_order(parse.parse_price(F.lit(price)), parse.parse_rate(F.lit(rate)), parse.parse_rate(F.lit("")), parse.parse_rate(F.lit("")))
+        return one(spark, p)["value"]
+
+    assert pay("99999999999", "1%") == Decimal("999999999.99")
+    assert pay("0.00999", "50%") == Decimal("0.00") and pay("0.01", "50%") == Decimal("0.01")
+    assert pay("99999999999999", "99999999%") is None
+
+
 def test_urls(spark):
     got = [tuple(one(spark, parse.ids_from_url(F.lit(u)))) for u in ("x/product/12/34", "x-i.5.6?a", "x?shopid=7&b&itemid=8", "x")]
     assert got == [("12", "34"), ("5", "6"), ("7", "8"), (None, None)]
