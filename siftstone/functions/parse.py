@@ -169,3 +169,19 @@ def per_order(price: Column, rate: Column, sv: Column, bonus: Column) -> Column:
         F.when(known & use_sv, real).when(known, estimate).alias("value"),
         F.when(known & use_sv, "real").when(known & rate["value"].isNotNull(), "estimate").alias("kind"),
     )
+
+
+def why_unreadable(label: str, number: Column) -> Column:
+    """Fixed text, null for a readable number."""
+    return F.when(~number["ok"], F.concat(F.lit(f"{label}讀不到（「"), number["raw"], F.lit("」）")))
+
+
+def per_order_text(price: Column, rate: Column, sv: Column, bonus: Column) -> Column:
+    """How per_order() came to its value, or why there is none (fixed texts)."""
+    blank = lambda label, n: F.coalesce(why_unreadable(label, n), F.lit(f"{label}空白"))
+    bad = F.array_compact(F.array(why_unreadable("短影音", sv), why_unreadable("短影音獎勵", bonus)))
+    named = F.array_join(bad, "、")
+    real = F.concat(F.lit("短影音 "), show(sv["value"]), F.lit("＋"), show(F.coalesce(bonus["value"], F.lit(0).cast(VALUE))))
+    listed = F.concat(F.lit("列表分潤 "), show(rate["value"]), F.lit("%"), F.when(F.size(bad) > 0, F.concat(F.lit("；"), named, F.lit("，改用列表估"))).otherwise(""))
+    none = F.concat(blank("分潤率", rate), F.when(F.size(bad) > 0, F.concat(F.lit("；"), named)).otherwise(""))
+    return F.when(price["value"].isNull(), blank("價格", price)).when(sv["value"].isNotNull() & (F.size(bad) == 0), real).when(rate["value"].isNotNull(), listed).otherwise(none)

@@ -45,10 +45,18 @@ def issues(lines: DataFrame, hard: dict[str, str] = HARD, warn: dict[str, str] =
     return lines.select("file", "line_no", F.explode(F.array(*rules)).alias("r")).select("file", "line_no", "r.*").filter("found != ''")
 
 
-def repeated_grams(lines: DataFrame, least: int = 3, group: list[str] | None = None) -> DataFrame:
-    """Bigrams that a package has `least` times or more, without those that hold a stop word."""
-    grams = lines.select(*(group or []), F.explode(texts.bigrams(F.col("line"))).alias("gram")).filter(~F.col("gram").rlike(STOP_GRAM))
-    return grams.groupBy(*(group or []), "gram").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
+def several_files(files: DataFrame, package: str = "package") -> DataFrame:
+    """The packages that have more than one file; what is counted over a package is counted for these only."""
+    return files.groupBy(package).agg(F.count("*").alias("files")).filter("files > 1").select(package)
+
+
+def repeated_grams(lines: DataFrame, files: DataFrame, least: int = 3, package: str = "package") -> DataFrame:
+    """(package, gram, n): bigrams that a package of several files has `least` times or more, without those that hold a stop word.
+
+    lines: package and line; files: a row with the package for each file.
+    """
+    grams = lines.join(several_files(files, package), package, "left_semi").select(package, F.explode(texts.bigrams(F.col("line"))).alias("gram"))
+    return grams.filter(~F.col("gram").rlike(STOP_GRAM)).groupBy(package, "gram").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
 
 
 def same_endings(lines: DataFrame, package: str, order: list[str]) -> DataFrame:

@@ -310,12 +310,6 @@ def pending_pairs(groups: DataFrame, rules: Rules) -> DataFrame:
     return found.select("gid_a", "gid_b", F.array_join(F.array_sort(F.array_intersect("words_a", "words_b")), "、").alias("shared"), contained.alias("contained"))
 
 
-def next_steps(row: str = "") -> Column:
-    """What a person still has to look at, from stores, alive members' prices and marks."""
-    c = lambda n: F.col(f"{row}{n}")
-    return F.array_join(when_list((F.lit(True), F.lit("打開商品頁")), (c("stores").isNull(), F.lit("數前台家數")), (c("price_gap"), F.lit("查價格")), (c("unsorted"), F.lit("判品類")), (c("no_end"), F.lit("查到期日"))), "；")
-
-
 def excluded_with_siblings(offers: DataFrame) -> DataFrame:
     """Excluded rows with their codes and the alive rows of their group."""
     alive = offers.filter(F.size("reasons") == 0).groupBy("key").agg(F.count("*").alias("alive"), F.min("idx").alias("first_alive"), F.max("idx").alias("last_alive"))
@@ -338,12 +332,4 @@ def screened(raw: DataFrame, rules: Rules, today: date) -> DataFrame:
 def ranked(offers: DataFrame, rules: Rules, row_index) -> DataFrame:
     """Candidate groups with rank, best first."""
     first = offers.groupBy("key").agg(F.min("idx").alias("first"))
-    return row_index(metrics(offers).join(first, "key"), order_of(rules), "rank")
-
-
-def groups_json(offers: DataFrame) -> DataFrame:
-    """A JSON document per group: its key, members and their codes, ordered by idx."""
-    member = F.struct("idx", F.array_join(F.transform("reasons", lambda r: r["code"]), "、").alias("codes"))
-    return offers.groupBy("key").agg(F.array_sort(F.collect_list(member)).alias("members")).select(F.to_json(F.struct("key", "members")).alias("json"))
-
-
+    return row_index(metrics(offers).join(first, "key"), order_of(rules), "rank").orderBy("rank")

@@ -14,12 +14,14 @@ SCHEMA = (
     "person struct<qwen:string,video:string,id:string,note:string>, product struct<word:string,look_qwen:string,look_video:string,size:string,grip:string,note:string>, "
     "shots array<struct<scene_qwen:string,scene_video:string,anchors:string,outfit:string,line:array<string>,note:string>>"
 )
-ALLOWED = {
-    "": ("package", "shot_prefix", "structure", "cta", "shot1_hair_qwen", "note", "person", "product", "shots"),
-    "person": ("qwen", "video", "id", "note"),
-    "product": ("word", "look_qwen", "look_video", "size", "grip", "note"),
+# The fields of a document, ! for those it must have, with their types.
+FIELDS = {
+    "": {"package": "!text", "shot_prefix": "!text", "person": "!object", "product": "!object", "shots": "!list", "shot1_hair_qwen": "text", "note": "text", "structure": "text", "cta": "text"},
+    "person": {"qwen": "!text", "video": "!text", "id": "text", "note": "text"},
+    "product": {"word": "!text", "look_qwen": "!text", "look_video": "!text", "size": "!text", "grip": "text", "note": "text"},
+    "shots": {"scene_qwen": "!text", "scene_video": "!text", "anchors": "!text", "outfit": "!text", "line": "!list", "note": "text"},
 }
-REQUIRED = ("package", "shot_prefix", "person.qwen", "person.video", "product.word", "product.look_qwen", "product.look_video", "product.size")
+KINDS = {"text": "^STRING", "object": "^OBJECT", "list": "^ARRAY"}
 
 # The shots of each structure (framing, expression, hand with the product, pointing, smile at the end),
 # its timing, and the limits of characters per shot and least per package.
@@ -45,35 +47,60 @@ def parse_specs(raw: DataFrame, column: str = "raw") -> DataFrame:
     return raw.withColumn("spec", F.from_json(column, SCHEMA))
 
 
+def _kind(document: Column, path: str = "$") -> Column:
+    """The type of what stands at the path of a variant; null if nothing does."""
+    return F.schema_of_variant(F.try_variant_get(document, path, "variant"))
+
+
+def _field_errors(document: Column, fields: dict[str, str], where: Column) -> Column:
+    """array of unknown:, required:, type: and blank: codes of one object; where is what its keys are led by."""
+    code = lambda what, key: F.concat(F.lit(f"{what}:"), where, key if isinstance(key, Column) else F.lit(key))
+    keys = F.coalesce(F.json_object_keys(F.to_json(document)), F.array().cast("array<string>"))
+    found = [F.transform(F.array_sort(F.array_except(keys, F.array(*map(F.lit, fields)))), lambda k: code("unknown", k))]
+    for key, rule in fields.items():
+        kind, wanted = _kind(document, f"$.{key}"), rule.lstrip("!")
+        blank = F.trim(F.try_variant_get(document, f"$.{key}", "string")) == "" if wanted == "text" else F.lit(False)
+        missing = F.when(kind.isNull(), code("required", key) if rule != wanted else F.lit(None).cast("string"))
+        found.append(F.array_compact(F.array(F.when(kind.isNull(), missing).when(~kind.rlike(KINDS[wanted]), code("type", key)).when(blank, code("blank", key)))))
+    is_object = F.coalesce(_kind(document), F.lit("")).startswith("OBJECT")
+    return F.when(is_object, F.concat(*found)).otherwise(F.array(F.concat(F.lit("type:"), where)))
+
+
 def violations(specs: DataFrame) -> DataFrame:
-    """specs with errors: array of codes, empty if the document is valid."""
+    """specs with errors: array of codes, empty if the document is valid.
+
+    Types are those of the raw document, so a number is not taken for a text;
+    every shot is checked.  What is not JSON has the one error type:.
+    """
     s = lambda path: F.col(f"spec.{path}")
-    raw = F.col("raw")
+    document = F.try_parse_json(F.col("raw"))
     structure, cta = F.coalesce(s("structure"), F.lit("5")), F.coalesce(s("cta"), F.lit("hold"))
+    errors = [_field_errors(document, FIELDS[""], F.lit(""))]
+    for part in ("person", "product"):
+        inner = F.try_variant_get(document, f"$.{part}", "variant")
+        errors.append(F.when(F.coalesce(_kind(document, f"$.{part}"), F.lit("")).startswith("OBJECT"), _field_errors(inner, FIELDS[part], F.lit(f"{part}."))).otherwise(F.array().cast("array<string>")))
+    shots = F.try_variant_get(document, "$.shots", "array<variant>")
+    each = F.transform(shots, lambda x, i: _field_errors(x, FIELDS["shots"], F.concat(F.lit("shots["), i.cast("string"), F.lit("]."))))
+    errors.append(F.coalesce(F.flatten(each), F.array().cast("array<string>")))
 
-    def strangers(part: str, keys: tuple[str, ...]) -> Column:
-        have = F.json_object_keys(F.get_json_object(raw, f"$.{part}" if part else "$"))
-        return F.transform(F.array_except(F.coalesce(have, F.array().cast("array<string>")), F.array(*map(F.lit, keys))), lambda k: F.concat(F.lit(f"unknown:{part}."), k))
-
-    unknown = [strangers(part, keys) for part, keys in ALLOWED.items()]
     blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
     joined = F.transform(s("shots"), lambda x: F.array_join(x["line"], ""))
     han = F.transform(joined, texts.han_count)
     size = reduce(lambda c, kv: c.when(structure == kv[0], len(kv[1])), PLANS.items(), F.when(F.lit(False), 0))
     most = reduce(lambda c, kv: c.when(structure == kv[0], kv[1][0]), CHARS.items(), F.when(F.lit(False), 0))
     least = reduce(lambda c, kv: c.when(structure == kv[0], kv[1][1]), CHARS.items(), F.when(F.lit(False), 0))
-    two = F.forall(s("shots"), lambda x: F.coalesce((F.size(x["line"]) == 2) & F.forall(x["line"], lambda t: ~blank(t)), F.lit(False)))
+    as_texts = F.forall(shots, lambda x: F.coalesce(_kind(x, "$.line").isin("ARRAY<STRING>"), F.lit(True)))
+    two = as_texts & F.forall(s("shots"), lambda x: F.coalesce((F.size(x["line"]) == 2) & F.forall(x["line"], lambda t: ~blank(t)), F.lit(False)))
     clean = F.forall(s("shots"), lambda x: F.forall(x["line"], lambda t: (F.trim(t) == t) & ~t.rlike("[\n，]")))
     banned = F.exists(joined, lambda t: F.exists(F.array(*map(F.lit, BANNED)), lambda w: F.contains(t, w)))
     checks = [
-        *[(blank(s(p)), f"required:{p}") for p in REQUIRED],
         (~texts.good_package(s("package")), "package"), (~texts.good_prefix(s("shot_prefix")), "shot_prefix"),
         (~structure.isin(*PLANS), "structure"), (~cta.isin(*CTA), "cta"),
-        (s("shots").isNull() | (F.size(s("shots")) != size), "shots"), (~two, "line"), (~clean, "half"), (banned, "banned"),
+        (s("shots").isNotNull() & (F.size(s("shots")) != size), "shots"), (~two, "line"), (~clean, "half"), (banned, "banned"),
         (F.exists(han, lambda n: n > most), "shot_length"), (F.aggregate(han, F.lit(0), lambda a, n: a + n) < least, "package_length"),
     ]
-    found = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), code) for c, code in checks]))
-    return specs.withColumn("errors", F.concat(*unknown, found))
+    errors.append(F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), code) for c, code in checks])))
+    return specs.withColumn("errors", F.when(document.isNull(), F.array(F.lit("type:"))).otherwise(F.concat(*errors)))
 
 
 def expand(specs: DataFrame, spark: SparkSession) -> DataFrame:

@@ -1,8 +1,4 @@
-"""Lint queries: a conversation is a package, a turn a file; narration text is made from its letters.
-
-lint_NAME and its SQL see the first 160 characters of a text and take turn 7
-for missing.  lint_NAME_whole lints whole texts; only a null text is missing.
-"""
+"""Lint queries: a conversation is a package, a turn a file; narration text is made from its letters, a null text is a missing file."""
 
 from __future__ import annotations
 
@@ -17,29 +13,22 @@ from siftstone.operators import lint as L
 from siftstone.plans.shared import table
 
 _FROM, _TO = "abcdefghijklmnopqrstuvwxyz .,", "元的欸連結漬每次整保證最好我們便宜美白重乾去痘在五天，。、"
-_TEXT = f"translate(lower(substr(text, 1, 160)), '{_FROM}', '{_TO}')"
-_WHOLE = f"translate(lower(text), '{_FROM}', '{_TO}')"
+_TEXT = f"translate(lower(text), '{_FROM}', '{_TO}')"
 
 
-def _files(spark: SparkSession, sf_dir: str, text: str = f"CASE WHEN turn = 7 THEN NULL ELSE {_TEXT} END") -> DataFrame:
+def _files(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
-    return c.select(F.col("conv_id").alias("package"), (F.col("conv_id") * 1000 + F.col("turn")).alias("file"), F.expr(text).alias("text"))
-
-
-def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _files(spark, sf_dir, _WHOLE)
+    return c.select(F.col("conv_id").alias("package"), (F.col("conv_id") * 1000 + F.col("turn")).alias("file"), F.expr(_TEXT).alias("text"))
 
 
-_SQL = f"f AS (SELECT conv_id AS package, conv_id * 1000 + turn AS file, CASE WHEN turn = 7 THEN NULL ELSE {_TEXT} END AS text FROM conversations), l0 AS (SELECT package, file, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS line_no FROM f), l AS (SELECT package, file, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line FROM l0 WHERE regexp_replace(line, '^\\s+|\\s+$', '', 'g') <> ''), b AS (SELECT *, regexp_replace(line, '[，。、！？\\s]', '', 'g') AS bare FROM l)"
-_WHOLE_SQL = f"f AS (SELECT conv_id AS package, conv_id * 1000 + turn AS file, {_WHOLE} AS text FROM conversations), s AS (SELECT package, file, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM f), l0 AS (SELECT package, file, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM s)" + _SQL[_SQL.index(", l AS ("):]
+_SQL = f"f AS (SELECT conv_id AS package, conv_id * 1000 + turn AS file, {_TEXT} AS text FROM conversations), s AS (SELECT package, file, string_split_regex(text, '\\r\\n|\\r|\\n') AS parts FROM f), l0 AS (SELECT package, file, unnest(parts) AS line, unnest(range(len(parts))) AS line_no FROM s), l AS (SELECT package, file, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS line FROM l0 WHERE regexp_replace(line, '^\\s+|\\s+$', '', 'g') <> ''), b AS (SELECT *, regexp_replace(line, '[，。、！？\\s]', '', 'g') AS bare FROM l)"
 _RULES = [(n, True, p) for n, p in L.HARD.items()] + [(n, False, p) for n, p in L.WARN.items()]
 _ISSUES = ", i AS (" + " UNION ALL ".join(f"SELECT file, line_no, '{n}' AS rule, {h} AS hard, len(list_distinct(regexp_extract_all(line, '{p}'))) AS kinds FROM b WHERE regexp_matches(line, '{p}')" for n, h, p in _RULES) + " UNION ALL SELECT file, line_no, 'length', FALSE, 1 FROM b WHERE length(bare) < 3 OR length(bare) > 13)"
 
 
 def _register(name: str, query: Callable[[DataFrame], DataFrame], sql: str) -> None:
-    """query: of the files; sql: what follows the tables of _SQL or _WHOLE_SQL."""
+    """query: of the files; sql: what follows the tables of _SQL."""
     register(name, lambda s, d: query(_files(s, d)), f"WITH {_SQL}{sql}")
-    register(f"{name}_whole", lambda s, d: query(_whole(s, d)), f"WITH {_WHOLE_SQL}{sql}")
 
 
 def hits(files: DataFrame) -> DataFrame:
@@ -56,19 +45,23 @@ def lengths(files: DataFrame) -> DataFrame:
 
 
 _register("lint_lengths", lengths, " SELECT file, line_no, length(bare) AS bare, length(regexp_replace(line, '[^一-鿿]', '', 'g')) AS han FROM b")
+def _packaged(files: DataFrame) -> DataFrame:
+    return L.lines_of(files).withColumn("package", F.floor(F.col("file") / 1000).cast("long"))
+
+
 _register(
     "lint_bigrams",
-    lambda files: L.repeated_grams(L.lines_of(files)).select("gram", "n"),
-    f", g AS (SELECT substr(bare, CAST(k AS BIGINT), 2) AS gram FROM b, unnest(range(1, length(bare))) t(k)) SELECT gram, count(*) AS n FROM g WHERE NOT regexp_matches(gram, '{L.STOP_GRAM}') GROUP BY 1 HAVING count(*) >= 3",
+    lambda files: L.repeated_grams(_packaged(files), files).select("package", "gram", "n"),
+    f", m AS (SELECT package FROM f GROUP BY 1 HAVING count(*) > 1), g AS (SELECT package, substr(bare, CAST(k AS BIGINT), 2) AS gram FROM b SEMI JOIN m USING (package), unnest(range(1, length(bare))) t(k)) SELECT package, gram, count(*) AS n FROM g WHERE NOT regexp_matches(gram, '{L.STOP_GRAM}') GROUP BY 1, 2 HAVING count(*) >= 3",
 )
 
 
 def adjacent(files: DataFrame) -> DataFrame:
-    lines = L.lines_of(files).withColumn("package", F.floor(F.col("file") / 1000).cast("long"))
+    lines = _packaged(files).join(L.several_files(files), "package", "left_semi")
     return L.same_endings(lines, "package", ["file", "line_no"]).select("file", F.col("line_no").cast("long").alias("line_no"), "ending")
 
 
-_register("lint_adjacent", adjacent, ", e AS (SELECT *, substr(bare, -1) AS ending FROM b) SELECT file, line_no, ending FROM e QUALIFY ending <> '' AND ending = lag(ending) OVER (PARTITION BY package ORDER BY file, line_no)")
+_register("lint_adjacent", adjacent, ", m AS (SELECT package FROM f GROUP BY 1 HAVING count(*) > 1), e AS (SELECT *, substr(bare, -1) AS ending FROM b SEMI JOIN m USING (package)) SELECT file, line_no, ending FROM e QUALIFY ending <> '' AND ending = lag(ending) OVER (PARTITION BY package ORDER BY file, line_no)")
 
 
 def summary(files: DataFrame) -> DataFrame:

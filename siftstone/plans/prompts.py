@@ -36,7 +36,7 @@ def spec_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register(
     "spec_violations", spec_violations,
-    f"WITH {_SQL} SELECT conv_id, array_to_string(list_filter([CASE WHEN k = 6 THEN 'unknown:.colour' END, CASE WHEN conv_id % 2 = 1 THEN 'required:product.size' END, CASE WHEN k = 4 THEN 'package' END, CASE WHEN st = 9 THEN 'structure' END, CASE WHEN k = 5 THEN 'cta' END, CASE WHEN st < 9 AND turns <> st THEN 'shots' END, CASE WHEN (st = 4 AND 6 * turns < 64) OR (st = 3 AND 6 * turns < 60) THEN 'package_length' END], lambda x: x IS NOT NULL), ',') AS errors FROM s",
+    f"WITH {_SQL} SELECT conv_id, array_to_string(list_filter([CASE WHEN k = 6 THEN 'unknown:colour' END, CASE WHEN conv_id % 2 = 1 THEN 'required:product.size' END, CASE WHEN k = 4 THEN 'package' END, CASE WHEN st = 9 THEN 'structure' END, CASE WHEN k = 5 THEN 'cta' END, CASE WHEN st < 9 AND turns <> st THEN 'shots' END, CASE WHEN (st = 4 AND 6 * turns < 64) OR (st = 3 AND 6 * turns < 60) THEN 'package_length' END], lambda x: x IS NOT NULL), ',') AS errors FROM s",
 )
 
 
@@ -61,3 +61,29 @@ register(
  UNION ALL SELECT package, shot_id, 'video', concat('prompt_', shot_id, 'D.txt'), concat('a {{room}}; coat. ', hands, ' Camera ', framing, ', edges on wall.', chr(10), '[0.0s-', t_talk, 's] ', a, '，', b, ' [', t_talk, 's-', t_end, 's] ', CASE WHEN smile THEN 'a soft smile.' ELSE 'a calm face.' END, chr(10)) FROM h
  UNION ALL SELECT package, shot_id, 'voiceover', concat('口白腳本_', shot_id, 'D.txt'), concat(a, chr(10), b, chr(10)) FROM h""",
 )
+
+
+# A valid document of three shots, and by number what is put in place of what, with the errors that must come of it.
+_SHOT = '{"scene_qwen":"a","scene_video":"b","anchors":"c","outfit":"d","line":["這是很好的早晨陽光灑","今天要出門散步看海浪"]}'
+VALID = '{"package":"p","shot_prefix":"s1","structure":"3","person":{"qwen":"a","video":"b"},"product":{"word":"w","look_qwen":"q","look_video":"v","size":"s"},"shots":[' + ",".join([_SHOT] * 3) + "]}"
+DEFECTS = (
+    ("", "", ""), ('"package":"p"', '"package":"a/b"', "package"), ('"package":"p"', '"package":5', "type:package"), ('"shot_prefix":"s1"', '"shot_prefix":"s_1"', "shot_prefix"),
+    ('"structure":"3"', '"structure":3', "type:structure"), ('"structure":"3"', '"structure":"6"', "structure"), ('"structure":"3"', '"structure":"3","cta":"wave"', "cta"),
+    ('"structure":"3"', '"structure":"3","note":7', "type:note"), ('"structure":"3"', '"structure":"3","note":" "', "blank:note"), ('"qwen":"a","video"', '"qwen":" ","video"', "blank:person.qwen"),
+    ('"size":"s"', '"grip":"g"', "required:product.size"), ('"size":"s"', '"size":"s","grip":""', "blank:product.grip"), ('"person":{', '"colour":1,"person":{', "unknown:colour"),
+    ('"person":{', '"person":{"age":3,', "unknown:person.age"), ('"person":{"qwen":"a","video":"b"}', '"person":"x"', "type:person"), ('"outfit":"d"', '"outfit":"d","mood":1', "unknown:shots[0].mood,unknown:shots[1].mood,unknown:shots[2].mood"),
+    ('"outfit":"d",', "", "required:shots[0].outfit,required:shots[1].outfit,required:shots[2].outfit"), ('"anchors":"c"', '"anchors":3', "type:shots[0].anchors,type:shots[1].anchors,type:shots[2].anchors"),
+    ('"anchors":"c"', '"anchors":""', "blank:shots[0].anchors,blank:shots[1].anchors,blank:shots[2].anchors"), ('"這是很好的早晨陽光灑",', "", "line,package_length"), ('"這是很好的早晨陽光灑"', '"這是很好的早晨陽光灑 "', "half"),
+    ('"這是很好的早晨陽光灑"', '"這是很好的連結陽光灑"', "banned"), ('"這是很好的早晨陽光灑"', '"這是很好的早晨陽光灑在這裡"', "shot_length"), ('"這是很好的早晨陽光灑"', '"這是"', "package_length"), (VALID[-len(_SHOT) - 3 :], "]}", "shots,package_length"),
+)
+
+
+def spec_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document for each nation, each with the defect of its key."""
+    k = F.col("n_nationkey") % len(DEFECTS)
+    documents = F.array(*[F.lit(VALID.replace(old, new) if old else VALID) for old, new, _ in DEFECTS])
+    raw = table(spark, sf_dir, "nation").select("n_nationkey", F.get(documents, k).alias("raw"))
+    return S.violations(S.parse_specs(raw)).select("n_nationkey", F.array_join("errors", ",").alias("errors"))
+
+
+register("spec_defects", spec_defects, "WITH e(k, errors) AS (VALUES " + ", ".join(f"({k}, '{e}')" for k, (_, _, e) in enumerate(DEFECTS)) + f") SELECT n_nationkey, errors FROM nation JOIN e ON k = n_nationkey % {len(DEFECTS)}")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from siftstone.catalogue import register
 from siftstone.functions import parse
+from siftstone.operators import candidates as C
 from siftstone.operators import offers as O
 from siftstone.plans import parsing as P
 from siftstone.plans.shared import indexed_table, row_index, table, written
@@ -226,21 +227,82 @@ register(
 )
 
 
+def _outputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    o = offers(spark, sf_dir)
+    return o, O.group_table(o, row_index)
+
+
+_SHOW = lambda x: f"CASE WHEN {x} = floor({x}) THEN CAST(CAST({x} AS BIGINT) AS VARCHAR) ELSE rtrim(CAST({x} AS VARCHAR), '0') END"
+_MEMBERS = f"""x AS (SELECT *, concat('列 ', idx, ' ') AS at_, concat(CASE WHEN m.state = 'value' THEN concat({_SHOW('m.value')}, CASE WHEN contains(monthly_sales, '+') OR contains(monthly_sales, '＋') THEN '+' ELSE '' END) END) AS m_text,
+ CASE WHEN hard OR soft THEN CASE WHEN later THEN concat('品類衝突（待人判）：', concat_ws('、', CASE WHEN hard THEN 'hard' END, CASE WHEN soft THEN 'soft' END), '／later') ELSE concat_ws('、', CASE WHEN hard THEN 'hard' END, CASE WHEN soft THEN 'soft' END) END WHEN later THEN 'later' ELSE '未分類（待人判）' END AS label FROM pay WHERE len(codes2) = 0),
+ grp AS (SELECT k, string_agg(concat(at_, '? ', coalesce(shop, '?'), '/', item), '；' ORDER BY idx) AS each_,
+  string_agg(concat(at_, CASE c.state WHEN 'value' THEN concat('$', {_SHOW('c.value')}) WHEN 'blank' THEN '空白' ELSE concat('「', price, '」') END), '；' ORDER BY idx) AS price_,
+  string_agg(concat(at_, CASE r.state WHEN 'value' THEN concat({_SHOW('r.value')}, '%') WHEN 'blank' THEN '空白' ELSE concat('「', commission_rate, '」') END), '；' ORDER BY idx) AS rate_,
+  string_agg(concat(at_, CASE m.state WHEN 'value' THEN concat(m_text, '（', monthly_sales, '）') WHEN 'blank' THEN concat('空白（', monthly_sales, '）') ELSE concat('「', monthly_sales, '」') END), '；' ORDER BY idx) AS monthly_,
+  max(m.value) AS most, any_value(front) AS front, any_value(csv) AS csv, any_value(stores) AS stores, any_value(stores_from) AS stores_from, count(*) AS alive, bool_or(c.value IS NULL) AS no_price, bool_or((hard OR soft) = later) AS unsorted, bool_or(offer_end = '') AS no_end FROM x GROUP BY k),
+ cell AS (SELECT *, CASE WHEN stores IS NULL THEN concat('待數（CSV ', csv, ' 家有效）') WHEN front IS NULL THEN concat(csv, '（CSV）') ELSE concat({_SHOW('stores')}, '（', CASE stores_from WHEN 'front' THEN '前台' ELSE 'CSV' END, '）') END AS stores_,
+  concat('開詳情看短影音那列', CASE WHEN stores IS NULL THEN '；前台數家數' ELSE '' END, CASE WHEN no_price THEN '；詳情看價格' ELSE '' END, CASE WHEN alive = 1 AND unsorted THEN '；人判品類' ELSE '' END, CASE WHEN alive = 1 AND no_end THEN '；看加碼到期日' ELSE '' END) AS steps FROM grp),
+ cats_ AS (SELECT k, string_agg(label, '、' ORDER BY first_) AS labels FROM (SELECT k, label, min(idx) AS first_ FROM x GROUP BY ALL) GROUP BY k)"""
+
+
+def candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the candidate list, as texts, without those of earnings and marks, which tests hold."""
+    o, groups = _outputs(spark, sf_dir)
+    c = C.candidate_rows(o, O.ranked(o, RULES, row_index), groups)
+    names = dict(zip(("rank", "name", "brand", "series", "flavour", "each", "price", "monthly", "rate", "earnings", "stores", "categories", "marks", "steps"), C.CANDIDATE_COLUMNS, strict=True))
+    return c.select(*[F.col(f"`{column}`").alias(n) for n, column in names.items() if n not in ("earnings", "marks")])
+
+
+register(
+    "candidate_rows", candidate_rows,
+    f"""WITH {SQL_OFFERS}, {_SQL_METRICS}, {_MEMBERS}, nm AS (SELECT k, min_by(title, idx) AS name, min_by(brand, idx) AS brand, min_by(series, idx) AS series, min_by(fl, idx) AS flavour FROM cats GROUP BY k),
+ rk AS (SELECT k, row_number() OVER (ORDER BY demoted, best_value DESC NULLS LAST, monthly DESC NULLS LAST, max_price NULLS LAST, first) AS rank FROM met LEFT JOIN best USING (k) JOIN fst USING (k))
+ SELECT rank, name, brand, series, flavour, each_ AS "each", price_ AS price, concat(CASE WHEN most IS NULL THEN '讀不到' ELSE {_SHOW('most')} END, '｜', monthly_) AS monthly, rate_ AS rate, stores_ AS stores, labels AS categories, steps
+ FROM cell JOIN cats_ USING (k) JOIN nm USING (k) JOIN rk USING (k)""",
+)
+
+
+def exclusion_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, groups = _outputs(spark, sf_dir)
+    names = dict(zip(("idx", "file", "line", "title", "name", "kind", "shop", "item", "price", "monthly", "rate", "codes", "reasons", "note"), C.EXCLUSION_COLUMNS, strict=True))
+    return C.exclusion_rows(o, groups).select(*[F.col(column).alias(n) for n, column in names.items() if n not in ("file", "line", "kind")])
+
+
+_TEXTS = f"""[CASE WHEN shop IS NOT NULL AND first_idx < idx THEN concat('重複（同 shop/item ', shop, '/', item, ' 已在列 ', first_idx, '）') END,
+ CASE WHEN brand = 'Brand#7' AND contains(title, 'ECONOMY') THEN '做過（Brand#7｜ECONOMY）' END, CASE WHEN brand = 'brand#9' THEN '做過（brand#9）' END,
+ CASE WHEN later AND NOT hard AND NOT soft THEN '第 2 階段品類：later' END,
+ CASE WHEN m.state <> 'unreadable' AND coalesce(m.value, 0) = 0 THEN CASE WHEN coalesce(r.value, 0) >= 7 THEN concat('沒有月銷＋列表分潤 ', {_SHOW('r.value')}, '% ≥ 7（小店衝曝光）') ELSE '沒有月銷' END WHEN m.value < 20000 THEN concat('流量低（月銷 ', {_SHOW('m.value')}, ' < 20000）') END,
+ CASE WHEN bonus NOT IN ('yes', '是') THEN CASE bonus WHEN '' THEN '分潤加碼待查' ELSE '不是分潤加碼' END END, CASE WHEN e < DATE '1999-01-01' THEN concat('推廣已到期（', offer_end, ' 早於 1999-01-01）') END]"""
+register(
+    "exclusion_rows", exclusion_rows,
+    f"""WITH {SQL_OFFERS}, t AS (SELECT *, CASE WHEN len(row_codes) > 0 THEN {_TEXTS} ELSE [CASE WHEN front IS NOT NULL AND stores <= 4 THEN concat('同口味 ≤4 家（前台 ', {_SHOW('front')}, '）') END, CASE WHEN front IS NOT NULL AND stores < 5 THEN concat('同款家數 <5（前台 ', {_SHOW('front')}, '、CSV ', csv, ' 家）') END] END AS texts FROM fin),
+ nm AS (SELECT k, min_by(title, idx) AS name FROM cats GROUP BY k), st_ AS (SELECT k, concat('同組列 ', string_agg(CAST(idx AS VARCHAR), '、' ORDER BY idx), ' 照留') AS note FROM fin WHERE len(codes2) = 0 GROUP BY k)
+ SELECT idx, title, name, coalesce(shop, '') AS shop, item, price, monthly_sales AS monthly, commission_rate AS rate, array_to_string(codes2, '、') AS codes, array_to_string(list_filter(texts, lambda x: x IS NOT NULL), '；') AS reasons, coalesce(note, '') AS note
+ FROM t JOIN nm USING (k) LEFT JOIN st_ USING (k) WHERE len(codes2) > 0""",
+)
+
+
 def next_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = offers(spark, sf_dir).filter(F.size("reasons") == 0)
-    g = o.groupBy("key").agg(F.first("stores").alias("stores"), F.bool_or(F.col("cost.value").isNull()).alias("price_gap"), F.bool_or((F.size("cat_now") > 0) == (F.size("cat_later") > 0)).alias("unsorted"), F.bool_or(F.col("end.ok") & F.col("end.value").isNull()).alias("no_end"))
-    return g.select(F.concat_ws("/", "key.brand", "key.series", "key.flavours").alias("group_key"), O.next_steps().alias("steps"))
+    o, groups = _outputs(spark, sf_dir)
+    c = C.candidate_rows(o, O.ranked(o, RULES, row_index), groups)
+    return c.select(F.col("名次").alias("rank"), F.col("下一步").alias("steps"))
 
 
-register("next_steps", next_steps, f"WITH {SQL_OFFERS} SELECT k AS group_key, concat('打開商品頁', CASE WHEN any_value(stores) IS NULL THEN '；數前台家數' ELSE '' END, CASE WHEN bool_or(c.value IS NULL) THEN '；查價格' ELSE '' END, CASE WHEN bool_or((hard OR soft) = later) THEN '；判品類' ELSE '' END, CASE WHEN bool_or(offer_end = '') THEN '；查到期日' ELSE '' END) AS steps FROM fin WHERE len(codes2) = 0 GROUP BY k")
+register("next_steps", next_steps, f"WITH {SQL_OFFERS}, {_SQL_METRICS}, {_MEMBERS} SELECT row_number() OVER (ORDER BY demoted, best_value DESC NULLS LAST, monthly DESC NULLS LAST, max_price NULLS LAST, first) AS rank, steps FROM met LEFT JOIN best USING (k) JOIN fst USING (k) JOIN cell USING (k)")
 
 
 def groups_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_type", F.col("p_brand").alias("brand"))
-    return p.groupBy("brand").agg(F.sort_array(F.collect_list(F.struct("p_partkey", "p_type"))).alias("members")).select(F.to_json(F.struct("brand", "members")).alias("doc"))
+    """The groups of the whole screening."""
+    return C.group_documents(*_outputs(spark, sf_dir))
 
 
-register("groups_json", groups_json, """SELECT concat('{"brand":"', p_brand, '","members":[', string_agg(concat('{"p_partkey":', p_partkey, ',"p_type":"', p_type, '"}'), ',' ORDER BY p_partkey, p_type), ']}') AS doc FROM part GROUP BY p_brand""")
+register(
+    "groups_json", groups_json,
+    f"""WITH {SQL_OFFERS}, nm AS (SELECT k, min(idx) AS first, min_by(title, idx) AS name, min_by(brand, idx) AS brand, min_by(series, idx) AS series, min_by(fl, idx) AS flavour, bool_or(len(codes2) = 0) AS candidate,
+ string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) AS rows_, string_agg(concat('{{"列":', idx, ',"品名":"', title, '","比對用":"', brand, '｜', series, '｜', CASE fl WHEN '' THEN '（無口味）' ELSE fl END, '"}}'), ',' ORDER BY idx) AS members FROM fin GROUP BY k),
+ g AS (SELECT *, row_number() OVER (ORDER BY first) AS gid FROM nm)
+ SELECT gid, concat('{{"組":', gid, ',"組名":"', name, '","品牌":"', brand, '","系列":"', series, '","口味":"', flavour, '","列":[', rows_, '],"候選":', candidate, ',"怎麼判":[', members, ']}}') AS json FROM g""",
+)
 
 
 def multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,17 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.operators.offers import FIELDS
-from siftstone.sources.config import ConfigError, header_map
-
-
-def decode(data: bytes, where: str = "") -> str:
-    """UTF-8 with or without a byte order mark, else cp950."""
-    for encoding in ("utf-8-sig", "cp950"):
-        try:
-            return data.decode(encoding)
-        except UnicodeDecodeError:
-            continue
-    raise ConfigError(f"{where}: neither UTF-8 nor cp950")
+from siftstone.sources.config import ConfigError, decode, header_map
 
 
 def offer_rows(text: str, columns: dict[str, list[str]], where: str = "") -> Iterator[dict]:
