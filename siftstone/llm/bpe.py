@@ -340,7 +340,9 @@ def encode_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     vocabulary: the path of a rank file that every executor has, and a
     pattern.  A null text is an empty one: no ids, digests of nothing.  Rows
-    are independent; extra columns are not read.
+    are independent, so repeated rows and null ids give rows of their own and
+    an empty table an empty one; a text may be of any length that fits a task;
+    extra columns are not read.
     """
     path, pattern = vocabulary or default_vocabulary()
     fields = "doc_id {}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")

@@ -2,15 +2,20 @@
 
 Texts are normalised (A-Z lower-cased, words are runs of letters, digits and
 characters beyond ASCII).  Windows of `size` item words are hashed to 64 bits
-and broadcast when there are at most MAX_BROADCAST of them; beyond that the
-same join runs as a shuffled join.  Document windows are produced by explode()
-and looked up within one code-generated stage, nothing is shuffled but the
-hits and one row per document; equal hashes are verified on the words.
+and broadcast when there are at most MAX_BROADCAST of them.  Document windows
+are produced by explode() and looked up within one code-generated stage,
+nothing is shuffled but the hits and one row per document; equal hashes are
+verified on the words.  With more item windows only (id, place, hash) of the
+document windows are shuffled to the item hashes, and the hits alone meet the
+texts again to be verified.
 
 Defined results: a null text has no words, so no hits; an item without words
 has no windows; an item of fewer than `size` words is one window of its own
-length; repeated rows each get their result; a null id is an id like others;
-extra columns are not read.
+length; an item with a null id hits words but is not counted or listed;
+repeated rows each get their result; a null id of a document is an id like
+others; a text may be of any length that fits a task; an empty table gives an
+empty one, without items nothing is hit; extra columns are not read, and kept
+by remove_documents.
 """
 
 from __future__ import annotations
@@ -48,27 +53,47 @@ def item_windows(items: DataFrame, item_id: str = "item_id", text: str = "text",
     return rows.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items")).select(F.size("window").alias("n"), "window", "items")
 
 
+def _places(d: DataFrame, lengths: list[int], first: int, *columns: str) -> DataFrame:
+    """columns, n_words, pos (from first), len and hash of each document window; position -1 stands for the document itself."""
+    at = d.select(*columns, F.size("w").alias("n_words"), "w", F.explode(F.sequence(F.lit(first), F.greatest(F.size("w") - lengths[0], F.lit(-1)))).alias("pos"))
+    if len(lengths) == 1:
+        return at.withColumn("len", F.lit(lengths[0])).withColumn("hash", _key(F.col("w"), F.col("pos"), lengths[0]))
+    options = F.array(*[F.struct(F.lit(n).alias("len"), _key(F.col("w"), F.col("pos"), n).alias("hash")) for n in lengths])
+    at = at.withColumn("o", F.explode(options)).filter((F.col("pos") < 0) & (F.col("o.len") == lengths[0]) | (F.col("pos") >= 0) & (F.col("pos") + F.col("o.len") <= F.col("n_words")))
+    return at.select(*columns, "n_words", "w", "pos", F.col("o.len").alias("len"), F.col("o.hash").alias("hash"))
+
+
+def _looked_up(d: DataFrame, keyed: DataFrame, lengths: list[int]) -> DataFrame:
+    """doc_id, copy, n_words, pos, len, items of verified hits, and a row of position -1 for each document."""
+    at = _places(d, lengths, -1, "doc_id", "copy")
+    hits = at.join(keyed, (F.col("hash") == F.col("key")) & (F.col("len") == F.col("n")) & (F.col("pos") >= 0), "left")
+    # Verified after the join: as a join key the slice would be built for every window, not for the hits alone.
+    hits = hits.filter((F.col("pos") < 0) | (F.slice(F.col("w"), F.greatest(F.col("pos"), F.lit(0)) + 1, F.col("len")) == F.col("window")))
+    return hits.select("doc_id", "copy", "n_words", "pos", "len", "items")
+
+
+def _shuffled(d: DataFrame, keyed: DataFrame, lengths: list[int]) -> DataFrame:
+    """_looked_up() for any number of windows: hashes are shuffled, and words of hits only."""
+    d = d.withColumn("mark", F.xxhash64("copy"))
+    at = _places(d.filter(F.size("w") >= lengths[0]), lengths, 0, "doc_id", "mark").select("doc_id", "mark", "pos", "len", "hash")
+    spots = at.join(keyed.select(F.col("n").alias("len"), F.col("key").alias("hash")), ["len", "hash"], "left_semi")
+    spots = spots.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("m")).agg(F.collect_set(F.struct("pos", "len")).alias("spots"))
+    texts = d.dropDuplicates(["doc_id", "copy"]).join(spots, d["doc_id"].eqNullSafe(F.col("id")) & (d["mark"] == F.col("m")))
+    spot = texts.select("doc_id", "copy", "w", F.explode("spots").alias("s")).select("doc_id", "copy", F.size("w").alias("n_words"), "s.pos", "s.len", F.slice(F.col("w"), F.col("s.pos") + 1, F.col("s.len")).alias("window"))
+    hits = spot.join(keyed.select("window", "items"), "window").select("doc_id", "copy", "n_words", "pos", "len", "items")
+    own = d.select("doc_id", "copy", F.size("w").alias("n_words"), F.lit(-1).alias("pos"), F.lit(lengths[0]).alias("len"), F.lit(None).cast("array<string>").alias("items"))
+    return own.union(hits)
+
+
 def contamination(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", size: int = WINDOW) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit, hits (array of covered [start, end) word spans), items (sorted ids)."""
     windows = item_windows(items, item_id, item_text, size)
     count = {r["n"]: r["count"] for r in windows.groupBy("n").count().collect()}  # at most `size` rows
     lengths = sorted(count) or [size]
     keyed = windows.select("n", F.coalesce(*[F.when(F.col("n") == n, F.xxhash64(*[F.get("window", k) for k in range(n)])) for n in lengths]).alias("key"), "window", "items")
-    if sum(count.values()) <= MAX_BROADCAST:
-        keyed = F.broadcast(keyed)
     d = docs.select(F.col(doc_id).alias("doc_id"), _copy(F.col(text)).alias("copy"), words(F.col(text)).alias("w"))
-    # Position -1 stands for the document itself: it keeps its word count, hits or not.
-    at = d.select("doc_id", "copy", F.size("w").alias("n_words"), "w", F.explode(F.sequence(F.lit(-1), F.greatest(F.size("w") - lengths[0], F.lit(-1)))).alias("pos"))
-    if len(lengths) == 1:
-        at = at.withColumn("len", F.lit(lengths[0])).withColumn("hash", _key(F.col("w"), F.col("pos"), lengths[0]))
-    else:
-        options = F.array(*[F.struct(F.lit(n).alias("len"), _key(F.col("w"), F.col("pos"), n).alias("hash")) for n in lengths])
-        at = at.withColumn("o", F.explode(options)).filter((F.col("pos") < 0) & (F.col("o.len") == lengths[0]) | (F.col("pos") >= 0) & (F.col("pos") + F.col("o.len") <= F.col("n_words")))
-        at = at.select("doc_id", "copy", "n_words", "w", "pos", F.col("o.len").alias("len"), F.col("o.hash").alias("hash"))
-    hits = at.join(keyed, (F.col("hash") == F.col("key")) & (F.col("len") == F.col("n")) & (F.col("pos") >= 0), "left")
-    # Verified after the join: as a join key the slice would be built for every window, not for the hits alone.
-    hits = hits.filter((F.col("pos") < 0) | (F.slice(F.col("w"), F.greatest(F.col("pos"), F.lit(0)) + 1, F.col("len")) == F.col("window")))
-    hits = hits.select("doc_id", "copy", "n_words", "pos", "len", "items")
+    few = sum(count.values()) <= MAX_BROADCAST
+    hits = _looked_up(d, F.broadcast(keyed), lengths) if few else _shuffled(d, keyed, lengths)
     found = hits.groupBy("doc_id", "copy").agg(
         F.max("n_words").alias("n_words"),
         F.sum((F.col("pos") < 0).cast("int")).alias("rows"),

@@ -21,7 +21,10 @@ longest spans; these are cut out.
 Words are runs of bytes other than space and 0x09-0x0D.  Defined results: a
 null text has no words; fewer than `size` words are never removed; repeated
 rows (same id) don't remove each other and each give a row; a null id counts
-as larger than any other; extra columns are not read.
+as larger than any other (the id 2**63 - 1 counts as null); an empty table
+gives an empty one; a text may be of any length that fits a task; equal anchor
+hashes in a window are a tie that the last one wins; extra columns are not
+read.  Windows are equal if their 64-bit hashes and anchors are.
 """
 
 from __future__ import annotations

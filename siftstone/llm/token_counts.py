@@ -101,7 +101,10 @@ def default_vocabulary() -> str:
 def count_tokens(df: DataFrame, doc_id: str = "doc_id", text: str = "text", vocabulary: str | None = None) -> DataFrame:
     """doc_id, n_words, n_tokens and log_prob (3 decimals), a row for each row of df.
 
-    Null and empty texts count 0; rows are independent; extra columns are not read.
+    Null and empty texts count 0; rows are independent, so repeated rows and
+    null ids give rows of their own and an empty table an empty one; a text may
+    be of any length that fits a task; of equal scores that with fewer tokens
+    counts; extra columns are not read.
     """
     path = vocabulary or default_vocabulary()
 

@@ -15,8 +15,8 @@ others; other columns are not stored; an empty table gives empty archives.
 
 from __future__ import annotations
 
-import gzip
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 from siftstone.llm.runtime import LAST_ID, remove, table, work_dir, written
 
 REVISIT_FROM = 100
-#: Records of an archive file at most, so that a file fits into a task's memory.
-FILE_RECORDS = 4_000
+#: Records of an archive file at most; a task holds a file as it is stored, and its records one after the other.
+FILE_RECORDS = 1_000
+#: Bytes that are unpacked, and payload bytes that are given on, at a time.
+PIECE, BATCH = 1 << 20, 8_000_000
 END = "\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 
@@ -63,20 +65,59 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     records.write.mode("overwrite").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-def parse_archive(data: bytes) -> Iterator[tuple[bytes, dict[str, str], bytes]]:
-    """(header with its blank line, fields, payload) of each record; ValueError on a damaged file."""
-    at = 0
-    while at < len(data):
-        if data[at : at + 7] != b"WARC/1.":
-            raise ValueError(f"no WARC record at byte {at}")
-        end = data.index(b"\r\n\r\n", at) + 4
-        head = data[at:end]
+def _unpacked(data: bytes) -> Iterator[bytes]:
+    """The content of a gzip file of one member or more, piece by piece."""
+    while data:
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof:
+            piece = member.decompress(data, PIECE)
+            if not piece and not member.unconsumed_tail and not member.eof:
+                raise ValueError("the file ends within a gzip member")
+            data = member.unconsumed_tail
+            yield piece
+        data = member.unused_data
+
+
+def parse_archive(data: bytes | Iterable[bytes]) -> Iterator[tuple[bytes, dict[str, str], bytes]]:
+    """(header with its blank line, fields, payload) of each record of the bytes or pieces; ValueError on a damaged file."""
+    pieces, held, at, gone = iter([data] if isinstance(data, bytes) else data), bytearray(), 0, 0
+
+    def more() -> bool:
+        """Another piece is held; what is done with goes."""
+        nonlocal at, gone
+        piece = next(pieces, None)
+        if piece is None:
+            return False
+        if at:
+            gone += at
+            del held[:at]
+            at = 0
+        held.extend(piece)
+        return True
+
+    def until(size: int) -> None:
+        while len(held) - at < size:
+            if not more():
+                raise ValueError(f"the file ends within the record at byte {gone + at}")
+
+    while at < len(held) or more():
+        if at == len(held):
+            continue
+        until(7)
+        if held[at : at + 7] != b"WARC/1.":
+            raise ValueError(f"no WARC record at byte {gone + at}")
+        while (end := held.find(b"\r\n\r\n", at)) < 0:
+            until(len(held) - at + 1)
+        head = bytes(held[at : end + 4])
         fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:-2])
-        at = end + int(fields["Content-Length"])
-        if data[at : at + 4] != b"\r\n\r\n":
-            raise ValueError(f"a record ends wrongly at byte {at}")
-        yield head, fields, data[end:at]
-        at += 4
+        size = int(fields["Content-Length"])
+        until(len(head) + size + 4)
+        start = at + len(head)
+        payload = bytes(held[start : start + size])
+        if held[start + size : start + size + 4] != b"\r\n\r\n":
+            raise ValueError(f"a record ends wrongly at byte {gone + start + size}")
+        at = start + size + 4
+        yield head, fields, payload
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -90,11 +131,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for value in batch.column(0):
                 rows, size = [], 0
-                for head, f, payload in parse_archive(gzip.decompress(value.as_py())):
+                for head, f, payload in parse_archive(_unpacked(value.as_py())):
                     kind = f["WARC-Type"]
                     rows.append((page(f["WARC-Record-ID"]), kind, page(f.get("WARC-Refers-To")), f["WARC-Payload-Digest"].removeprefix("sha256:"), head, payload if kind == "response" else None))
                     size += len(payload)
-                    if size > 8_000_000:
+                    if size > BATCH:
                         yield batch_of(rows)
                         rows, size = [], 0
                 if rows:
