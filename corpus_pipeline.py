@@ -3,6 +3,11 @@
 Each stage is a function of (spark, docs, sf_dir); its result is written as
 Parquet and read again as the next stage's docs.  All but the last return the
 columns of documents.
+
+Defined results: null and empty texts pass every stage and give no ids; rows
+with a null id are documents of their own unless their texts link; of repeated
+rows all stay or go; an empty table gives an empty one; extra columns, of any
+name, pass the stages before the last.
 """
 
 from __future__ import annotations
@@ -11,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftstone.llm import decontaminate, jaccard_join, secrets, toxicity
 from siftstone.llm.bpe import encode_documents
-from siftstone.llm.runtime import table, work_dir
+from siftstone.llm.runtime import remove, table, work_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,4 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k < len(STAGES) - 1:
             docs.write.parquet(f"{path}/{k}")
             docs = spark.read.parquet(f"{path}/{k}")
+            if k:
+                remove(spark, f"{path}/{k - 1}")
     return docs
