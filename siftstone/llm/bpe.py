@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import table
+from siftstone.llm.runtime import table, tidy
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: About half the bytes of parts and pieces that a task remembers, and how many pairs of tokens; results do not depend on it.
@@ -374,11 +374,11 @@ def encode_documents(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
                         size, begin = size + len(texts[-1]), begin + 1
                     yield encoded(enc, batch.column(0).slice(first, begin - first), texts)
         finally:
-            enc.forget()  # a worker outlives its task
+            encoder.cache_clear()  # a worker outlives its task
             gc.enable()
 
     slim = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(work, fields.format(slim.schema["doc_id"].dataType.simpleString()))
+    return slim.mapInArrow(tidy(work), fields.format(slim.schema["doc_id"].dataType.simpleString()))
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siftstone.llm.components import components
-from siftstone.llm.runtime import LAST_ID, fresh_name, remove, table, work_dir, written
+from siftstone.llm.runtime import LAST_ID, fresh_name, remove, table, tidy, work_dir, written
 from siftstone.llm.textvec import gram_hashes, inside, mix, slices, words_of
 
 GRAM, PERCENT = 5, 75
@@ -67,7 +67,7 @@ CELL = 160
 BIG, PIVOTS = 200_000, 16
 #: A document's blocks beyond the fewest are one for so many of its shingles.
 MORE_BLOCKS = 10
-_RUN = 6_000_000  # shingles of a run
+_RUN = 4_000_000  # shingles of a run
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 _TILE = 4096
 
@@ -116,10 +116,14 @@ def _survey(docs: DataFrame, gram: int) -> DataFrame:
         names, held, size = ["id", "digest", "n", "k1", "k2", "shingle", "count"], [], 0
 
         def flush() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(held), return_counts=True)
-            keep = c >= LEAST_FREQUENT
-            none = pa.nulls(int(keep.sum()), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.nulls(len(none), pa.binary()), none, none, none, pa.array(h[keep].view(np.int64)), pa.array(c[keep])], names)
+            h = np.concatenate(held)
+            held.clear()
+            h.sort()
+            head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+            c = np.diff(np.append(head, len(h)))
+            head, c = head[c >= LEAST_FREQUENT], c[c >= LEAST_FREQUENT]
+            none = pa.nulls(len(c), pa.int64())
+            return pa.RecordBatch.from_arrays([none, pa.nulls(len(c), pa.binary()), none, none, none, pa.array(h[head].view(np.int64)), pa.array(c)], names)
 
         for b in batches:
             for first, end, buf, offsets in slices(b.column(1)):
@@ -131,11 +135,11 @@ def _survey(docs: DataFrame, gram: int) -> DataFrame:
                 size += len(h)
                 if size >= _RUN:
                     yield flush()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield flush()
 
-    return docs.mapInArrow(work, "id long, digest binary, n long, k1 long, k2 long, shingle long, count long")
+    return docs.mapInArrow(tidy(work), "id long, digest binary, n long, k1 long, k2 long, shingle long, count long")
 
 
 def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,7 +191,7 @@ def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray
                 cols = [token.view(np.int64), is_hot, spread.view(np.int64), ids[first + doc[order]], x.view(np.int64)]
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), ["token", "hot", "spread", "at", "x"])
 
-    return docs.mapInArrow(work, "token long, hot boolean, spread long, at long, x long")
+    return docs.mapInArrow(tidy(work), "token long, hot boolean, spread long, at long, x long")
 
 
 def _first_of_blocks(dealt: DataFrame) -> DataFrame:
@@ -223,7 +227,7 @@ def _first_of_blocks(dealt: DataFrame) -> DataFrame:
             none = pa.nulls(len(new), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(x[new]), pa.array(p[new]), pa.array(np.diff(np.append(new, len(x)))), none, none], names)
 
-    return dealt.select("token", "hot", "at", "x").mapInArrow(work, "x long, p long, c long, token long, at long")
+    return dealt.select("token", "hot", "at", "x").mapInArrow(tidy(work), "x long, p long, c long, token long, at long")
 
 
 def _set_rows(texts: DataFrame, gram: int) -> DataFrame:
@@ -237,7 +241,7 @@ def _set_rows(texts: DataFrame, gram: int) -> DataFrame:
                 rows = pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(bounds), pa.py_buffer(h)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), rows], ["x", "s"])
 
-    return texts.mapInArrow(work, "x long, s binary")
+    return texts.mapInArrow(tidy(work), "x long, s binary")
 
 
 def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -345,7 +349,7 @@ def _compared(rows: DataFrame, sets: DataFrame, percent: int, distances: bool) -
         if held and (out := compared(held)) is not None:
             yield out
 
-    return dealt.mapInArrow(work, "region string, x long, q long" + ", d double, linked boolean" * distances)
+    return dealt.mapInArrow(tidy(work), "region string, x long, q long" + ", d double, linked boolean" * distances)
 
 
 class _Regions:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import table
+from siftstone.llm.runtime import table, tidy
 
 PACKET, SYNC, STUFFING = 188, 0x47, 0xFF
 PAT_PID, PMT_PID, STREAM_PID, PROGRAM = 0x0000, 0x1000, 0x0100, 1
@@ -204,7 +204,7 @@ def stream_columns(df: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
     fields = FIELDS + (", media binary" if keep_media else "")
     names = ["doc_id", *(f.split()[0] for f in fields.split(", "))]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), *([pa.binary()] if keep_media else [])]
-    return slim.mapInArrow(work, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, {fields}")
+    return slim.mapInArrow(tidy(work), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, {fields}")
 
 
 def op8_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +59,20 @@ def written(df: DataFrame, path: str, rows: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """work, and then free memory goes back to the system: a Python worker outlives its task and may stand idle beside others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(AttributeError, OSError):  # other C libraries have no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """A column name that df does not have."""
     taken = {c.lower() for c in df.columns}

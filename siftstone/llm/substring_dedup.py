@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import LAST_ID, remove, table, work_dir, written
+from siftstone.llm.runtime import LAST_ID, remove, table, tidy, work_dir, written
 from siftstone.llm.textvec import gram_hashes, inside, mix, range_hashes, slices, winnow, words_of
 
 SIZE, GRAM = 13, 5
@@ -69,7 +69,7 @@ def _anchors(docs: DataFrame, size: int, gram: int) -> DataFrame:
                 once.sort()
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["anchor", "id"])
 
-    return docs.mapInArrow(work, "anchor long, id long")
+    return docs.mapInArrow(tidy(work), "anchor long, id long")
 
 
 def _members(column: pa.Array, n: int) -> np.ndarray:
@@ -108,7 +108,7 @@ def _seed_runs(docs: DataFrame, size: int, gram: int) -> DataFrame:
                 once.sort()
                 yield pa.RecordBatch.from_arrays([pa.array(anchor[once].view(np.int64)), pa.array(run[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["anchor", "run", "id"])
 
-    return docs.mapInArrow(work, "anchor long, run long, id long")
+    return docs.mapInArrow(tidy(work), "anchor long, run long, id long")
 
 
 def _open_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
@@ -128,7 +128,7 @@ def _open_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
                 once.sort()
                 yield pa.RecordBatch.from_arrays([pa.array(h1[once].view(np.int64)), pa.array(anchor[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["h1", "h2", "id"])
 
-    return docs.mapInArrow(work, "h1 long, h2 long, id long")
+    return docs.mapInArrow(tidy(work), "h1 long, h2 long, id long")
 
 
 def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -173,7 +173,7 @@ def _cut(docs: DataFrame, size: int, gram: int, keep_text: bool) -> DataFrame:
             cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
             yield pa.RecordBatch.from_arrays([ids, *cols], names)
 
-    return docs.mapInArrow(work, "id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,end:int>>" + ", text string" * keep_text)
+    return docs.mapInArrow(tidy(work), "id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,end:int>>" + ", text string" * keep_text)
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM, keep_text: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import table
+from siftstone.llm.runtime import table, tidy
 
 VOCABULARY = "piece_bpe_32k.model"
 MARK = "▁"
@@ -132,7 +132,7 @@ def count_tokens(df: DataFrame, doc_id: str = "doc_id", text: str = "text", voca
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(log_prob, pa.float64())], ["doc_id", "n_words", "n_tokens", "log_prob"])
 
     slim = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(work, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_words long, n_tokens long, log_prob double")
+    return slim.mapInArrow(tidy(work), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, n_words long, n_tokens long, log_prob double")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.llm.labelled import SAMPLE_ROWS, fit_logistic, remainder, sample
-from siftstone.llm.runtime import table
+from siftstone.llm.runtime import table, tidy
 
 THRESHOLD = 0.5
 STEM, LONGEST = 4, 10
@@ -153,7 +153,7 @@ def _counts(texts: DataFrame, terms) -> DataFrame:
             names = list(bad | good)
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([bad[k] for k in names], pa.int64()), pa.array([good[k] for k in names], pa.int64())], ["term", "toxic", "clean"])
 
-    return texts.mapInArrow(work, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return texts.mapInArrow(tidy(work), "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int = 0, rows: int = SAMPLE_ROWS) -> Lexicon:
@@ -201,7 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out: int =
             got = [lexicon.total(t or "") for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.int64()), b.column(1).cast(pa.int32())], ["total", "n", "label"])
 
-    got = sorted(map(tuple, texts.mapInArrow(totals, "total double, n long, label int").collect()))  # at most `rows` short rows
+    got = sorted(map(tuple, texts.mapInArrow(tidy(totals), "total double, n long, label int").collect()))  # at most `rows` short rows
     total, n, y = (np.array(c, dtype=float) for c in zip(*got, strict=True))
     best = None
     for power in (0.0, 0.25, 0.5, 0.75, 1.0):
@@ -222,7 +222,7 @@ def score_documents(df: DataFrame, lexicon: Lexicon, doc_id: str = "doc_id", tex
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([lexicon.score(t.as_py() or "") for t in b.column(1)], pa.float64())], ["doc_id", "score"])
 
     slim = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(work, f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double")
+    return slim.mapInArrow(tidy(work), f"doc_id {slim.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def keep_clean(df: DataFrame, lexicon: Lexicon, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -233,7 +233,7 @@ def keep_clean(df: DataFrame, lexicon: Lexicon, text: str = "text", threshold: f
         for b in batches:
             yield b.filter(pa.array([lexicon.score(str(t.as_py() or "")) < threshold for t in b.column(at)], pa.bool_()))
 
-    return df.mapInArrow(work, df.schema)
+    return df.mapInArrow(tidy(work), df.schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

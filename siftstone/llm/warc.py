@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import LAST_ID, remove, table, work_dir, written
+from siftstone.llm.runtime import LAST_ID, remove, table, tidy, work_dir, written
 
 REVISIT_FROM = 100
 #: Records of an archive file at most; a task holds a file as it is stored, and its records one after the other.
@@ -146,7 +146,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "record_type", "refers_to", "digest", "header", "payload"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(work, "page_id long, record_type string, refers_to long, digest string, header binary, payload binary")
+    return files.mapInArrow(tidy(work), "page_id long, record_type string, refers_to long, digest string, header binary, payload binary")
 
 
 def store(records: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
