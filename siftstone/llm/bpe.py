@@ -32,7 +32,7 @@ from siftstone.llm.runtime import table, tidy
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: About half the bytes of parts and pieces that a task remembers, and how many pairs of tokens; results do not depend on it.
-MEMO_BYTES, MEMO = 50_000_000, 300_000
+MEMO_BYTES, MEMO = 40_000_000, 300_000
 #: What an entry takes besides its bytes.
 _ENTRY = 190
 #: Characters whose parts are looked up together.
