@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -107,28 +104,39 @@ def border_background(rgb: np.ndarray, tolerance: int = 14) -> tuple[np.ndarray,
     return bg, float((np.abs(ring - bg).max(axis=1) <= tolerance).mean())
 
 
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least of 0 to n - 1 that each can reach over the pairs: roots are hooked to lower ones and paths halved."""
+    root = np.arange(n)
+    while True:
+        new, low = root.copy(), np.minimum(root[a], root[b])
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def components(mask: np.ndarray, eight: bool = True) -> tuple[np.ndarray, list[dict]]:
-    """Labels from 1 and the area and box of each, in scan order."""
-    labels, stats = np.zeros(mask.shape, dtype=np.int32), []
-    steps = [(-1, 0), (1, 0), (0, -1), (0, 1)] + ([(-1, -1), (-1, 1), (1, -1), (1, 1)] if eight else [])
+    """Labels from 1 and the area and box of each, in scan order: runs of the rows, joined with those of the row above."""
     h, w = mask.shape
-    for y, x in zip(*np.nonzero(mask), strict=True):
-        if labels[y, x]:
-            continue
-        k = len(stats) + 1
-        todo, ys, xs = deque([(y, x)]), [], []
-        labels[y, x] = k
-        while todo:
-            a, b = todo.popleft()
-            ys.append(a)
-            xs.append(b)
-            for dy, dx in steps:
-                c, d = a + dy, b + dx
-                if 0 <= c < h and 0 <= d < w and mask[c, d] and not labels[c, d]:
-                    labels[c, d] = k
-                    todo.append((c, d))
-        stats.append({"area": len(ys), "x0": int(min(xs)), "y0": int(min(ys)), "x1": int(max(xs)) + 1, "y1": int(max(ys)) + 1})
-    return labels, stats
+    edge = np.diff(np.pad(mask.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    (ys, x0), x1 = np.nonzero(edge == 1), np.nonzero(edge == -1)[1]
+    row, reach = w + 3, int(eight)
+    lo = np.searchsorted(ys * row + x1, (ys - 1) * row + x0 - reach, side="right")
+    met = np.maximum(np.searchsorted(ys * row + x0, (ys - 1) * row + x1 + reach, side="left") - lo, 0)
+    mine = np.repeat(np.arange(len(ys)), met)
+    above = np.arange(len(mine)) - np.repeat(met.cumsum() - met, met) + lo[mine]
+    first, label = np.unique(joined(len(ys), mine, above), return_inverse=True)
+    labels, n = np.zeros(mask.shape, dtype=np.int32), len(first)
+    labels[mask.astype(bool)] = np.repeat(label + 1, x1 - x0)
+    area, left, right, bottom = np.bincount(label, x1 - x0, n).astype(int), np.full(n, w), np.zeros(n, int), np.zeros(n, int)
+    np.minimum.at(left, label, x0)
+    np.maximum.at(right, label, x1)
+    np.maximum.at(bottom, label, ys + 1)
+    columns = zip(area.tolist(), left.tolist(), ys[first].tolist(), right.tolist(), bottom.tolist(), strict=True)
+    return labels, [dict(zip(("area", "x0", "y0", "x1", "y1"), c, strict=True)) for c in columns]
 
 
 def foreground(rgb: np.ndarray, bg: np.ndarray, tolerance: int = 14) -> np.ndarray:
@@ -154,50 +162,3 @@ def hull_area(mask: np.ndarray) -> float:
 
     ring = chain(pts) + chain(pts[::-1])
     return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1], strict=True))) / 2
-
-
-def repeat_score(gray: np.ndarray) -> float:
-    """Largest correlation of the edge map with itself shifted by n/8 to n/2, along either axis."""
-    edges = np.abs(np.diff(gray.astype(float), axis=0))[:, :-1] + np.abs(np.diff(gray.astype(float), axis=1))[:-1]
-    best = 0.0
-    for e in (edges, edges.T):
-        n = e.shape[0]
-        for k in range(max(2, n // 8), n // 2 + 1):
-            a, b = e[:-k].ravel(), e[k:].ravel()
-            if a.std() > 1e-9 and b.std() > 1e-9:
-                best = max(best, float(np.corrcoef(a, b)[0, 1]))
-    return best
-
-
-MEASURES = "path string, readable boolean, width int, height int, long_side int, uniform double, foreground long, objects int, solidity double, at_edge boolean, repeat double"
-
-
-def measure(path: str, rgb: np.ndarray | None) -> dict:
-    """The measures of one decoded image; None is unreadable."""
-    blank = dict.fromkeys((f.split()[0] for f in MEASURES.split(", ")))
-    if rgb is None:
-        return blank | {"path": path, "readable": False}
-    bg, uniform = border_background(rgb)
-    fg = foreground(rgb, bg)
-    _, stats = components(fg)
-    area = int(fg.sum())
-    out = blank | {"path": path, "readable": True, "uniform": uniform, "foreground": area}
-    if not stats:
-        return out
-    large = [s for s in stats if s["area"] >= 0.03 * area]
-    x0, y0, x1, y1 = min(s["x0"] for s in large), min(s["y0"] for s in large), max(s["x1"] for s in large), max(s["y1"] for s in large)
-    h, w = fg.shape
-    return out | {
-        "width": x1 - x0, "height": y1 - y0, "long_side": max(x1 - x0, y1 - y0), "objects": len(large), "solidity": area / max(hull_area(fg), 1.0),
-        "at_edge": x0 == 0 or y0 == 0 or x1 == w or y1 == h, "repeat": repeat_score(rgb[y0:y1, x0:x1].mean(axis=2)),
-    }
-
-
-def measured(images: DataFrame, decode) -> DataFrame:
-    """MEASURES of images (path, content); decode(bytes) gives an H x W x 3 array or None."""
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame([measure(p, decode(c)) for p, c in zip(b["path"], b["content"], strict=True)], columns=[f.split()[0] for f in MEASURES.split(", ")])
-
-    return images.select("path", "content").mapInPandas(work, MEASURES)

@@ -63,9 +63,9 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     n, k = F.col("n_chars"), F.col("doc_id")
     m = F.struct(
-        (k % 41 != 0).alias("readable"), ((k % 10) / 10).alias("uniform"), n.alias("foreground"), (k % 9).alias("mark_gap"), (k % 13 == 0).alias("crosses_text"), ((k % 17) / 400).alias("bar"),
+        (k % 41 != 0).alias("readable"), ((k % 10) / 10).alias("uniform"), n.alias("foreground"), (k % 9).alias("mark_gap"), (k % 13 == 0).alias("crosses_text"), F.when(k % 17 > 0, (k % 17) / 400).alias("bar"),
         (n % 1500).alias("long_side"), (n % 1300).alias("height"), (n % 2000).alias("width"), (F.lit(1) + (k % 11 == 0).cast("int")).alias("objects"), (F.lit(1.0) - (k % 30) / 100).alias("solidity"),
-        ((k % 8) / 10).alias("white"), (k % 7).alias("faint_marks"), (k % 4).alias("mark_sides"), (k % 12).cast("double").alias("slant"), (k % 2 == 0).alias("second_face"), (F.lit(0.85) + (k % 5) / 50).alias("symmetry"),
+        ((k % 8) / 10).alias("white"), (k % 7).alias("faint_marks"), (k % 4).alias("mark_sides"), (k % 6).alias("faint_gap"), (k % 12).cast("double").alias("slant"), (k % 2 == 0).alias("second_face"), (F.lit(0.85) + (k % 5) / 50).alias("symmetry"),
         ((k % 20) / 25).alias("repeat"), (k % 3 == 0).alias("at_edge"),
     )
     r = d.select(k.alias("doc_id"), (n % 1500).alias("long_side"), V.rules(m).alias("reasons"))
@@ -74,8 +74,8 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _CASES = [
     ("k % 41 = 0", 2), ("k % 41 <> 0 AND k % 10 < 6", 1), ("k % 41 <> 0 AND n < 400", 1), ("s AND k % 9 < 4", 1), ("s AND k % 13 = 0", 1), ("s AND k % 13 <> 0 AND k % 17 >= 8", 1), ("s AND k % 13 <> 0 AND k % 17 BETWEEN 1 AND 7", 1),
-    ("s AND n % 1500 < 700", 2), ("s AND n % 1500 BETWEEN 700 AND 999", 1), ("s AND n % 1300 < 600", 2), ("s AND n % 1300 >= 600 AND 10 * (n % 2000) >= 16 * (n % 1300)", 1), ("s AND k % 11 = 0", 2), ("s AND k % 30 > 25", 2),
-    ("s AND k % 30 BETWEEN 13 AND 25", 1), ("s AND k % 8 >= 5", 1), ("s AND k % 7 >= 6", 1), ("s AND k % 7 BETWEEN 1 AND 5 AND k % 4 >= 3", 1), ("s AND k % 12 > 8 AND k % 2 = 0 AND k % 5 <= 3", 2), ("s AND k % 20 >= 19", 1), ("s AND k % 3 = 0", 0),
+    ("s AND n % 1500 < 700", 2), ("s AND n % 1500 BETWEEN 700 AND 999", 1), ("s AND n % 1300 < 600 AND 10 * (n % 2000) < 16 * greatest(n % 1300, 1)", 2), ("s AND n % 1300 < 600 AND 10 * (n % 2000) >= 16 * greatest(n % 1300, 1)", 1), ("s AND k % 11 = 0", 2), ("s AND k % 30 > 25", 2),
+    ("s AND k % 30 BETWEEN 13 AND 25", 1), ("s AND k % 8 >= 5", 1), ("s AND k % 7 >= 6 AND k % 4 >= 3", 1), ("s AND k % 7 >= 6 AND k % 4 < 3 AND k % 6 < 4", 1), ("s AND k % 12 > 8 AND k % 2 = 0 AND k % 5 <= 3", 2), ("s AND k % 20 >= 19", 1), ("s AND k % 3 = 0", 0),
 ]
 _SQL_V = "m AS (SELECT doc_id AS k, n_chars AS n, doc_id % 41 <> 0 AND n_chars >= 400 AS s FROM documents), v AS (SELECT k, n, " + "greatest(" + ", ".join(f"CASE WHEN {c} THEN {lv} ELSE 0 END" for c, lv in _CASES) + ") AS sev, " + " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c, _ in _CASES) + " AS reasons FROM m), r AS (SELECT k AS doc_id, n % 1500 AS long_side, reasons, CASE sev WHEN 2 THEN '不收' WHEN 1 THEN '要人眼' ELSE '收' END AS verdict, sev FROM v)"
 register("verdict_severity", lambda s, d: _results(s, d).select("doc_id", F.size("reasons").cast("long").alias("reasons"), "verdict"), f"WITH {_SQL_V} SELECT doc_id, CAST(reasons AS BIGINT) AS reasons, verdict FROM r")

@@ -81,6 +81,11 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,jpeg,png,webp}").load(path).select("path", "content")
 
 
+def read_pixels(spark: SparkSession, path: str) -> DataFrame:
+    """(path, height, width, channels, data) of the images of a folder, decoded by the JVM's codecs; a file that is none has height -1."""
+    return spark.read.format("image").load(path).select(F.col("image.origin").alias("path"), "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data")
+
+
 def scene(settings: DataFrame, shot: int) -> DataFrame:
     """z0, z1, cx, cy of a shot of settings (scenes array<array<string>>); the card has none and is an error."""
     s = F.element_at("scenes", shot)

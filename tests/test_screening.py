@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siftstone.functions.titles import cleaner
-from siftstone.operators import images, series, specs
+from siftstone.operators import images, photo, series, specs, verdicts
 from siftstone.operators import lint as L
 from siftstone.operators import offers as O
 from siftstone.plans.shared import row_index
@@ -118,14 +118,14 @@ def test_template_values_are_not_filled_again(spark):
 def test_image_kernels():
     image = np.full((60, 60, 3), 255, dtype=np.uint8)
     image[10:50, 20:40] = 30
-    m = images.measure("p", image)
+    m = photo.measure("p", image)
     assert (m["objects"], m["width"], m["height"], m["at_edge"], m["uniform"]) == (1, 20, 40, False, 1.0)
     assert m["solidity"] == pytest.approx(1.0)
     image[5:12, 2:9] = 30
-    assert images.measure("p", image)["objects"] == 2
+    assert photo.measure("p", image)["objects"] == 2
     tiles = np.tile(np.kron(np.array([[0, 255, 90], [40, 0, 200]]), np.ones((6, 6))), (4, 3))
-    assert images.repeat_score(tiles) > 0.75
-    assert images.measure("p", None)["readable"] is False
+    assert photo.repeat(tiles, np.ones(tiles.shape, dtype=bool)) > 0.75
+    assert photo.measure("p", None)["readable"] is False
 
 
 def test_row_index(spark):
