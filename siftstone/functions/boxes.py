@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,11 @@ def fit_inside(iw: Column, ih: Column, w: Column, h: Column) -> Column:
     by_width = iw * h >= ih * w
     scaled = lambda a, b, c: F.floor((2 * a * b + c) / (2 * c)).cast("long")
     return F.struct(F.when(by_width, w).otherwise(scaled(iw, h, ih)).alias("w"), F.when(by_width, scaled(ih, w, iw)).otherwise(h).alias("h"))
+
+
+def label_json(entries: DataFrame, name: str, frame: str, box: str, note: str) -> DataFrame:
+    """(name, json) of entries: one document per name, its boxes under name@frame and again, in order, as _frames."""
+    g = entries.groupBy(name).agg(F.array_sort(F.collect_list(F.struct(F.col(frame).alias("frame"), F.col(box).alias("box")))).alias("frames"))
+    keyed = F.to_json(F.map_from_entries(F.transform("frames", lambda e: F.struct(F.concat(F.col(name), F.lit("@"), e["frame"].cast("string")), e["box"]))))
+    head = F.to_json(F.struct(F.lit(note).alias("_note")))
+    return g.select(name, F.concat(F.rtrim(head, F.lit("}")), F.lit(","), F.substr(keyed, F.lit(2), F.length(keyed) - 2), F.lit(',"_frames":'), F.to_json("frames"), F.lit("}")).alias("json"))

@@ -120,3 +120,20 @@ def separates(values: DataFrame, new: Column, old: Column, threshold: float) ->
     """Calibration: class counts, and whether max(new) <= threshold < min(old)."""
     g = values.agg(F.count_if(new).alias("n_new"), F.count_if(old).alias("n_old"), F.max(F.when(new, F.col("v"))).alias("max_new"), F.min(F.when(old, F.col("v"))).alias("min_old"))
     return g.withColumn("separates", (F.col("max_new") <= threshold) & (F.lit(threshold) < F.col("min_old")))
+
+
+def frame_rows(d: DataFrame, seg: DataFrame, series: str, fps: float) -> DataFrame:
+    """(series, frame, time_s, mean_abs_diff, segment): a row for each difference; segments count from 1, what is in none is a cut."""
+    number = F.dense_rank().over(Window.partitionBy(series).orderBy("seg")).cast("string")
+    numbered = seg.select(series, "t", number.alias("segment"))
+    exact = lambda c, n: F.format_string(f"%.{n}f", F.floor(c * 10**n + 0.5) / 10**n)
+    return d.join(numbered, [series, "t"], "left").select(series, F.col("t").cast("long").alias("frame"), exact(F.col("t") / fps, 3).alias("time_s"), exact(F.col("d"), 4).alias("mean_abs_diff"), F.coalesce("segment", F.lit("cut")).alias("segment"))
+
+
+def verdict_json(segments_: DataFrame, series: str, fps: float, threshold: float) -> DataFrame:
+    """(series, json): one document per series with its verdict and its segments (as verdicts() has them), in order."""
+    rounded = [F.round(c, 4).alias(c) for c in ("mean", "ratio", "peak")]
+    parts = F.array_sort(F.collect_list(F.struct("seg", "n", *rounded, "verdict")))
+    g = segments_.groupBy(series).agg(parts.alias("segments"), F.count_if(F.col("verdict") == "FAIL").alias("failed"))
+    verdict = F.when(F.col("failed") > 0, "FAIL").otherwise("PASS").alias("verdict")
+    return g.select(series, F.to_json(F.struct(F.col(series).alias("file"), F.lit(fps).alias("fps"), F.lit(threshold).alias("threshold"), verdict, "segments")).alias("json"))

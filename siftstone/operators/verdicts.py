@@ -163,3 +163,16 @@ def ordered(results: DataFrame, row_index) -> DataFrame:
 
 def page(rank: Column, size: int = 100) -> Column:
     return F.floor((rank - 1) / size) + 1
+
+
+def report(results: DataFrame) -> DataFrame:
+    """The rows of a screening report, as texts: results (rank, path, verdict, reasons, hints, and measures), by rank; what is missing is a dash."""
+    c, dash = F.col, F.lit("—")
+    text = lambda v: F.coalesce(v.cast("string"), dash)
+    why = F.array_join(F.transform("reasons", lambda r: F.concat(F.lit("【"), r["level"], F.lit("】"), r["code"])), "；")
+    some = lambda v: F.when(F.coalesce(v, F.lit("")) == "", dash).otherwise(v)
+    cells = {
+        "#": c("rank").cast("string"), "file": F.element_at(F.split("path", "/"), -1), "verdict": c("verdict"), "product": F.coalesce(F.concat(c("width").cast("string"), F.lit("×"), c("height").cast("string")), dash),
+        "long side": text(c("long_side")), "solidity": F.when(c("solidity").isNull(), dash).otherwise(F.format_string("%.3f", c("solidity"))), "objects": text(c("objects")), "reasons": some(why), "suggestions": some(F.array_join("hints", "；")),
+    }
+    return results.orderBy("rank").select(*[v.alias(k) for k, v in cells.items()])

@@ -60,3 +60,11 @@ def calibration_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("calibration_bounds", calibration_bounds, "SELECT count(*) FILTER (event_type = 'click') AS n_new, count(*) FILTER (event_type = 'view') AS n_old, max(v) FILTER (event_type = 'click') AS max_new, min(v) FILTER (event_type = 'view') AS min_old, max(v) FILTER (event_type = 'click') <= 250 AND 250 < min(v) FILTER (event_type = 'view') AS separates FROM (SELECT event_type, CAST(floor(value) AS BIGINT) AS v FROM events)")
+
+
+def frame_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.frame_rows(_frames(spark, sf_dir), _segments(spark, sf_dir), "user_id", 8.0)
+
+
+register("frame_rows", frame_rows, f"""WITH {SQL_SEG}, num AS (SELECT user_id, t, dense_rank() OVER (PARTITION BY user_id ORDER BY seg) AS k FROM seg)
+SELECT d.user_id, d.t AS frame, printf('%.3f', floor(d.t / 8.0::DOUBLE * 1000 + 0.5) / 1000) AS time_s, printf('%.4f', floor(d * 10000 + 0.5) / 10000) AS mean_abs_diff, coalesce(CAST(k AS VARCHAR), 'cut') AS segment FROM d LEFT JOIN num USING (user_id, t)""")

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 DATA = "/root/testdata/sf0.001"
-QUICK = ("parse_counts", "per_order_half_up", "series_keys", "category_assign", "segment_verdict", "lint_hits", "spec_violations", "prompt_render", "box_iou", "verdict_counts", "verdict_severity", "screen_sort", "judge_tighten", "background_median", "strip_titles")
+QUICK = ("parse_counts", "per_order_half_up", "series_keys", "category_assign", "segment_verdict", "lint_hits", "spec_violations", "prompt_render", "box_iou", "verdict_counts", "card_layout", "card_verdicts", "label_box_json", "frame_rows", "verdict_severity", "screen_sort", "judge_tighten", "background_median", "strip_titles")
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
