@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siftstone.catalogue import register
 from siftstone.functions import boxes as B
 from siftstone.operators import images as I
+from siftstone.operators import strokes as K
 from siftstone.operators import verdicts as V
 from siftstone.plans.shared import row_index, table
 
@@ -126,3 +127,10 @@ def nms_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 register("nms_lines", nms_lines)
+
+
+def chain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.chained(_chars(spark, sf_dir))
+
+
+register("chain_lines", chain_lines)
