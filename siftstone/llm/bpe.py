@@ -47,6 +47,8 @@ _TOKEN = -1
 _TAIL = 4
 #: White space as the pattern's engine in the tiktoken library has it (Python's own \s differs).
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0                　"
+#: Packs that many ids.
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
 _BORDER = re.compile(f"(?= [^{_SPACE}])")
 
 
@@ -120,25 +122,26 @@ class PrefixBPE:
 
     def extend(self, data: bytes, last: list[int], end: int) -> None:
         """Appends the last tokens of the prefixes of data up to end; last has those of the shorter ones (last[k] for data[:k+1])."""
-        fits, ends, tail = self._fits, self._ends, _TAIL
+        fits, ends, tail, add = self._fits.get, self._ends.get, _TAIL, last.append
         for size in range(len(last) + 1, end + 1):
-            key = data[size - tail : size] if size > tail else data[:size]
-            known = ends.get(key)
-            found, node = known if known is not None else self._tokens_at(key)
-            if node is not None and size > tail:
-                found = self._longer(data, size - tail, node, found)
+            if size > tail:
+                key = data[size - tail : size]
+                found, node = ends(key) or self._tokens_at(key)
+                if node is not None:
+                    found = self._longer(data, size - tail, node, found)
+            else:
+                key = data[:size]
+                found, _ = ends(key) or self._tokens_at(key)
             for length, token in found:  # the longest first
                 if length == size:
                     break
-                before = last[size - length - 1]
-                good = fits.get(before << 17 | token)
-                if good is None:
-                    good = self.fits(before, token)
-                if good:
+                before = last[-length]
+                good = fits(before << 17 | token)
+                if good or good is None and self.fits(before, token):
                     break
             else:
                 raise ValueError("a byte is missing from the vocabulary")
-            last.append(token)
+            add(token)
 
     def _tokens_at(self, key: bytes) -> tuple[tuple[tuple[int, int], ...], dict | None]:
         """(length, token) of the tokens that key ends with, the longest first, and the node of the trie where key leads; remembered."""
@@ -175,8 +178,9 @@ class PrefixBPE:
     def read(self, last: list[int]) -> list[int]:
         out, i, size = [], len(last), self.size_of
         while i:
-            out.append(last[i - 1])
-            i -= size[last[i - 1]]
+            token = last[i - 1]
+            out.append(token)
+            i -= size[token]
         out.reverse()
         return out
 
@@ -257,21 +261,29 @@ class TextEncoder:
             else:
                 fresh.append(piece)
         fresh.sort()  # code points are in the order of their bytes
-        ranks, extend, read, last, before = self.bpe.ranks, self.bpe.extend, self.bpe.read, [], b""
+        ranks, extend, size, last, before, total = self.bpe.ranks.get, self.bpe.extend, self.bpe.size_of, [], b"", 0
         for piece in fresh:
             data = piece.encode()
-            if (rank := ranks.get(data)) is not None:
+            n = len(data)
+            total += n
+            if (rank := ranks(data)) is not None:
                 out[piece] = rank.to_bytes(4, "little")
-            else:
-                k, most = 0, min(len(last), len(data))
-                while k < most and data[k] == before[k]:
-                    k += 1
-                del last[k:]
-                extend(data, last, len(data))
-                before = data
-                ids = read(last)
-                out[piece] = struct.pack(f"<{len(ids)}I", *ids)
-            self.held += _ENTRY + 2 * len(data)
+                continue
+            k = 0
+            for a, b in zip(data, before):  # noqa: B905
+                if a != b:
+                    break
+                k += 1
+            del last[k:]
+            extend(data, last, n)
+            before, ids = data, []
+            while n:  # as PrefixBPE.read() does
+                token = last[n - 1]
+                ids.append(token)
+                n -= size[token]
+            ids.reverse()
+            out[piece] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
+        self.held += _ENTRY * len(fresh) + 2 * total
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
