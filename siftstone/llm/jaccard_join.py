@@ -30,7 +30,9 @@ each may leave some blocks, as long as these are fewer than half as many.  Then:
 
 Members are classes of equal sets, named by a digest of the set and not by an
 id: rows that share an id, or have none, are different documents if their
-texts differ.  Shingles are compared by 64 bits of hash, sets by 128.
+texts differ.  Shingles are compared by 64 bits of hash, sets by sums of two
+such: under the run's own secret key (see textvec) two given shingles meet with
+a probability of about 2**-58, whatever their words are.
 
 Defined results: a null or empty text has an empty set and is linked with
 nothing; repeated rows each give a row; a null id counts as larger than any
@@ -52,7 +54,7 @@ from pyspark.sql.window import Window
 
 from siftstone.llm.components import components
 from siftstone.llm.runtime import LAST_ID, fresh_name, remove, table, tidy, work_dir, written
-from siftstone.llm.textvec import gram_hashes, inside, mix, slices, words_of
+from siftstone.llm.textvec import Key, gram_hashes, inside, mix, new_key, slices, words_of
 
 GRAM, PERCENT = 5, 75
 #: Frequent shingles that are ordered last; more would only be ordered less well.
@@ -80,9 +82,9 @@ def _by_document(doc: np.ndarray, *keys: np.ndarray) -> np.ndarray:
     return order
 
 
-def _sets(buf: np.ndarray, offsets: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+def _sets(buf: np.ndarray, offsets: np.ndarray, gram: int, key: Key) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle hash), sorted and distinct."""
-    w = words_of(buf, offsets, lower=True)
+    w = words_of(buf, offsets, key, lower=True)
     starts = np.flatnonzero(inside(w.first, len(w.hashes), gram))
     doc, hashes = w.doc_of()[starts], gram_hashes(w.hashes, gram)
     hashes = hashes[starts] if len(starts) else np.empty(0, np.uint64)
@@ -109,7 +111,7 @@ def _keys(doc: np.ndarray, hashes: np.ndarray, n_docs: int) -> tuple[np.ndarray,
     return size, sums[0], sums[1]
 
 
-def _survey(docs: DataFrame, gram: int) -> DataFrame:
+def _survey(docs: DataFrame, gram: int, key: Key) -> DataFrame:
     """docs: (id, text, digest).  A row for each with the size and keys of its set, and (shingle, count) rows of runs of documents."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +129,7 @@ def _survey(docs: DataFrame, gram: int) -> DataFrame:
 
         for b in batches:
             for first, end, buf, offsets in slices(b.column(1)):
-                doc, h = _sets(buf, offsets, gram)
+                doc, h = _sets(buf, offsets, gram, key)
                 none = pa.nulls(end - first, pa.int64())
                 own = [b.column(k).slice(first, end - first) for k in (0, 2)]
                 yield pa.RecordBatch.from_arrays([*own, *map(pa.array, _keys(doc, h, end - first)), none, none], names)
@@ -158,7 +160,7 @@ def _node(shift: int) -> Column:
     return F.col("k1").bitwiseXOR(F.shiftrightunsigned("k2", shift))
 
 
-def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray], shift: int) -> DataFrame:
+def _blocks(docs: DataFrame, gram: int, key: Key, percent: int, frequent: tuple[np.ndarray, np.ndarray, np.ndarray], shift: int) -> DataFrame:
     """docs: (at, text).  (token, hot, spread, at, x): the shingles by which classes are dealt to blocks; spread is the token, or for hot ones a part of it."""
     known, level, hot = frequent
 
@@ -166,7 +168,7 @@ def _blocks(docs: DataFrame, gram: int, percent: int, frequent: tuple[np.ndarray
         for b in batches:
             ids = b.column(0).to_numpy()
             for first, end, buf, offsets in slices(b.column(1)):
-                doc, h = _sets(buf, offsets, gram)
+                doc, h = _sets(buf, offsets, gram, key)
                 size, k1, k2 = _keys(doc, h, end - first)
                 node = k1.view(np.uint64) ^ (k2.view(np.uint64) >> np.uint64(shift))
                 once = np.zeros(end - first, dtype=bool)
@@ -230,13 +232,13 @@ def _first_of_blocks(dealt: DataFrame) -> DataFrame:
     return dealt.select("token", "hot", "at", "x").mapInArrow(tidy(work), "x long, p long, c long, token long, at long")
 
 
-def _set_rows(texts: DataFrame, gram: int) -> DataFrame:
+def _set_rows(texts: DataFrame, gram: int, key: Key) -> DataFrame:
     """texts: (x, text).  (x, s): the sorted shingle hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, end, buf, offsets in slices(b.column(1)):
-                doc, h = _sets(buf, offsets, gram)
+                doc, h = _sets(buf, offsets, gram, key)
                 bounds = np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=end - first))]).astype(np.int32) * np.int32(8)
                 rows = pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(bounds), pa.py_buffer(h)])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, end - first), rows], ["x", "s"])
@@ -444,9 +446,9 @@ def _digest(text: Column) -> Column:
 
 def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> DataFrame:
     """doc_id, digest of the text, n_shingles, component_id, a row for each row of df."""
-    spark, path = df.sparkSession, work_dir(df.sparkSession, "jaccard")
+    spark, path, key = df.sparkSession, work_dir(df.sparkSession, "jaccard"), new_key()
     docs = df.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
-    survey = written(_survey(docs, gram), f"{path}/survey")
+    survey = written(_survey(docs, gram, key), f"{path}/survey")
     digests = survey.filter("n IS NOT NULL")
     # The row (at, digest) gives the class its text; at is never compared with ids as such, so that LAST_ID may stand for null.
     at = F.coalesce("id", F.lit(LAST_ID))
@@ -456,7 +458,7 @@ def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> D
     reps = written(classes.select(_node(shift).alias("rep"), "n", "least", "row.at", "row.digest"), f"{path}/reps")
     members = written(digests.select("id", "digest", "n", F.when(F.col("n") > 0, _node(shift)).otherwise(F.col("id")).alias("rep")), f"{path}/members")
 
-    dealt = _blocks(docs.select(at.alias("at"), "text"), gram, percent, _frequent(survey), shift)
+    dealt = _blocks(docs.select(at.alias("at"), "text"), gram, key, percent, _frequent(survey), shift)
     met = written(_first_of_blocks(dealt.repartition("spread").sortWithinPartitions("token", "at", "x")), f"{path}/met")
     hot = met.filter("token IS NOT NULL").drop("p")
     heads = hot.groupBy("token").agg(F.min(F.struct("at", "x")).alias("m")).select("token", F.col("m.x").alias("p"))  # MAX_FREQUENT at most
@@ -475,7 +477,7 @@ def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> D
     wanted = reps.join(met.select(F.col("x").alias("rep")).union(met.select("p")).distinct(), "rep", "left_semi").select("at", "digest", "rep")
     # Repeated rows are one text.
     found = docs.select(at.alias("at"), "digest", "text").join(wanted, ["at", "digest"]).dropDuplicates(["at", "digest"])
-    sets = written(_set_rows(found.select(F.col("rep").alias("x"), "text"), gram), f"{path}/sets", 256)
+    sets = written(_set_rows(found.select(F.col("rep").alias("x"), "text"), gram, key), f"{path}/sets", 256)
     for name in ("survey", "classes", "met", "met_pairs", "may_link"):
         remove(spark, f"{path}/{name}")
     roots = _Regions(spark, f"{path}/regions", sets, percent).join(pairs)

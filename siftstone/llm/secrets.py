@@ -21,6 +21,7 @@ extra columns, of any name, are not read and stay.
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,8 @@ ALLOW = (
 _SPAN = "struct<start:int,rank:int,end:int>"
 #: Steps whose results are appended one by one; lists of so many are then put together.
 _CHUNK = 128
+#: Window starts of a piece of a candidate, and the character that stands for a count of zero.
+_PIECE, _ZERO = 512, 64
 #: Spans up to which a text is cut by substring, which looks from the text's begin.
 _FEW = 32
 
@@ -90,42 +93,76 @@ def _spans(text: Column, pattern: str, rank: int, least: int) -> Column:
     return F.when(text.rlike(pattern), _scan(steps, F.lit(0), step, _SPAN)["out"]).otherwise(none)
 
 
-def _weight(count: Column) -> Column:
-    """c * log2(c), 0 for 0."""
-    return F.when(count > 1, count * F.log2(count.cast("double"))).otherwise(F.lit(0.0))
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _put(counts: Column, code: Column, value: Column) -> Column:
-    """counts with the entry of the character code replaced."""
-    return F.concat(F.slice(counts, F.lit(1), code - 1), F.array(value), F.slice(counts, code + 1, F.lit(128)))
+def _hot_starts(piece: Column, most: Column, width: int) -> Column:
+    """A '1' or '0' for each window of a piece of a candidate: whether its sum of c*log2(c) is `most` at most.
+
+    Counts by character code are one text, a character for each count, so that
+    a step replaces a character instead of rebuilding an array.
+    """
+    codes = F.transform(F.split(piece, ""), lambda c: F.ascii(c))
+    # A character enters before one leaves, so a count may be width + 1.
+    weight = [c * log2(c) if c else 0.0 for c in range(width + 2)]
+    more = F.array(*[F.lit(weight[c + 1] - weight[c]) for c in range(width + 1)])  # from c to c + 1
+    shown = F.array(*[F.lit(chr(_ZERO + c)) for c in range(width + 2)])
+    count = lambda counts, code: F.ascii(F.substring(counts, code + 1, F.lit(1))) - _ZERO
+    with_count = lambda counts, code, n: F.overlay(counts, F.get(shown, n), code + 1, F.lit(1))
+
+    def enter(acc: Column, x: Column) -> Column:
+        return _bound(count(acc["counts"], x["new"]), lambda n: F.struct(with_count(acc["counts"], x["new"], n + 1).alias("counts"), (acc["sum"] + F.get(more, n)).alias("sum")))
+
+    def leave(now: Column, code: Column) -> Column:
+        return _bound(count(now["counts"], code), lambda n: F.struct(with_count(now["counts"], code, n - 1).alias("counts"), (now["sum"] - F.get(more, n - 1)).alias("sum")))
+
+    def step(acc: Column, x: Column) -> Column:
+        after = _bound(enter(acc, x), lambda now: F.when(x["old"].isNull(), now).otherwise(leave(now, x["old"])))
+        i = acc["i"] + 1
+
+        def noted(now: Column) -> Column:
+            flag = F.when(i < width, "").when(now["sum"] <= acc["most"], "1").otherwise("0")
+            return F.struct(now["counts"].alias("counts"), now["sum"].alias("sum"), i.alias("i"), F.concat(acc["flags"], flag).alias("flags"), acc["most"].alias("most"))
+
+        return _bound(after, noted)
+
+    pairs = _bound(codes, lambda c: F.arrays_zip(c.alias("new"), F.concat(F.array_repeat(F.lit(None).cast("int"), width), F.slice(c, F.lit(1), F.greatest(F.size(c) - width, F.lit(0)))).alias("old")))
+    zero = F.struct(F.lit(chr(_ZERO) * 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"), F.lit("").alias("flags"), most.alias("most"))
+    return F.aggregate(pairs, zero, step, lambda acc: acc["flags"])
 
 
 def hot_windows(candidate: Column, threshold: Column, width: int = WINDOW) -> Column:
-    """array<struct<start,end>>: merged windows of `width` characters with entropy >= threshold, 0-based."""
-    codes = F.transform(F.split(candidate, ""), lambda c: F.ascii(c))
+    """array<struct<start,end>>: merged windows of `width` characters (ASCII) with entropy >= threshold, 0-based.
+
+    The candidate is cut into pieces of _PIECE window starts, each with the
+    characters that its last windows reach into, so time and memory of a step
+    do not depend on the candidate's length.
+    """
+    if width > 60:
+        raise ValueError("a window has 60 characters at most")
     # A window of n characters has entropy log2(n) - sum(c*log2 c)/n, so the sum has an upper bound.
     most = (F.log2(F.lit(float(width))) - threshold) * width + 1e-9
+    cut = f"(?s)(.{{1,{_PIECE}}})(?=(.{{0,{width - 1}}}))"
+    parts = lambda group: F.regexp_extract_all(candidate, F.lit(cut), F.lit(group))
+    pieces = F.zip_with(parts(1), parts(2), lambda a, b: F.concat(a, b))
+    flags = _bound(most, lambda m: F.array_join(F.transform(pieces, lambda p: _hot_starts(p, m, width)), ""))
+    # Windows that start at most `width` apart are one span: spans are parted by so many cold starts.
+    apart = f"0{{{width},}}"
 
-    def step(acc: Column, x: Column) -> Column:
-        i = acc["i"] + 1  # characters so far
-        count = F.element_at(acc["counts"], x["new"])
-        counts, total = _put(acc["counts"], x["new"], count + 1), acc["sum"] + _weight(count + 1) - _weight(count)
-        gone = F.element_at(counts, F.coalesce(x["old"], F.lit(1)))
-        slides = x["old"].isNotNull()
-        total = F.when(slides, total + _weight(gone - 1) - _weight(gone)).otherwise(total)
-        counts = F.when(slides, _put(counts, x["old"], gone - 1)).otherwise(counts)
-        last = F.when(F.size(acc["out"]) > 0, F.element_at(acc["out"], -1))
-        start = i - width
-        joined = F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1), F.array(F.struct(last["start"].alias("start"), i.alias("end"))))
-        fresh = F.concat(acc["out"], F.array(F.struct(start.alias("start"), i.alias("end"))))
-        out = F.when((i >= width) & (total <= most), F.when(last["end"] >= start, joined).otherwise(fresh)).otherwise(acc["out"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), i.alias("i"), out.alias("out"))
-
-    pairs = F.arrays_zip(codes.alias("new"), F.concat(F.array_repeat(F.lit(None).cast("int"), width), F.slice(codes, F.lit(1), F.greatest(F.size(codes) - width, F.lit(0)))).alias("old"))
-    zero = F.struct(
-        F.array_repeat(F.lit(0), 128).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("i"), F.array().cast("array<struct<start:int,end:int>>").alias("out")
-    )
-    return F.aggregate(pairs, zero, step, lambda acc: acc["out"])
+    def spans(text: Column) -> Column:
+        steps = F.arrays_zip(F.split(text, apart, -1).alias("part"), F.regexp_extract_all(text, F.lit(apart), F.lit(0)).alias("gap"))
+        none = F.array().cast("array<struct<start:int,end:int>>")
+
+        def step(pos: Column, x: Column) -> tuple[Column, Column]:
+            first, last = F.length(x["part"]) - F.length(F.ltrim(x["part"], F.lit("0"))), F.length(F.rtrim(x["part"], F.lit("0")))
+            span = F.array(F.struct((pos + first).alias("start"), (pos + last - 1 + width).alias("end")))
+            return pos + F.length(x["part"]) + F.coalesce(F.length(x["gap"]), F.lit(0)), F.when(F.contains(x["part"], F.lit("1")), span).otherwise(none)
+
+        return _scan(steps, F.lit(0), step, "struct<start:int,end:int>")["out"]
+
+    return _bound(flags, spans)
 
 
 def _entropy_spans(text: Column) -> Column:

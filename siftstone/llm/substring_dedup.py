@@ -11,20 +11,21 @@ Extend: a seed's *run* is its anchor extended both ways over all windows that
 have chosen it.  Runs that an earlier document has whole are repeats.  Where
 that fails (at the ends of a repeat) and the anchor occurs with other runs
 too, the run's single windows are looked up.  Documents are never compared
-pair by pair: runs and windows are looked up by 128 bits of hash, and each
-learns the smallest document that has it, by an aggregate that combines before
-the shuffle.  Work and shuffled rows grow with the text, not with the square
-of a group of copies.
+pair by pair: runs and windows are looked up by a cryptographic digest of their
+words (BLAKE2b, 128 bits), and each learns the smallest document that has it,
+by an aggregate that combines before the shuffle.  Shorter hashes only select:
+where they meet by chance, something is looked up in vain.  Work and shuffled
+rows grow with the text, not with the square of a group of copies.
 Maximal repeats: windows that an earlier document has are merged to the
 longest spans; these are cut out.
 
 Words are runs of bytes other than space and 0x09-0x0D.  Defined results: a
 null text has no words; fewer than `size` words are never removed; repeated
 rows (same id) don't remove each other and each give a row; a null id counts
-as larger than any other (the id 2**63 - 1 counts as null); an empty table
-gives an empty one; a text may be of any length that fits a task; equal anchor
-hashes in a window are a tie that the last one wins; extra columns are not
-read.  Windows are equal if their 64-bit hashes and anchors are.
+as larger than any other, and rows without an id (or with one of 2**63 - 2**32
+or more) don't remove each other; an empty table gives an empty one; a text may
+be of any length that fits a task; equal anchor hashes in a window are a tie
+that the last one wins; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -38,31 +39,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftstone.llm.runtime import LAST_ID, remove, table, tidy, work_dir, written
-from siftstone.llm.textvec import gram_hashes, inside, mix, range_hashes, slices, winnow, words_of
+from siftstone.llm.runtime import remove, table, tidy, work_dir, written
+from siftstone.llm.textvec import Key, Words, gram_hashes, inside, mix, new_key, range_hashes, slices, winnow, words_of
 
 SIZE, GRAM = 13, 5
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 _APART = np.uint64(0x9E3779B97F4A7C15)
+#: Rows without an id stand here, each text for itself, so that they are no hot key.
+NO_ID = (1 << 63) - (1 << 32)
 
 
-def _windows(buf: np.ndarray, offsets: np.ndarray, size: int, gram: int):
+def _windows(buf: np.ndarray, offsets: np.ndarray, size: int, gram: int, key: Key):
     """(words, window starts, document of each, anchor hash of each, position of the anchor)."""
-    w = words_of(buf, offsets)
+    w = words_of(buf, offsets, key)
     starts = np.flatnonzero(inside(w.first, len(w.hashes), size))
     grams = gram_hashes(w.hashes, gram)
     at = winnow(grams, size - gram + 1)[starts]
     return w, starts, w.doc_of()[starts], grams[at], at
 
 
-def _anchors(docs: DataFrame, size: int, gram: int) -> DataFrame:
+def _anchors(docs: DataFrame, size: int, gram: int, key: Key) -> DataFrame:
     """(anchor, id), once for each anchor of a document (or slice of its rows)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy()
             for first, _, buf, offsets in slices(b.column(1)):
-                _, _, doc, anchor, at = _windows(buf, offsets, size, gram)
+                _, _, doc, anchor, at = _windows(buf, offsets, size, gram, key)
                 new = np.concatenate([[True], at[1:] != at[:-1]]) if len(at) else np.empty(0, bool)
                 doc, anchor = doc[new], anchor[new]
                 _, once = np.unique(mix(anchor + doc.astype(np.uint64) * _APART), return_index=True)
@@ -79,7 +82,7 @@ def _members(column: pa.Array, n: int) -> np.ndarray:
 
 
 def _runs(w, starts: np.ndarray, doc: np.ndarray, anchor: np.ndarray, at: np.ndarray, size: int):
-    """(index of each run's first window, run number of each window, hash of each run).
+    """(index of each run's first window, run number of each window, hash, first and end word of each run).
 
     A run is a stretch of windows with one anchor; its hash covers its words and the anchor's place.
     """
@@ -87,48 +90,66 @@ def _runs(w, starts: np.ndarray, doc: np.ndarray, anchor: np.ndarray, at: np.nda
     new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1])
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(at))[: len(first)] - 1
-    hashes = range_hashes(w.hashes, starts[first], starts[last] + size) if len(first) else np.empty(0, np.uint64)
-    return first, np.cumsum(new) - 1, mix(hashes + (at[first] - starts[first]).astype(np.uint64) * _SECOND)
+    begins, ends = starts[first], starts[last] + size
+    hashes = range_hashes(w.hashes, begins, ends) if len(first) else np.empty(0, np.uint64)
+    return first, np.cumsum(new) - 1, mix(hashes + (at[first] - begins).astype(np.uint64) * _SECOND), begins, ends
 
 
-def _seed_runs(docs: DataFrame, size: int, gram: int) -> DataFrame:
-    """(anchor, run, id) of the runs of docs (id, text, anchors) whose anchor is among the document's seeds."""
+def _digests(w: Words, begins: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """BLAKE2b of the words of each range, joined by one space, which no word has."""
+    lengths = w.ends - w.starts
+    at = np.concatenate([[0], np.cumsum(lengths + 1)])
+    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    text = np.full(at[-1], 0x20, np.uint8)
+    text[np.repeat(at[:-1], lengths) + inner] = w.buf[np.repeat(w.starts, lengths) + inner]
+    data, blake = text.tobytes(), hashlib.blake2b
+    return [blake(data[a:b], digest_size=16).digest() for a, b in zip(at[begins].tolist(), (at[ends] - 1).tolist(), strict=True)]
+
+
+def _once(doc: np.ndarray, digests: list[bytes]) -> list[int]:
+    """Places of the first of equal (document, digest) pairs."""
+    seen = dict(zip(reversed(list(zip(doc.tolist(), digests, strict=True))), range(len(digests) - 1, -1, -1), strict=True))
+    return sorted(seen.values())
+
+
+def _seed_runs(docs: DataFrame, size: int, gram: int, key: Key) -> DataFrame:
+    """(anchor, run, digest, id) of the runs of docs (id, text, anchors) whose anchor is among the document's seeds."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy()
             for first, end, buf, offsets in slices(b.column(1)):
-                w, starts, doc, anchor, at = _windows(buf, offsets, size, gram)
-                heads, _, run = _runs(w, starts, doc, anchor, at, size)
+                w, starts, doc, anchor, at = _windows(buf, offsets, size, gram, key)
+                heads, _, run, begins, ends = _runs(w, starts, doc, anchor, at, size)
                 doc, anchor = doc[heads], anchor[heads]
                 # A chance hit only adds a run that is looked up in vain.
                 keep = np.isin(mix(anchor + doc.astype(np.uint64) * _APART), _members(b.column(2).slice(first, end - first), end - first))
-                doc, anchor, run = doc[keep], anchor[keep], run[keep]
-                _, once = np.unique(mix(run + doc.astype(np.uint64) * _APART), return_index=True)
-                once.sort()
-                yield pa.RecordBatch.from_arrays([pa.array(anchor[once].view(np.int64)), pa.array(run[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["anchor", "run", "id"])
+                doc, anchor, run, digests = doc[keep], anchor[keep], run[keep], _digests(w, begins[keep], ends[keep])
+                once = _once(doc, digests)
+                columns = [anchor[once].view(np.int64), run[once].view(np.int64), [digests[k] for k in once], ids[first + doc[once]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.int64()), strict=True)], ["anchor", "run", "digest", "id"])
 
-    return docs.mapInArrow(tidy(work), "anchor long, run long, id long")
+    return docs.mapInArrow(tidy(work), "anchor long, run long, digest binary, id long")
 
 
-def _open_windows(docs: DataFrame, size: int, gram: int) -> DataFrame:
-    """(h1, h2, id) of the windows of docs (id, text, open) in its open runs."""
+def _open_windows(docs: DataFrame, size: int, gram: int, key: Key) -> DataFrame:
+    """(h, digest, id) of the windows of docs (id, text, open) in its open runs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_numpy()
             for first, end, buf, offsets in slices(b.column(1)):
-                w, starts, doc, anchor, at = _windows(buf, offsets, size, gram)
-                heads, number, run = _runs(w, starts, doc, anchor, at, size)
+                w, starts, doc, anchor, at = _windows(buf, offsets, size, gram, key)
+                heads, number, run, _, _ = _runs(w, starts, doc, anchor, at, size)
                 keep = np.isin(mix(run + doc[heads].astype(np.uint64) * _APART), _members(b.column(2).slice(first, end - first), end - first))
                 keep = keep[number] if len(number) else np.empty(0, bool)
-                h1 = gram_hashes(w.hashes, size)[starts[keep]] if keep.any() else np.empty(0, np.uint64)
-                doc, anchor = doc[keep], anchor[keep]
-                _, once = np.unique(mix(h1 + doc.astype(np.uint64) * _APART), return_index=True)
-                once.sort()
-                yield pa.RecordBatch.from_arrays([pa.array(h1[once].view(np.int64)), pa.array(anchor[once].view(np.int64)), pa.array(ids[first + doc[once]])], ["h1", "h2", "id"])
+                h = gram_hashes(w.hashes, size)[starts[keep]] if keep.any() else np.empty(0, np.uint64)
+                doc, digests = doc[keep], _digests(w, starts[keep], starts[keep] + size)
+                once = _once(doc, digests)
+                columns = [h[once].view(np.int64), [digests[k] for k in once], ids[first + doc[once]]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int64()), strict=True)], ["h", "digest", "id"])
 
-    return docs.mapInArrow(tidy(work), "h1 long, h2 long, id long")
+    return docs.mapInArrow(tidy(work), "h long, digest binary, id long")
 
 
 def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
@@ -136,21 +157,29 @@ def _spans(mask: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True))
 
 
-def _cut(docs: DataFrame, size: int, gram: int, keep_text: bool) -> DataFrame:
-    """Result rows of docs (id, text, runs, windows: hashes of its runs and windows that an earlier document has, or null)."""
+def _found(w: Words, hashes: np.ndarray, begins: np.ndarray, ends: np.ndarray, known: pa.Scalar) -> np.ndarray:
+    """Which ranges are among the known (h, digest): those that the hash selects are held against the digests."""
+    hit = np.isin(hashes, known.values.field("h").to_numpy().view(np.uint64))
+    digests = set(known.values.field("digest").to_pylist())
+    hit[hit] = [d in digests for d in _digests(w, begins[hit], ends[hit])]
+    return hit
+
+
+def _cut(docs: DataFrame, size: int, gram: int, key: Key, keep_text: bool) -> DataFrame:
+    """Result rows of docs (id, text, runs, windows: its runs and windows that an earlier document has, as (h, digest), or null)."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    names = ["id", "n_words", "n_removed", "kept_sha256", "spans"] + ["text"] * keep_text
+    names = ["doc_id", "n_words", "n_removed", "kept_sha256", "spans"] + ["text"] * keep_text
     kinds = [pa.int64(), pa.int64(), pa.string(), span] + [pa.string()] * keep_text
 
     def repeated(buf: np.ndarray, n: int, runs: pa.Scalar, windows: pa.Scalar) -> np.ndarray:
         """Which of the n words of one document are covered."""
-        w, starts, doc, anchor, at = _windows(buf, np.array([0, len(buf)]), size, gram)
+        w, starts, doc, anchor, at = _windows(buf, np.array([0, len(buf)]), size, gram, key)
         hit = np.zeros(len(starts), dtype=bool)
         if runs.is_valid and len(starts):
-            _, number, run = _runs(w, starts, doc, anchor, at, size)
-            hit |= np.isin(run, runs.values.to_numpy().view(np.uint64))[number]
+            _, number, run, begins, ends = _runs(w, starts, doc, anchor, at, size)
+            hit |= _found(w, run, begins, ends, runs)[number]
         if windows.is_valid and len(starts):
-            hit |= np.isin(gram_hashes(w.hashes, size)[starts], windows.values.to_numpy().view(np.uint64))
+            hit |= _found(w, gram_hashes(w.hashes, size)[starts], starts, starts + size, windows)
         edge = np.zeros(n + 1, dtype=np.int64)
         np.add.at(edge, starts[hit], 1)
         np.add.at(edge, starts[hit] + size, -1)
@@ -173,7 +202,7 @@ def _cut(docs: DataFrame, size: int, gram: int, keep_text: bool) -> DataFrame:
             cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], t) for t in kinds]
             yield pa.RecordBatch.from_arrays([ids, *cols], names)
 
-    return docs.mapInArrow(tidy(work), "id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,end:int>>" + ", text string" * keep_text)
+    return docs.mapInArrow(tidy(work), "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,end:int>>" + ", text string" * keep_text)
 
 
 def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
@@ -181,30 +210,32 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", si
 
     Each step is written to the shared folder, so that its shuffle files can go before the next.
     """
-    path = work_dir(df.sparkSession, "repeats")
-    docs = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    anchors = _anchors(docs, size, gram)
+    path, key = work_dir(df.sparkSession, "repeats"), new_key()
+    text_, own = F.coalesce(F.col(text).cast("string"), F.lit("")), F.col(doc_id).cast("long")
+    docs = df.select(F.coalesce(own, NO_ID + F.pmod(F.xxhash64(text_), F.lit(1 << 32))).alias("id"), text_.alias("text"), own.alias("own"))
+    anchors = _anchors(docs.select("id", "text"), size, gram, key)
     shared = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     seeds = written(anchors.join(shared, "anchor").groupBy("id").agg(F.collect_set("anchor").alias("anchors")), f"{path}/seeds")
 
-    runs = written(_seed_runs(docs.join(seeds, "id").select("id", "text", "anchors"), size, gram), f"{path}/runs")
-    least = runs.groupBy("anchor", "run").agg(F.min("id").alias("least"))
+    runs = written(_seed_runs(docs.join(seeds, "id").select("id", "text", "anchors"), size, gram, key), f"{path}/runs")
+    least = runs.groupBy("anchor", "run", "digest").agg(F.min("id").alias("least"))
     # An anchor that always comes with the same run has no windows that other runs share.
     several = least.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", F.lit(True).alias("several"))
-    known = runs.join(least.join(several, "anchor", "left"), ["anchor", "run"]).filter("least < id OR several")
-    late = F.col("least") < F.col("id")
-    found = known.groupBy("id").agg(F.collect_set(F.when(late, F.col("run"))).alias("runs"), F.collect_set(F.when(~late, F.col("run"))).alias("open"))
+    late = F.col("least") < F.least("id", F.lit(NO_ID))
+    known = runs.join(least.join(several, "anchor", "left"), ["anchor", "run", "digest"]).filter(late | F.coalesce("several", F.lit(False)))
+    whole = F.when(late, F.struct(F.col("run").alias("h"), "digest"))
+    found = known.groupBy("id").agg(F.collect_set(whole).alias("runs"), F.collect_set(F.when(~late, F.col("run"))).alias("open"))
     found = written(found, f"{path}/found")
 
     opened = docs.join(found.filter(F.size("open") > 0).select("id", "open"), "id").select("id", "text", "open")
-    windows = written(_open_windows(opened, size, gram), f"{path}/windows")
-    earliest = windows.groupBy("h1", "h2").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most")
-    single = windows.join(earliest, ["h1", "h2"]).filter("least < id").groupBy("id").agg(F.collect_set("h1").alias("windows"))
+    windows = written(_open_windows(opened, size, gram, key), f"{path}/windows")
+    earliest = windows.groupBy("h", "digest").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most").drop("most")
+    single = windows.join(earliest, ["h", "digest"]).filter(late).groupBy("id").agg(F.collect_set(F.struct("h", "digest")).alias("windows"))
     repeats = written(found.select("id", F.when(F.size("runs") > 0, F.col("runs")).alias("runs")).join(single, "id", "full"), f"{path}/repeats")
     for name in ("seeds", "runs", "found", "windows"):
         remove(df.sparkSession, f"{path}/{name}")
-    out = _cut(docs.join(repeats.filter("runs IS NOT NULL OR windows IS NOT NULL"), "id", "left").select("id", "text", "runs", "windows"), size, gram, keep_text)
-    return out.select(F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), *[c for c in out.columns if c != "id"])
+    joined = docs.join(repeats.filter("runs IS NOT NULL OR windows IS NOT NULL"), "id", "left")
+    return _cut(joined.select(F.col("own").alias("doc_id"), "text", "runs", "windows"), size, gram, key, keep_text)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,10 @@ nothing but the bytes: every executor gives the same value for the same words.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +35,26 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 
-def _values(place: np.ndarray, byte: np.ndarray) -> np.ndarray:
-    return mix((place.astype(np.uint64) * np.uint64(256) + byte + np.uint64(1)) * _STEP)
+Key = tuple[int, int]
 
 
-#: Values of the first places of a word; those further on are computed.
+def new_key() -> Key:
+    return secrets.randbits(64), secrets.randbits(64)
+
+
+def _values(place: np.ndarray, byte: np.ndarray, key: Key) -> np.ndarray:
+    at = (place.astype(np.uint64) * np.uint64(256) + byte + np.uint64(1)) * _STEP
+    return mix(mix(at ^ np.uint64(key[0])) + np.uint64(key[1]))
+
+
+#: The first places of a word, whose values are kept; those further on are computed.
 _PLACES = 32
-_TABLE = _values(np.repeat(np.arange(_PLACES), 256), np.tile(np.arange(256, dtype=np.uint64), _PLACES))
+
+
+@lru_cache(maxsize=4)
+def _table(key: Key) -> np.ndarray:
+    return _values(np.repeat(np.arange(_PLACES), 256), np.tile(np.arange(256, dtype=np.uint64), _PLACES), key)
+
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -73,7 +88,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def words_of(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def words_of(buf: np.ndarray, offsets: np.ndarray, key: Key, lower: bool = False) -> Words:
     """Maximal runs of bytes other than space and 0x09-0x0D within each document.
 
     buf holds the documents one after the other; offsets has their bounds.
@@ -91,10 +106,10 @@ def words_of(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words
     place = np.zeros(n, dtype=np.int32)
     place[starts] = starts
     place = np.arange(n, dtype=np.int32) - np.maximum.accumulate(place)
-    value = _TABLE[np.minimum(place, _PLACES - 1) << 8 | buf]
+    value = _table(key)[np.minimum(place, _PLACES - 1) << 8 | buf]
     far = np.flatnonzero(place >= _PLACES)
     if len(far):
-        value[far] = _values(place[far], buf[far])
+        value[far] = _values(place[far], buf[far], key)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(value, out=sums[1:])
     hashes = mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64))

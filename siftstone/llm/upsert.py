@@ -129,10 +129,12 @@ def applied(before: DataFrame, deletes: DataFrame, sets: DataFrame, key: str, ho
     change, new_home = fresh_name(before, "change"), fresh_name(before, "new_home")
     sets = sets.select(key, F.col("change").alias(change), F.col("home").alias(new_home))
     value = lambda c, old: F.col(change)[c].alias(c) if c in set_columns else old
-    left = before.join(deletes.select(key), key, "left_anti")
-    untouched = left.join(sets.select(key), key, "left_anti").select(home, *_quoted(columns))
+    # All of these grow with the input, so none is broadcast.
+    keys, sets = sets.select(key).hint("merge"), sets.hint("merge")
+    left = before.join(deletes.select(key).hint("merge"), key, "left_anti")
+    untouched = left.join(keys, key, "left_anti").select(home, *_quoted(columns))
     updated = left.join(sets, key).select(home, *[value(c, F.col(q)) for c, q in zip(columns, _quoted(columns), strict=True)])
-    added = sets.join(before.select(key), key, "left_anti")
+    added = sets.join(before.select(key).hint("merge"), key, "left_anti")
     null = lambda c: F.col(key) if c == key else F.lit(None).cast(before.schema[c].dataType).alias(c)
     inserted = added.select(F.col(new_home).alias(home), *[value(c, null(c)) for c in columns])
     return untouched.unionAll(updated).unionAll(inserted)

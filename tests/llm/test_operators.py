@@ -159,6 +159,88 @@ def test_words_of_one_polynomial_hash_are_apart(spark):
     assert all(r.n_removed == 0 for r in remove_repeats(df).collect())
 
 
+def colliding_words():
+    """Two words of 416 letters whose sums of values by (place, letter), under the key that hashing once had for all, are equal modulo 2**64."""
+    import numpy as np
+
+    def finish(x):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+    place = np.arange(416, dtype=np.uint64) * np.uint64(256) + np.uint64(1)
+    a, b = (finish((place + np.uint64(ord(c))) * np.uint64(0x9E3779B97F4A7C15)) for c in "ab")
+    d, rng = b - a, np.random.default_rng(0)
+    # Signed choices (0, +, -) of 26 places each, in 16 lists; sums that agree in their low bits are paired level by level.
+    lists = []
+    for k in range(16):
+        signs = rng.integers(-1, 2, (1 << 13, 26)).astype(np.int64)
+        full = np.zeros((1 << 13, 416), np.int8)
+        full[:, 26 * k : 26 * k + 26] = signs
+        lists.append(((signs.view(np.uint64) * d[26 * k : 26 * k + 26]).sum(1, dtype=np.uint64), full))
+    bits = 0
+    while len(lists) > 1:
+        bits = min(64, bits + 12) if len(lists) > 2 else 64
+        mask, out = np.uint64((1 << bits) - 1 if bits < 64 else 0xFFFFFFFFFFFFFFFF), []
+        for (s, f), (t, g) in zip(lists[::2], lists[1::2]):
+            want = (np.uint64(0) - t) & mask
+            order = np.argsort(s & mask, kind="stable")
+            left, right = (np.searchsorted((s & mask)[order], want, side) for side in ("left", "right"))
+            i = np.concatenate([order[x:y] for x, y in zip(left, right)]) if (left < right).any() else np.empty(0, int)
+            j = np.repeat(np.arange(len(t)), right - left)
+            i, j = i[: 1 << 15], j[: 1 << 15]
+            out.append((s[i] + t[j], f[i] + g[j]))
+        lists = out
+    sums, signs = lists[0]
+    signs = signs[np.abs(signs).any(1)]
+    return None if not len(signs) else ("".join("b" if x > 0 else "a" for x in signs[0]), "".join("b" if x < 0 else "a" for x in signs[0]))
+
+
+def test_words_that_once_had_one_hash(spark):
+    from siftstone.llm.jaccard_join import jaccard_components
+    from siftstone.llm.substring_dedup import remove_repeats
+
+    words_ = colliding_words()
+    assert words_ is not None and words_[0] != words_[1]
+    a, b = words_
+    tail = [f"t{i}" for i in range(12)]
+    rows = [(1, " ".join([a, *tail])), (2, " ".join([b, *tail])), (3, " ".join([a] * 5)), (4, " ".join([b] * 5))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(df).collect()} == brute_components(rows)
+    assert all(r.n_removed == 0 for r in remove_repeats(df).collect())
+
+
+def test_lookups_hold_words_and_not_hashes(spark, monkeypatch):
+    """With hashes of eight bits runs and windows meet by chance all the time; the digests tell them apart."""
+    import numpy as np
+
+    from siftstone.llm import substring_dedup as S
+
+    whole_runs, whole_grams = S.range_hashes, S.gram_hashes
+    monkeypatch.setattr(S, "range_hashes", lambda *a: whole_runs(*a) & np.uint64(7))
+    monkeypatch.setattr(S, "gram_hashes", lambda *a: whole_grams(*a) & np.uint64(255))
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(40)]
+    base = [rng.choice(vocabulary) for _ in range(400)]
+    rows = [(i, " ".join(base[s : s + rng.randint(5, 90)] + [rng.choice(vocabulary) for _ in range(20)])) for i, s in enumerate(rng.sample(range(380), 40))]
+    first = {}
+    for i, t in rows:
+        for k in range(len(words(t)) - 12):
+            first.setdefault(tuple(words(t)[k : k + 13]), i)
+    expected = {i: len({p for k in range(len(words(t)) - 12) if first[tuple(words(t)[k : k + 13])] < i for p in range(k, k + 13)}) for i, t in rows}
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert {r.doc_id: r.n_removed for r in S.remove_repeats(df).collect()} == expected and sum(expected.values()) > 100
+
+
+def test_rows_without_an_id(spark):
+    from siftstone.llm.substring_dedup import remove_repeats
+
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(None, a), (None, a), (None, f"{b} {a}"), (7, b), (None, c), (2**63 - 1, c)]
+    found = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, r.n_removed) for r in found) == [(False, 7, 30, 0), (False, 2**63 - 1, 30, 0), (True, 0, 30, 0), (True, 0, 30, 0), (True, 0, 30, 0), (True, 0, 60, 30)]
+
+
 def test_columns_of_any_name_pass(spark):
     from siftstone.llm.decontaminate import remove_documents
     from siftstone.llm.jaccard_join import keep_first
@@ -397,6 +479,43 @@ def test_entropy_windows_are_incremental_counts(spark):
         assert [tuple(w) for w in r.w] == hot
 
 
+def hot_spans(s, least, width=20):
+    """Plain Python: merged windows whose entropy reaches least."""
+    found = []
+    for k in range(len(s) - width + 1):
+        c = Counter(s[k : k + width])
+        if -sum(v / width * math.log2(v / width) for v in c.values()) >= least - 1e-9:
+            if found and found[-1][1] >= k:
+                found[-1] = (found[-1][0], k + width)
+            else:
+                found.append((k, k + width))
+    return found
+
+
+def test_entropy_of_long_candidates(spark):
+    """Time grows in proportion, and pieces are joined without a seam."""
+    import time
+
+    from siftstone.llm.secrets import scan_secrets
+
+    rng, seconds = random.Random(11), {}
+    for n in (20_000, 200_000, 2_000_000):
+        parts = []
+        while sum(map(len, parts)) < n:
+            parts += ["".join(rng.choice("abcdefGHIJKL0123456789xyzQRSTUV+/") for _ in range(rng.randint(1, 400))), rng.choice("ab1") * rng.randint(1, 90)]
+        text = "K9" + "".join(parts)[:n]
+        df = spark.createDataFrame([(1, f"see {text} end")], "doc_id long, text string")
+        began = time.time()
+        r = scan_secrets(df, out="s").collect()[0].s
+        seconds[n] = time.time() - began
+        base = [tuple(x) for x in r.base]
+        expected = [(a + 4, 3, b + 4) for a, b in hot_spans(text, 3.65)]
+        expected = [x for x in expected if not any(a <= x[0] and x[2] <= b for a, _, b in base)]
+        assert [tuple(x) for x in r.added] == expected and len(expected) > n / 2000
+    print(seconds)
+    assert seconds[2_000_000] < 25 * seconds[200_000] + 5
+
+
 def labelled(spark):
     rng, rows, labels = random.Random(2), [], []
     for i in range(400):
@@ -447,7 +566,7 @@ def test_vector_words(spark):
     for limit in (1, 100, 1 << 20):
         seen = []
         for a, b, buf, offsets in slices(array, limit):
-            w = words_of(buf, offsets)
+            w = words_of(buf, offsets, (1, 2))
             assert (inside(w.first, len(w.hashes), 5).sum()) == sum(max(0, len(words(t)) - 4) for t in texts[a:b])
             seen += [[bytes(buf[s:e]).decode() for s, e in zip(w.starts[w.first[k] : w.first[k + 1]], w.ends[w.first[k] : w.first[k + 1]], strict=True)] for k in range(b - a)]
         assert seen == [words(t) for t in texts]
