@@ -27,10 +27,3 @@ def test_every_sql_has_a_query():
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
-def test_bench_has_all_corpus_operators():
-    import __spark_entry__ as entry
-    import bench
-
-    assert {n for n in entry.queries() if n.startswith("op") or n == "pipeline"} <= set(bench.QUERIES) <= set(entry.queries())
