@@ -97,19 +97,21 @@ def _runs(w, starts: np.ndarray, doc: np.ndarray, anchor: np.ndarray, at: np.nda
 
 def _digests(w: Words, begins: np.ndarray, ends: np.ndarray) -> list[bytes]:
     """BLAKE2b of the words of each range, joined by one space, which no word has."""
-    lengths = w.ends - w.starts
-    at = np.concatenate([[0], np.cumsum(lengths + 1)])
-    inner = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    text = np.full(at[-1], 0x20, np.uint8)
-    text[np.repeat(at[:-1], lengths) + inner] = w.buf[np.repeat(w.starts, lengths) + inner]
-    data, blake = text.tobytes(), hashlib.blake2b
-    return [blake(data[a:b], digest_size=16).digest() for a, b in zip(at[begins].tolist(), (at[ends] - 1).tolist(), strict=True)]
+    data, blake = w.buf.tobytes(), hashlib.blake2b
+    plain = (w.starts[1:] == w.ends[:-1] + 1) & (w.buf[w.ends[:-1]] == 0x20)
+    odd = np.concatenate([[0], np.cumsum(~plain)])  # gaps that are not one space, before each word
+    joined = odd[ends - 1] == odd[begins]
+    ranges = zip(w.starts[begins].tolist(), w.ends[ends - 1].tolist(), joined.tolist(), strict=True)
+    return [blake(data[a:b] if whole else b" ".join(data[a:b].split()), digest_size=16).digest() for a, b, whole in ranges]
 
 
-def _once(doc: np.ndarray, digests: list[bytes]) -> list[int]:
+def _once(doc: np.ndarray, digests: list[bytes]) -> np.ndarray:
     """Places of the first of equal (document, digest) pairs."""
-    seen = dict(zip(reversed(list(zip(doc.tolist(), digests, strict=True))), range(len(digests) - 1, -1, -1), strict=True))
-    return sorted(seen.values())
+    d = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+    order = np.lexsort((d[:, 1], d[:, 0], doc))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (doc[order][1:] != doc[order][:-1]) | (d[order][1:] != d[order][:-1]).any(axis=1)
+    return np.sort(order[new])
 
 
 def _seed_runs(docs: DataFrame, size: int, gram: int, key: Key) -> DataFrame:
