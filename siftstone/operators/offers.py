@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftstone.functions import parse
+from siftstone.operators.dictionary import dictionary, earliest_longest, occurrences
+from siftstone.plans.shared import written
 
-#: The fields of an offer; all are text on input.
+# The fields of an offer; all are text on input.
 FIELDS = (
     "title", "shop_id", "item_id", "url", "shop_name", "shop_type", "price", "total_sold", "monthly_sales",
     "commission_rate", "bonus", "offer_end", "sv_rate", "sv_bonus", "front_stores", "category",
@@ -72,11 +74,10 @@ def parsed(raw: DataFrame, today: date) -> DataFrame:
 
 
 # ── names ────────────────────────────────────────────────────────────────────
-def earliest_alias(name: Column, keys: list[str]) -> Column:
-    """struct<pos, neg_len, key>: of the keys (two characters or more) in the name that which begins first, then the longest."""
-    low = F.lower(name)
-    hits = F.transform(array_of([k for k in keys if len(k) >= 2]), lambda k: F.struct(F.instr(low, k).alias("pos"), (-F.length(k)).alias("neg_len"), k.alias("key")))
-    return F.array_min(F.filter(hits, lambda h: h["pos"] > 0))
+def matched(names: DataFrame, found: DataFrame) -> DataFrame:
+    """names with the columns of found, both by name; a null name is equal to itself."""
+    other = found.withColumnRenamed("name", "__name")
+    return names.join(other, names["name"].eqNullSafe(other["__name"]), "left").drop("__name")
 
 
 def longest_known_prefix(words: DataFrame, known: DataFrame) -> DataFrame:
@@ -103,40 +104,65 @@ def flavours(tokens: Column, rules: Rules) -> Column:
     return F.when(F.size(whole) > 0, F.struct(whole.alias("found"), rest.alias("rest"))).otherwise(searched)
 
 
-def named(offers: DataFrame, rules: Rules) -> DataFrame:
-    """brand, series, flavour and the grouping key of each offer, from column name."""
-    alias = rules.alias()
-    hit = earliest_alias(F.col("name"), list(alias))
-    first = F.split("name", " ")[0]
-    spaced = F.contains("name", F.lit(" "))
-    o = offers.withColumns({"__hit": hit, "__word": F.when(spaced, first).otherwise(F.col("name"))})
-    known = offers.filter(spaced).select(first.alias("word"))
+def names_of(names: DataFrame, rules: Rules) -> DataFrame:
+    """brand, series, flavour and key of distinct names (column name).
+
+    The brand is that of the earliest, then longest alias in the name, else the
+    longest known brand that begins its first word, else its first word.
+    """
+    spark, alias = names.sparkSession, rules.alias()
+    first, spaced = F.split("name", " ")[0], F.contains("name", F.lit(" "))
+    o = names.withColumn("word", F.when(spaced, first).otherwise(F.col("name")))
+    known = names.filter(spaced).select(first.alias("word"))
     if done := [b for b, _ in rules.done if b]:
-        known = known.union(offers.sparkSession.createDataFrame([(b,) for b in done], "word string"))
-    prefix = longest_known_prefix(o.select(F.col("__word").alias("word")), known).withColumnRenamed("prefix", "__prefix")
-    o = o.join(prefix, o["__word"] == prefix["word"], "left").drop("word")
+        known = known.union(spark.createDataFrame([(b,) for b in done], "word string"))
+    prefix = longest_known_prefix(o.select("word"), known)
+    o = o.join(prefix, "word", "left")
+    brands = dictionary(spark, list(alias.items()), "alias string, alias_brand string")
+    if alias:
+        low = o.select(F.lower("name").alias("low")).distinct()
+        found = occurrences(low, ["low"], "low", brands.filter(F.length("alias") >= 2), "alias", [len(k) for k in alias if len(k) >= 2])
+        o = o.withColumn("low", F.lower("name")).join(earliest_longest(found, ["low"], "alias", "alias_brand"), "low", "left")
+    else:
+        o = o.withColumn("hit", F.lit(None).cast("struct<pos:int,neg_len:int,key:string,alias_brand:string>"))
     after = lambda start: F.filter(F.split(F.expr(f"substring(name, {start})"), " +"), lambda t: t != "")
-    brand = F.when(F.col("__hit").isNotNull(), F.element_at(F.create_map(*[F.lit(x) for kv in alias.items() for x in kv]), F.col("__hit.key")) if alias else F.lit(None)).otherwise(
-        F.coalesce("__prefix", F.when(spaced, first).otherwise(F.lit("")))
-    )
-    tokens = F.when(F.col("__hit").isNotNull(), after("__hit.pos + length(__hit.key)")).when(F.col("__prefix").isNotNull(), after("length(__prefix) + 1")).when(spaced, after("length(__word) + 1")).otherwise(F.array("name"))
+    brand = F.when(F.col("hit").isNotNull(), F.col("hit.alias_brand")).otherwise(F.coalesce("prefix", F.when(spaced, first).otherwise(F.lit(""))))
+    tokens = F.when(F.col("hit").isNotNull(), after("hit.pos - hit.neg_len")).when(F.col("prefix").isNotNull(), after("length(prefix) + 1")).when(spaced, after("length(word) + 1")).otherwise(F.array("name"))
+    o = o.select("name", brand.alias("brand"), flavours(tokens, rules).alias("f"))
     if alias:
-        brand = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in alias.items() for x in kv]), F.lower(brand)), brand)
-    o = o.withColumn("brand", brand).withColumn("__f", flavours(tokens, rules))
-    o = o.withColumns({"flavour": F.array_join("__f.found", "、"), "series": F.replace(F.col("__f.rest"), F.lit(" "), F.lit(""))})
-    key = F.struct(F.lower("brand").alias("brand"), F.lower("series").alias("series"), F.array_join(F.array_sort("__f.found"), "|").alias("flavours"))
-    return o.withColumn("key", key).drop("__hit", "__word", "__prefix", "__f")
+        o = o.join(brands, F.lower("brand") == F.col("alias"), "left").withColumn("brand", F.coalesce("alias_brand", "brand"))
+    o = o.select("name", "brand", F.array_join("f.found", "、").alias("flavour"), F.replace(F.col("f.rest"), F.lit(" "), F.lit("")).alias("series"), "f.found")
+    key = F.struct(F.lower("brand").alias("brand"), F.lower("series").alias("series"), F.array_join(F.array_sort("found"), "|").alias("flavours"))
+    return o.withColumn("key", key).drop("found")
 
 
-def categorised(offers: DataFrame, rules: Rules) -> DataFrame:
-    """cat_now and cat_later (names in the rule file's order) and category."""
-    text = F.concat("name", F.lit(" "), F.coalesce("category", F.lit("")))
+def named(offers: DataFrame, rules: Rules) -> DataFrame:
+    """brand, series, flavour, the grouping key and the done list's hits of each offer, from column name.
+
+    Each distinct name is worked out once; names and what is found for them are
+    written, as several joins read them.
+    """
+    n = written(names_of(written(offers.select("name").distinct(), "names"), rules), "named")
+    return matched(offers, matched(n, done_hits(n, rules)).withColumn("done", F.coalesce("done", F.array().cast(f"array<{DONE}>"))))
 
-    def hits(dictionary: dict[str, list[str]]) -> Column:
-        own = lambda c: F.coalesce(F.trim("category") == c, F.lit(False))
-        return when_list(*[(F.exists(array_of(ws), lambda w: F.contains(text, w)) | own(c), F.lit(c)) for c, ws in dictionary.items()]) if dictionary else F.array().cast("array<string>")
 
-    o = offers.withColumns({"cat_now": hits(rules.categories), "cat_later": hits(rules.later_stage_categories)})
+def categorised(offers: DataFrame, rules: Rules) -> DataFrame:
+    """cat_now and cat_later (names in the rule file's order) and category_label, from name and category."""
+    spark = offers.sparkSession
+    listed = [(kind, at, c, ws) for kind, d in (("now", rules.categories), ("later", rules.later_stage_categories)) for at, (c, ws) in enumerate(d.items())]
+    words = dictionary(spark, [(w, kind, at, c) for kind, at, c, ws in listed for w in ws if w], "cat_word string, kind string, at int, cat string")
+    own = dictionary(spark, [(c, kind, at, c) for kind, at, c, _ in listed], "own string, kind string, at int, cat string")
+    texts = offers.select(F.concat("name", F.lit(" "), F.coalesce("category", F.lit(""))).alias("cat_text"), F.trim("category").alias("own_text")).distinct()
+    texts = written(texts, "texts")
+    inside = occurrences(texts.select("cat_text").distinct(), ["cat_text"], "cat_text", words, "cat_word", [len(w) for _, _, _, ws in listed for w in ws])
+    inside = texts.join(inside.select("cat_text", "kind", "at", "cat"), "cat_text")
+    equal = texts.join(own, F.col("own_text") == F.col("own")).select("cat_text", "own_text", "kind", "at", "cat")
+    of = lambda kind: F.transform(F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.struct("at", "cat")))), lambda c: c["cat"])
+    found = inside.select(equal.columns).union(equal).groupBy("cat_text", "own_text").agg(of("now").alias("cat_now"), of("later").alias("cat_later"))
+    text, trimmed = F.concat("name", F.lit(" "), F.coalesce("category", F.lit(""))), F.trim("category")
+    o = offers.join(found, text.eqNullSafe(F.col("cat_text")) & trimmed.eqNullSafe(F.col("own_text")), "left").drop("cat_text", "own_text")
+    none = F.array().cast("array<string>")
+    o = o.withColumns({c: F.coalesce(c, none) for c in ("cat_now", "cat_later")})
     both = (F.size("cat_now") > 0) & (F.size("cat_later") > 0)
     label = (
         F.when(both, F.concat(F.lit("品類衝突（待人判）："), F.array_join("cat_now", "、"), F.lit("／"), F.array_join("cat_later", "、")))
@@ -155,29 +181,32 @@ def first_rows(offers: DataFrame) -> DataFrame:
     return offers.join(least, ["shop", "item"], "left").withColumn("first_idx", F.when(ids, F.col("first_idx")))
 
 
-def done_hits(rules: Rules) -> Column:
-    """array<struct<policy, same, label>> of the done list's entries that fit, in its order.
-
-    The list is one constant that one function goes over, so the plan does not grow with it.
-    """
-    alias = rules.alias()
-    entries = [(b, alias.get(b.casefold(), b).casefold(), b.casefold(), s or "", f"{b}｜{s}" if s else b) for b, s in rules.done if b]
-    if not entries:
-        return F.array().cast("array<struct<policy:string,same:boolean,label:string>>")
-    names = ("brand", "canonical", "folded", "series", "label")
-    listed = F.arrays_zip(*[array_of(column).alias(n) for n, column in zip(names, zip(*entries, strict=True), strict=True)])
-    brand, name, low, series = F.col("brand"), F.col("name"), F.lower("name"), F.col("series")
+DONE = "struct<policy:string,same:boolean,label:string>"
 
-    def fits(d: Column) -> Column:
-        same = (brand != "") & (F.lower(brand) == d["canonical"]) | (brand == "") & F.startswith(name, d["brand"])
-        return same | (F.length(d["brand"]) >= 2) & F.contains(low, d["folded"])
 
-    def hit(d: Column) -> Column:
-        same = (d["series"] == "") | F.contains(series, d["series"]) | F.contains(name, d["series"])
-        policy = F.when(same, rules.done_policy["same_brand_same_series"]).otherwise(rules.done_policy["same_brand_other_series"])
-        return F.struct(policy.alias("policy"), same.alias("same"), d["label"].alias("label"))
+def done_hits(names: DataFrame, rules: Rules) -> DataFrame:
+    """(name, done array<struct<policy, same, label>>): the done list's entries that fit, in its order, of names (name, brand, series) with any.
 
-    return F.transform(F.filter(listed, fits), hit)
+    An entry fits by its brand (an alias counts), by a name without a brand
+    that begins with it, or by a name that has it inside.
+    """
+    spark, alias = names.sparkSession, rules.alias()
+    entries = [(k, b, alias.get(b.casefold(), b).casefold(), b.casefold(), s or "", f"{b}｜{s}" if s else b) for k, (b, s) in enumerate(rules.done) if b]
+    if not entries:
+        return spark.createDataFrame([], f"name string, done array<{DONE}>")
+    listed = dictionary(spark, entries, "at int, done_brand string, canonical string, folded string, done_series string, label string")
+    by_brand = names.filter("brand != ''").join(listed, F.lower("brand") == F.col("canonical")).select("name", *listed.columns)
+    plain = names.filter("brand = ''").select("name")
+    begins = occurrences(plain, ["name"], "name", listed, "done_brand", [len(e[1]) for e in entries]).filter("pos = 1").select("name", *listed.columns)
+    low = names.select(F.lower("name").alias("low")).distinct()
+    inside = occurrences(low, ["low"], "low", listed.filter(F.length("done_brand") >= 2), "folded", [len(e[3]) for e in entries if len(e[1]) >= 2])
+    inside = names.join(inside, F.lower("name") == F.col("low")).select("name", *listed.columns)
+    fits = by_brand.union(begins).union(inside).distinct().join(names.select("name", "series"), "name")
+    same = (F.col("done_series") == "") | F.contains("series", F.col("done_series")) | F.contains("name", F.col("done_series"))
+    policy = F.when(same, rules.done_policy["same_brand_same_series"]).otherwise(rules.done_policy["same_brand_other_series"])
+    hits = F.array_sort(F.collect_list(F.struct("at", policy.alias("policy"), same.alias("same"), "label")))
+    done = F.transform(hits, lambda h: F.struct(h["policy"].alias("policy"), h["same"].alias("same"), h["label"].alias("label")))
+    return fits.groupBy("name").agg(done.alias("done"))
 
 
 def reason(code: str | Column, text: Column | str) -> Column:
@@ -186,10 +215,9 @@ def reason(code: str | Column, text: Column | str) -> Column:
 
 
 def row_rules(offers: DataFrame, rules: Rules) -> DataFrame:
-    """reasons array<struct<code,text>>, marks array<string> and demote of each row; needs first_idx, cat_* and the parsed fields."""
+    """reasons array<struct<code,text>>, marks array<string> and demote of each row; needs first_idx, cat_*, done and the parsed fields."""
     m, rate, least, trap = F.col("monthly"), F.col("rate.value"), F.lit(rules.min_monthly_sales).cast(parse.VALUE), F.lit(rules.trap_commission_min).cast(parse.VALUE)
     unread = lambda label, n: (~n["ok"], F.concat(F.lit(f"{label}讀不到（「"), n["raw"], F.lit("」）")))
-    o = offers.withColumn("__done", done_hits(rules))
     twice = F.coalesce(F.col("first_idx") < F.col("idx"), F.lit(False))
     no_sales = m["ok"] & (m["value"].isNull() | (m["value"] == 0))
     trapped = F.coalesce(rate >= trap, F.lit(False))
@@ -199,10 +227,10 @@ def row_rules(offers: DataFrame, rules: Rules) -> DataFrame:
     expired = F.coalesce(F.col("end.value") < F.col("today"), F.lit(False))
     expired_text = F.concat(F.lit("推廣已到期（"), F.col("offer_end"), F.lit(" 早於 "), F.col("today").cast("string"), F.lit("）"))
     number = F.lit(str(rules.stage + 1))
-    done_reasons = F.transform(F.filter("__done", lambda d: d["policy"] == "exclude"), lambda d: reason("做過", F.concat(F.lit("做過（"), d["label"], F.lit("）"))))
+    done_reasons = F.transform(F.filter("done", lambda d: d["policy"] == "exclude"), lambda d: reason("做過", F.concat(F.lit("做過（"), d["label"], F.lit("）"))))
     other = "同品牌不同系列"
-    done_marks = F.transform(F.filter("__done", lambda d: d["policy"] == "mark"), lambda d: F.when(d["same"], F.concat(F.lit("做過（"), d["label"], F.lit("）"))).otherwise(F.concat(F.lit(f"{other}（"), d["label"], F.lit("）"))))
-    demoted = F.transform(F.filter("__done", lambda d: d["policy"] == "demote"), lambda d: F.when(d["same"], F.concat(F.lit("做過（"), d["label"], F.lit("）（降級，排最後）"))).otherwise(f"{other}（降級，排最後）"))
+    done_marks = F.transform(F.filter("done", lambda d: d["policy"] == "mark"), lambda d: F.when(d["same"], F.concat(F.lit("做過（"), d["label"], F.lit("）"))).otherwise(F.concat(F.lit(f"{other}（"), d["label"], F.lit("）"))))
+    demoted = F.transform(F.filter("done", lambda d: d["policy"] == "demote"), lambda d: F.when(d["same"], F.concat(F.lit("做過（"), d["label"], F.lit("）（降級，排最後）"))).otherwise(f"{other}（降級，排最後）"))
     dup_text = F.concat(F.lit("重複（同 shop/item "), "shop", F.lit("/"), "item", F.lit(" 已在列 "), F.col("first_idx").cast("string"), F.lit("）"))
     reasons = F.concat(
         when_list((twice, reason("重複列", dup_text))),
@@ -230,7 +258,7 @@ def row_rules(offers: DataFrame, rules: Rules) -> DataFrame:
             *[unread(label, F.col(c)) for label, c in (("價格", "cost"), ("列表分潤率", "rate"), ("短影音", "sv"), ("短影音獎勵", "svb"), ("前台同款家數", "front"))],
         ),
     )
-    return o.withColumns({"reasons": reasons, "marks": marks, "demote": F.get(demoted, F.size(demoted) - 1) if rules.done else F.lit(None).cast("string")}).drop("__done")
+    return offers.withColumns({"reasons": reasons, "marks": marks, "demote": F.get(demoted, F.size(demoted) - 1) if rules.done else F.lit(None).cast("string")}).drop("done")
 
 
 # ── groups ───────────────────────────────────────────────────────────────────

@@ -1,4 +1,8 @@
-"""Motion series: differences, segments, smoothing, autocorrelation, verdicts.  Windows are partitioned by series."""
+"""Motion series: differences, segments, smoothing, autocorrelation, verdicts.
+
+Windows are partitioned by series as long as no series has more than LONG rows;
+longer ones are worked out in blocks (long_series.py), with the same results.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftstone.operators import long_series
+
+#: Rows of a series up to which one task may sort it.
+LONG = 1_000_000
+
+
+def is_long(rows: DataFrame, *keys: str) -> bool:
+    return bool(rows.groupBy(*keys).count().filter(F.col("count") > LONG).limit(1).take(1))
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -30,6 +43,8 @@ class Limits:
 
 def differences(frames: DataFrame, series: str, order: list[str], value: str) -> DataFrame:
     """frame number t from 1 and d = |value - the value before|, without the first frame."""
+    if is_long(frames, series):
+        return long_series.differences(frames, series, order, value)
     w = Window.partitionBy(series).orderBy(*order)
     f = frames.select(series, F.row_number().over(w).alias("t"), F.abs(F.col(value) - F.lag(value).over(w)).alias("d"))
     return f.filter(F.col("d").isNotNull()).withColumn("t", F.col("t") - 1)
@@ -37,6 +52,8 @@ def differences(frames: DataFrame, series: str, order: list[str], value: str) ->
 
 def segments(d: DataFrame, series: str, cut: float) -> DataFrame:
     """Rows with segment number seg and position i in it; a row with d > cut ends a segment and is in none."""
+    if is_long(d, series):
+        return long_series.segments(d, series, cut)
     w = Window.partitionBy(series).orderBy("t")
     s = d.withColumn("part", F.sum((F.col("d") > cut).cast("int")).over(w)).filter(F.col("d") <= cut)
     first = F.min("t").over(Window.partitionBy(series, "part"))
@@ -45,6 +62,8 @@ def segments(d: DataFrame, series: str, cut: float) -> DataFrame:
 
 def moving_average(seg: DataFrame, series: str, width: int = 9) -> DataFrame:
     """Adds ma: the centred average with the edge values repeated beyond the edges, and n."""
+    if is_long(seg, series, "seg"):
+        return long_series.moving_average(seg, series, width)
     half, by = width // 2, Window.partitionBy(series, "seg")
     w = by.orderBy("i")
     near = F.sum("d").over(w.rowsBetween(-half, half))
@@ -54,16 +73,26 @@ def moving_average(seg: DataFrame, series: str, width: int = 9) -> DataFrame:
     return seg.withColumns({"n": n, "ma": (near + lack_left * first + lack_right * last) / width})
 
 
+def _lagged_products(seg: DataFrame, series: str, width: int, lags: tuple[int, int]) -> DataFrame:
+    by, (lo, hi) = Window.partitionBy(series, "seg"), lags
+    x = moving_average(seg, series, width).withColumn("x", F.col("d") - F.col("ma"))
+    x = x.withColumn("x", F.col("x") - F.avg("x").over(by))
+    x = x.withColumns({f"x{k}": F.lead("x", k).over(by.orderBy("i")) for k in range(lo, hi + 1)})
+    products = [F.sum(F.col("x") * F.col(f"x{k}")).alias(f"p{k}") for k in range(lo, hi + 1)]
+    return x.groupBy(series, "seg").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("x")).alias("energy"), *products)
+
+
+def medians(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, median: exact, by a hash of the values of a group, or by ranks where a group is long."""
+    if is_long(rows, *keys):
+        return long_series.median(rows, keys, value)
+    return rows.groupBy(*keys).agg(F.median(value).alias("median"))
+
+
 def autocorrelation(seg: DataFrame, series: str, limits: Limits) -> DataFrame:
     """(series, seg, peak, peak_lag): the largest scaled autocorrelation of the detrended segment over the lags, at least 0, the smallest lag of equals."""
-    by = Window.partitionBy(series, "seg")
-    x = moving_average(seg, series, limits.smooth).withColumn("x", F.col("d") - F.col("ma"))
-    x = x.withColumn("x", F.col("x") - F.avg("x").over(by))
     lo, hi = limits.lags
-    w = by.orderBy("i")
-    products = [F.sum(F.col("x") * F.col(f"x{k}")).alias(f"p{k}") for k in range(lo, hi + 1)]
-    x = x.withColumns({f"x{k}": F.lead("x", k).over(w) for k in range(lo, hi + 1)})
-    g = x.groupBy(series, "seg").agg(F.count("*").alias("n"), F.sum(F.col("x") * F.col("x")).alias("energy"), *products)
+    g = (long_series.lagged_products if is_long(seg, series, "seg") else _lagged_products)(seg, series, limits.smooth, limits.lags)
     scored = F.array(*[F.struct((F.coalesce(F.col(f"p{k}"), F.lit(0.0)) / F.col("energy") * F.col("n") / (F.col("n") - k)).alias("v"), F.lit(-k).alias("neg")) for k in range(lo, hi + 1)])
     best = F.when((F.col("n") >= limits.least_for_peak) & (F.col("energy") > 1e-12), F.array_max(scored))
     g = g.withColumn("best", best)
@@ -72,20 +101,24 @@ def autocorrelation(seg: DataFrame, series: str, limits: Limits) -> DataFrame:
 
 def statistics(seg: DataFrame, series: str) -> DataFrame:
     """n, mean, median, step (mean absolute successive difference), ratio and amp of each segment."""
-    w = Window.partitionBy(series, "seg").orderBy("i")
-    s = seg.withColumn("step", F.abs(F.col("d") - F.lag("d").over(w)))
-    g = s.groupBy(series, "seg").agg(F.count("*").alias("n"), F.avg("d").alias("mean"), F.median("d").alias("median"), F.avg("step").alias("step"), F.stddev_pop("d").alias("std"))
+    sums = [F.count("*").alias("n"), F.avg("d").alias("mean"), F.avg("step").alias("step"), F.stddev_pop("d").alias("std")]
+    if is_long(seg, series, "seg"):
+        g = long_series.steps(seg, series).groupBy(series, "seg").agg(*sums).join(long_series.median(seg, [series, "seg"], "d"), [series, "seg"])
+    else:
+        w = Window.partitionBy(series, "seg").orderBy("i")
+        s = seg.withColumn("step", F.abs(F.col("d") - F.lag("d").over(w)))
+        g = s.groupBy(series, "seg").agg(*sums, F.median("d").alias("median"))
     safe = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     return g.select(series, "seg", "n", "mean", "median", F.coalesce("step", F.lit(0.0)).alias("step"), safe(F.coalesce("step", F.lit(0.0)), F.col("mean")).alias("ratio"), safe(F.col("std"), F.col("mean")).alias("amp"))
 
 
 def spikes(seg: DataFrame, series: str, limits: Limits) -> DataFrame:
     """(series, seg, spikes, regular): starts of hot stretches, and whether they come at even distances."""
-    med = seg.groupBy(series, "seg").agg(F.median("d").alias("med"))
+    med = medians(seg, [series, "seg"], "d").withColumnRenamed("median", "med")
     hot = seg.join(med, [series, "seg"]).filter(F.col("d") > F.greatest(F.lit(limits.spike_floor), limits.spike_factor * F.col("med")))
     w = Window.partitionBy(series, "seg").orderBy("i")
     start = hot.withColumn("before", F.lag("i").over(w)).filter("before IS NULL OR i > before + 1").withColumn("gap", F.col("i") - F.lag("i").over(w))
-    middle = start.groupBy(series, "seg").agg(F.median("gap").alias("g"))
+    middle = medians(start, [series, "seg"], "gap").withColumnRenamed("median", "g")
     near = F.avg(F.when(F.col("gap").isNotNull(), (F.abs(F.col("gap") - F.col("g")) <= 1).cast("double")))
     g = start.join(middle, [series, "seg"]).groupBy(series, "seg").agg(F.count("*").alias("spikes"), near.alias("near"))
     return g.select(series, "seg", "spikes", ((F.col("spikes") >= limits.least_spikes) & (F.col("near") >= limits.regular_share)).alias("regular"))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.catalogue import register
+from siftstone.operators import long_series as L
 from siftstone.operators import series as S
-from siftstone.plans.shared import table
+from siftstone.plans.shared import table, written
 
 LIMITS = S.Limits(cut=150.0)
 
@@ -68,3 +69,36 @@ def frame_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 register("frame_rows", frame_rows, f"""WITH {SQL_SEG}, num AS (SELECT user_id, t, dense_rank() OVER (PARTITION BY user_id ORDER BY seg) AS k FROM seg)
 SELECT d.user_id, d.t AS frame, printf('%.3f', floor(d.t / 8.0::DOUBLE * 1000 + 0.5) / 1000) AS time_s, printf('%.4f', floor(d * 10000 + 0.5) / 10000) AS mean_abs_diff, coalesce(CAST(k AS VARCHAR), 'cut') AS segment FROM d LEFT JOIN num USING (user_id, t)""")
+
+
+# ── all events as one series, in blocks ──────────────────────────────────────
+def _one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return L.differences(table(spark, sf_dir, "events").withColumn("user_id", F.lit(0)), "user_id", ["ts", "event_id"], "value")
+
+
+def _one_segments(spark: SparkSession, sf_dir: str, cut: float = 400.0) -> DataFrame:
+    """With this cut segments are long; few blocks have none."""
+    return written(L.segments(written(_one(spark, sf_dir), "one"), "user_id", cut), "one-segments")
+
+
+_ONE = lambda sql: "WITH " + sql.replace("FROM events", "FROM (SELECT 0 AS user_id, ts, event_id, value FROM events)").replace("> 150", "> 400").replace("<= 150", "<= 400")
+register("long_series_segments", lambda s, d: _one_segments(s, d).select("t", F.col("seg").cast("long").alias("seg"), F.col("i").cast("long").alias("i")), _ONE(SQL_SEG) + " SELECT t, CAST(seg AS BIGINT) AS seg, i FROM seg")
+register("long_series_average", lambda s, d: L.moving_average(_one_segments(s, d), "user_id", LIMITS.smooth).select("t", _rounded("ma"), "n"), _ONE(SQL_MA) + f" SELECT t, {_R('ma')} AS ma, n FROM ma")
+
+
+def long_series_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of one group of all values and of groups by kind, by ranks."""
+    e = table(spark, sf_dir, "events").select("event_type", "value")
+    both = e.union(e.withColumn("event_type", F.lit("all")))
+    return L.median(both, ["event_type"], "value").select("event_type", _rounded("median"))
+
+
+register("long_series_median", long_series_median, f"SELECT event_type, {_R('median')} AS median FROM (SELECT event_type, median(value) AS median FROM (SELECT event_type, value FROM events UNION ALL SELECT 'all', value FROM events) GROUP BY 1)")
+
+
+def long_series_autocorr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = L.lagged_products(_one_segments(spark, sf_dir), "user_id", LIMITS.smooth, LIMITS.lags)
+    return p.filter("n >= 25").select(F.col("seg").cast("long").alias("seg"), "n", *[(F.floor(F.col(f"p{k}") / F.col("energy") * 10000 + 0.5) / 10000).alias(f"r{k}") for k in (2, 5, 8)])
+
+
+register("long_series_autocorr", long_series_autocorr, _ONE(SQL_MA) + ", x0 AS (SELECT seg, i, n, d - ma AS x FROM ma), x1 AS (SELECT seg, i, n, x - avg(x) OVER (PARTITION BY seg) AS x FROM x0), x AS (SELECT *, lead(x, 2) OVER w AS x2, lead(x, 5) OVER w AS x5, lead(x, 8) OVER w AS x8 FROM x1 WINDOW w AS (PARTITION BY seg ORDER BY i)) SELECT CAST(seg AS BIGINT) AS seg, count(*) AS n, " + ", ".join(f"floor(sum(x * x{k}) / sum(x * x) * 10000 + 0.5) / 10000 AS r{k}" for k in (2, 5, 8)) + " FROM x GROUP BY seg HAVING count(*) >= 25")

@@ -12,6 +12,7 @@ from siftstone.catalogue import register
 from siftstone.functions import parse
 from siftstone.operators import candidates as C
 from siftstone.operators import offers as O
+from siftstone.operators.dictionary import dictionary, earliest_longest, occurrences
 from siftstone.plans import parsing as P
 from siftstone.plans.shared import indexed_table, row_index, table, written
 
@@ -106,8 +107,9 @@ register("series_keys", series_keys, f"WITH {_SQL_PART} SELECT idx, brand, serie
 def brand_earliest_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alias that begins first in the name, the longest of those that begin there."""
     keys = ["brand#1", "brand#12", "economy", "ring", "nomy"]
-    hit = O.earliest_alias(F.concat("p_brand", F.lit(" "), "p_type", F.lit(" "), "p_name"), keys)
-    return table(spark, sf_dir, "part").select("p_partkey", hit.alias("h")).select("p_partkey", F.col("h.key").alias("alias"), F.col("h.pos").alias("pos"))
+    names = table(spark, sf_dir, "part").select("p_partkey", F.lower(F.concat("p_brand", F.lit(" "), "p_type", F.lit(" "), "p_name")).alias("name"))
+    hit = earliest_longest(occurrences(names, ["p_partkey"], "name", dictionary(spark, [(k,) for k in keys], "alias string"), "alias"), ["p_partkey"], "alias")
+    return names.join(hit, "p_partkey", "left").select("p_partkey", F.col("hit.key").alias("alias"), F.col("hit.pos").alias("pos"))
 
 
 register(
@@ -124,6 +126,21 @@ def prefix_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("prefix_brand", prefix_brand, "WITH w AS (SELECT DISTINCT p_brand AS word FROM part) SELECT a.word, max_by(b.word, length(b.word)) AS prefix FROM w a JOIN w b ON starts_with(a.word, b.word) AND length(b.word) < length(a.word) GROUP BY 1")
 
 
+def dictionary_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary that grows with the data: the surnames of all clients, looked for in their mail addresses."""
+    c = table(spark, sf_dir, "clients")
+    words = c.select(F.lower(F.element_at(F.split("name", " "), -1)).alias("surname")).filter("surname != ''").distinct()
+    mails = c.filter("email IS NOT NULL").select("client_id", F.lower("email").alias("mail"))
+    hit = earliest_longest(occurrences(mails, ["client_id"], "mail", words, "surname"), ["client_id"], "surname")
+    return mails.join(hit, "client_id", "left").select("client_id", F.col("hit.key").alias("surname"), F.col("hit.pos").alias("pos"))
+
+
+register(
+    "dictionary_emails", dictionary_emails,
+    "WITH w AS (SELECT DISTINCT lower(string_split(name, ' ')[-1]) AS surname FROM clients), m AS (SELECT client_id, lower(email) AS mail FROM clients WHERE email IS NOT NULL), h AS (SELECT client_id, surname, instr(mail, surname) AS pos FROM m JOIN w ON contains(mail, surname) WHERE surname <> '' QUALIFY row_number() OVER (PARTITION BY client_id ORDER BY pos, length(surname) DESC) = 1) SELECT client_id, surname, CAST(pos AS INTEGER) AS pos FROM m LEFT JOIN h USING (client_id)",
+)
+
+
 def category_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _names(spark, sf_dir).select("idx", F.array_join("cat_now", "、").alias("now"), F.array_join("cat_later", "、").alias("later"), F.col("category_label").alias("label"))
 
@@ -132,7 +149,7 @@ register("category_assign", category_assign, f"WITH {_SQL_PART}, c AS (SELECT id
 
 
 def done_list_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = _names(spark, sf_dir).select("idx", F.explode(O.done_hits(RULES)).alias("d"))
+    hits = _names(spark, sf_dir).select("idx", F.explode("done").alias("d"))
     return hits.select("idx", "d.policy", "d.same", "d.label")
 
 
@@ -140,10 +157,13 @@ register("done_list_theta", done_list_theta, f"WITH {_SQL_PART} SELECT idx, CASE
 
 
 def brand_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(sorted(RULES.alias().items()), "alias string, brand string")
+    """What the aliases make of each brand, by equality."""
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("alias")).distinct()
+    known = dictionary(spark, list(RULES.alias().items()), "folded string, known string")
+    return brands.join(known, F.lower("alias") == F.col("folded"), "left").select("alias", F.coalesce("known", "alias").alias("brand"))
 
 
-register("brand_map", brand_map, "SELECT * FROM (VALUES ('#12', 'Brand#1'), ('brand#1', 'Brand#1'), ('brand#11', 'Brand#1'), ('brand#7', 'Brand#7'), ('brand#9', 'brand#9')) t(alias, brand)")
+register("brand_map", brand_map, "WITH a(folded, known) AS (VALUES ('#12', 'Brand#1'), ('brand#1', 'Brand#1'), ('brand#11', 'Brand#1'), ('brand#7', 'Brand#7'), ('brand#9', 'brand#9')) SELECT p_brand AS alias, coalesce(known, p_brand) AS brand FROM (SELECT DISTINCT p_brand FROM part) LEFT JOIN a ON lower(p_brand) = folded")
 
 
 def row_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,12 +6,12 @@ import csv
 import io
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftstone.operators.offers import FIELDS
-from siftstone.sources.config import ConfigError, decode, header_map
+from siftstone.sources.config import ConfigError, header_map
+from siftstone.sources.split_csv import read_offers_in_parts
 
 
 def offer_rows(text: str, columns: dict[str, list[str]], where: str = "") -> Iterator[dict]:
@@ -35,15 +35,8 @@ def offer_rows(text: str, columns: dict[str, list[str]], where: str = "") -> Ite
 
 
 def read_offers(spark: SparkSession, paths: list[str] | str, columns: dict[str, list[str]]) -> DataFrame:
-    """All files' rows, with _file and _line; each file is parsed in one piece on an executor."""
-    schema = ", ".join(f"{f} string" for f in FIELDS) + ", _file string, _line int"
-
-    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for path, content in zip(b["path"], b["content"], strict=True):
-                yield pd.DataFrame([r | {"_file": path} for r in offer_rows(decode(content, path), columns, path)], columns=[*FIELDS, "_file", "_line"])
-
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(work, schema)
+    """All files' rows, with _file and _line; files of any size are read in parts."""
+    return read_offers_in_parts(spark, paths, columns)
 
 
 def per_file_counts(offers: DataFrame) -> DataFrame:

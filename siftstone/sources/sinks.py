@@ -1,59 +1,29 @@
-"""Sinks: CSV with a byte order mark, Markdown, JSON lines and text packages, row by row from the executors' results."""
+"""Sinks: CSV with a byte order mark, Markdown, JSON lines and text packages, written by tasks and committed as a whole (commit.py)."""
 
 from __future__ import annotations
 
-import csv
-import os
 import struct
 import zlib
 from collections.abc import Iterable
 from pathlib import Path
 
 import numpy as np
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 
-
-class _Replacing:
-    """A file that takes its name only when it is complete."""
-
-    def __init__(self, path: str, **how):
-        self.path, self.how = path, how
-
-    def __enter__(self):
-        self.file = open(f"{self.path}.part", "w", **self.how)  # noqa: SIM115
-        return self.file
-
-    def __exit__(self, kind, *_):
-        self.file.close()
-        if kind is None:
-            os.replace(f"{self.path}.part", self.path)
-        else:
-            os.unlink(f"{self.path}.part")
-
-
-def _rows(df: DataFrame) -> Iterable[Row]:
-    return df.toLocalIterator()  # a partition at a time
+from siftstone.sources import commit
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """UTF-8 with a byte order mark, as spreadsheet programs want it."""
-    with _Replacing(path, encoding="utf-8-sig", newline="") as f:
-        out = csv.writer(f)
-        out.writerow(df.columns)
-        out.writerows(["" if v is None else v for v in row] for row in _rows(df))
+    commit.save(df, path, "csv")
 
 
 def write_markdown(df: DataFrame, path: str, title: str) -> None:
-    cell = lambda v: "" if v is None else str(v).replace("|", "｜").replace("\n", " ")
-    with _Replacing(path, encoding="utf-8", newline="\n") as f:
-        f.write(f"# {title}\n\n| {' | '.join(df.columns)} |\n|{'---|' * len(df.columns)}\n")
-        for row in _rows(df):
-            f.write(f"| {' | '.join(map(cell, row))} |\n")
+    commit.save(df, path, "markdown", title=title)
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    with _Replacing(path, encoding="utf-8", newline="\n") as f:
-        f.writelines(r[0] + "\n" for r in df.select("json").toLocalIterator())
+    commit.save(df.select("json"), path, "lines")
 
 
 def write_package(files: DataFrame, folder: str, protected: str | None = None) -> int:
@@ -61,15 +31,8 @@ def write_package(files: DataFrame, folder: str, protected: str | None = None) -
     root = Path(folder).resolve()
     if protected and root.is_relative_to(Path(protected).resolve()):
         raise ValueError(f"{folder} lies in {protected}")
-    n = 0
-    for r in _rows(files.select("path", "text")):
-        target = (root / r["path"]).resolve()
-        if not target.is_relative_to(root):
-            raise ValueError(f"{r['path']} leads out of {folder}")
-        target.parent.mkdir(parents=True, exist_ok=True)
-        target.write_text(r["text"], encoding="utf-8", newline="\n")
-        n += 1
-    return n
+    commit.save(files.select("path", "text"), str(root), "package")
+    return files.count()
 
 
 def remove_outputs(folder: str, names: Iterable[str]) -> None:
