@@ -37,18 +37,19 @@ def levels_of(lengths: Sequence[int]) -> list[int]:
     return sorted({max(n for n in lengths if n <= lengths[0] * ratio**k + 1e-9) for k in range(MOST_LEVELS)})
 
 
-def occurrences(rows: DataFrame, by: list[str], text: str, entries: DataFrame, key: str, lengths: Sequence[int] | None = None) -> DataFrame:
+def occurrences(rows: DataFrame, by: list[str], text: str, entries: DataFrame, key: str, lengths: Sequence[int] | None = None, on: Sequence[str] = ()) -> DataFrame:
     """by, pos (from 1) and the entry's columns, for each place of rows' text at which an entry's key begins.
 
     by: columns of rows that tell its rows apart; they and the entries' columns
     have different names.  Null and empty texts and keys occur nowhere.
-    lengths: those of the keys, if they are known.
+    lengths: those of the keys, if they are known.  on: columns among `by` that
+    the entries have too and that must be equal.
     """
     if lengths is None:
         lengths = [r[0] for r in entries.select(F.length(key)).distinct().collect() if r[0]]
     levels = levels_of(lengths)
     if not levels:
-        return rows.select(*by, F.lit(1).alias("pos")).join(entries, F.lit(False))
+        return rows.select(*by, F.lit(1).alias("pos")).join(entries.drop(*on), F.lit(False))
     longest = max(lengths)
     starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(WINDOW))
     windows = rows.filter(F.length(text) > 0).select(*by, F.explode(F.transform(starts, lambda s: F.struct(s.alias("s"), F.substring(text, s + 1, F.lit(WINDOW + longest - 1)).alias("w")))).alias("__w"))
@@ -59,8 +60,8 @@ def occurrences(rows: DataFrame, by: list[str], text: str, entries: DataFrame, k
     pieces = places.select(*by, "__w", "__at", F.explode(whole).alias("__p")).select(*by, "__w", "__at", F.col("__p.piece").alias("__piece"))
     level = F.array_max(F.filter(F.lit(levels), lambda n: n <= F.length(key)))
     known = entries.filter(F.length(key) > 0).withColumn("__piece", F.substring(F.col(key), F.lit(1), level))
-    met = pieces.join(known, "__piece").filter(F.substring(F.col("__w.w"), F.col("__at"), F.length(key)) == F.col(key))
-    return met.select(*by, (F.col("__w.s") + F.col("__at")).alias("pos"), *entries.columns)
+    met = pieces.join(known, ["__piece", *on]).filter(F.substring(F.col("__w.w"), F.col("__at"), F.length(key)) == F.col(key))
+    return met.select(*by, (F.col("__w.s") + F.col("__at")).alias("pos"), *[c for c in entries.columns if c not in on])
 
 
 def earliest_longest(found: DataFrame, by: list[str], key: str, *more: str) -> DataFrame:

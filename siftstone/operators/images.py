@@ -7,6 +7,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftstone.operators.graphs import best_without_conflict, overlapping
+from siftstone.operators.graphs import components as reached
+
 
 # ── relational forms over (img, y, x, v) ─────────────────────────────────────
 def pixels(images: DataFrame, key: str, values: str, width: int) -> DataFrame:
@@ -53,48 +56,27 @@ def line_pairs(chars: DataFrame, overlap: float = 0.5, reach: float = 1.5) -> Da
 
 def closure(ids: DataFrame, pairs: DataFrame) -> DataFrame:
     """(img, id, line): the least id that is reachable over pairs."""
-    edges = pairs.union(pairs.select("img", F.col("b").alias("a"), F.col("a").alias("b")))
-
-    def lines(pdf: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, list[int]] = {}
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
-            near.setdefault(int(a), []).append(int(b))
-        out, seen = [], set()
-        for start in sorted(near):
-            if start in seen:
-                continue
-            todo, group = [start], []
-            seen.add(start)
-            while todo:
-                x = todo.pop()
-                group.append(x)
-                for y in near[x]:
-                    if y not in seen:
-                        seen.add(y)
-                        todo.append(y)
-            out += [(pdf["img"].iloc[0], x, min(group)) for x in group]
-        return pd.DataFrame(out, columns=["img", "id", "line"])
-
-    found = edges.groupBy("img").applyInPandas(lines, "img long, id long, line long")  # the characters of one image
-    return ids.select("img", "id").join(found, ["img", "id"], "left").withColumn("line", F.coalesce("line", "id"))
+    return reached(ids, pairs, "img").withColumnRenamed("root", "line")
 
 
 def suppress(boxes: DataFrame, limit: float = 0.5) -> DataFrame:
-    """Non-maximum suppression within an image: boxes by n downwards, those that overlap a kept one by more than limit go."""
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values(["n", "id"], ascending=[False, True], kind="stable")
-        b = rows[["x0", "y0", "x1", "y1"]].to_numpy(dtype=float)
-        area, good = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1]), np.ones(len(b), dtype=bool)
-        for i in range(len(b)):
-            if good[i]:  # what it covers too far goes, further down
-                w = np.minimum(b[i, 2], b[i + 1 :, 2]) - np.maximum(b[i, 0], b[i + 1 :, 0])
-                h = np.minimum(b[i, 3], b[i + 1 :, 3]) - np.maximum(b[i, 1], b[i + 1 :, 1])
-                common = np.maximum(w, 0) * np.maximum(h, 0)
-                good[i + 1 :] &= common <= limit * (area[i] + area[i + 1 :] - common)
-        return rows[good]
-
-    return boxes.groupBy("img").applyInPandas(keep, boxes.schema)
+    """Non-maximum suppression within an image: boxes by n downwards (ties by id), those that overlap a kept one by more than limit go."""
+    return boxes.join(best_without_conflict(boxes, overlapping(boxes, "img", limit), "img"), ["img", "id"])
+
+
+def grid_edges(p: DataFrame, diagonal: bool = True) -> DataFrame:
+    """(img, a, b) of the neighbouring pixels of p (img, id, y, x)."""
+    steps = [(0, 1), (1, 0)] + [(1, 1), (1, -1)] * diagonal
+    near = F.explode(F.array(*[F.struct((F.col("y") + dy).alias("y"), (F.col("x") + dx).alias("x")) for dy, dx in steps])).alias("to")
+    a = p.select("img", F.col("id").alias("a"), near).select("img", "a", "to.y", "to.x")
+    return a.join(p.select("img", "y", "x", F.col("id").alias("b")), ["img", "y", "x"]).select("img", "a", "b")
+
+
+def labelled(p: DataFrame, foreground: Column, width: int) -> DataFrame:
+    """The foreground pixels of p (img, y, x, v) with label: the least place (y * width + x) of their connected component, diagonals included."""
+    front = p.filter(foreground).withColumn("id", (F.col("y") * width + F.col("x")).cast("long"))
+    found = reached(front, grid_edges(front), "img").withColumnRenamed("root", "label")
+    return front.join(found, ["img", "id"]).drop("id")
 
 
 # ── kernels on one image ─────────────────────────────────────────────────────

@@ -318,24 +318,55 @@ def order_of(rules: Rules) -> list[Column]:
     return [*out, F.col("first").asc()]
 
 
+def pending_classes(groups: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:
+    """Groups that may be one product, without their pairs: (classes, links).
+
+    groups: gid, brand, series, flavour of the first member.  Groups of equal
+    brand, series and flavour are one class: class_id (the least gid), b,
+    series, flavour, members.  links: (class_id, kind, word, inner).  A class
+    has a 'word' link for each category word in its series: classes of one brand
+    with the same word are pending with one another.  It has an 'inside' link
+    for each class (inner) of its brand whose other series lies in its own.  A
+    pair counts if the flavours are equal or one of them is empty.
+    """
+    spark, words = groups.sparkSession, sorted({w for d in (rules.categories, rules.later_stage_categories) for ws in d.values() for w in ws})
+    g = groups.filter("brand != ''").withColumn("b", F.lower("brand"))
+    classes = written(g.groupBy("b", "series", "flavour").agg(F.min("gid").alias("class_id"), F.count("*").alias("members")), "classes")
+    listed = dictionary(spark, [(w,) for w in words], "word string")
+    found = occurrences(classes.select("series").distinct(), ["series"], "series", listed, "word", [len(w) for w in words]).select("series", "word").distinct()
+    none = F.lit(None).cast("long")
+    by_word = classes.join(found, "series").select("class_id", F.lit("word").alias("kind"), "word", none.alias("inner"))
+    series = classes.select("b", "series").distinct()
+    inside = occurrences(series, ["b", "series"], "series", series.withColumnRenamed("series", "part"), "part", on=["b"]).filter("series != part").select("b", "series", "part").distinct()
+    small = classes.select("b", F.col("series").alias("part"), F.col("flavour").alias("inner_flavour"), F.col("class_id").alias("inner"))
+    fits = "flavour = '' OR inner_flavour = '' OR flavour = inner_flavour"
+    contained = classes.join(inside, ["b", "series"]).join(small, ["b", "part"]).filter(fits).select("class_id", F.lit("inside").alias("kind"), F.lit(None).cast("string").alias("word"), "inner")
+    return classes, by_word.union(contained)
+
+
 def pending_pairs(groups: DataFrame, rules: Rules) -> DataFrame:
     """Pairs of groups of one brand that may be one product: (gid_a, gid_b, shared words, contained).
 
-    groups: gid, brand, series, flavour of the first member.  Candidates come
-    from equality joins (brand with a shared category word, or brand with a
-    substring of the longer series), not from all pairs of a brand.
+    groups: gid, brand, series, flavour of the first member.  The list has all
+    pairs; pending_classes() says the same in rows that grow with the groups.
     """
-    words = sorted({w for d in (rules.categories, rules.later_stage_categories) for ws in d.values() for w in ws})
-    g = groups.filter("brand != ''").withColumns({"b": F.lower("brand"), "words": F.filter(array_of(words), lambda w: F.contains("series", w))})
-    a, b = g.select(*[F.col(c).alias(f"{c}_a") for c in ("gid", "series", "flavour", "words")], "b"), g.select(*[F.col(c).alias(f"{c}_b") for c in ("gid", "series", "flavour", "words")], "b")
-    by_word = a.withColumn("w", F.explode("words_a")).join(b.withColumn("w", F.explode("words_b")), ["b", "w"]).filter("gid_a < gid_b").select("gid_a", "gid_b")
-    parts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length("series_b")), lambda i: F.transform(F.sequence(F.lit(1), F.length("series_b") - i + 1), lambda k: F.substring("series_b", i, k)))))
-    inner = b.filter("series_b != ''").withColumn("part", F.explode(parts))
-    inside = a.filter("series_a != ''").join(inner, (a["b"] == inner["b"]) & (a["series_a"] == inner["part"])).filter("gid_a != gid_b").select(F.least("gid_a", "gid_b").alias("gid_a"), F.greatest("gid_a", "gid_b").alias("gid_b"))
-    pairs = by_word.union(inside).distinct()
-    found = pairs.join(a.drop("b"), "gid_a").join(b.drop("b"), "gid_b").filter("flavour_a = '' OR flavour_b = '' OR flavour_a = flavour_b")
+    classes, links = pending_classes(groups, rules)
+    links, member = written(links, "links"), groups.filter("brand != ''").select("gid", F.lower("brand").alias("b"), "series", "flavour")
+    by_word = links.filter("kind = 'word'").groupBy("class_id").agg(F.collect_list("word").alias("words"))
+    member = written(member.join(classes.select("b", "series", "flavour", "class_id"), ["b", "series", "flavour"]).join(by_word, "class_id", "left"), "members")
+    a, b = (member.select("b", *[F.col(c).alias(f"{c}_{k}") for c in ("gid", "class_id", "series", "flavour", "words")]) for k in "ab")
+    with_word = a.withColumn("w", F.explode("words_a")).join(b.withColumn("w", F.explode("words_b")), ["b", "w"]).drop("w")
+    inner = links.filter("kind = 'inside'").select(F.col("class_id").alias("class_id_a"), F.col("inner").alias("class_id_b"))
+    inside = a.join(inner, "class_id_a").join(b.drop("b"), "class_id_b")
+    # Groups of one series contain each other; that goes by brand and series, over all flavours.
+    equal = a.filter("series_a != ''").join(b, (a["b"] == b["b"]) & (F.col("series_a") == F.col("series_b"))).drop(b["b"])
+    columns = ["gid_a", "gid_b", "series_a", "series_b", "flavour_a", "flavour_b", "words_a", "words_b"]
+    turned = inside.select(*[F.col(c[:-1] + ("b" if c[-1] == "a" else "a")).alias(c) for c in columns])
+    pairs = with_word.select(columns).union(inside.select(columns)).union(turned).union(equal.select(columns)).filter("gid_a < gid_b").dropDuplicates(["gid_a", "gid_b"])
+    found = pairs.filter("flavour_a = '' OR flavour_b = '' OR flavour_a = flavour_b")
     contained = (F.col("series_a") != "") & (F.col("series_b") != "") & (F.contains("series_a", F.col("series_b")) | F.contains("series_b", F.col("series_a")))
-    return found.select("gid_a", "gid_b", F.array_join(F.array_sort(F.array_intersect("words_a", "words_b")), "、").alias("shared"), contained.alias("contained"))
+    shared = F.coalesce(F.array_join(F.array_sort(F.array_intersect("words_a", "words_b")), "、"), F.lit(""))
+    return found.select("gid_a", "gid_b", shared.alias("shared"), contained.alias("contained"))
 
 
 def excluded_with_siblings(offers: DataFrame) -> DataFrame:

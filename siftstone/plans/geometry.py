@@ -126,7 +126,25 @@ def nms_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.suppress(_chars(spark, sf_dir).withColumn("n", F.col("id") % 10)).select("img", "id", "n")
 
 
-register("nms_lines", nms_lines)
+_SQL_NMS = """, o AS (SELECT *, id % 10 AS n, row_number() OVER (PARTITION BY img ORDER BY id % 10 DESC, id) AS k, {'id': id, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1} AS b FROM c),
+ r AS (SELECT DISTINCT img, CAST(0 AS BIGINT) AS k, list_filter([(SELECT any_value(b) FROM o)], lambda z: FALSE) AS kept FROM c
+  UNION ALL SELECT o.img, o.k, CASE WHEN len(list_filter(r.kept, lambda z: greatest(0, least(z.x1, o.x1) - greatest(z.x0, o.x0)) * greatest(0, least(z.y1, o.y1) - greatest(z.y0, o.y0))
+   > 0.5 * ((z.x1 - z.x0) * (z.y1 - z.y0) + (o.x1 - o.x0) * (o.y1 - o.y0) - greatest(0, least(z.x1, o.x1) - greatest(z.x0, o.x0)) * greatest(0, least(z.y1, o.y1) - greatest(z.y0, o.y0))))) = 0 THEN list_append(r.kept, o.b) ELSE r.kept END
+  FROM r JOIN o ON o.img = r.img AND o.k = r.k + 1),
+ last AS (SELECT img, unnest(kept).id AS id FROM r QUALIFY k = max(k) OVER (PARTITION BY img))"""
+register("nms_lines", nms_lines, f"WITH RECURSIVE {_SQL_C}{_SQL_NMS} SELECT img, id, id % 10 AS n FROM last")
+
+
+def pixel_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connected components of the pixels above a level, with their area, box and mean."""
+    p = _grid(spark, sf_dir)
+    return I.component_stats(I.labelled(p, F.col("v") > 60, 8), F.col("label")).select("img", "label", "area", "x0", "y0", "x1", "y1", _r(F.col("mean")).alias("mean"))
+
+
+register(
+    "pixel_components", pixel_components,
+    f"WITH RECURSIVE {_SQL_G}, f AS (SELECT *, CAST(y * 8 + x AS BIGINT) AS id FROM g WHERE v > 60), e AS (SELECT a.img, a.id AS a, b.id AS b FROM f a JOIN f b ON a.img = b.img AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND a.id <> b.id), r AS (SELECT img, id, id AS label FROM f UNION SELECT e.img, e.b, r.label FROM r JOIN e ON e.img = r.img AND e.a = r.id AND r.label < e.b), l AS (SELECT img, id, min(label) AS label FROM r GROUP BY ALL) SELECT img, label, count(*) AS area, min(x) AS x0, min(y) AS y0, max(x) + 1 AS x1, max(y) + 1 AS y1, {_R('avg(v)')} AS mean FROM f JOIN l USING (img, id) GROUP BY 1, 2",
+)
 
 
 def chain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

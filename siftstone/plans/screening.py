@@ -247,6 +247,23 @@ register(
 )
 
 
+def pending_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of the classes that part's names form; brands have their numbers cut off, so that they have many series."""
+    n = _names(spark, sf_dir)
+    first = n.groupBy("key").agg(F.min(F.struct("idx", "series", "flavour")).alias("f")).select("f.*")
+    first = first.select(F.col("idx").alias("gid"), F.lit("brand").alias("brand"), F.split("series", "(?<=[A-Z])(?=[a-z])")[0].alias("series"), "flavour")
+    return O.pending_classes(first, RULES)[1]
+
+
+register(
+    "pending_classes", pending_classes,
+    rf"""WITH {_SQL_PART}, g AS (SELECT k, min(idx) AS gid, regexp_extract(min_by(series, idx), '^(.*?[A-Z])([a-z]|$)', 1) AS cut, min_by(series, idx) AS whole, any_value(fl) AS fl FROM cats GROUP BY k),
+ h AS (SELECT gid, CASE WHEN regexp_matches(whole, '[A-Z][a-z]') THEN cut ELSE whole END AS series, fl FROM g), c AS (SELECT series, fl, min(gid) AS class_id FROM h GROUP BY ALL), w(word) AS (VALUES ('bolt'), ('gear'), ('ring'), ('widget'))
+ SELECT class_id, 'word' AS kind, word, CAST(NULL AS BIGINT) AS "inner" FROM c JOIN w ON contains(series, word)
+ UNION ALL SELECT x.class_id, 'inside', NULL, y.class_id FROM c x JOIN c y ON x.series <> y.series AND y.series <> '' AND contains(x.series, y.series) AND (x.fl = '' OR y.fl = '' OR x.fl = y.fl)""",
+)
+
+
 def _outputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = offers(spark, sf_dir)
     return o, O.group_table(o, row_index)
