@@ -151,4 +151,10 @@ def chain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.chained(_chars(spark, sf_dir))
 
 
-register("chain_lines", chain_lines)
+_FITS = f"""z.x0 - cur.x1 >= {K.OVERLAP} * (cur.y1 - cur.y0) AND z.x0 - cur.x1 <= {K.GAP} * greatest(z.y1 - z.y0, cur.y1 - cur.y0)
+ AND abs((z.y0 + z.y1) / 2.0 - (cur.y0 + cur.y1) / 2.0) <= {K.OFF} * greatest(z.y1 - z.y0, cur.y1 - cur.y0) AND greatest(z.y1 - z.y0, cur.y1 - cur.y0) <= {K.RATIO} * greatest(least(z.y1 - z.y0, cur.y1 - cur.y0), 1)"""
+_SQL_CHAIN = f""", s AS (SELECT img, list({{'id': id, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} ORDER BY x0, id) AS free FROM c GROUP BY img),
+ r AS (SELECT img, free, list_filter(free, lambda z: FALSE)[1] AS cur, CAST(NULL AS BIGINT) AS line, -1 AS pos, 0 AS k FROM s
+  UNION ALL SELECT img, list_filter(free, lambda z: z.id <> coalesce(onward, free[1]).id), coalesce(onward, free[1]), CASE WHEN onward IS NULL THEN free[1].id ELSE line END, CASE WHEN onward IS NULL THEN 0 ELSE pos + 1 END, k + 1
+  FROM (SELECT *, list_sort(list_transform(list_filter(free, lambda z: {_FITS}), lambda z: {{'gap': z.x0 - cur.x1, 'x0': z.x0, 'id': z.id, 'z': z}}))[1].z AS onward FROM r WHERE len(free) > 0))"""
+register("chain_lines", chain_lines, f"WITH RECURSIVE {_SQL_C}{_SQL_CHAIN} SELECT img, cur.id AS id, line, pos FROM r WHERE k > 0")
