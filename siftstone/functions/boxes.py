@@ -57,6 +57,17 @@ def map_point(px: Column, py: Column, window: Column, scene_w: Column, scene_h:
     return F.struct(((px - window["x"]) * window["z"] * out_w / scene_w).alias("x"), ((py - window["y"]) * window["z"] * out_h / scene_h).alias("y"))
 
 
+def map_quad(quad: Column, window: Column, scene_w: Column, scene_h: Column, out_w: int, out_h: int) -> Column:
+    """The corners (array of struct<x,y>) of a quad in an output frame of the window."""
+    return F.transform(quad, lambda p: map_point(p["x"], p["y"], window, scene_w, scene_h, out_w, out_h))
+
+
+def quad_box(quad: Column) -> Column:
+    """The least box around a quad's corners."""
+    x, y = F.transform(quad, lambda p: p["x"]), F.transform(quad, lambda p: p["y"])
+    return box(F.array_min(x), F.array_min(y), F.array_max(x), F.array_max(y))
+
+
 def floor_even(v: Column) -> Column:
     whole = F.floor(v).cast("long")
     return whole - F.pmod(whole, F.lit(2))

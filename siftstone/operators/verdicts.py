@@ -176,3 +176,9 @@ def report(results: DataFrame) -> DataFrame:
         "long side": text(c("long_side")), "solidity": F.when(c("solidity").isNull(), dash).otherwise(F.format_string("%.3f", c("solidity"))), "objects": text(c("objects")), "reasons": some(why), "suggestions": some(F.array_join("hints", "；")),
     }
     return results.orderBy("rank").select(*[v.alias(k) for k, v in cells.items()])
+
+
+def result_json(results: DataFrame, measures: list[str], name: str = "path") -> DataFrame:
+    """(name, json): one document per photo of results (verdict, reasons, measures): file, verdict, reasons and measure; null measures are left out."""
+    document = F.struct(F.col(name).cast("string").alias("file"), "verdict", "reasons", F.struct(*measures).alias("measure"))
+    return results.select(name, F.to_json(document).alias("json"))

@@ -40,6 +40,24 @@ _C = lambda v, most: f"CAST(least(greatest(round_even({v}, 0), 0), {most}) AS IN
 register("box_expand_clip", box_expand_clip, f"WITH {_SQL_BOX} SELECT p_partkey, {_C('bx0 - 20 * 0.125 - 1', 70)} AS x0, {_C('by0 - 9 * 0.5 - 1', 45)} AS y0, {_C('bx1 + 20 * 0.125 + 1', 70)} AS x1, {_C('by1 + 9 * 0.25 + 1', 45)} AS y1 FROM b")
 
 
+def quad_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quads around the boxes of part, mapped by the first frame's window: their boxes in the frame, clipped."""
+    p = table(spark, sf_dir, "part").select("p_partkey", *[(F.col("p_size") * m + F.col("p_partkey") % k).cast("double").alias(c) for c, m, k in (("x", 7, 11), ("y", 9, 13))])
+    corner = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    quad = F.array(corner(0, 3), corner(120, 0), corner(131, 95), corner(-4, 80))
+    window = B.zoom_window(F.lit(1536.0), F.lit(2688.0), F.lit(1.25), F.lit(1.5), F.lit(0.2), F.lit(0.1), F.lit(2), F.lit(0))
+    b = B.clip(B.quad_box(B.map_quad(quad, window, F.lit(1536.0), F.lit(2688.0), 1080, 1920)), F.lit(1080), F.lit(1920))
+    return p.select("p_partkey", *[b[c].alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+register(
+    "quad_boxes", quad_boxes,
+    "WITH q AS (SELECT p_partkey, CAST(p_size * 7 + p_partkey % 11 AS DOUBLE) AS x, CAST(p_size * 9 + p_partkey % 13 AS DOUBLE) AS y FROM part), w AS (SELECT *, least(greatest(1536.0::DOUBLE * 0.2::DOUBLE - 1536.0::DOUBLE / 1.25::DOUBLE / 2, 0), 1536.0::DOUBLE - 1536.0::DOUBLE / 1.25::DOUBLE) AS wx, least(greatest(2688.0::DOUBLE * 0.1::DOUBLE - 2688.0::DOUBLE / 1.25::DOUBLE / 2, 0), 2688.0::DOUBLE - 2688.0::DOUBLE / 1.25::DOUBLE) AS wy FROM q) SELECT p_partkey, "
+    + ", ".join(f"least(greatest(CAST(round_even((({p}) - w{p[0]}) * 1.25::DOUBLE * {out} / {size}::DOUBLE, 0) AS INTEGER), 0), {out}) AS {n}" for n, p, out, size in (("x0", "x - 4", 1080, "1536.0"), ("y0", "y", 1920, "2688.0"), ("x1", "x + 131", 1080, "1536.0"), ("y1", "y + 95", 1920, "2688.0")))
+    + " FROM w",
+)
+
+
 def zoom_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _boxes(spark, sf_dir).select("p_partkey", "b", F.explode(F.sequence(F.lit(0), F.col("p_size") % 5)).alias("i"), (F.col("p_size") % 5 + 1).alias("n"))
     w = B.zoom_window(F.lit(1536.0), F.lit(2688.0), F.lit(1.0), F.lit(1.5), F.lit(0.4), F.lit(0.6), F.col("n"), F.col("i"))
@@ -83,6 +101,17 @@ register("verdict_severity", lambda s, d: _results(s, d).select("doc_id", F.size
 register("verdict_counts", lambda s, d: _results(s, d).groupBy("verdict").agg(F.count("*").alias("n")), f"WITH {_SQL_V} SELECT verdict, count(*) AS n FROM r GROUP BY 1")
 
 
+_CODES = ("read", "bg", "nofg", "near-mark", "cross-text", "cross-bar", "cross-bar?", "long<700", "long700-999", "h<600", "wide", "n_obj", "solid<.75", "solid.75-.88", "white", "wm", "wm-near", "slant", "repeat", "edge")
+_LEVELS = {0: "備註", 1: "要人眼", 2: "不收"}
+_SQL_CODES = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{code}' END" for (c, _), code in zip(_CASES, _CODES, strict=True)) + "], lambda x: x IS NOT NULL)"
+_SQL_REASONS = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{{{{\"level\":\"{_LEVELS[lv]}\",\"code\":\"{code}\"}}}}' END" for (c, lv), code in zip(_CASES, _CODES, strict=True)).replace("{{", "{").replace("}}", "}") + "], lambda x: x IS NOT NULL)"
+register("verdict_codes", lambda s, d: _results(s, d).select("doc_id", F.array_join(F.transform("reasons", lambda r: r["code"]), " ").alias("codes")), f"WITH {_SQL_V} SELECT k AS doc_id, array_to_string({_SQL_CODES}, ' ') AS codes FROM m")
+register(
+    "verdict_json", lambda s, d: V.result_json(_results(s, d), ["long_side"], "doc_id"),
+    f"""WITH {_SQL_V}, x AS (SELECT k AS doc_id, {_SQL_REASONS} AS rs FROM m) SELECT doc_id, concat('{{"file":"', doc_id, '","verdict":"', verdict, '","reasons":[', array_to_string(rs, ','), '],"measure":{{', CASE WHEN long_side IS NULL THEN '' ELSE concat('"long_side":', long_side) END, '}}}}') AS json FROM r JOIN x USING (doc_id)""",
+)
+
+
 def screen_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _results(spark, sf_dir).withColumn("path", F.lpad(F.col("doc_id").cast("string"), 12, "0"))
     return V.ordered(r, row_index).select("rank", "doc_id", V.page(F.col("rank")).alias("page"))

@@ -13,6 +13,7 @@ from siftstone.functions import parse
 from siftstone.operators import candidates as C
 from siftstone.operators import offers as O
 from siftstone.operators.dictionary import dictionary, earliest_longest, occurrences
+from siftstone.operators.sets import per_source, shared_and_own, union_sources, unknown
 from siftstone.plans import parsing as P
 from siftstone.plans.shared import indexed_table, row_index, table, written
 
@@ -344,9 +345,9 @@ register(
 
 def multi_source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of several sources by name, with counts per source."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit("orders").alias("source"), F.col("o_totalprice").alias("amount"))
-    li = table(spark, sf_dir, "lineitem").select(F.lit("lineitem").alias("source"), F.col("l_orderkey").alias("id"))
-    return o.unionByName(li, allowMissingColumns=True).groupBy("source").agg(F.count("*").alias("rows"), F.count("amount").alias("priced"), F.count_distinct("id").alias("ids"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"))
+    return per_source(union_sources({"orders": o, "lineitem": li}), "source", F.count("amount").alias("priced"), F.count_distinct("id").alias("ids"))
 
 
 register("multi_source_union", multi_source_union, 'SELECT source, count(*) AS "rows", count(amount) AS priced, count(DISTINCT id) AS ids FROM (SELECT o_orderkey AS id, \'orders\' AS source, o_totalprice AS amount FROM orders UNION ALL SELECT l_orderkey, \'lineitem\', NULL FROM lineitem) GROUP BY 1')
@@ -355,7 +356,7 @@ register("multi_source_union", multi_source_union, 'SELECT source, count(*) AS "
 def unknown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anti-join: header names that no alias maps; here order ids without lines."""
     o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    return o.join(li, o["o_orderkey"] == li["l_orderkey"], "left_anti").select("o_orderkey")
+    return unknown(o, li, "o_orderkey", "l_orderkey").select("o_orderkey")
 
 
 register("unknown_keys", unknown_keys, "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -363,8 +364,9 @@ register("unknown_keys", unknown_keys, "SELECT o_orderkey FROM orders WHERE o_or
 
 def shared_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set intersection and difference of two word sets."""
-    p = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.array_sort(F.collect_set("p_type")).alias("t"), F.array_sort(F.collect_set(F.when(F.col("p_size") > 25, F.col("p_type")))).alias("big"))
-    return p.select("p_brand", F.array_join(F.array_intersect("t", "big"), ",").alias("both"), F.array_join(F.array_except("t", "big"), ",").alias("only_small"))
+    p = table(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_set("p_type").alias("t"), F.collect_set(F.when(F.col("p_size") > 25, F.col("p_type"))).alias("big"))
+    words = shared_and_own(F.col("t"), F.col("big"))
+    return p.select("p_brand", words["both"].alias("both"), words["own"].alias("only_small"))
 
 
 register("shared_words", shared_words, "WITH t AS (SELECT DISTINCT p_brand, p_type, p_size > 25 AS big FROM part), u AS (SELECT p_brand, p_type, bool_or(big) AS big FROM t GROUP BY ALL) SELECT p_brand, coalesce(string_agg(p_type, ',' ORDER BY p_type) FILTER (big), '') AS both, coalesce(string_agg(p_type, ',' ORDER BY p_type) FILTER (NOT big), '') AS only_small FROM u GROUP BY 1")

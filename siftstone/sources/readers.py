@@ -43,9 +43,10 @@ def per_file_counts(offers: DataFrame) -> DataFrame:
     return offers.groupBy("_file").agg(F.count("*").alias("rows"))
 
 
-def read_narration(spark: SparkSession, folder: str, pattern: str = "口白腳本_*.txt") -> DataFrame:
-    """(file, text) of the narration files of a folder."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", pattern).text(folder)
+def read_narration(spark: SparkSession, source: str | list[str], pattern: str = "口白腳本_*.txt") -> DataFrame:
+    """(file, text) of the narration files of a folder, or of an explicit list of files, whatever their names."""
+    named = spark.read if isinstance(source, list) else spark.read.option("pathGlobFilter", pattern)
+    t = named.text(source, wholetext=True)
     return t.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
 
 
@@ -57,20 +58,20 @@ def plan_clips(spark: SparkSession, path: str) -> DataFrame:
 
 def read_specs(spark: SparkSession, path: str) -> DataFrame:
     """(file, raw): one specification document per file."""
-    t = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
+    t = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True)
     return t.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("raw"))
 
 
 def read_label_boxes(spark: SparkSession, path: str) -> DataFrame:
     """(name, box) of a JSON map of [x, y, w, h]; names that begin with _ are comments."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.from_json("value", "map<string,string>").alias("m"))
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,string>").alias("m"))
     box = F.from_json("value", "array<int>")
     rows = raw.select(F.explode("m").alias("name", "value")).filter(~F.startswith("name", F.lit("_")))
     return rows.select("name", F.struct(*[F.get(box, k).alias(n) for k, n in enumerate("xywh")]).alias("box"))
 
 
-def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content) of the image files of a folder."""
+def read_images(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(path, content) of image files: those of a folder, one, or a list of files and folders."""
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.{jpg,jpeg,png,webp}").load(path).select("path", "content")
 
 
