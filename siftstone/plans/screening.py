@@ -15,7 +15,7 @@ from siftstone.operators import offers as O
 from siftstone.operators.dictionary import dictionary, earliest_longest, occurrences
 from siftstone.operators.sets import per_source, shared_and_own, union_sources, unknown
 from siftstone.plans import parsing as P
-from siftstone.plans.shared import indexed_table, row_index, table, written
+from siftstone.plans.shared import indexed_table, kept, row_index, table, written
 
 TODAY = date(1999, 1, 1)
 RULES = O.Rules(
@@ -44,8 +44,8 @@ def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rows with reasons; written once, as candidates, groups and exclusions all read it."""
-    return written(O.screened(raw_offers(spark, sf_dir), RULES, TODAY), "offers")
+    """All rows with reasons; written once for the session, as candidates, groups and exclusions all read it."""
+    return kept(spark, ("offers", sf_dir), lambda: written(O.screened(raw_offers(spark, sf_dir), RULES, TODAY), "offers"))
 
 
 # ── the same in DuckDB's SQL ─────────────────────────────────────────────────

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,22 +54,27 @@ def row_index(df: DataFrame, order: list[Column | str], name: str = "idx") -> Da
     return ranged.withColumn(name, (F.col(at).bitwiseAND((1 << bits) - 1) + shift + 1).cast("long")).drop(at)
 
 
-_INDEXED: dict[tuple[str, str, str], DataFrame] = {}
+_KEPT: dict[tuple[str, ...], DataFrame] = {}
 
 
-def indexed_table(spark: SparkSession, sf_dir: str, name: str, order: list[str], index: str = "idx") -> DataFrame:
-    """row_index() of a table, written once for a session and shared by its queries as long as the written files are there."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    known = _INDEXED.get(key)
+def kept(spark: SparkSession, key: tuple[str, ...], make: Callable[[], DataFrame]) -> DataFrame:
+    """make(), a written table, once for a session; shared by its queries as long as the written files are there."""
+    key = (spark.sparkContext.applicationId, *key)
+    known = _KEPT.get(key)
     if known is not None:
         jvm = spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(known.inputFiles()[0]) if known.inputFiles() else None
         if path is None or not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
             known = None
     if known is None:
-        known = _INDEXED[key] = row_index(table(spark, sf_dir, name), order, index)
+        known = _KEPT[key] = make()
     return known
 
 
+def indexed_table(spark: SparkSession, sf_dir: str, name: str, order: list[str], index: str = "idx") -> DataFrame:
+    """row_index() of a table, kept for the session's queries."""
+    return kept(spark, ("indexed", sf_dir, name), lambda: row_index(table(spark, sf_dir, name), order, index))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
