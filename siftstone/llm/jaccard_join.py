@@ -28,6 +28,11 @@ each may leave some blocks, as long as these are fewer than half as many.  Then:
   members, so that no task gets a whole region.  A cell gives the links that
   join its components, not all of its pairs.
 
+`jaccard_components` and `keep_first` stop there.  `jaccard_join` gives every
+link between different sets: the same blocks, pivots, windows and recursion, but
+no pair is passed over because its members are in one component already, so a
+group of m different near copies takes m * m comparisons, in cells too.
+
 Members are classes of equal sets, named by a digest of the set and not by an
 id: rows that share an id, or have none, are different documents if their
 texts differ.  Shingles are compared by 64 bits of hash, sets by sums of two
@@ -45,6 +50,7 @@ name; extra columns are not read by the join and kept by keep_first.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -292,13 +298,13 @@ def _joins(u: np.ndarray, v: np.ndarray) -> list[int]:
     return out
 
 
-def _compared(rows: DataFrame, sets: DataFrame, percent: int, distances: bool) -> DataFrame:
+def _compared(rows: DataFrame, sets: DataFrame, percent: int, distances: bool, every: bool = False) -> DataFrame:
     """Members of regions compared in cells.
 
     rows: (region, x, comp, d, asks, meets, ni, nj); those that ask are compared
     with those that are met, in ni by nj cells of the region.  Gives (region, x,
     q, d, linked) of each asking q and met x, or else (region, x, q) of links
-    between different comps, enough to join what they join.
+    between different comps: every one, or enough to join what they join.
     """
     t = 1 - percent / 100 + 1e-9
     i, j = (F.pmod(F.xxhash64("x", F.lit(k)), F.col(c)).cast("int") for k, c in enumerate(("ni", "nj")))
@@ -335,7 +341,7 @@ def _compared(rows: DataFrame, sets: DataFrame, percent: int, distances: bool) -
             cols = [pa.array([region] * len(k), pa.string()), *map(pa.array, (x[b][m], x[a][k], 1 - common[k, m] / union[k, m], linked[k, m]))]
         else:
             k, m = np.nonzero(linked & (comp[a][:, None] != comp[b]))
-            few = _joins(comp[a][k], comp[b][m])
+            few = np.arange(len(k)) if every else _joins(comp[a][k], comp[b][m])
             cols = [pa.array([region] * len(few), pa.string()), pa.array(x[b][m][few]), pa.array(x[a][k][few])]
         return pa.RecordBatch.from_arrays(cols, names)
 
@@ -357,6 +363,8 @@ def _compared(rows: DataFrame, sets: DataFrame, percent: int, distances: bool) -
 class _Regions:
     """The recursion: regions of members (region, x, d, home), and the components that links make."""
 
+    every = False
+
     def __init__(self, spark: SparkSession, path: str, sets: DataFrame, percent: int):
         self.spark, self.path, self.sets, self.percent = spark, path, sets, percent
         self.t, self.roots, self.links, self.steps = 1 - percent / 100 + 1e-9, None, 0, 0
@@ -433,19 +441,60 @@ class _Regions:
         found = []
         for rows in ready:
             cells = rows.select("region", "x", "comp", "d", F.col("home").alias("asks"), F.lit(True).alias("meets"), F.ceil(F.col("a") / CELL).alias("ni"), F.ceil(F.col("m") / CELL).alias("nj"))
-            found.append(self.write(_compared(cells, self.sets, self.percent, False), "links", 256))
+            found.append(self.write(_compared(cells, self.sets, self.percent, False, self.every), "links", 256))
         for links in found[1:]:
             found[0] = found[0].union(links)
         self.add(found[0])
         return self.roots
 
 
+class _EveryLink(_Regions):
+    """The same recursion, in which each member is its own component for good and all links are kept."""
+
+    every = True
+
+    def __init__(self, spark: SparkSession, path: str, sets: DataFrame, percent: int):
+        super().__init__(spark, path, sets, percent)
+        self.kept: list[DataFrame] = []
+
+    def add(self, links: DataFrame) -> None:
+        self.kept.append(links.select(F.least("x", "q").alias("a"), F.greatest("x", "q").alias("b")))
+
+    def live(self, state: DataFrame) -> DataFrame:
+        own = (F.col("x").alias("comp"), "d", F.coalesce("home", F.lit(True)).alias("home"), F.lit(True).alias("outside"))
+        near = state.select("region", "x", *own)
+        size = self.write(near.groupBy("region").agg(F.sum(F.col("home").cast("long")).alias("a"), F.count("*").alias("m")).filter("a > 0 AND m > 1"), "sizes")
+        return self.write(near.join(size, "region"), "live")
+
+    def all_links(self, pairs: DataFrame) -> DataFrame:
+        """(a, b), a < b, once each."""
+        self.join(pairs)
+        found = self.kept[0]
+        for more in self.kept[1:]:
+            found = found.union(more)
+        return found.distinct()
+
+
 def _digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> DataFrame:
-    """doc_id, digest of the text, n_shingles, component_id, a row for each row of df."""
+class _Dealt(NamedTuple):
+    """Written tables below path: classes (rep, n, least), the rows (id, digest, n, rep) that are in them, and what _Regions takes."""
+
+    path: str
+    reps: DataFrame
+    members: DataFrame
+    pairs: DataFrame
+    sets: DataFrame
+
+    def done(self, *names: str) -> None:
+        for name in names:
+            remove(self.reps.sparkSession, f"{self.path}/{name}")
+
+
+def _dealt(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> _Dealt:
+    """Classes of equal sets, dealt to the regions of their blocks."""
     spark, path, key = df.sparkSession, work_dir(df.sparkSession, "jaccard"), new_key()
     docs = df.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("digest", _digest(F.col("text")))
     survey = written(_survey(docs, gram, key), f"{path}/survey")
@@ -480,19 +529,32 @@ def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> D
     sets = written(_set_rows(found.select(F.col("rep").alias("x"), "text"), gram, key), f"{path}/sets", 256)
     for name in ("survey", "classes", "met", "met_pairs", "may_link"):
         remove(spark, f"{path}/{name}")
-    roots = _Regions(spark, f"{path}/regions", sets, percent).join(pairs)
-    for name in ("pairs", "sets", "regions"):
-        remove(spark, f"{path}/{name}")
-    own = reps.select("rep", "least")
+    return _Dealt(path, reps, members, pairs, sets)
+
+
+def _named(dealt: _Dealt, roots: DataFrame | None) -> DataFrame:
+    """(rep, least) with the least id of the component of each class; a written table.  roots: (node, root) of linked classes."""
+    own = dealt.reps.select("rep", "least")
     if roots is not None:
         linked = own.join(roots.withColumnRenamed("node", "rep"), "rep")
         heads = linked.groupBy("root").agg(F.min("least").alias("head"))
         named = linked.join(heads, "root").select("rep", "head")
         own = own.join(named, "rep", "left").select("rep", F.coalesce("head", "least").alias("least"))
-    own = written(own, f"{path}/own")
-    remove(spark, f"{path}/reps")
-    component = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id"))
-    return members.join(own, "rep", "left").select(F.col("id").alias("doc_id"), "digest", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return written(own, f"{dealt.path}/own")
+
+
+def _component() -> Column:
+    return F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("id")).alias("component_id")
+
+
+def _joined(df: DataFrame, doc_id: str, text: str, gram: int, percent: int) -> DataFrame:
+    """doc_id, digest of the text, n_shingles, component_id, a row for each row of df."""
+    dealt = _dealt(df, doc_id, text, gram, percent)
+    roots = _Regions(df.sparkSession, f"{dealt.path}/regions", dealt.sets, percent).join(dealt.pairs)
+    dealt.done("pairs", "sets", "regions")
+    own = _named(dealt, roots)
+    dealt.done("reps")
+    return dealt.members.join(own, "rep", "left").select(F.col("id").alias("doc_id"), "digest", F.col("n").alias("n_shingles"), _component())
 
 
 def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -500,6 +562,31 @@ def jaccard_components(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     return _joined(df, doc_id, text, gram, percent).drop("digest")
 
 
+def jaccard_join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", gram: int = GRAM, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(documents, links), from which every linked pair of documents can be had.
+
+    documents: doc_id, n_shingles, class_id (documents with equal sets share
+    one; null for an empty set), component_id, and n_links, the number of other
+    rows that the row links to; a row for each row of df.  links: class_a,
+    class_b and both sizes in rows, class_a < class_b, one row for each two
+    different sets that link.  A class_id holds within one result only.
+    """
+    dealt = _dealt(df, doc_id, text, gram, percent)
+    links = written(_EveryLink(df.sparkSession, f"{dealt.path}/regions", dealt.sets, percent).all_links(dealt.pairs), f"{dealt.path}/every")
+    dealt.done("pairs", "sets", "regions")
+    size = written(dealt.members.filter("n > 0").groupBy("rep").agg(F.count("*").alias("size")), f"{dealt.path}/class_sizes")
+    side = lambda k: size.select(F.col("rep").alias(k), F.col("size").alias(f"size_{k}"))
+    sized = written(links.join(side("a"), "a").join(side("b"), "b"), f"{dealt.path}/links")
+    own = _named(dealt, components(df.sparkSession, links.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+    dealt.done("reps", "every")
+    ends = sized.select(F.col("a").alias("rep"), F.col("size_b").alias("met")).union(sized.select("b", "size_a"))
+    count = own.join(size, "rep").join(ends.groupBy("rep").agg(F.sum("met").alias("met")), "rep", "left")
+    count = count.select("rep", "least", (F.col("size") - 1 + F.coalesce("met", F.lit(0))).alias("n_links"))
+    documents = dealt.members.withColumn("class_id", F.when(F.col("n") > 0, F.col("rep"))).join(count, "rep", "left")
+    documents = documents.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "class_id", _component(), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return documents, sized.select(F.col("a").alias("class_a"), F.col("b").alias("class_b"), "size_a", "size_b")
+
+
 def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """df without the documents that are linked, directly or not, to one with a smaller id; all columns stay, whatever their names."""
     later = _joined(df, doc_id, text, GRAM, PERCENT).filter("component_id < doc_id OR (doc_id IS NULL AND component_id IS NOT NULL)")

@@ -129,6 +129,63 @@ def test_jaccard_join_parts_regions(spark, monkeypatch, cell, big, hot):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(df).collect()} == brute_components(rows)
 
 
+def brute_links(rows, gram=5):
+    """(sets by row, linked rows by row) of (id, text) rows."""
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + gram]) for i in range(max(len(w) - gram + 1, 1))} if w else set())
+    met = [{j for j, b in enumerate(sets) if i != j and a and 100 * len(a & b) >= 75 * len(a | b)} for i, a in enumerate(sets)]
+    return sets, met
+
+
+def check_every_link(rows, spark):
+    """jaccard_join against plain Python; ids name rows with different texts."""
+    from siftstone.llm.jaccard_join import jaccard_join
+
+    sets, met = brute_links(rows)
+    documents, links = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = documents.collect()
+    assert sorted((r.doc_id, r.n_shingles, r.n_links) for r in found) == sorted((i, len(sets[k]), len(met[k])) for k, (i, _) in enumerate(rows))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+    assert all((r.class_id is None) == (r.n_shingles == 0) for r in found)
+    by_id = {r.doc_id: r.class_id for r in found}
+    classes = {}
+    for k, (i, _) in enumerate(rows):
+        if sets[k]:
+            assert classes.setdefault(frozenset(sets[k]), by_id[i]) == by_id[i]
+    assert len(set(classes.values())) == len(classes)
+    expected = {tuple(sorted((by_id[rows[i][0]], by_id[rows[j][0]]))) for i in range(len(rows)) for j in met[i] if sets[i] != sets[j]}
+    got = [(r.class_a, r.class_b) for r in links.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected
+    return len(expected)
+
+
+@pytest.mark.parametrize("cell, big, hot", [(160, 200_000, 200), (7, 60, 4)])
+def test_jaccard_join_loses_no_link(spark, monkeypatch, cell, big, hot):
+    from siftstone.llm import jaccard_join as J
+
+    for name, value in (("CELL", cell), ("BIG", big), ("HOT", hot), ("PIVOTS", 4)):
+        monkeypatch.setattr(J, name, value)
+    rows = near_copies(random.Random(cell), 3, 40, edits=2)
+    rows += [(1_000 + i, t) for i, (_, t) in enumerate(rows[:20])] + [(2_000, None), (2_001, ""), (2_002, "a b"), (2_003, "A\tb")]
+    assert check_every_link(rows, spark) > 100
+
+
+def test_jaccard_join_of_little(spark):
+    from siftstone.llm.jaccard_join import jaccard_join
+
+    assert check_every_link([(1, None), (2, " "), (3, "one text of six words only"), (4, "another text")], spark) == 0
+    documents, links = jaccard_join(spark.createDataFrame([], "doc_id long, text string"))
+    assert documents.count() == 0 and links.count() == 0
+    # Rows without an id and repeated rows are rows of their own; other columns are not read.
+    w = [f"a{i}" for i in range(40)]
+    rows = [(None, " ".join(w), 1), (None, " ".join(w[:38]), 2), (None, "x y z", 3), (5, " ".join(w), 4), (5, " ".join(w), 4)]
+    documents, links = jaccard_join(spark.createDataFrame(rows, "doc_id long, text string, class_id long"))
+    assert sorted((r.n_shingles, r.component_id or 0, r.n_links) for r in documents.collect()) == [(1, 0, 0), (34, 5, 3), (36, 5, 3), (36, 5, 3), (36, 5, 3)]
+    assert [(r.size_a, r.size_b) for r in links.collect()] in ([(1, 3)], [(3, 1)])
+
+
 def test_jaccard_links_at_the_threshold(spark):
     from siftstone.llm.jaccard_join import jaccard_components
 
