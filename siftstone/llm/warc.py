@@ -10,7 +10,8 @@ once under its verified digest and the exact record headers apart from them;
 Defined results: a null payload is an empty one; a null url gives no target
 header, line breaks in it are percent-encoded; pages with the same id and
 payload are all written as the first is (response), a null id sorts after all
-others; other columns are not stored; an empty table gives empty archives.
+others; other columns are not stored; an empty table gives empty archives; a
+payload may be of any length that a row of Spark can have (2 GB with its header).
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ from pyspark.sql import functions as F
 from siftstone.llm.runtime import LAST_ID, remove, table, tidy, work_dir, written
 
 REVISIT_FROM = 100
-#: Records of an archive file at most; a task holds a file as it is stored, and its records one after the other.
-FILE_RECORDS = 1_000
+#: (bytes, records): a file of payloads of at most so many bytes has at most so many records, 64 MB of payload; a larger
+#: payload has a file of its own.  A task holds a file as it is stored, and its records one after the other.
+FILES = ((64 << 10, 1_000), (4 << 20, 16))
 #: Bytes that are unpacked, and payload bytes that are given on, at a time.
 PIECE, BATCH = 1 << 20, 8_000_000
 END = "\r\n\r\n"
@@ -60,9 +62,18 @@ def _records(planned: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html") -> None:
-    """Gzip files of WARC records in folder path."""
-    records = _records(plan_records(pages, page_id, url, payload))
-    records.write.mode("overwrite").option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    """Gzip files of WARC records below folder path, which is emptied before: a folder for each size of payloads."""
+    remove(pages.sparkSession, path)
+    size = F.octet_length(F.coalesce(F.col(payload), F.lit("")))
+    longest, above = pages.agg(F.max(size)).first()[0] or 0, -1
+    for k, (most, records) in enumerate((*FILES, (None, 1))):
+        # A file is needed even of an empty table; sizes that no payload has need no job.
+        if k and longest <= above:
+            break
+        # Equal payloads are of one size, so each size is planned by itself.
+        sized = pages.filter((size > above) & (size <= (longest if most is None else most)))
+        _records(plan_records(sized, page_id, url, payload)).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records).text(f"{path}/{k}")
+        above = most
 
 
 def _unpacked(data: bytes) -> Iterator[bytes]:
@@ -145,7 +156,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["page_id", "record_type", "refers_to", "digest", "header", "payload"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path).select("content")
     return files.mapInArrow(tidy(work), "page_id long, record_type string, refers_to long, digest string, header binary, payload binary")
 
 

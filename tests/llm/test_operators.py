@@ -467,6 +467,31 @@ def test_archives(spark, tmp_path):
     assert sum(len(list(W.parse_archive(bytes(r.header) + b"" + (b"" if r.record_type == "revisit" else bytes(r.payload)) + b"\r\n\r\n"))) for r in rows) == len(rows)
 
 
+def test_archive_files_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    from siftstone.llm import warc as W
+
+    monkeypatch.setattr(W, "FILES", ((100, 5), (300, 2)))
+    rows = [(i, f"u{i}", chr(97 + i % 7) * n) for i, n in enumerate([0, 100, 101, 150, 300, 301, 5_000] * 6)] + [(99, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    W.write_archives(pages, str(tmp_path / "a"))
+    kept, seen = {0: 5, 1: 2, 2: 1}, Counter()
+    for file in (tmp_path / "a").rglob("*.gz"):
+        records = list(W.parse_archive(W._unpacked(file.read_bytes())))
+        assert len(records) <= kept[int(file.parent.name)]
+        seen.update(f["WARC-Record-ID"] for _, f, _ in records)
+    assert seen == Counter(f"<urn:page:{r[0]}>" for r in rows)
+    headers, payloads = W.store(W.read_archives(spark, str(tmp_path / "a")), str(tmp_path / "s"))
+    first = {}
+    for i, _, h in rows:
+        if len(h or "") >= 100:
+            first.setdefault(h, i)
+    got = {r.page_id: (bytes(r.payload).decode(), r.refers_to) for r in W.reconstruct(headers, payloads).collect()}
+    assert got == {i: (h or "", None if first.get(h, i) == i else first[h]) for i, _, h in rows}
+    # An empty table has archives too, and a folder that is written again holds the new ones alone.
+    W.write_archives(pages.filter("false"), str(tmp_path / "a"))
+    assert W.read_archives(spark, str(tmp_path / "a")).count() == 0
+
+
 BASES = (
     ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), lambda m: len(m[2]) >= 6),
     ("access", re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
