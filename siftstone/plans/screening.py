@@ -45,7 +45,7 @@ def raw_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rows with reasons; written once for the session, as candidates, groups and exclusions all read it."""
-    return kept(spark, ("offers", sf_dir), lambda: written(O.screened(raw_offers(spark, sf_dir), RULES, TODAY), "offers"))
+    return kept(spark, "offers", sf_dir, ("lineitem", "part"), lambda: written(O.screened(raw_offers(spark, sf_dir), RULES, TODAY), "offers"))
 
 
 # ── the same in DuckDB's SQL ─────────────────────────────────────────────────

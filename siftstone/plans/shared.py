@@ -54,26 +54,49 @@ def row_index(df: DataFrame, order: list[Column | str], name: str = "idx") -> Da
     return ranged.withColumn(name, (F.col(at).bitwiseAND((1 << bits) - 1) + shift + 1).cast("long")).drop(at)
 
 
-_KEPT: dict[tuple[str, ...], DataFrame] = {}
-
-
-def kept(spark: SparkSession, key: tuple[str, ...], make: Callable[[], DataFrame]) -> DataFrame:
-    """make(), a written table, once for a session; shared by its queries as long as the written files are there."""
-    key = (spark.sparkContext.applicationId, *key)
-    known = _KEPT.get(key)
-    if known is not None:
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(known.inputFiles()[0]) if known.inputFiles() else None
-        if path is None or not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            known = None
-    if known is None:
-        known = _KEPT[key] = make()
+#: key: (state of the tables that were read, written table)
+_KEPT: dict[tuple[str, ...], tuple[list[tuple[int, int, int]], DataFrame]] = {}
+
+
+def _file_system(spark: SparkSession, name: str) -> tuple:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _state(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> list[tuple[int, int, int]]:
+    """Bytes, files and time of change of each table; two calls for each, however many files it has."""
+    found = []
+    for name in names:
+        path, fs = _file_system(spark, f"{sf_dir}/{name}.parquet")
+        size = fs.getContentSummary(path)
+        found.append((size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return found
+
+
+def kept(spark: SparkSession, key: str, sf_dir: str, reads: tuple[str, ...], make: Callable[[], DataFrame]) -> DataFrame:
+    """make(), a written table, once for a session.
+
+    Its queries share it as long as the written files are there and the tables of sf_dir that it reads are as they were.
+    """
+    place, state = (spark.sparkContext.applicationId, key, sf_dir), _state(spark, sf_dir, reads)
+    before, known = _KEPT.get(place, (None, None))
+    if known is not None and before == state and (files := known.inputFiles()):
+        path, fs = _file_system(spark, files[0])
+        if fs.exists(path):
+            return known
+    known = make()
+    _KEPT[place] = state, known
     return known
 
 
+def forget() -> None:
+    """The next query works all out anew."""
+    _KEPT.clear()
+
+
 def indexed_table(spark: SparkSession, sf_dir: str, name: str, order: list[str], index: str = "idx") -> DataFrame:
     """row_index() of a table, kept for the session's queries."""
-    return kept(spark, ("indexed", sf_dir, name), lambda: row_index(table(spark, sf_dir, name), order, index))
+    return kept(spark, f"indexed {name}", sf_dir, (name,), lambda: row_index(table(spark, sf_dir, name), order, index))
 
 
 def any_of(conditions: list[Column]) -> Column:
