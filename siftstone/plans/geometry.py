@@ -131,7 +131,8 @@ register("judge_tighten", judge_tighten, f"WITH {_SQL_V} SELECT doc_id, CASE WHE
 
 # ── pixels: an embedding is an 8 x 8 grid ────────────────────────────────────
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return I.pixels(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 8).withColumn("v", F.floor(F.col("v") * 1000).cast("long"))
+    # The product stays in the components' own type: times a whole number, Spark would make doubles of floats.
+    return I.pixels(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 8).withColumn("v", F.floor(F.col("v") * F.lit(1000).cast("float")).cast("long"))
 
 
 _SQL_G = "g0 AS (SELECT vec_id AS img, unnest(embedding) AS e, unnest(range(0, len(embedding))) AS pos FROM embeddings), g AS (SELECT img, CAST(pos // 8 AS INTEGER) AS y, CAST(pos % 8 AS INTEGER) AS x, CAST(floor(e * 1000) AS BIGINT) AS v FROM g0)"
