@@ -54,14 +54,16 @@ def occurrences(rows: DataFrame, by: list[str], text: str, entries: DataFrame, k
     starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(WINDOW))
     windows = rows.filter(F.length(text) > 0).select(*by, F.explode(F.transform(starts, lambda s: F.struct(s.alias("s"), F.substring(text, s + 1, F.lit(WINDOW + longest - 1)).alias("w")))).alias("__w"))
     places = windows.select(*by, "__w", F.explode(F.sequence(F.lit(1), F.least(F.length("__w.w"), F.lit(WINDOW)))).alias("__at"))
-    cut = F.transform(F.lit(levels), lambda n: F.substring(F.col("__w.w"), F.col("__at"), n))
-    # At the end of a text the pieces of larger levels are cut short and equal to one another: these are no pieces.
-    whole = F.filter(F.arrays_zip(F.lit(levels).alias("n"), cut.alias("piece")), lambda x: F.length(x["piece"]) == x["n"])
-    pieces = places.select(*by, "__w", "__at", F.explode(whole).alias("__p")).select(*by, "__w", "__at", F.col("__p.piece").alias("__piece"))
+    # A place takes along what a key could cover, not its whole window.
+    places = places.select(*by, (F.col("__w.s") + F.col("__at")).alias("pos"), F.substring(F.col("__w.w"), F.col("__at"), F.lit(longest)).alias("__rest"))
+    # At the end of a text the pieces of larger levels would be cut short and equal to one another: these are no pieces.
+    whole = F.filter(F.lit(levels), lambda n: n <= F.length("__rest"))
+    pieces = places.select("*", F.explode(whole).alias("__n")).withColumn("__piece", F.substring(F.col("__rest"), F.lit(1), F.col("__n")))
     level = F.array_max(F.filter(F.lit(levels), lambda n: n <= F.length(key)))
     known = entries.filter(F.length(key) > 0).withColumn("__piece", F.substring(F.col(key), F.lit(1), level))
-    met = pieces.join(known, ["__piece", *on]).filter(F.substring(F.col("__w.w"), F.col("__at"), F.length(key)) == F.col(key))
-    return met.select(*by, (F.col("__w.s") + F.col("__at")).alias("pos"), *[c for c in entries.columns if c not in on])
+    # Only dictionary() sends entries to all tasks: a table that grows with the data would pass through the driver whole.
+    met = pieces.hint("merge").join(known, ["__piece", *on]).filter(F.substring(F.col("__rest"), F.lit(1), F.length(key)) == F.col(key))
+    return met.select(*by, "pos", *[c for c in entries.columns if c not in on])
 
 
 def earliest_longest(found: DataFrame, by: list[str], key: str, *more: str) -> DataFrame:

@@ -125,3 +125,16 @@ def test_pending_classes_say_what_the_pairs_say(spark):
     classes, links = O.pending_classes(df, rules_)
     assert classes.count() == len({(b.lower(), s, f) for _, b, s, f in groups if b})
     assert {(x.class_id, x.word) for x in links.filter(F.col("kind") == "word").collect()} == {(min(i for i, c, t, g in groups if (c.lower(), t, g) == (b.lower(), s, f)), w) for _, b, s, f in groups if b for w in ("bolt", "ring") if w in s}
+
+
+def test_a_dictionary_of_the_data_does_not_pass_through_the_driver(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["dictionary_emails"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    # one from a rule file still is sent to all tasks
+    texts, words = spark.createDataFrame([(1, "abcd"), (2, "bc")], "id long, t string"), D.dictionary(spark, [("bc",), ("cd",)], "w string")
+    few = D.occurrences(texts, ["id"], "t", words, "w", [2])
+    assert sorted(map(tuple, few.collect())) == [(1, 2, "bc"), (1, 3, "cd"), (2, 1, "bc")]
+    assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
