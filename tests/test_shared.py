@@ -19,3 +19,14 @@ def test_shared_tables_follow_their_input(spark, tmp_path):
     assert n > 50 == fresh.count() and shared.indexed_table(spark, sf_dir, "lineitem", ["l_orderkey"]).count() == 50
     shared.forget()
     assert screening.offers(spark, sf_dir).inputFiles() != fresh.inputFiles()
+
+
+def test_rows_of_the_screening_are_shuffled_before_they_grow(spark):
+    """No join or exchange has parsed numbers, reasons or marks below it."""
+    from siftstone.operators import offers as O
+
+    o = O.ruled(screening.raw_offers(spark, SF, firsts=True), screening.RULES, screening.TODAY)
+    plan = o._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "regexp_replace" in above and "regexp_replace" not in below
+    assert {f.split("/")[-2].split("-")[0] for f in screening.offers(spark, SF).inputFiles()} == {"ruled", "stores"}
