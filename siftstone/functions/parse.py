@@ -102,7 +102,7 @@ def composed(text: Column) -> Column:
         found = F.transform(F.regexp_extract_all(t, F.lit(cluster), F.lit(0)), compose)
         return F.array_join(F.zip_with(F.split(t, cluster, -1), found, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit("")))), "")
 
-    return _once(text, lambda t: F.when((F.length(t) < F.octet_length(t)) & t.rlike(cluster), all_of(t)).otherwise(t))
+    return once(text, lambda t: F.when((F.length(t) < F.octet_length(t)) & t.rlike(cluster), all_of(t)).otherwise(t))
 
 
 def folded(text: Column) -> Column:
@@ -122,7 +122,7 @@ def narrow(text: Column) -> Column:
     return F.btrim(F.when(F.length(text) == F.octet_length(text), text).otherwise(wide), F.lit(_BLANKS))
 
 
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with value computed once for a row, however often it occurs; the optimizer does not take it apart."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -131,7 +131,7 @@ def _groups(text: Column, pattern: str, n: int) -> Column:
     """The n groups of the pattern, which matches whole texts, by a single match; null without one."""
     mark = "\x00"
     found = F.regexp_replace(F.translate(text, mark, " "), pattern, mark.join(f"${k}" for k in range(1, n + 1)) + mark)
-    return _once(found, lambda f: F.when(F.contains(f, F.lit(mark)), F.split(f, mark)))
+    return once(found, lambda f: F.when(F.contains(f, F.lit(mark)), F.split(f, mark)))
 
 
 def _number(raw: Column, text: Column, pattern: str, n: int = 1, factor: Callable[[Column], Column] | None = None, plus: Callable[[Column], Column] | None = None) -> Column:
@@ -147,8 +147,8 @@ def _number(raw: Column, text: Column, pattern: str, n: int = 1, factor: Callabl
         known = x["value"].isNotNull()
         return F.struct(raw.alias("raw"), x["value"].alias("value"), (known & x["plus"]).alias("plus"), (x["blank"] | known).alias("ok"))
 
-    bound = _once(text, lambda t: F.struct((F.coalesce(t, F.lit("")) == "").alias("blank"), _groups(t, pattern, n).alias("groups")))
-    return _once(_once(bound, read), shown)
+    bound = once(text, lambda t: F.struct((F.coalesce(t, F.lit("")) == "").alias("blank"), _groups(t, pattern, n).alias("groups")))
+    return once(once(bound, read), shown)
 
 
 def parse_count(raw: Column, clean=narrow) -> Column:
@@ -176,10 +176,10 @@ def parse_date(raw: Column, clean=narrow) -> Column:
     """struct<value date, ok>: blank is (null, ok), an impossible or strange date (null, not ok)."""
 
     def read(t: Column) -> Column:
-        date = _once(_groups(t, DATE, 3), lambda g: F.try_to_date(F.concat(F.get(g, 0), F.lit("-"), F.lpad(F.get(g, 1), 2, "0"), F.lit("-"), F.lpad(F.get(g, 2), 2, "0")), "yyyy-MM-dd"))
-        return _once(date, lambda d: F.struct(d.alias("value"), ((F.coalesce(t, F.lit("")) == "") | d.isNotNull()).alias("ok")))
+        date = once(_groups(t, DATE, 3), lambda g: F.try_to_date(F.concat(F.get(g, 0), F.lit("-"), F.lpad(F.get(g, 1), 2, "0"), F.lit("-"), F.lpad(F.get(g, 2), 2, "0")), "yyyy-MM-dd"))
+        return once(date, lambda d: F.struct(d.alias("value"), ((F.coalesce(t, F.lit("")) == "") | d.isNotNull()).alias("ok")))
 
-    return _once(clean(raw), read)
+    return once(clean(raw), read)
 
 
 def state(number: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftstone.functions import boxes as B
+from siftstone.functions.parse import once
 from siftstone.operators import images as I
 
 # The card and what is on it, in pixels (boxes with far edges exclusive), and seconds.
@@ -41,29 +42,30 @@ def layout(photos: DataFrame, card_width: int = PHOTO_WIDTH, call: int = CALL, l
     size = B.fit_inside(iw, ih, F.lit(card_width).cast("long"), F.lit(PHOTO_HEIGHT).cast("long"))
 
     def put(w: Column, h: Column, y: Column, how: str, share: Column) -> Column:
-        left = _even(F.floor((WIDTH - w) / 2).cast("long"))
         low = lambda v, to, of: F.floor(v * to / of).cast("long")
         high = lambda v, to, of: F.ceil(v * to / of).cast("long")
-        box = B.box(left + low(o["x0"], w, iw), y + low(o["y0"], h, ih), left + high(o["x1"], w, iw), y + high(o["y1"], h, ih))
-        return F.struct(F.lit(how).alias("how"), share.cast("int").alias("percent"), w.alias("w"), h.alias("h"), left.alias("x"), y.alias("y"), box.alias("box"), B.gap(box, watermark).alias("gap"))
+        box = lambda left: B.box(left + low(o["x0"], w, iw), y + low(o["y0"], h, ih), left + high(o["x1"], w, iw), y + high(o["y1"], h, ih))
+        stood = lambda left, b: F.struct(F.lit(how).alias("how"), share.cast("int").alias("percent"), w.alias("w"), h.alias("h"), left.alias("x"), y.alias("y"), b.alias("box"), B.gap(b, watermark).alias("gap"))
+        return once(_even(F.floor((WIDTH - w) / 2).cast("long")), lambda left: once(box(left), lambda b: stood(left, b)))
 
     apart = lambda b: F.greatest(F.lit(0), F.lit(wx0) - b["x1"], b["x0"] - F.lit(wx1))
     reach = lambda b: F.sqrt(F.greatest(F.lit(need * need) - apart(b) * apart(b), F.lit(0)).cast("double"))
-    p = photos.withColumn("__s", size).withColumn("__a", put(F.col("__s.w"), F.col("__s.h"), _even(PHOTO_BOTTOM - F.col("__s.h")), "default", F.lit(100)))
+    p = photos.withColumn("__s", once(size, lambda s: s)).withColumn("__a", put(F.col("__s.w"), F.col("__s.h"), _even(PHOTO_BOTTOM - F.col("__s.h")), "default", F.lit(100)))
     a = F.col("__a")
     floor = F.greatest(F.lit(call - CALL_CLEAR), a["box"]["y1"])
     down = a["y"] + F.ceil(wy1 + reach(a["box"]) - a["box"]["y0"]).cast("long")
-    p = p.withColumn("__f", floor).withColumn("__m", put(a["w"], a["h"], down + F.pmod(down, F.lit(2)), "down", F.lit(100)))
+    p = p.withColumn("__f", floor).withColumn("__m", once(down, lambda d: once(d + F.pmod(d, F.lit(2)), lambda y: put(a["w"], a["h"], y, "down", F.lit(100)))))
 
     def shrunk(k: Column) -> Column:
-        w, h = F.greatest(_percent(a["w"], 100 - k), F.lit(1)), F.greatest(_percent(a["h"], 100 - k), F.lit(1))
-        return put(w, h, _even(F.col("__f") - F.ceil(o["y1"] * h / ih).cast("long")), "shrunk", 100 - k)
+        at_least = lambda side: F.greatest(_percent(a[side], 100 - k), F.lit(1)).alias(side)
+        top = lambda h: _even(F.col("__f") - F.ceil(o["y1"] * h / ih).cast("long"))
+        return once(F.struct(at_least("w"), at_least("h")), lambda s: once(top(s["h"]), lambda y: put(s["w"], s["h"], y, "shrunk", 100 - k)))
 
     wide = lambda c: c["gap"] >= need
     moved = F.filter(F.array(F.col("__m")), lambda c: wide(c) & (c["box"]["y1"] <= F.col("__f")))
     smaller = F.filter(F.transform(F.sequence(F.lit(1), F.lit(100 - SMALLEST)), shrunk), wide)
-    first = F.get(F.concat(F.filter(F.array(a), wide), moved, smaller), F.lit(0))
-    p = p.withColumn("__c", first)
+    # Smaller sizes are tried only where the two others don't do.
+    p = p.withColumn("__c", F.coalesce(F.when(wide(a), a), F.get(moved, F.lit(0)), F.get(smaller, F.lit(0))))
     c = F.col("__c")
     # While it bounces it may come as high as this.
     highest = F.when(apart(c["box"]) < need, _even(F.ceil(wy1 + reach(c["box"]) - (c["box"]["y0"] - c["y"])).cast("long") + 1))

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from siftstone.catalogue import register
 from siftstone.functions import boxes as B
 from siftstone.operators import cards as C
-from siftstone.plans.shared import table
+from siftstone.plans.shared import spread, table
 
 
 def card_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, s = F.col("p_partkey").cast("long"), F.col("p_size").cast("long")
     w, h = k % 900 + 200, s * 37 + 200
-    photos = table(spark, sf_dir, "part").select("p_partkey", w.alias("width"), h.alias("height"), B.box(k % 7, s % 5, w - k % 11, h - s % 3).alias("opaque"))
+    photos = spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).select("p_partkey", w.alias("width"), h.alias("height"), B.box(k % 7, s % 5, w - k % 11, h - s % 3).alias("opaque"))
     q = C.layout(photos).select("p_partkey", "place.*")
     return q.select("p_partkey", "ok", "how", "percent", "moved", "w", "h", "x", "y", F.col("box.x0").alias("x0"), F.col("box.y0").alias("y0"), F.col("box.x1").alias("x1"), F.col("box.y1").alias("y1"), (F.floor(F.col("gap") * 100 + 0.5) / 100).alias("gap"), "y_min")
 

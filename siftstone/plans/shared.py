@@ -36,6 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows dealt evenly over as many tasks as shuffles have: for costly work on rows that lie in few files or partitions."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def row_index(df: DataFrame, order: list[Column | str], name: str = "idx") -> DataFrame:
     """df with 1, 2, ... in the given order, without sending all rows to one task.
 
