@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siftstone.catalogue import register
 from siftstone.functions import parse, texts
-from siftstone.plans.shared import table
+from siftstone.plans.shared import spread, table
 
 #: Texts made from integers; the expressions mean the same to both engines.
 MONTHLY = """CASE l_linenumber WHEN 1 THEN concat(cast(cast(l_quantity as int) as string), '萬+') WHEN 2 THEN concat('已售 ', cast(cast(l_quantity as int) as string), ',500+')
@@ -117,7 +117,9 @@ register("fmt_decimal", fmt_decimal, "WITH c AS (SELECT p_partkey, CAST(round(p_
 def per_order_half_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(n) for n, e in (("price", PRICE), ("rate", RATE), ("sv", SV), ("svb", SVB))])
     pay = parse.per_order(parse.parse_price(F.col("price")), parse.parse_rate(F.col("rate")), parse.parse_rate(F.col("sv")), parse.parse_rate(F.col("svb")))
-    return li.select("price", "rate", "sv", "svb", pay.alias("p")).groupBy("price", "rate", "sv", "svb", F.col("p.value").alias("value"), F.col("p.kind").alias("kind")).agg(F.count("*").alias("n"))
+    # Each combination of texts is parsed once.
+    texts_ = spread(li.groupBy("price", "rate", "sv", "svb").agg(F.count("*").alias("n")))
+    return texts_.withColumn("p", pay).select("price", "rate", "sv", "svb", F.col("p.value").alias("value"), F.col("p.kind").alias("kind"), "n")
 
 
 PAY_SQL = """CASE WHEN c.value IS NULL THEN NULL WHEN s.value IS NOT NULL AND b.state <> 'unreadable' THEN CAST(round(c.value * CAST(s.value + coalesce(b.value, 0) AS DECIMAL(14,6)), 0) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(18,2))
