@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from siftstone.catalogue import register
 from siftstone.functions.titles import strip_title
 from siftstone.plans.screening import RULES
-from siftstone.plans.shared import table
+from siftstone.plans.shared import spread, table
 
 TITLE_RULES = replace(RULES, promo_words=("現貨", "買一送一"), capacity_pattern=r"\d+(ml|g|入)")
 
 
 def strip_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     dressed = F.concat(F.lit("【買一送一】"), "p_name", F.lit("　（red 特）現貨 "), F.col("p_size").cast("string"), F.lit("ml"))
-    t = table(spark, sf_dir, "part").select("p_partkey", strip_title(dressed, TITLE_RULES).alias("t"))
+    t = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")).select("p_partkey", strip_title(dressed, TITLE_RULES).alias("t"))
     return t.select("p_partkey", "t.name", F.size("t.removed").cast("long").alias("removed"))
 
 
@@ -32,7 +32,7 @@ def strip_titles_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("((x)) ｂｉｇ "), name, F.lit(" "), size, F.lit("g|")), F.concat(F.lit("《"), name, F.lit("》「a」 ガ")), F.concat(F.lit("- "), name, F.lit(" ，")),
     )
     title = F.coalesce(*[F.when(k == i, c) for i, c in enumerate(kinds)])
-    t = table(spark, sf_dir, "part").select("p_partkey", strip_title(title, TITLE_RULES).alias("t"))
+    t = spread(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")).select("p_partkey", strip_title(title, TITLE_RULES).alias("t"))
     return t.select("p_partkey", "t.name", F.array_join("t.removed", "¦").alias("removed"))
 
 
