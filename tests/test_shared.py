@@ -26,7 +26,11 @@ def test_rows_of_the_screening_are_shuffled_before_they_grow(spark):
     from siftstone.operators import offers as O
 
     o = O.ruled(screening.raw_offers(spark, SF, firsts=True), screening.RULES, screening.TODAY)
-    plan = o._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = o._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
     above, below = plan.split("Join", 1)
     assert "regexp_replace" in above and "regexp_replace" not in below
     assert {f.split("/")[-2].split("-")[0] for f in screening.offers(spark, SF).inputFiles()} == {"ruled", "stores"}
