@@ -269,9 +269,16 @@ def row_rules(offers: DataFrame, rules: Rules) -> DataFrame:
 
 
 # ── groups ───────────────────────────────────────────────────────────────────
-def group_table(offers: DataFrame, row_index) -> DataFrame:
-    """key, first (least idx), rep (representative name: spaced names first), gid by first appearance."""
-    g = offers.groupBy("key").agg(F.min("idx").alias("first"), F.min(F.struct((~F.contains("name", F.lit(" "))).alias("plain"), "idx", "name")).alias("rep"), F.count("*").alias("members"))
+def named_groups(offers: DataFrame, rules: Rules, row_index) -> DataFrame:
+    """group_table() of raw offers (idx, name): their rows are counted by name, then names are worked out and grouped."""
+    by_name = offers.groupBy("name").agg(F.min("idx").alias("idx"), F.count("*").alias("rows"))
+    return group_table(named(written(by_name, "counted"), rules), row_index, F.sum("rows"))
+
+
+def group_table(offers: DataFrame, row_index, members: Column | None = None) -> DataFrame:
+    """key, first (least idx), rep (representative name: spaced names first), gid by first appearance; members: their number, if not rows are counted."""
+    members = F.count("*") if members is None else members
+    g = offers.groupBy("key").agg(F.min("idx").alias("first"), F.min(F.struct((~F.contains("name", F.lit(" "))).alias("plain"), "idx", "name")).alias("rep"), members.alias("members"))
     return row_index(g.select("key", "first", F.col("rep.name").alias("group_name"), "members"), ["first"], "gid")
 
 
