@@ -113,13 +113,28 @@ def folded(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), text).otherwise(wide)
 
 
+@cache
+def _common() -> tuple[str, str, str]:
+    """Full-width characters, what they become, and a regex class of those that need the whole table.
+
+    Ideographs from U+4E00 on stay as they are.
+    """
+    one, to, _ = _compatibility()
+    wide = {a: b for a, b in zip(one, to, strict=True) if a == "\u3000" or "\uff01" <= a <= "\uff5e"}
+    return "".join(wide), "".join(wide.values()), r"[^\x00-\x7F\x{3000}\x{4E00}-\x{9FFF}\x{FF01}-\x{FF5E}]"
+
+
 def narrow(text: Column) -> Column:
-    """nfkc() by built-in functions, character by character: only composition of marks is left out, which no format here has."""
+    """nfkc() by built-in functions, character by character: only composition of marks is left out, which no format here has.
+
+    Texts of ASCII, ideographs and full-width characters need no more than a short table.
+    """
     one, to, many = _compatibility()
+    common, plain, others = _common()
     table = F.create_map(*[F.lit(x) for pair in many.items() for x in pair if pair[1].isascii()])
     wide = F.translate(text, one, to)
     wide = F.when(F.translate(wide, "".join(many), "") != wide, F.array_join(F.transform(F.split(wide, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")).otherwise(wide)
-    return F.btrim(F.when(F.length(text) == F.octet_length(text), text).otherwise(wide), F.lit(_BLANKS))
+    return F.btrim(F.when(F.length(text) == F.octet_length(text), text).when(~text.rlike(others), F.translate(text, common, plain)).otherwise(wide), F.lit(_BLANKS))
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -127,35 +142,34 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _groups(text: Column, pattern: str, n: int) -> Column:
-    """The n groups of the pattern, which matches whole texts, by a single match; null without one."""
+def _groups(text: Column, pattern: str, n: int) -> Callable[[int], Column]:
+    """The n groups of the pattern, which matches whole texts, by a single match: the k-th (from 0), null without a match.
+
+    What occurs several times here and below is always evaluated, so Spark works
+    it out once for a row; lambdas would be interpreted.
+    """
     mark = "\x00"
-    found = F.regexp_replace(F.translate(text, mark, " "), pattern, mark.join(f"${k}" for k in range(1, n + 1)) + mark)
-    return once(found, lambda f: F.when(F.contains(f, F.lit(mark)), F.split(f, mark)))
+    unmarked = F.when(F.contains(text, F.lit(mark)), F.translate(text, mark, " ")).otherwise(text)
+    parts = F.split(F.regexp_replace(unmarked, pattern, mark.join(f"${k}" for k in range(1, n + 1)) + mark), mark)
+    # A match has n parts and an empty one, any other text is one part.
+    return lambda k: F.get(parts, F.when(F.size(parts) > 1, F.lit(k)))
 
 
-def _number(raw: Column, text: Column, pattern: str, n: int = 1, factor: Callable[[Column], Column] | None = None, plus: Callable[[Column], Column] | None = None) -> Column:
+def _number(raw: Column, text: Column, pattern: str, n: int = 1, factor: Callable[[Callable[[int], Column]], Column] | None = None, plus: Callable[[Callable[[int], Column]], Column] | None = None) -> Column:
     """A value that does not fit is unreadable."""
-
-    def read(x: Column) -> Column:
-        groups = x["groups"]
-        value = F.replace(F.get(groups, 0), F.lit(","), F.lit("")).try_cast(WIDE)
-        value = (value * factor(groups) if factor else value).try_cast(VALUE)
-        return F.struct(x["blank"].alias("blank"), value.alias("value"), (F.coalesce(plus(groups), F.lit(False)) if plus else F.lit(False)).alias("plus"))
-
-    def shown(x: Column) -> Column:
-        known = x["value"].isNotNull()
-        return F.struct(raw.alias("raw"), x["value"].alias("value"), (known & x["plus"]).alias("plus"), (x["blank"] | known).alias("ok"))
-
-    bound = once(text, lambda t: F.struct((F.coalesce(t, F.lit("")) == "").alias("blank"), _groups(t, pattern, n).alias("groups")))
-    return once(once(bound, read), shown)
+    group = _groups(text, pattern, n)
+    digits = F.replace(group(0), F.lit(","), F.lit(""))
+    value = (digits.try_cast(WIDE) * factor(group) if factor else digits).try_cast(VALUE)
+    known = value.isNotNull()
+    more = known & F.coalesce(plus(group), F.lit(False)) if plus else F.lit(False)
+    return F.struct(raw.alias("raw"), value.alias("value"), more.alias("plus"), ((F.coalesce(text, F.lit("")) == "") | known).alias("ok"))
 
 
 def parse_count(raw: Column, clean=narrow) -> Column:
     """3萬+ -> 30000 with plus; thousands commas, decimals, units, an optional prefix and suffix."""
     units = F.create_map(*[F.lit(x) for name, n in UNITS.items() for x in (name, Decimal(n))])
-    factor = lambda g: F.coalesce(F.element_at(units, F.lower(F.get(g, 1))), F.lit(Decimal(1)))
-    return _number(raw, clean(raw), COUNT, 3, factor, lambda g: F.get(g, 2) == "+")
+    factor = lambda group: F.coalesce(F.element_at(units, F.lower(group(1))), F.lit(Decimal(1)))
+    return _number(raw, clean(raw), COUNT, 3, factor, lambda group: group(2) == "+")
 
 
 def parse_price(raw: Column, clean=narrow) -> Column:
@@ -175,11 +189,10 @@ def parse_stores(raw: Column, clean=narrow) -> Column:
 def parse_date(raw: Column, clean=narrow) -> Column:
     """struct<value date, ok>: blank is (null, ok), an impossible or strange date (null, not ok)."""
 
-    def read(t: Column) -> Column:
-        date = once(_groups(t, DATE, 3), lambda g: F.try_to_date(F.concat(F.get(g, 0), F.lit("-"), F.lpad(F.get(g, 1), 2, "0"), F.lit("-"), F.lpad(F.get(g, 2), 2, "0")), "yyyy-MM-dd"))
-        return once(date, lambda d: F.struct(d.alias("value"), ((F.coalesce(t, F.lit("")) == "") | d.isNotNull()).alias("ok")))
-
-    return once(clean(raw), read)
+    text = clean(raw)
+    group = _groups(text, DATE, 3)
+    date = F.concat(group(0), F.lit("-"), group(1), F.lit("-"), group(2)).try_cast("date")
+    return F.struct(date.alias("value"), ((F.coalesce(text, F.lit("")) == "") | date.isNotNull()).alias("ok"))
 
 
 def state(number: Column) -> Column:

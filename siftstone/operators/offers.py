@@ -398,13 +398,14 @@ def reason_counts(offers: DataFrame) -> DataFrame:
 
 
 def ruled(raw: DataFrame, rules: Rules, today: date) -> DataFrame:
-    """The row rules' results; raw has FIELDS, name and idx, and may have shop, item and first_idx.
+    """The row rules' results; raw has FIELDS, name and idx, and may have shop, item and first_idx, and what named() and categorised() find.
 
     Joins come first, as long as rows are short: numbers, reasons and marks are
     made of the texts where the rows lie then, and are not shuffled.
     """
-    firsts = raw if "first_idx" in raw.columns else first_rows(identified(raw))
-    return row_rules(parsed(categorised(named(firsts, rules), rules), today), rules)
+    o = raw if "first_idx" in raw.columns else first_rows(identified(raw))
+    o = o if "key" in raw.columns else categorised(named(o, rules), rules)
+    return row_rules(parsed(o, today), rules)
 
 
 def screened(raw: DataFrame, rules: Rules, today: date) -> DataFrame:
