@@ -3,6 +3,7 @@
 from siftstone.functions import parse
 from siftstone.operators import offers as O
 from siftstone.plans import screening as S
+from siftstone.plans import shared
 from siftstone.plans.shared import row_index
 from pyspark.sql import functions as F
 
@@ -55,3 +56,32 @@ def test_groups_of_counted_names(spark):
     got = O.named_groups(raw, S.RULES, row_index).select(columns)
     assert sorted(got.collect(), key=str) == sorted(O.group_table(O.named(raw, S.RULES), row_index).select(columns).collect(), key=str)
     assert ("A#1 x red", 1, 3) in [tuple(r)[:3] for r in got.collect()]
+
+
+def _broadcast(df):
+    """The plans below each exchange that sends a table to all tasks."""
+    lines, found = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*()0123456789"))
+    for k, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(k + 1, len(lines)) if depth(lines[j]) <= depth(line)), len(lines))
+            found.append("\n".join(lines[k + 1 : end]))
+    return found
+
+
+def test_tables_made_of_data_are_not_broadcast(spark, monkeypatch):
+    """Files of few bytes may hold many rows: those of parts take 6 bytes a row, and the driver's memory a hundred."""
+    few, offers = "spark.sql.autoBroadcastJoinThreshold", S.offers(spark, DATA)
+    monkeypatch.setattr(shared, "FEW", 10, raising=False)
+    before = spark.conf.get(few)
+    spark.conf.set(few, "20000")  # the parts' file has fewer bytes, that of the lines more
+    try:
+        for names in (False, True):
+            raw = S.raw_offers(spark, DATA, firsts=True, names=names)
+            assert "Join" in _plan(raw) and not [p for p in _broadcast(raw) if "p_partkey" in p]
+        words = spark.createDataFrame([("ab",), ("a",)], "word string")
+        assert not _broadcast(O.longest_known_prefix(words, words))
+        for df in (S.exclusion_rows(spark, DATA), S.candidate_rows(spark, DATA), S.groups_json(spark, DATA)):
+            assert not [p for p in _broadcast(df) if "group_name" in p]
+    finally:
+        spark.conf.set(few, before)
