@@ -85,3 +85,11 @@ def test_tables_made_of_data_are_not_broadcast(spark, monkeypatch):
             assert not [p for p in _broadcast(df) if "group_name" in p]
     finally:
         spark.conf.set(few, before)
+
+
+def test_plans_are_short(spark):
+    """The driver keeps the text of each plan, and anew after each stage: long tables stand in it once for a text."""
+    o = O.ruled(S.raw_offers(spark, DATA, firsts=True, names=True), S.RULES, S.TODAY)
+    plan = o.select("idx", "reasons", "marks", "demote")._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert len(plan) < 600_000
+    assert not [c for c in o.columns if c.startswith("__")]
