@@ -276,7 +276,7 @@ def hard_negatives(
 
     best = searched(anchors.withColumns({"pids": none, "pscores": none}), positives, _offer_positives, "positives")
     lists = best.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("p"))
-    asked = anchors.join(lists, "key").withColumns({"pids": F.col("p.vec_id"), "pscores": F.col("p.score")})
+    asked = anchors.join(lists.hint("merge"), "key").withColumns({"pids": F.col("p.vec_id"), "pscores": F.col("p.score")})
     found = searched(asked, negatives, _offer_negatives, "negatives")
     return found.select("anchor_id", "positive_id", "rank", F.col("vec_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
 

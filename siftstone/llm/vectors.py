@@ -79,10 +79,14 @@ def grid(data: DataFrame, queries: DataFrame, blocks: int) -> DataFrame:
     """Each row of queries beside each row of data, dealt by shards of data; blocks: the rows of data.
 
     data has columns part and at, the task that made a block and the block's number in it.
+    Blocks are shuffled, never broadcast: files of few bytes hold more, and each shard gets a copy of the queries.
+    The copies take no more rows than data has, but there is a shard for each core.
     """
-    shards = max(1, min(blocks, int(data.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    spark = data.sparkSession
+    copies = blocks * BLOCK // (max(1, queries.count()) * QUERY_BLOCK)
+    shards = max(1, min(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")), max(copies, spark.sparkContext.defaultParallelism)))
     ours = data.withColumn("shard", F.pmod(F.col("part") * 31 + F.col("at"), F.lit(shards)).cast("int")).drop("part", "at")
-    return ours.join(queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))), "shard")
+    return ours.join(queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).hint("merge"), "shard")
 
 
 class Best:

@@ -116,3 +116,26 @@ def test_bounds_keep_every_pair():
 def test_windows():
     low, high = negatives.windows(np.array([10, 7, 0, -3]), 30, 90)
     assert low.tolist() == [3, 3, 0, 1] and high.tolist() == [9, 6, 0, 0]
+
+
+def test_blocks_are_not_broadcast(spark, tmp_path):
+    """The copies of the queries for all shards would be put together in the driver."""
+    spark.createDataFrame([(0, k, bytearray(b"d")) for k in range(9)], "part int, at int, d binary").write.parquet(f"{tmp_path}/data")
+    spark.createDataFrame([(k, bytearray(b"q")) for k in range(3)], "qat int, q binary").write.parquet(f"{tmp_path}/queries")
+    pairs = vectors.grid(spark.read.parquet(f"{tmp_path}/data"), spark.read.parquet(f"{tmp_path}/queries"), 9)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert pairs.count() == 27
+
+
+def test_copies_of_queries_follow_the_data(spark):
+    """Shards times queries may not grow with the square of the rows."""
+    asked = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(asked)
+    spark.conf.set(asked, "1000")
+    try:
+        for blocks in (100, 400):
+            data, queries = spark.range(blocks).selectExpr("0 AS part", "CAST(id AS int) AS at"), spark.range(blocks // 20).withColumnRenamed("id", "q")
+            assert vectors.grid(data, queries, blocks).groupBy("shard").count().count() <= 2 * 20
+    finally:
+        spark.conf.set(asked, before)
